@@ -1,38 +1,26 @@
-"""Helpers for the per-quality traffic map."""
+"""Helpers for the per-quality traffic map, as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
 
-
-def pairs_to_map(pairs: Column) -> Column:
+def pairs_to_map(pairs: str) -> str:
     """Map from an array of (key, value) structs; the last of equal keys wins, an empty array is null."""
-
-    def is_last(pair: Column, i: Column) -> Column:
-        later = F.slice(pairs, i + 2, F.size(pairs))
-        return ~F.exists(later, lambda q: q["key"] == pair["key"])
-
-    return F.when(F.size(pairs) > 0, F.map_from_entries(F.filter(pairs, is_last)))
-
-
-def label_bytes(quality: Column) -> Column:
-    """map<label, long> of source + p2p received bytes."""
-    from playbeat.functions.scalars import received_bytes
-
-    return F.transform_values(quality, lambda _, dist: received_bytes(dist))
+    later = f"slice({pairs}, i + 2, size({pairs}))"
+    return (
+        f"if(size({pairs}) > 0, "
+        f"map_from_entries(filter({pairs}, (e, i) -> not exists({later}, x -> x.key = e.key))), null)"
+    )
 
 
-def map_total(quality: Column, field: str, kind: str = "long") -> Column:
+def map_total(quality: str, field: str, kind: str = "bigint") -> str:
     """Sum of one sourceTraffic counter over all labels."""
-    zero = F.lit(0).cast(kind)
-    return F.aggregate(
-        F.coalesce(F.map_values(quality), F.array()),
-        zero,
-        lambda acc, dist: acc + F.coalesce(dist["sourceTraffic"][field].cast(kind), zero),
+    zero = f"cast(0 as {kind})"
+    return (
+        f"aggregate(coalesce(map_values({quality}), array()), {zero}, "
+        f"(acc, dist) -> acc + coalesce(cast(dist.sourceTraffic.{field} as {kind}), {zero}))"
     )
 
 
-def add_maps(left: Column, right: Column) -> Column:
-    """Label-wise sum of two map<label, long>; a label on one side only keeps its value."""
-    zero = F.lit(0).cast("long")
-    return F.map_zip_with(left, right, lambda _, a, b: F.coalesce(a, zero) + F.coalesce(b, zero))
+def long_total(values: str) -> str:
+    """Sum of an array of longs."""
+    return f"aggregate({values}, 0L, (acc, v) -> acc + v)"

@@ -11,65 +11,56 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
-
-_WIDTH = 21
-_HALF = 1 << (_WIDTH - 1)
-_MASK = (1 << _WIDTH) - 1
-_MAX_SERVER = (1 << 42) - 1
-_SHIFT = "10000000000000000000"  # more than the span of values that share one server time
-
-
-def _long(v: int) -> Column:
-    return F.lit(v).cast("long")
+WIDTH = 21
+HALF = 1 << (WIDTH - 1)
+MASK = (1 << WIDTH) - 1
+MAX_SERVER = (1 << 42) - 1
+SHIFT = "10000000000000000000BD"  # more than the span of values that share one server time
 
 
 class ServerOrdered:
     """First/last ``value`` by (server, value); ``base`` maps a server time to the expected value."""
 
-    def __init__(self, name: str, server: Column, value: Column, base: Callable[[Column], Column]):
-        self.name, self.server, self.base = name, server, base
-        self.value = value.cast("long")
+    def __init__(self, name: str, server: str, value: str, base: Callable[[str], str] = lambda s: s):
+        self.name, self.server, self.value, self.base = name, server, value, base
 
-    def columns(self) -> list[Column]:
+    def columns(self) -> list[str]:
         """Per-row columns to select before the aggregate."""
-        n, s, v = self.name, self.server, self.value
-        gap = F.try_subtract(v, self.base(s))
-        near = F.coalesce(
-            s.between(_long(0), _long(_MAX_SERVER)) & gap.between(_long(-_HALF), _long(_HALF - 1)), F.lit(False)
-        )
-        far_key = (
-            s.cast("decimal(19,0)") * F.lit(_SHIFT).cast("decimal(20,0)") + v.cast("decimal(19,0)")
+        n, s, v, base = self.name, self.server, self.value, self.base(self.server)
+        near = (
+            f"coalesce({s} between 0 and {MAX_SERVER} "
+            f"and try_subtract({v}, {base}) between -{HALF} and {HALF - 1}, false)"
         )
+        far_key = f"cast({s} as decimal(19,0)) * {SHIFT} + cast({v} as decimal(19,0))"
         return [
-            F.when(near, F.shiftleft(s, _WIDTH) + gap + _long(_HALF)).alias(f"{n}_near"),
-            F.when(~near, s).alias(f"{n}_far_server"),
-            F.when(~near, v).alias(f"{n}_far"),
-            F.when(~near, far_key).alias(f"{n}_far_key"),
+            f"if({near}, shiftleft({s}, {WIDTH}) + ({v} - {base}) + {HALF}L, null) as {n}_near",
+            f"if({near}, null, {s}) as {n}_far_server",
+            f"if({near}, null, {v}) as {n}_far",
+            f"if({near}, null, {far_key}) as {n}_far_key",
         ]
 
-    def aggregates(self, first: bool = True, last: bool = True) -> list[Column]:
+    def aggregates(self, first: bool = True, last: bool = True) -> list[str]:
         n = self.name
-        ends = ([("first", F.min, F.min_by)] if first else []) + ([("last", F.max, F.max_by)] if last else [])
+        ends = ([("first", "min")] if first else []) + ([("last", "max")] if last else [])
         return [
             c
-            for end, extreme, extreme_by in ends
+            for end, extreme in ends
             for c in (
-                extreme(f"{n}_near").alias(f"{n}_{end}_near"),
-                extreme(f"{n}_far_server").alias(f"{n}_{end}_far_server"),
-                extreme_by(f"{n}_far", f"{n}_far_key").alias(f"{n}_{end}_far"),
+                f"{extreme}({n}_near) as {n}_{end}_near",
+                f"{extreme}({n}_far_server) as {n}_{end}_far_server",
+                f"{extreme}_by({n}_far, {n}_far_key) as {n}_{end}_far",
             )
         ]
 
-    def _pick(self, end: str, far_wins: Callable[[Column, Column, Column, Column], Column]) -> Column:
-        near, far_server, far = (F.col(f"{self.name}_{end}_{c}") for c in ("near", "far_server", "far"))
-        server = F.shiftright(near, _WIDTH)
-        value = near.bitwiseAND(_long(_MASK)) - _long(_HALF) + self.base(server)
-        use_far = near.isNull() | F.coalesce(far_wins(far_server, far, server, value), F.lit(False))
-        return F.when(use_far, far).otherwise(value)
+    def _pick(self, end: str, before: str) -> str:
+        near, far_server, far = (f"{self.name}_{end}_{c}" for c in ("near", "far_server", "far"))
+        server = f"shiftright({near}, {WIDTH})"
+        value = f"(({near} & {MASK}L) - {HALF}L + {self.base(server)})"
+        far_wins = f"{far_server} {before} {server} or ({far_server} = {server} and {far} {before} {value})"
+        return f"if({near} is null or coalesce({far_wins}, false), {far}, {value})"
 
-    def first(self) -> Column:
-        return self._pick("first", lambda fs, fv, s, v: (fs < s) | ((fs == s) & (fv < v)))
+    def first(self) -> str:
+        return self._pick("first", "<")
 
-    def last(self) -> Column:
-        return self._pick("last", lambda fs, fv, s, v: (fs > s) | ((fs == s) & (fv > v)))
+    def last(self) -> str:
+        return self._pick("last", ">")

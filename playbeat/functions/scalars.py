@@ -1,83 +1,84 @@
-"""Null-safe scalar expressions of the telemetry model."""
+"""Null-safe scalar expressions of the telemetry model, as SQL text for ``selectExpr`` and ``expr``.
 
-from __future__ import annotations
+Text keeps plan building cheap: a projection is one call into the JVM, not one per operator in it.
+"""
 
-from pyspark.sql import Column, functions as F
+from __future__ import annotations
 
 DAY_MS = 86_400_000
 MAX_MS = 253_402_300_799_999  # end of the year 9999
+EPOCH = "date'1970-01-01'"
 
 
-def epoch() -> Column:
-    return F.lit("1970-01-01").cast("date")
-
-
-def or_zero(c: Column) -> Column:
+def or_zero(x: str) -> str:
     """Missing counts are zero, and are summed as long."""
-    return F.coalesce(c.cast("long"), F.lit(0).cast("long"))
+    return f"coalesce(cast({x} as bigint), 0L)"
 
 
-def session_key(c: Column) -> Column:
+def session_key(x: str) -> str:
     """A missing identifier is the empty string, so that it groups and joins like any other."""
-    return F.coalesce(c, F.lit(""))
+    return f"coalesce({x}, '')"
 
 
-def server_time(server: Column) -> Column:
+def server_time(server: str) -> str:
     return or_zero(server)
 
 
-def agent_time(agent: Column, server: Column) -> Column:
+def agent_time(agent: str, server: str) -> str:
     """Agent clock; missing or 0 falls back to the server clock of the same heartbeat."""
-    return F.coalesce(F.nullif(agent, F.lit(0).cast("long")), server_time(server))
+    return f"coalesce(nullif({agent}, 0L), {server_time(server)})"
 
 
-def source_bytes(dist: Column) -> Column:
-    return or_zero(dist["sourceTraffic"]["receivedData"])
+def source_bytes(dist: str) -> str:
+    return or_zero(f"{dist}.sourceTraffic.receivedData")
 
 
-def p2p_bytes(dist: Column) -> Column:
-    return or_zero(dist["p2pTraffic"]["receivedData"])
+def p2p_bytes(dist: str) -> str:
+    return or_zero(f"{dist}.p2pTraffic.receivedData")
 
 
-def received_bytes(dist: Column) -> Column:
-    return source_bytes(dist) + p2p_bytes(dist)
+def received_bytes(dist: str) -> str:
+    return f"({source_bytes(dist)} + {p2p_bytes(dist)})"
 
 
-def safe_ratio(num: Column, den: Column, default: float | None = 0.0) -> Column:
+def safe_ratio(num: str, den: str, default: str = "0D") -> str:
     """num / den as double where den is positive, else the default (ANSI division by zero raises)."""
-    return F.when(den > 0, num.cast("double") / den.cast("double")).otherwise(F.lit(default).cast("double"))
+    return f"if(({den}) > 0, cast({num} as double) / cast({den} as double), {default})"
 
 
-def capped_ratio(num: Column, den: Column) -> Column:
-    return F.least(F.lit(1.0), safe_ratio(num, den))
+def capped_ratio(num: str, den: str) -> str:
+    return f"least(1D, {safe_ratio(num, den)})"
 
 
-def epoch_date(ms: Column) -> Column:
+def epoch_date(ms: str) -> str:
     """UTC calendar day of epoch milliseconds, by arithmetic: independent of the session time zone.
 
     Null outside the years 1970 to 9999.
     """
-    days = F.when(ms.between(0, MAX_MS), F.floor(ms / F.lit(DAY_MS)).cast("int"))
-    return F.date_add(epoch(), days)
+    return f"date_add({EPOCH}, if({ms} between 0 and {MAX_MS}, cast({ms} div {DAY_MS} as int), null))"
 
 
-def event_date(day: Column, server: Column) -> Column:
+def event_date(day: str, server: str) -> str:
     """The partition date; without one the day of the server time, and the epoch as a last resort."""
-    return F.coalesce(day, epoch_date(server_time(server)), epoch())
+    return f"coalesce({day}, {epoch_date(server_time(server))}, {EPOCH})"
 
 
-def quality_label(height: Column, level: Column) -> Column:
+def quality_label(height: str, level: str) -> str:
     """'1080p' from the height, 'level_3' where the height is missing or 0, null without a level."""
-    by_level = F.when(level.isNotNull(), F.concat(F.lit("level_"), level.cast("string")))
-    return F.when(height > 0, F.concat(height.cast("string"), F.lit("p"))).otherwise(by_level)
+    return (
+        f"case when {height} > 0 then concat({height}, 'p') "
+        f"when {level} is not null then concat('level_', {level}) end"
+    )
 
 
-def text_or_empty(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit(""))
+def text_or_empty(x: str) -> str:
+    return f"coalesce(cast({x} as string), '')"
 
 
-def strict_long(text: Column) -> Column:
+def strict_long(text: str) -> str:
     """Integer from text: '5' and '1.0' pass, '1.5' and 'x' give null."""
-    as_double = text.try_cast("double")
-    whole = F.when(as_double == F.floor(as_double), text.try_cast("decimal(38,6)").try_cast("long"))
-    return F.coalesce(text.try_cast("long"), whole)
+    whole = f"try_cast({text} as double) = floor(try_cast({text} as double))"
+    return (
+        f"coalesce(try_cast({text} as bigint), "
+        f"if({whole}, try_cast(try_cast({text} as decimal(38,6)) as bigint), null))"
+    )

@@ -2,39 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 from playbeat.functions.scalars import server_time, session_key
+from playbeat.operators.sessions import SERVER, key_columns
 from playbeat.schema import KEYS
 
+# Among differing copies the smallest by these stays.
+COPY_ORDER = (
+    "timestampInfo.server, timestampInfo.agent, eventDate, player, totalDistribution, "
+    "array_sort(map_entries(qualityDistribution))"
+)
+
 
 def dedup_heartbeats(df: DataFrame) -> DataFrame:
     """One heartbeat per session and server time, whichever order the rows arrive in.
 
     Copies are cut to one per input split before the shuffle (a window group limit), so a heartbeat
-    repeated a billion times does not meet in one task. Among differing copies the smallest by agent
-    time, counters and traffic stays.
+    repeated a billion times does not meet in one task.
     """
-    keys = [session_key(F.col(k)) for k in KEYS] + [server_time(F.col("timestampInfo.server"))]
-    order = [
-        F.col("timestampInfo.server"),
-        F.col("timestampInfo.agent"),
-        F.col("eventDate"),
-        F.col("player"),
-        F.col("totalDistribution"),
-        F.array_sort(F.map_entries("qualityDistribution")),
-    ]
-    copy = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_copy", copy).filter(F.col("_copy") == 1).drop("_copy")
+    keys = ", ".join([*[session_key(k) for k in KEYS], server_time(SERVER)])
+    ranked = df.selectExpr("*", f"row_number() over (partition by {keys} order by {COPY_ORDER}) as _copy")
+    return ranked.filter("_copy = 1").drop("_copy")
 
 
 def dedup_stream(df: DataFrame, watermark: str = "10 minutes") -> DataFrame:
     """Streaming form: repeats within the watermark are dropped; state older than it is evicted."""
-    timed = df.select(
+    timed = df.selectExpr(
         *[c for c in df.columns if c not in KEYS],
-        *[session_key(F.col(k)).alias(k) for k in KEYS],
-        server_time(F.col("timestampInfo.server")).alias("_server"),
-        F.timestamp_millis(server_time(F.col("timestampInfo.server"))).alias("_time"),
+        *key_columns(),
+        f"{server_time(SERVER)} as _server",
+        f"timestamp_millis({server_time(SERVER)}) as _time",
     )
     kept = timed.withWatermark("_time", watermark).dropDuplicatesWithinWatermark([*KEYS, "_server"])
     return kept.select(*df.columns)

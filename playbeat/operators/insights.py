@@ -2,17 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 from playbeat.functions import scalars as S
-from playbeat.operators.player_events import (
-    CHUNK_MS,
-    LOAD_EVENTS,
-    REQUEST_EVENTS,
-    asof_quality,
-    buffer_intervals,
-    viewer_spans,
-)
+from playbeat.operators.player_events import CHUNK_MS, LOADS, REQUESTS, asof_quality, buffer_intervals, viewer_spans
+from playbeat.operators.sessions import SERVER, exprs, key_columns
 from playbeat.schema import HEARTBEAT_INTERVAL_MS, KEYS
 
 SPIKE_SHARE = 0.15  # fixed value: share of viewers that makes a buffering spike
@@ -22,15 +16,13 @@ SWITCH_CHUNK_MS = 60_000
 def buffering_position(events: DataFrame, interval_ms: int = HEARTBEAT_INTERVAL_MS) -> DataFrame:
     """Where in the session each stall began: offset from the first event, first half or second."""
     joined = buffer_intervals(events, interval_ms).join(viewer_spans(events), on=KEYS)
-    offset = F.col("start_ms") - F.col("first_t")
-    late = offset * 2 >= F.col("last_t") - F.col("first_t")
-    return joined.select(
+    return joined.selectExpr(
         *KEYS,
         "start_ms",
         "event_id",
         "duration_ms",
-        offset.alias("offset_ms"),
-        F.when(late, "late").otherwise("early").alias("position"),
+        "start_ms - first_t as offset_ms",
+        "if((start_ms - first_t) * 2 >= last_t - first_t, 'late', 'early') as position",
     )
 
 
@@ -41,16 +33,11 @@ def buffering_clusters(
 
     Viewers are made distinct before the content is grouped, so popular content is combined early.
     """
-    starts = buffer_intervals(events, interval_ms)
-    bucket = F.floor(F.col("start_ms") / F.lit(bucket_ms)) * bucket_ms
-    per_viewer = starts.groupBy("customerId", "contentId", bucket.alias("bucket_ms"), "clientId").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    return (
-        per_viewer.groupBy("customerId", "contentId", "bucket_ms")
-        .agg(F.count(F.lit(1)).alias("viewers"), F.sum("n").alias("stalls"))
-        .filter(F.col("viewers") >= min_viewers)
-    )
+    bucket = ["customerId", "contentId", "bucket_ms"]
+    starts = buffer_intervals(events, interval_ms).selectExpr("*", f"start_ms div {bucket_ms}L * {bucket_ms} as bucket_ms")
+    per_viewer = starts.groupBy(*bucket, "clientId").agg(*exprs("count(1) as n"))
+    counts = per_viewer.groupBy(*bucket).agg(*exprs("count(1) as viewers", "sum(n) as stalls"))
+    return counts.filter(f"viewers >= {min_viewers}")
 
 
 def quality_switches(events: DataFrame, chunk_ms: int = SWITCH_CHUNK_MS) -> DataFrame:
@@ -59,38 +46,29 @@ def quality_switches(events: DataFrame, chunk_ms: int = SWITCH_CHUNK_MS) -> Data
     Heights are compared within time chunks, then the last height of each chunk with the first of the
     next one, so a viewer with very many events is spread over tasks.
     """
-    levels = (
-        events.filter((F.col("event") == "level") & (F.col("height") > 0) & F.col("t").isNotNull())
-        .select(*[S.session_key(F.col(k)).alias(k) for k in KEYS], "t", "event_id", "height")
-        .withColumn("chunk", F.floor(F.col("t") / F.lit(chunk_ms)))
-    )
     keys = KEYS + ["chunk"]
-    in_chunk = Window.partitionBy(*keys).orderBy("t", "event_id")
-    whole = in_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    prev = F.lag("height").over(in_chunk)
+    in_chunk = f"partition by {', '.join(keys)} order by t, event_id"
+    whole = "rows between unbounded preceding and unbounded following"
+    levels = events.filter("event = 'level' and height > 0 and t is not null")
     chunks = (
-        levels.withColumn("prev", prev)
-        .withColumn("head", F.first("height").over(whole))
-        .withColumn("tail", F.last("height").over(whole))
-        .groupBy(*keys, "head", "tail")
-        .agg(
-            F.count(F.lit(1)).alias("levels"),
-            F.count_if(F.col("height") > F.col("prev")).alias("ups"),
-            F.count_if(F.col("height") < F.col("prev")).alias("downs"),
-        )
-    )
-    before = F.lag("tail").over(Window.partitionBy(*KEYS).orderBy("chunk"))
-    return (
-        chunks.withColumn("before", before)
-        .groupBy(*KEYS)
-        .agg(
-            F.sum("levels").alias("level_events"),
-            F.sum(F.col("ups") + F.coalesce((F.col("head") > F.col("before")).cast("int"), F.lit(0))).alias("upshifts"),
-            F.sum(F.col("downs") + F.coalesce((F.col("head") < F.col("before")).cast("int"), F.lit(0))).alias(
-                "downshifts"
-            ),
+        levels.selectExpr(*key_columns(), "t", "event_id", "height", f"t div {chunk_ms}L as chunk")
+        .selectExpr(
+            "*",
+            f"lag(height) over ({in_chunk}) as prev",
+            f"first(height) over ({in_chunk} {whole}) as head",
+            f"last(height) over ({in_chunk} {whole}) as tail",
         )
+        .groupBy(*keys, "head", "tail")
+        .agg(*exprs(
+            "count(1) as levels", "count_if(height > prev) as ups", "count_if(height < prev) as downs"
+        ))
     )
+    linked = chunks.selectExpr("*", f"lag(tail) over (partition by {', '.join(KEYS)} order by chunk) as before")
+    return linked.groupBy(*KEYS).agg(*exprs(
+        "sum(levels) as level_events",
+        "sum(ups + if(head > before, 1, 0)) as upshifts",
+        "sum(downs + if(head < before, 1, 0)) as downshifts",
+    ))
 
 
 def segment_failures(
@@ -98,28 +76,20 @@ def segment_failures(
 ) -> DataFrame:
     """Fragments asked for and never loaded, per label."""
     rows = asof_quality(events, interval_ms, chunk_ms)
-    counts = rows.groupBy("quality_label").agg(
-        F.count_if(F.col("event").isin(REQUEST_EVENTS)).alias("requests"),
-        F.count_if(F.col("event").isin(LOAD_EVENTS)).alias("loads"),
-    )
-    failed = F.greatest(F.col("requests") - F.col("loads"), F.lit(0))
-    return counts.select(
-        "quality_label",
-        "requests",
-        "loads",
-        failed.alias("failures"),
-        S.safe_ratio(failed, F.col("requests")).alias("failure_rate"),
-    )
+    counts = rows.groupBy("quality_label").agg(*exprs(
+        f"count_if({REQUESTS}) as requests", f"count_if({LOADS}) as loads"
+    ))
+    failed = counts.selectExpr("*", "greatest(requests - loads, 0L) as failures")
+    return failed.selectExpr("*", f"{S.safe_ratio('failures', 'requests')} as failure_rate")
 
 
 def _server_window(df: DataFrame, window_ms: int) -> DataFrame:
-    server = S.server_time(F.col("timestampInfo.server"))
-    return df.select(
-        *[S.session_key(F.col(k)).alias(k) for k in KEYS],
-        (F.floor(server / F.lit(window_ms)) * window_ms).alias("window_start_ms"),
-        S.or_zero(F.col("player.bufferings")).alias("bufferings"),
-        S.or_zero(F.col("player.bufferingTime")).alias("buffering_ms"),
-        S.received_bytes(F.col("totalDistribution")).alias("received_bytes"),
+    return df.selectExpr(
+        *key_columns(),
+        f"{S.server_time(SERVER)} div {window_ms}L * {window_ms} as window_start_ms",
+        f"{S.or_zero('player.bufferings')} as bufferings",
+        f"{S.or_zero('player.bufferingTime')} as buffering_ms",
+        f"{S.received_bytes('totalDistribution')} as received_bytes",
     )
 
 
@@ -129,21 +99,22 @@ def buffering_spikes(
     """Windows in which the share of a content's viewers that buffered reaches the threshold."""
     content = ["customerId", "contentId", "window_start_ms"]
     per_viewer = _server_window(df, window_ms).groupBy(*content, "clientId").agg(
-        F.max((F.col("bufferings") > 0).cast("int")).alias("buffered")
-    )
-    counts = per_viewer.groupBy(*content).agg(
-        F.count(F.lit(1)).alias("viewers"), F.sum("buffered").alias("buffering_viewers")
+        *exprs("max(if(bufferings > 0, 1, 0)) as buffered")
     )
-    share = S.safe_ratio(F.col("buffering_viewers"), F.col("viewers"))
-    return counts.withColumn("buffering_share", share).filter(F.col("buffering_share") >= threshold)
+    counts = per_viewer.groupBy(*content).agg(*exprs("count(1) as viewers", "sum(buffered) as buffering_viewers"))
+    shares = counts.selectExpr("*", f"{S.safe_ratio('buffering_viewers', 'viewers')} as buffering_share")
+    return shares.filter(f"buffering_share >= {threshold}D")
+
+
+WINDOW_SUMS = [
+    "count(1) as heartbeats",
+    "count_if(bufferings > 0) as heartbeats_with_buffering",
+    "sum(bufferings) as bufferings",
+    "sum(buffering_ms) as buffering_ms",
+    "sum(received_bytes) as received_bytes",
+]
 
 
 def window_metrics(df: DataFrame, window_ms: int = HEARTBEAT_INTERVAL_MS) -> DataFrame:
     """Heartbeats, stalls and bytes per content and server-time window."""
-    return _server_window(df, window_ms).groupBy("contentId", "window_start_ms").agg(
-        F.count(F.lit(1)).alias("heartbeats"),
-        F.count_if(F.col("bufferings") > 0).alias("heartbeats_with_buffering"),
-        F.sum("bufferings").alias("bufferings"),
-        F.sum("buffering_ms").alias("buffering_ms"),
-        F.sum("received_bytes").alias("received_bytes"),
-    )
+    return _server_window(df, window_ms).groupBy("contentId", "window_start_ms").agg(*exprs(*WINDOW_SUMS))

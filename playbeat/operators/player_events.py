@@ -8,43 +8,53 @@ hands to the next (last state, last label) travels through a table with one row
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 from playbeat.functions import scalars as S
 from playbeat.functions.maps import map_total
+from playbeat.operators.sessions import exprs, key_columns
 from playbeat.schema import HEARTBEAT, HEARTBEAT_INTERVAL_MS, KEYS
 
 CHUNK_MS = 1_000
 SEQUENCE_STEP = 1_024
 
 # Fixed values of the player event model.
-STALL_EVENTS = ["waiting", "stalled"]
-RESUME_EVENT = "playing"
-LEVEL_EVENT = "level"
-REQUEST_EVENTS = ["frag", "frag_loading"]
-LOAD_EVENTS = ["frag", "frag_loaded"]
-NO_LABEL = "unknown"
+STALLS = "event in ('waiting', 'stalled')"
+RESUMES = "event = 'playing'"
+LEVELS = "event = 'level'"
+REQUESTS = "event in ('frag', 'frag_loading')"
+LOADS = "event in ('frag', 'frag_loaded')"
+NO_LABEL = "'unknown'"
 
 WINDOW_KEYS = KEYS + ["win"]
 CHUNK_KEYS = WINDOW_KEYS + ["chunk"]
 
+STATE = f"case when {STALLS} then 1 when {RESUMES} then 0 end"
+LABEL = f"if({LEVELS}, {S.quality_label('height', 'level')}, null)"
 
-def viewer_spans(events: DataFrame) -> DataFrame:
-    """First and last event time per viewer."""
-    return (
-        events.filter(F.col("t").isNotNull())
-        .groupBy(*[S.session_key(F.col(k)).alias(k) for k in KEYS])
-        .agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"))
-    )
+IN_CHUNK = f"partition by {', '.join(CHUNK_KEYS)} order by t, event_id"
+IN_CHUNK_REVERSED = f"partition by {', '.join(CHUNK_KEYS)} order by t desc, event_id desc"
+BEFORE = "rows between unbounded preceding and 1 preceding"
+UP_TO = "rows between unbounded preceding and current row"
+WHOLE = "rows between unbounded preceding and unbounded following"
+OF_WINDOW = f"partition by {', '.join(WINDOW_KEYS)}"
+EARLIER_CHUNKS = f"{OF_WINDOW} order by chunk range between unbounded preceding and 1 preceding"
+LATER_CHUNKS = f"{OF_WINDOW} order by chunk desc range between unbounded preceding and 1 preceding"
 
 
 def _keyed(events: DataFrame) -> DataFrame:
-    return events.filter(F.col("t").isNotNull()).withColumns({k: S.session_key(F.col(k)) for k in KEYS})
+    others = [c for c in events.columns if c not in KEYS]
+    return events.filter("t is not null").selectExpr(*key_columns(), *others)
+
+
+def viewer_spans(events: DataFrame) -> DataFrame:
+    """First and last event time per viewer."""
+    return _keyed(events).groupBy(*KEYS).agg(*exprs("min(t) as first_t", "max(t) as last_t"))
 
 
-def _window_end(interval_ms: int, clip_last: bool) -> Column:
-    full = F.col("win_start") + interval_ms
-    return F.least(full, F.col("last_t")) if clip_last else full
+def _window_end(interval_ms: int, clip_last: bool) -> str:
+    full = f"win_start + {interval_ms}"
+    return f"least({full}, last_t)" if clip_last else full
 
 
 def assign_windows(
@@ -56,79 +66,50 @@ def assign_windows(
     """
     timed = _keyed(events).join(viewer_spans(events), on=KEYS)
     return (
-        timed.withColumn("win", F.expr(f"(t - first_t) div {interval_ms}L"))
-        .withColumn("win_start", F.col("first_t") + F.col("win") * interval_ms)
-        .withColumn("win_end", _window_end(interval_ms, clip_last))
+        timed.selectExpr("*", f"(t - first_t) div {interval_ms}L as win")
+        .selectExpr("*", f"first_t + win * {interval_ms} as win_start")
+        .selectExpr("*", f"{_window_end(interval_ms, clip_last)} as win_end")
         .drop("first_t", "last_t")
     )
 
 
 def align_windows(events: DataFrame, interval_ms: int = HEARTBEAT_INTERVAL_MS) -> DataFrame:
     """Windows aligned to the epoch instead of the viewer's start: needs no join, so it suits streams."""
-    return (
-        _keyed(events)
-        .withColumn("win", F.floor(F.col("t") / F.lit(interval_ms)))
-        .withColumn("win_start", F.col("win") * interval_ms)
-        .withColumn("win_end", F.col("win_start") + interval_ms)
-    )
+    windowed = _keyed(events).selectExpr("*", f"t div {interval_ms}L as win")
+    return windowed.selectExpr("*", f"win * {interval_ms} as win_start", f"(win + 1) * {interval_ms} as win_end")
 
 
-def _event_columns() -> dict[str, Column]:
-    event = F.col("event")
-    return {
-        "state": F.when(event.isin(STALL_EVENTS), F.lit(1)).when(event == RESUME_EVENT, F.lit(0)),
-        "label": F.when(event == LEVEL_EVENT, S.quality_label(F.col("height"), F.col("level"))),
-    }
+def _with_chunks(windowed: DataFrame, chunk_ms: int) -> DataFrame:
+    return windowed.selectExpr(
+        "*", f"{STATE} as state", f"{LABEL} as label", f"(t - win_start) div {chunk_ms}L as chunk"
+    )
 
 
-def _chunked(windowed: DataFrame, chunk_ms: int) -> DataFrame:
-    """Rows spread by window chunk.
+def _local_state(windowed: DataFrame, chunk_ms: int) -> DataFrame:
+    """State before each row and label at each row, as far as its own chunk tells.
 
     The explicit repartition matters: the join on the viewer leaves rows partitioned by viewer, which
-    would satisfy the window below and keep a hot viewer in one task.
+    would satisfy these windows and keep a hot viewer in one task.
     """
-    return (
-        windowed.withColumns(_event_columns())
-        .withColumn("chunk", F.expr(f"(t - win_start) div {chunk_ms}L"))
-        .repartition(*CHUNK_KEYS)
-    )
-
-
-def _in_chunk():
-    return Window.partitionBy(*CHUNK_KEYS).orderBy("t", "event_id")
-
-
-def _local_state(chunked: DataFrame) -> DataFrame:
-    """State before each row and label at each row, as far as its own chunk tells."""
-    before = _in_chunk().rowsBetween(Window.unboundedPreceding, -1)
-    upto = _in_chunk().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return chunked.withColumn("prev_state", F.last("state", ignorenulls=True).over(before)).withColumn(
-        "local_label", F.last("label", ignorenulls=True).over(upto)
+    return _with_chunks(windowed, chunk_ms).repartition(*CHUNK_KEYS).selectExpr(
+        "*",
+        f"last(state, true) over ({IN_CHUNK} {BEFORE}) as prev_state",
+        f"last(label, true) over ({IN_CHUNK} {UP_TO}) as local_label",
     )
 
 
-def _earlier_chunks():
-    return Window.partitionBy(*WINDOW_KEYS).orderBy("chunk").rangeBetween(Window.unboundedPreceding, -1)
-
-
-def _later_chunks():
-    return Window.partitionBy(*WINDOW_KEYS).orderBy(F.desc("chunk")).rangeBetween(Window.unboundedPreceding, -1)
-
-
 def _chunk_carry(windowed: DataFrame, chunk_ms: int) -> DataFrame:
     """Per chunk: state and label handed over by earlier chunks, first resume of later ones."""
-    rows = windowed.withColumns(_event_columns()).withColumn("chunk", F.expr(f"(t - win_start) div {chunk_ms}L"))
-    order = F.struct("t", "event_id")
-    tails = rows.groupBy(*CHUNK_KEYS).agg(
-        F.max_by("state", F.when(F.col("state").isNotNull(), order)).alias("tail_state"),
-        F.max_by("label", F.when(F.col("label").isNotNull(), order)).alias("tail_label"),
-        F.min(F.when(F.col("state") == 0, F.col("t"))).alias("head_resume"),
-    )
-    return tails.select(
+    tails = _with_chunks(windowed, chunk_ms).groupBy(*CHUNK_KEYS).agg(*exprs(
+        "max_by(state, if(state is null, null, struct(t, event_id))) as tail_state",
+        "max_by(label, if(label is null, null, struct(t, event_id))) as tail_label",
+        "min(if(state = 0, t, null)) as head_resume",
+    ))
+    return tails.selectExpr(
         *CHUNK_KEYS,
-        F.last("tail_state", ignorenulls=True).over(_earlier_chunks()).alias("carry_state"),
-        F.last("tail_label", ignorenulls=True).over(_earlier_chunks()).alias("carry_label"),
-        F.last("head_resume", ignorenulls=True).over(_later_chunks()).alias("next_resume"),
+        f"last(tail_state, true) over ({EARLIER_CHUNKS}) as carry_state",
+        f"last(tail_label, true) over ({EARLIER_CHUNKS}) as carry_label",
+        f"last(head_resume, true) over ({LATER_CHUNKS}) as next_resume",
     )
 
 
@@ -137,13 +118,11 @@ def asof_quality(
 ) -> DataFrame:
     """Each fragment event with the label in force at its time; ``unknown`` until a window has one."""
     windowed = assign_windows(events, interval_ms)
-    rows = _local_state(_chunked(windowed, chunk_ms)).filter(
-        F.col("event").isin(REQUEST_EVENTS + LOAD_EVENTS)
-    )
+    rows = _local_state(windowed, chunk_ms).filter(f"{REQUESTS} or {LOADS}")
     joined = rows.join(_chunk_carry(windowed, chunk_ms), on=CHUNK_KEYS, how="left")
-    label = F.coalesce("local_label", "carry_label", F.lit(NO_LABEL))
-    return joined.select(
-        *WINDOW_KEYS, "t", "event_id", "event", label.alias("quality_label"), "requested", "received"
+    label = f"coalesce(local_label, carry_label, {NO_LABEL})"
+    return joined.selectExpr(
+        *WINDOW_KEYS, "t", "event_id", "event", f"{label} as quality_label", "requested", "received"
     )
 
 
@@ -158,23 +137,22 @@ def buffer_intervals(
     A stall still open at the window end is cut there and does not go on in the next window.
     """
     windowed = assign_windows(events, interval_ms, clip_last)
-    states = _local_state(_chunked(windowed, chunk_ms)).filter(F.col("state").isNotNull())
-    after = Window.partitionBy(*CHUNK_KEYS).orderBy(F.desc("t"), F.desc("event_id"))
-    resumes = F.last(F.when(F.col("state") == 0, F.col("t")), ignorenulls=True).over(
-        after.rowsBetween(Window.unboundedPreceding, -1)
-    )
-    joined = states.withColumn("local_resume", resumes).join(
-        _chunk_carry(windowed, chunk_ms), on=CHUNK_KEYS, how="left"
-    )
-    was_stalled = F.coalesce("prev_state", "carry_state", F.lit(0))
-    end = F.coalesce("local_resume", "next_resume", "win_end")
-    return joined.filter((F.col("state") == 1) & (was_stalled == 0)).select(
-        *WINDOW_KEYS,
-        F.col("t").alias("start_ms"),
-        "event_id",
-        end.alias("end_ms"),
-        (end - F.col("t")).alias("duration_ms"),
+    states = _local_state(windowed, chunk_ms).filter("state is not null")
+    states = states.selectExpr(
+        "*", f"last(if(state = 0, t, null), true) over ({IN_CHUNK_REVERSED} {BEFORE}) as local_resume"
     )
+    joined = states.join(_chunk_carry(windowed, chunk_ms), on=CHUNK_KEYS, how="left")
+    starts = joined.filter("state = 1 and coalesce(prev_state, carry_state, 0) = 0")
+    return starts.selectExpr(
+        *WINDOW_KEYS, "t as start_ms", "event_id", "coalesce(local_resume, next_resume, win_end) as end_ms"
+    ).selectExpr("*", "end_ms - start_ms as duration_ms")
+
+
+def _total(condition: str, value: str = "1L") -> str:
+    return f"sum(if({condition}, {value}, 0L))"
+
+
+COUNTERS = ["starts", "ends", "start_ms", "end_ms", "fragments", "requests", "requested", "received"]
 
 
 def _window_label_rows(windowed: DataFrame, chunk_ms: int) -> DataFrame:
@@ -184,53 +162,46 @@ def _window_label_rows(windowed: DataFrame, chunk_ms: int) -> DataFrame:
     has then miscounted exactly its first state event; that is put right from the previous chunk's last
     state, so rows cross the network once and chunk sums a second time.
     """
-    rows = _local_state(_chunked(windowed, chunk_ms))
-    whole = _in_chunk().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    state, prev, offset = F.col("state"), F.col("prev_state"), F.col("t") - F.col("win_start")
-    starts = (state == 1) & (F.coalesce(prev, F.lit(0)) == 0)
-    ends = (state == 0) & (prev == 1)
-    head = state.isNotNull() & prev.isNull()
-    requests, loads = F.col("event").isin(REQUEST_EVENTS), F.col("event").isin(LOAD_EVENTS)
-    zero = F.lit(0).cast("long")
-
-    def total(condition: Column, value: Column = F.lit(1)) -> Column:
-        return F.sum(F.when(condition, value.cast("long")).otherwise(zero))
-
+    starts = "(state = 1 and coalesce(prev_state, 0) = 0)"
+    ends = "(state = 0 and prev_state = 1)"
+    head = "(state is not null and prev_state is null)"
     chunks = (
-        rows.withColumn("tail_state", F.last("state", ignorenulls=True).over(whole))
-        .withColumn("tail_label", F.last("label", ignorenulls=True).over(whole))
-        .groupBy(*CHUNK_KEYS, "win_start", "win_end", "tail_state", "tail_label", "local_label")
-        .agg(
-            total(starts).alias("starts"),
-            total(ends).alias("ends"),
-            total(starts, offset).alias("start_ms"),
-            total(ends, offset).alias("end_ms"),
-            F.max(F.when(head, state)).alias("head_state"),
-            F.max(F.when(head, offset)).alias("head_ms"),
-            total(requests | loads).alias("fragments"),
-            total(requests).alias("requests"),
-            total(requests, F.coalesce("requested", zero)).alias("requested"),
-            total(loads, F.coalesce("received", zero)).alias("received"),
+        _local_state(windowed, chunk_ms)
+        .selectExpr(
+            "*",
+            "t - win_start as offset",
+            f"last(state, true) over ({IN_CHUNK} {WHOLE}) as tail_state",
+            f"last(label, true) over ({IN_CHUNK} {WHOLE}) as tail_label",
         )
+        .groupBy(*CHUNK_KEYS, "win_start", "win_end", "tail_state", "tail_label", "local_label")
+        .agg(*exprs(
+            f"{_total(starts)} as starts",
+            f"{_total(ends)} as ends",
+            f"{_total(starts, 'offset')} as start_ms",
+            f"{_total(ends, 'offset')} as end_ms",
+            f"max(if({head}, state, null)) as head_state",
+            f"max(if({head}, offset, null)) as head_ms",
+            f"{_total(f'{REQUESTS} or {LOADS}')} as fragments",
+            f"{_total(REQUESTS)} as requests",
+            f"{_total(REQUESTS, 'coalesce(requested, 0L)')} as requested",
+            f"{_total(LOADS, 'coalesce(received, 0L)')} as received",
+        ))
     )
-    carried = chunks.withColumn(
-        "carry_state", F.last("tail_state", ignorenulls=True).over(_earlier_chunks())
-    ).withColumn("carry_label", F.last("tail_label", ignorenulls=True).over(_earlier_chunks()))
-    stalled = F.coalesce(F.col("carry_state") == 1, F.lit(False))
-    extra_start = F.when(stalled & (F.col("head_state") == 1), 1).otherwise(0)
-    extra_end = F.when(stalled & (F.col("head_state") == 0), 1).otherwise(0)
-    head_ms = F.coalesce("head_ms", zero)
-    return (
-        carried.withColumn("starts", F.col("starts") - extra_start)
-        .withColumn("start_ms", F.col("start_ms") - extra_start * head_ms)
-        .withColumn("ends", F.col("ends") + extra_end)
-        .withColumn("end_ms", F.col("end_ms") + extra_end * head_ms)
-        .withColumn("quality_label", F.coalesce("local_label", "carry_label", F.lit(NO_LABEL)))
-        .groupBy(*WINDOW_KEYS, "win_start", "win_end", "quality_label")
-        .agg(*[
-            F.sum(c).alias(c)
-            for c in ("starts", "ends", "start_ms", "end_ms", "fragments", "requests", "requested", "received")
-        ])
+    carried = chunks.selectExpr(
+        "*",
+        f"coalesce(last(tail_state, true) over ({EARLIER_CHUNKS}), 0) = 1 as was_stalled",
+        f"coalesce(local_label, last(tail_label, true) over ({EARLIER_CHUNKS}), {NO_LABEL}) as quality_label",
+    )
+    false_start = "(was_stalled and head_state = 1)"
+    missed_end = "(was_stalled and head_state = 0)"
+    corrected = {
+        "starts": f"starts - if({false_start}, 1L, 0L)",
+        "start_ms": f"start_ms - if({false_start}, head_ms, 0L)",
+        "ends": f"ends + if({missed_end}, 1L, 0L)",
+        "end_ms": f"end_ms + if({missed_end}, head_ms, 0L)",
+    }
+    return carried.groupBy(*WINDOW_KEYS, "win_start", "win_end", "quality_label").agg(
+        *exprs(*[f"sum({corrected.get(c, c)}) as {c}" for c in COUNTERS])
     )
 
 
@@ -239,48 +210,37 @@ def window_quality_stats(
 ) -> DataFrame:
     """Requests and bytes per viewer, window and label."""
     rows = _window_label_rows(assign_windows(events, interval_ms), chunk_ms)
-    return rows.filter(F.col("fragments") > 0).select(
-        *WINDOW_KEYS, "quality_label", "requests", "requested", "received"
-    )
+    return rows.filter("fragments > 0").select(*WINDOW_KEYS, "quality_label", "requests", "requested", "received")
 
 
-def _traffic(requests: Column, responses: Column, requested: Column, received: Column) -> Column:
-    return F.struct(
-        requests.cast("long").alias("requests"),
-        responses.cast("double").alias("responses"),
-        requested.cast("long").alias("requestedData"),
-        received.cast("long").alias("receivedData"),
+def _traffic(requests: str, responses: str, requested: str, received: str) -> str:
+    return (
+        f"struct(cast({requests} as bigint) as requests, cast({responses} as double) as responses, "
+        f"cast({requested} as bigint) as requestedData, cast({received} as bigint) as receivedData)"
     )
 
 
-def _with_zero_p2p(source: Column) -> Column:
-    zero = F.lit(0)
-    return F.struct(source.alias("sourceTraffic"), _traffic(zero, zero, zero, zero).alias("p2pTraffic"))
+def _with_zero_p2p(source: str) -> str:
+    return f"struct({source} as sourceTraffic, {_traffic('0', '0', '0', '0')} as p2pTraffic)"
 
 
 def window_totals(windowed: DataFrame, chunk_ms: int = CHUNK_MS) -> DataFrame:
     """One row per viewer and non-empty window: stalls and the quality map."""
-    rows = _window_label_rows(windowed, chunk_ms)
-    source = _traffic(F.col("requests"), F.col("requests"), F.col("requested"), F.col("received"))
-    entry = F.struct(F.col("quality_label").alias("key"), _with_zero_p2p(source).alias("value"))
-    open_stalls = F.sum("starts") - F.sum("ends")
-    length = F.col("win_end") - F.col("win_start")
-    return (
-        rows.groupBy(*WINDOW_KEYS, "win_start", "win_end")
-        .agg(
-            F.sum("starts").alias("bufferings"),
-            (F.sum("end_ms") - F.sum("start_ms")).alias("closed_ms"),
-            open_stalls.alias("open_stalls"),
-            F.collect_list(F.when(F.col("fragments") > 0, entry)).alias("entries"),
-        )
-        .select(
-            *WINDOW_KEYS,
-            "win_start",
-            "win_end",
-            "bufferings",
-            (F.col("closed_ms") + F.col("open_stalls") * length).alias("buffering_ms"),
-            F.map_from_entries("entries").alias("quality"),
-        )
+    dist = _with_zero_p2p(_traffic("requests", "requests", "requested", "received"))
+    entry = f"if(fragments > 0, struct(quality_label as key, {dist} as value), null)"
+    totals = _window_label_rows(windowed, chunk_ms).groupBy(*WINDOW_KEYS, "win_start", "win_end").agg(*exprs(
+        "sum(starts) as bufferings",
+        "sum(end_ms) - sum(start_ms) as closed_ms",
+        "sum(starts) - sum(ends) as open_stalls",
+        f"map_from_entries(collect_list({entry})) as quality",
+    ))
+    return totals.selectExpr(
+        *WINDOW_KEYS,
+        "win_start",
+        "win_end",
+        "bufferings",
+        "closed_ms + open_stalls * (win_end - win_start) as buffering_ms",
+        "quality",
     )
 
 
@@ -294,44 +254,40 @@ def densify_windows(
 
     The window numbers are generated in two steps so that no row ever holds a long sequence.
     """
-    last_win = F.expr(f"(last_t - first_t) div {interval_ms}L")
-    blocks = spans.withColumn("last_win", last_win).withColumn(
-        "block", F.explode(F.expr(f"sequence(0L, last_win, {SEQUENCE_STEP}L)"))
-    )
-    every = blocks.withColumn(
-        "win", F.explode(F.expr(f"sequence(block, least(block + {SEQUENCE_STEP - 1}L, last_win))"))
-    ).withColumn("win_start", F.col("first_t") + F.col("win") * interval_ms)
-    every = every.withColumn("win_end", _window_end(interval_ms, clip_last)).select(
-        *WINDOW_KEYS, "win_start", "win_end"
+    every = (
+        spans.selectExpr("*", f"(last_t - first_t) div {interval_ms}L as last_win")
+        .selectExpr("*", f"explode(sequence(0L, last_win, {SEQUENCE_STEP}L)) as block")
+        .selectExpr("*", f"explode(sequence(block, least(block + {SEQUENCE_STEP - 1}L, last_win))) as win")
+        .selectExpr("*", f"first_t + win * {interval_ms} as win_start")
+        .selectExpr(*WINDOW_KEYS, "win_start", f"{_window_end(interval_ms, clip_last)} as win_end")
     )
     filled = every.join(totals.drop("win_start", "win_end"), on=WINDOW_KEYS, how="left")
-    empty = F.expr("map()").cast(totals.schema["quality"].dataType)
-    return filled.withColumns({
-        "bufferings": S.or_zero(F.col("bufferings")),
-        "buffering_ms": S.or_zero(F.col("buffering_ms")),
-        "quality": F.coalesce("quality", empty),
-    })
+    kind = totals.schema["quality"].dataType.simpleString()
+    return filled.selectExpr(
+        *WINDOW_KEYS,
+        "win_start",
+        "win_end",
+        f"{S.or_zero('bufferings')} as bufferings",
+        f"{S.or_zero('buffering_ms')} as buffering_ms",
+        f"coalesce(quality, cast(map() as {kind})) as quality",
+    )
 
 
 def to_heartbeats(totals: DataFrame) -> DataFrame:
     """Window rows in the heartbeat schema; agent and receipt time are the window end."""
     source = _traffic(
-        map_total(F.col("quality"), "requests"),
-        map_total(F.col("quality"), "responses", "double"),
-        map_total(F.col("quality"), "requestedData"),
-        map_total(F.col("quality"), "receivedData"),
+        map_total("quality", "requests"),
+        map_total("quality", "responses", "double"),
+        map_total("quality", "requestedData"),
+        map_total("quality", "receivedData"),
     )
-    end = F.col("win_end")
-    return totals.select(
+    return totals.selectExpr(
         *KEYS,
-        F.struct(end.alias("server"), end.alias("agent")).alias("timestampInfo"),
-        F.struct(
-            F.col("bufferings").cast("int").alias("bufferings"),
-            F.col("buffering_ms").cast("int").alias("bufferingTime"),
-        ).alias("player"),
-        _with_zero_p2p(source).alias("totalDistribution"),
-        F.col("quality").alias("qualityDistribution"),
-        S.epoch_date(end).alias("eventDate"),
+        "struct(win_end as server, win_end as agent) as timestampInfo",
+        "struct(cast(bufferings as int) as bufferings, cast(buffering_ms as int) as bufferingTime) as player",
+        f"{_with_zero_p2p(source)} as totalDistribution",
+        "quality as qualityDistribution",
+        f"{S.epoch_date('win_end')} as eventDate",
     ).select(*HEARTBEAT.fieldNames())
 
 

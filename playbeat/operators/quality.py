@@ -2,77 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 from playbeat.functions import scalars as S
-from playbeat.operators.sessions import key_columns, session_keys
+from playbeat.operators.sessions import SERVER, exprs, key_columns, session_keys
+
+MOST_BYTES = "order by received_bytes desc, quality_label"
 
 
 def explode_quality(df: DataFrame, outer: bool = False) -> DataFrame:
     """One row per heartbeat and label; ``outer`` keeps heartbeats without a map as a null label."""
-    generator = F.explode_outer if outer else F.explode
-    return df.select(
+    generator = "explode_outer" if outer else "explode"
+    return df.selectExpr(
         *key_columns(),
-        S.event_date(F.col("eventDate"), F.col("timestampInfo.server")).alias("eventDate"),
-        generator("qualityDistribution").alias("quality_label", "dist"),
+        f"{S.event_date('eventDate', SERVER)} as eventDate",
+        f"{generator}(qualityDistribution) as (quality_label, dist)",
     )
 
 
 def quality_bytes(df: DataFrame, by_date: bool = False) -> DataFrame:
     """Received bytes per session and label; heartbeats without a map add nothing."""
-    keys = session_keys(by_date)
-    rows = explode_quality(df).select(*keys, "quality_label", S.received_bytes(F.col("dist")).alias("b"))
-    return rows.groupBy(*keys, "quality_label").agg(F.sum("b").alias("received_bytes"))
+    rows = explode_quality(df).groupBy(*session_keys(by_date), "quality_label")
+    return rows.agg(*exprs(f"sum({S.received_bytes('dist')}) as received_bytes"))
+
+
+def share_pct(part: str, total: str) -> str:
+    return f"({S.safe_ratio(part, total)} * 100)"
 
 
-def share_pct(part: Column, total: Column) -> Column:
-    return S.safe_ratio(part, total) * 100
+def _session(by_date: bool) -> str:
+    return f"partition by {', '.join(session_keys(by_date))}"
 
 
 def quality_share(per_label: DataFrame, by_date: bool = False) -> DataFrame:
     """Adds the session's bytes and each label's unrounded share of them."""
-    session = Window.partitionBy(*session_keys(by_date))
-    return per_label.withColumn("session_bytes", F.sum("received_bytes").over(session)).withColumn(
-        "share_pct", share_pct(F.col("received_bytes"), F.col("session_bytes"))
-    )
+    totals = per_label.selectExpr("*", f"sum(received_bytes) over ({_session(by_date)}) as session_bytes")
+    return totals.selectExpr("*", f"{share_pct('received_bytes', 'session_bytes')} as share_pct")
 
 
 def quality_rank(per_label: DataFrame, by_date: bool = False) -> DataFrame:
     """Adds ``position`` (ties broken by label) and ``quality_rank`` (ties share a rank)."""
-    session = Window.partitionBy(*session_keys(by_date))
-    return per_label.withColumn(
-        "position", F.row_number().over(session.orderBy(F.desc("received_bytes"), "quality_label"))
-    ).withColumn("quality_rank", F.rank().over(session.orderBy(F.desc("received_bytes"))))
+    return per_label.selectExpr(
+        "*",
+        f"row_number() over ({_session(by_date)} {MOST_BYTES}) as position",
+        f"rank() over ({_session(by_date)} order by received_bytes desc) as quality_rank",
+    )
 
 
 def dominant_quality(per_label: DataFrame, by_date: bool = False) -> DataFrame:
     """Exactly one label per session: most bytes, then the smaller label."""
-    keys = session_keys(by_date)
-    order = Window.partitionBy(*keys).orderBy(F.desc("received_bytes"), "quality_label")
-    return (
-        per_label.withColumn("position", F.row_number().over(order))
-        .filter(F.col("position") == 1)
-        .select(*keys, F.col("quality_label").alias("dominant_quality"))
-    )
+    ranked = per_label.selectExpr("*", f"row_number() over ({_session(by_date)} {MOST_BYTES}) as position")
+    return ranked.filter("position = 1").selectExpr(*session_keys(by_date), "quality_label as dominant_quality")
 
 
-def breakdown_entries(labels: Column, total: Column) -> Column:
+def breakdown_entries(labels: str, total: str) -> str:
     """Array of (label, bytes, share) from an array of (quality_label, received_bytes), most bytes first."""
-    ordered = F.array_sort(
-        F.transform(
-            labels,
-            lambda x: F.struct(
-                (-x["received_bytes"]).alias("negated"), x["quality_label"].alias("quality_label")
-            ),
-        )
-    )
-    return F.transform(
-        ordered,
-        lambda x: F.struct(
-            x["quality_label"].alias("quality_label"),
-            (-x["negated"]).alias("received_bytes"),
-            F.round(share_pct(-x["negated"], total), 2).alias("share_pct"),
-        ),
+    ordered = f"array_sort(transform({labels}, x -> struct(-x.received_bytes as negated, x.quality_label as label)))"
+    share = share_pct("-x.negated", total)
+    return (
+        f"transform({ordered}, x -> struct(x.label as quality_label, -x.negated as received_bytes, "
+        f"round({share}, 2) as share_pct))"
     )
 
 
@@ -82,35 +71,29 @@ def quality_breakdown(per_label: DataFrame, by_date: bool = False) -> DataFrame:
     What is collected per session is its labels, already summed, not its heartbeats.
     """
     keys = session_keys(by_date)
-    grouped = per_label.groupBy(*keys).agg(
-        F.collect_list(F.struct("quality_label", "received_bytes")).alias("labels"),
-        F.sum("received_bytes").alias("session_bytes"),
-    )
-    return with_dominant(
-        grouped.select(*keys, breakdown_entries(F.col("labels"), F.col("session_bytes")).alias("quality_breakdown"))
-    )
+    grouped = per_label.groupBy(*keys).agg(*exprs(
+        "collect_list(struct(quality_label, received_bytes)) as labels", "sum(received_bytes) as session_bytes"
+    ))
+    return with_dominant(grouped, *keys, entries=breakdown_entries("labels", "session_bytes"))
 
 
-def with_dominant(df: DataFrame) -> DataFrame:
-    return df.withColumn("dominant_quality", F.try_element_at("quality_breakdown", F.lit(1))["quality_label"])
+def with_dominant(df: DataFrame, *columns: str, entries: str) -> DataFrame:
+    """The breakdown and the label it starts with."""
+    rows = df.selectExpr(*columns, f"{entries} as quality_breakdown")
+    return rows.selectExpr("*", "try_element_at(quality_breakdown, 1).quality_label as dominant_quality")
 
 
-def breakdown_map(breakdown: Column) -> Column:
+def breakdown_map(breakdown: str) -> str:
     """The breakdown as map<label, struct<received_bytes, share_pct>>."""
-    return F.map_from_entries(
-        F.transform(
-            breakdown,
-            lambda x: F.struct(
-                x["quality_label"].alias("key"),
-                F.struct(x["received_bytes"].alias("received_bytes"), x["share_pct"].alias("share_pct")).alias("value"),
-            ),
-        )
+    return (
+        f"map_from_entries(transform({breakdown}, "
+        "x -> struct(x.quality_label as key, struct(x.received_bytes, x.share_pct) as value)))"
     )
 
 
 def quality_map(per_label: DataFrame, by_date: bool = False) -> DataFrame:
-    return quality_breakdown(per_label, by_date).select(
-        *session_keys(by_date), breakdown_map(F.col("quality_breakdown")).alias("quality_breakdown")
+    return quality_breakdown(per_label, by_date).selectExpr(
+        *session_keys(by_date), f"{breakdown_map('quality_breakdown')} as quality_breakdown"
     )
 
 

@@ -11,11 +11,8 @@ from playbeat.schema import FLAT_COLUMNS
 
 def distinct_labels(metrics: DataFrame) -> DataFrame:
     """All quality labels of the metrics, sorted."""
-    return (
-        metrics.select(F.explode("quality_breakdown.quality_label").alias("quality_label"))
-        .distinct()
-        .orderBy("quality_label")
-    )
+    labels = metrics.selectExpr("explode(quality_breakdown.quality_label) as quality_label")
+    return labels.distinct().orderBy("quality_label")
 
 
 def flatten_metrics(metrics: DataFrame, labels: list[str] | None = None) -> DataFrame:
@@ -27,14 +24,14 @@ def flatten_metrics(metrics: DataFrame, labels: list[str] | None = None) -> Data
     if labels is None:
         labels = [row.quality_label for row in distinct_labels(metrics).toLocalIterator()]
     labels = sorted(labels)
-    by_label = metrics.withColumn("by_label", breakdown_map(F.col("quality_breakdown")))
+    by_label = metrics.selectExpr("*", f"{breakdown_map('quality_breakdown')} as by_label")
 
-    def cell(label: str, field: str, missing) -> Column:
+    def cell(label: str, field: str, missing: int | float) -> Column:
         return F.coalesce(F.try_element_at("by_label", F.lit(label))[field], F.lit(missing))
 
     return by_label.select(
         *FLAT_COLUMNS,
-        *[cell(x, "received_bytes", 0).cast("long").alias(f"quality_bytes_{x}") for x in labels],
+        *[cell(x, "received_bytes", 0).alias(f"quality_bytes_{x}") for x in labels],
         *[cell(x, "share_pct", 0.0).alias(f"quality_pct_{x}") for x in labels],
     )
 
@@ -42,9 +39,9 @@ def flatten_metrics(metrics: DataFrame, labels: list[str] | None = None) -> Data
 def round_flat(flat: DataFrame) -> DataFrame:
     """The flat file's texts and decimals: ratios to 4 places, mean duration to 1, missing as empty."""
     return flat.withColumns({
-        "event_date": F.col("event_date").cast("string"),
-        "buffering_ratio": F.round("buffering_ratio", 4),
-        "avg_buffering_duration_ms": text_or_empty(F.round("avg_buffering_duration_ms", 1)),
-        "dominant_quality": text_or_empty(F.col("dominant_quality")),
-        "p2p_ratio": F.round("p2p_ratio", 4),
+        "event_date": F.expr("cast(event_date as string)"),
+        "buffering_ratio": F.expr("round(buffering_ratio, 4)"),
+        "avg_buffering_duration_ms": F.expr(text_or_empty("round(avg_buffering_duration_ms, 1)")),
+        "dominant_quality": F.expr(text_or_empty("dominant_quality")),
+        "p2p_ratio": F.expr("round(p2p_ratio, 4)"),
     })

@@ -8,39 +8,42 @@ from playbeat.functions import scalars as S
 from playbeat.functions.ordering import ServerOrdered
 from playbeat.schema import HEARTBEAT_INTERVAL_MS, KEYS
 
+SERVER = "timestampInfo.server"
+AGENT = ServerOrdered("agent", "server", "agent")
+DAY = ServerOrdered("day", "server", "cast(unix_date(eventDate) as bigint)", lambda s: f"({s} div {S.DAY_MS})")
+
+SUMS = {
+    "total_buffering_events": "bufferings",
+    "total_buffering_time_ms": "buffering_ms",
+    "total_received_bytes": "source_bytes + p2p_bytes",
+    "p2p_received_bytes": "p2p_bytes",
+}
+
+
+def exprs(*texts: str) -> list[Column]:
+    return [F.expr(t) for t in texts]
+
 
 def session_keys(by_date: bool = False) -> list[str]:
     """A session is (customer, content, client); by_date splits it at midnight."""
     return KEYS + ["eventDate"] if by_date else list(KEYS)
 
 
-def key_columns() -> list[Column]:
-    return [S.session_key(F.col(k)).alias(k) for k in KEYS]
+def key_columns() -> list[str]:
+    return [f"{S.session_key(k)} as {k}" for k in KEYS]
 
 
 def project_flat(df: DataFrame) -> DataFrame:
     """Early projection of the nested heartbeat to the columns the session aggregates need."""
-    server = F.col("timestampInfo.server")
-    total = F.col("totalDistribution")
-    return df.select(
+    return df.selectExpr(
         *key_columns(),
-        S.event_date(F.col("eventDate"), server).alias("eventDate"),
-        S.server_time(server).alias("server"),
-        S.agent_time(F.col("timestampInfo.agent"), server).alias("agent"),
-        S.or_zero(F.col("player.bufferings")).alias("bufferings"),
-        S.or_zero(F.col("player.bufferingTime")).alias("buffering_ms"),
-        S.source_bytes(total).alias("source_bytes"),
-        S.p2p_bytes(total).alias("p2p_bytes"),
-    )
-
-
-def _agent_order() -> ServerOrdered:
-    return ServerOrdered("agent", F.col("server"), F.col("agent"), lambda s: s)
-
-
-def _date_order() -> ServerOrdered:
-    return ServerOrdered(
-        "day", F.col("server"), F.unix_date("eventDate"), lambda s: F.floor(s / F.lit(S.DAY_MS)).cast("long")
+        f"{S.event_date('eventDate', SERVER)} as eventDate",
+        f"{S.server_time(SERVER)} as server",
+        f"{S.agent_time('timestampInfo.agent', SERVER)} as agent",
+        f"{S.or_zero('player.bufferings')} as bufferings",
+        f"{S.or_zero('player.bufferingTime')} as buffering_ms",
+        f"{S.source_bytes('totalDistribution')} as source_bytes",
+        f"{S.p2p_bytes('totalDistribution')} as p2p_bytes",
     )
 
 
@@ -50,48 +53,39 @@ def session_totals(flat: DataFrame, by_date: bool = False) -> DataFrame:
     Every buffer is a primitive, so this is a hash aggregate that combines on the map side: a session
     holding a third of all rows reaches the shuffle as one row per task.
     """
-    agent, day = _agent_order(), _date_order()
-    keyed_day = by_date
-    rows = flat.select(
-        "*", *agent.columns(), *([] if keyed_day else day.columns())
-    )
-    out = rows.groupBy(*session_keys(by_date)).agg(
-        F.min("server").alias("session_start_ms"),
-        F.max("server").alias("session_end_ms"),
-        F.count(F.lit(1)).alias("snapshot_count"),
-        F.sum("bufferings").alias("total_buffering_events"),
-        F.sum("buffering_ms").alias("total_buffering_time_ms"),
-        F.sum(F.col("source_bytes") + F.col("p2p_bytes")).alias("total_received_bytes"),
-        F.sum("p2p_bytes").alias("p2p_received_bytes"),
-        *agent.aggregates(),
-        *([] if keyed_day else day.aggregates(last=False)),
+    totals = (
+        flat.selectExpr("*", *AGENT.columns(), *([] if by_date else DAY.columns()))
+        .groupBy(*session_keys(by_date))
+        .agg(*exprs(
+            "min(server) as session_start_ms",
+            "max(server) as session_end_ms",
+            "count(1) as snapshot_count",
+            *[f"sum({x}) as {name}" for name, x in SUMS.items()],
+            *AGENT.aggregates(),
+            *([] if by_date else DAY.aggregates(last=False)),
+        ))
     )
-    first_day = F.col("eventDate") if keyed_day else F.date_from_unix_date(day.first().cast("int"))
-    return out.select(
+    day = "eventDate" if by_date else f"date_from_unix_date(cast({DAY.first()} as int))"
+    return totals.selectExpr(
         *KEYS,
-        first_day.alias("event_date"),
+        f"{day} as event_date",
         "session_start_ms",
         "session_end_ms",
         "snapshot_count",
-        "total_buffering_events",
-        "total_buffering_time_ms",
-        "total_received_bytes",
-        "p2p_received_bytes",
-        agent.first().alias("first_agent_ms"),
-        agent.last().alias("last_agent_ms"),
+        *SUMS,
+        f"{AGENT.first()} as first_agent_ms",
+        f"{AGENT.last()} as last_agent_ms",
     )
 
 
 def with_session_ratios(totals: DataFrame, interval_ms: int = HEARTBEAT_INTERVAL_MS) -> DataFrame:
     """Watch time and the ratios that follow from session totals."""
-    interval = F.lit(interval_ms).cast("long")
-    span = F.col("last_agent_ms") - F.col("first_agent_ms") + interval
-    events, stalled = F.col("total_buffering_events"), F.col("total_buffering_time_ms")
-    return (
-        totals.withColumn("watch_time_ms", F.greatest(span, interval))
-        .withColumn("buffering_ratio", S.capped_ratio(stalled, F.col("watch_time_ms")))
-        .withColumn("avg_buffering_duration_ms", S.safe_ratio(stalled, events, None))
-        .withColumn("p2p_ratio", S.safe_ratio(F.col("p2p_received_bytes"), F.col("total_received_bytes")))
+    span = f"last_agent_ms - first_agent_ms + {interval_ms}L"
+    return totals.selectExpr("*", f"greatest({span}, {interval_ms}L) as watch_time_ms").selectExpr(
+        "*",
+        f"{S.capped_ratio('total_buffering_time_ms', 'watch_time_ms')} as buffering_ratio",
+        f"{S.safe_ratio('total_buffering_time_ms', 'total_buffering_events', 'null')} as avg_buffering_duration_ms",
+        f"{S.safe_ratio('p2p_received_bytes', 'total_received_bytes')} as p2p_ratio",
     )
 
 
@@ -105,4 +99,4 @@ def buffering_metrics(
 
 def keep_min_snapshots(totals: DataFrame, n: int = 1) -> DataFrame:
     """Drop sessions with fewer than n heartbeats."""
-    return totals if n <= 1 else totals.filter(F.col("snapshot_count") >= n)
+    return totals if n <= 1 else totals.filter(f"snapshot_count >= {n}")

@@ -5,32 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from playbeat.functions.scalars import safe_ratio
+from playbeat.operators.sessions import exprs
 
 
 def fleet_summary(metrics: DataFrame) -> DataFrame:
     """Viewers, viewers that buffered with their share, and the mean buffering ratio."""
-    totals = metrics.agg(
-        F.count(F.lit(1)).alias("viewers"),
-        F.count_if(F.col("total_buffering_events") > 0).alias("viewers_with_buffering"),
-        F.avg("buffering_ratio").alias("avg_buffering_ratio"),
-    )
-    share = safe_ratio(F.col("viewers_with_buffering"), F.col("viewers")) * 100
-    return totals.select(
-        "viewers", "viewers_with_buffering", share.alias("buffering_viewers_pct"), "avg_buffering_ratio"
+    totals = metrics.agg(*exprs(
+        "count(1) as viewers",
+        "count_if(total_buffering_events > 0) as viewers_with_buffering",
+        "avg(buffering_ratio) as avg_buffering_ratio",
+    ))
+    share = safe_ratio("viewers_with_buffering", "viewers")
+    return totals.selectExpr(
+        "viewers", "viewers_with_buffering", f"{share} * 100 as buffering_viewers_pct", "avg_buffering_ratio"
     )
 
 
 def fleet_summary_pct(metrics: DataFrame, places: int = 2) -> DataFrame:
     """Viewers with mean buffering and peer-to-peer ratios in per cent."""
-    return metrics.agg(
-        F.count(F.lit(1)).alias("total_viewers"),
-        F.round(F.avg("buffering_ratio") * 100, places).alias("avg_buf_ratio_pct"),
-        F.round(F.avg("p2p_ratio") * 100, places).alias("avg_p2p_pct"),
-    )
+    return metrics.agg(*exprs(
+        "count(1) as total_viewers",
+        f"round(avg(buffering_ratio) * 100, {places}) as avg_buf_ratio_pct",
+        f"round(avg(p2p_ratio) * 100, {places}) as avg_p2p_pct",
+    ))
 
 
 def dominant_distribution(metrics: DataFrame, include_missing: bool = False) -> DataFrame:
     """Sessions per dominant label, most frequent first; sessions without a label on request."""
-    label = F.col("dominant_quality")
-    rows = metrics if include_missing else metrics.filter(label.isNotNull() & (label != ""))
+    rows = metrics if include_missing else metrics.filter("dominant_quality is not null and dominant_quality <> ''")
     return rows.groupBy("dominant_quality").count().orderBy(F.desc("count"), "dominant_quality")

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
+RULES = {
+    "buffering_ratio_negative": "buffering_ratio < 0",
+    "p2p_ratio_out_of_range": "not p2p_ratio between 0 and 1",
+    "share_pct_out_of_range": "exists(quality_breakdown, q -> not q.share_pct between 0 and 100)",
+}
 
-def violations() -> Column:
+
+def violations() -> str:
     """Names of the rules a metrics row breaks."""
-    share_out = F.exists("quality_breakdown", lambda q: ~q["share_pct"].between(0.0, 100.0))
-    rules = {
-        "buffering_ratio_negative": F.col("buffering_ratio") < 0,
-        "p2p_ratio_out_of_range": ~F.col("p2p_ratio").between(0.0, 1.0),
-        "share_pct_out_of_range": F.coalesce(share_out, F.lit(False)),
-    }
-    return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))
+    checks = [f"if({broken}, '{name}', null)" for name, broken in RULES.items()]
+    return f"array_compact(array({', '.join(checks)}))"
 
 
 def validate_metrics(metrics: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected); the rejected rows carry ``reasons``."""
-    checked = metrics.withColumn("reasons", violations())
-    valid = checked.filter(F.size("reasons") == 0).drop("reasons")
-    return valid, checked.filter(F.size("reasons") > 0)
+    checked = metrics.selectExpr("*", f"{violations()} as reasons")
+    valid = checked.filter("size(reasons) = 0").drop("reasons")
+    return valid, checked.filter("size(reasons) > 0")

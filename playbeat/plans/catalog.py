@@ -27,6 +27,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 FILTER_DATE = "2024-01-10"
+DAY_TEXT = "cast(eventDate as string) as eventDate"
+LABEL_BYTES = M.long_total("quality_breakdown.received_bytes")
+
+SCAN = [
+    *KEYS,
+    DAY_TEXT,
+    "timestampInfo.server as server",
+    "timestampInfo.agent as agent",
+    "cast(player.bufferings as bigint) as bufferings",
+    "cast(player.bufferingTime as bigint) as buffering_ms",
+    "totalDistribution.sourceTraffic.receivedData as source_bytes",
+    "totalDistribution.p2pTraffic.receivedData as p2p_bytes",
+    "cast(coalesce(size(qualityDistribution), 0) as bigint) as labels",
+]
 
 
 def query(fn: Query) -> Query:
@@ -34,33 +48,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _text(*names: str) -> list:
-    return [F.col(n).cast("string").alias(n) for n in names]
-
-
-def _scan_columns() -> list:
-    return [
-        *KEYS,
-        *_text("eventDate"),
-        F.col("timestampInfo.server").alias("server"),
-        F.col("timestampInfo.agent").alias("agent"),
-        F.col("player.bufferings").cast("long").alias("bufferings"),
-        F.col("player.bufferingTime").cast("long").alias("buffering_ms"),
-        F.col("totalDistribution.sourceTraffic.receivedData").alias("source_bytes"),
-        F.col("totalDistribution.p2pTraffic.receivedData").alias("p2p_bytes"),
-        F.coalesce(F.size("qualityDistribution"), F.lit(0)).cast("long").alias("labels"),
-    ]
-
-
 def _flat(metrics: DataFrame) -> DataFrame:
     """Scalar metrics with the date as text, and the size and bytes of the breakdown."""
-    return metrics.select(
+    return metrics.selectExpr(
         *[c for c in FLAT_COLUMNS if c != "event_date"],
-        *_text("event_date"),
-        F.size("quality_breakdown").cast("long").alias("labels"),
-        F.aggregate(
-            "quality_breakdown.received_bytes", F.lit(0).cast("long"), lambda acc, b: acc + b
-        ).alias("label_bytes"),
+        "cast(event_date as string) as event_date",
+        "cast(size(quality_breakdown) as bigint) as labels",
+        f"{LABEL_BYTES} as label_bytes",
     )
 
 
@@ -77,78 +71,65 @@ def _table(spark: SparkSession, sf: str) -> str:
 
 @query
 def scan_heartbeats(spark, sf):
-    return derived.heartbeats(spark, sf).select(*_scan_columns())
+    return derived.heartbeats(spark, sf).selectExpr(*SCAN)
 
 
 @query
 def scan_table(spark, sf):
     """Written as a partitioned table and read back through the table source."""
-    return read_telemetry(spark, _table(spark, sf)).select(*_scan_columns())
+    return read_telemetry(spark, _table(spark, sf)).selectExpr(*SCAN)
 
 
 @query
 def scan_table_date(spark, sf):
-    return read_telemetry(spark, _table(spark, sf), FILTER_DATE).select(*_scan_columns())
+    return read_telemetry(spark, _table(spark, sf), FILTER_DATE).selectExpr(*SCAN)
 
 
 @query
 def filter_date(spark, sf):
-    return on_date(derived.heartbeats(spark, sf), FILTER_DATE).select(*_scan_columns())
+    return on_date(derived.heartbeats(spark, sf), FILTER_DATE).selectExpr(*SCAN)
 
 
 @query
 def decode_payload(spark, sf):
     """JSON payloads back to heartbeats; a cut line keeps its text."""
-    out = decode(derived.payloads(spark, sf))
-    return out.select(*_scan_columns(), F.col("_corrupt_record").isNotNull().alias("corrupt"))
+    return decode(derived.payloads(spark, sf)).selectExpr(*SCAN, "_corrupt_record is not null as corrupt")
 
 
 @query
 def project_traffic(spark, sf):
-    exploded = q.explode_quality(derived.heartbeats(spark, sf))
-    src, p2p = F.col("dist.sourceTraffic"), F.col("dist.p2pTraffic")
-    return exploded.select(
+    return q.explode_quality(derived.heartbeats(spark, sf)).selectExpr(
         *KEYS,
         "quality_label",
-        src["requests"].alias("requests"),
-        src["responses"].alias("responses"),
-        src["requestedData"].alias("requested"),
-        src["receivedData"].alias("source_received"),
-        p2p["receivedData"].alias("p2p_received"),
+        "dist.sourceTraffic.requests as requests",
+        "dist.sourceTraffic.responses as responses",
+        "dist.sourceTraffic.requestedData as requested",
+        "dist.sourceTraffic.receivedData as source_received",
+        "dist.p2pTraffic.receivedData as p2p_received",
     )
 
 
 @query
 def decode_quality_map(spark, sf):
     """(label, bytes) pairs with repeated labels to a map: the last pair wins."""
-    rows = derived.heartbeat_rows(spark, sf)
-    pairs = F.transform(
-        F.coalesce(F.map_entries("qualityDistribution"), F.array()),
-        lambda e: F.struct(e["key"].alias("key"), S.received_bytes(e["value"]).alias("value")),
-    )
-    again = F.transform(pairs, lambda e: F.struct(e["key"].alias("key"), (e["value"] + 1).alias("value")))
-    doubled = rows.withColumn("pairs", F.concat(pairs, again))
-    decoded = doubled.select("event_id", M.pairs_to_map(F.col("pairs")).alias("m"))
-    return decoded.select("event_id", F.explode_outer("m").alias("quality_label", "bytes"))
+    entries = "coalesce(map_entries(qualityDistribution), array())"
+    first = f"transform({entries}, e -> struct(e.key as key, {S.received_bytes('e.value')} as value))"
+    again = f"transform({entries}, e -> struct(e.key as key, {S.received_bytes('e.value')} + 1 as value))"
+    rows = derived.heartbeat_rows(spark, sf).selectExpr("event_id", f"concat({first}, {again}) as pairs")
+    return rows.selectExpr("event_id", f"explode_outer({M.pairs_to_map('pairs')}) as (quality_label, bytes)")
 
 
 @query
 def coerce_types(spark, sf):
-    text = derived.text_heartbeats(spark, sf)
-    typed = coerce(text.drop("event_id"))
-    return typed.select(*_scan_columns())
+    return coerce(derived.text_heartbeats(spark, sf)).selectExpr(*SCAN)
 
 
 @query
 def quarantine_rows(spark, sf):
-    valid, bad = split_malformed(derived.text_heartbeats(spark, sf).drop("event_id"))
-    reason = F.array_join("reasons", ",")
-    return (
-        valid.select(F.lit("").alias("reason"))
-        .unionAll(bad.select(reason.alias("reason")))
-        .groupBy("reason")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    """Rows per quarantine reason; accepted rows have none."""
+    valid, bad = split_malformed(derived.text_heartbeats(spark, sf))
+    reasons = valid.selectExpr("'' as reason").unionAll(bad.selectExpr("array_join(reasons, ',') as reason"))
+    return reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
 # --- scalar projections
@@ -160,70 +141,69 @@ def project_flat(spark, sf):
     return flat.withColumn("eventDate", F.col("eventDate").cast("string"))
 
 
+def _rows(spark, sf, *columns):
+    return derived.heartbeat_rows(spark, sf).selectExpr("event_id", *columns)
+
+
 @query
 def null_defaults(spark, sf):
-    return derived.heartbeat_rows(spark, sf).select(
-        "event_id",
-        S.or_zero(F.col("player.bufferings")).alias("bufferings"),
-        S.or_zero(F.col("player.bufferingTime")).alias("buffering_ms"),
+    return _rows(
+        spark, sf,
+        f"{S.or_zero('player.bufferings')} as bufferings",
+        f"{S.or_zero('player.bufferingTime')} as buffering_ms",
     )
 
 
 @query
 def session_keys(spark, sf):
     """Keys with every 6th customer missing: the missing one is the empty string."""
-    rows = derived.heartbeat_rows(spark, sf)
-    holed = rows.withColumn("customerId", F.when(F.col("event_id") % 6 != 0, F.col("customerId")))
-    return holed.select("event_id", *ses.key_columns())
+    holed = _rows(spark, sf, "if(event_id % 6 <> 0, customerId, null) as customerId", "contentId", "clientId")
+    return holed.selectExpr("event_id", *ses.key_columns())
 
 
 @query
 def agent_fallback(spark, sf):
-    server, agent = F.col("timestampInfo.server"), F.col("timestampInfo.agent")
-    zeroed = F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("long")).otherwise(agent)
-    return derived.heartbeat_rows(spark, sf).select("event_id", S.agent_time(zeroed, server).alias("agent"))
+    """Agent clock with every 3rd one set to 0."""
+    zeroed = "if(event_id % 3 = 0, 0L, timestampInfo.agent)"
+    return _rows(spark, sf, f"{S.agent_time(zeroed, 'timestampInfo.server')} as agent")
 
 
 @query
 def received_bytes(spark, sf):
-    return derived.heartbeat_rows(spark, sf).select(
-        "event_id", S.received_bytes(F.col("totalDistribution")).alias("received_bytes")
-    )
+    return _rows(spark, sf, f"{S.received_bytes('totalDistribution')} as received_bytes")
 
 
 @query
 def safe_ratio(spark, sf):
-    count, ms = F.col("player.bufferings"), F.col("player.bufferingTime")
-    return derived.heartbeat_rows(spark, sf).select(
-        "event_id",
-        S.safe_ratio(ms, count).alias("mean_or_zero"),
-        S.safe_ratio(ms, count, None).alias("mean_or_null"),
-        S.capped_ratio(ms, count * 25_000).alias("capped"),
+    ms, count = "player.bufferingTime", "player.bufferings"
+    return _rows(
+        spark, sf,
+        f"{S.safe_ratio(ms, count)} as mean_or_zero",
+        f"{S.safe_ratio(ms, count, 'null')} as mean_or_null",
+        f"{S.capped_ratio(ms, f'({count} * 25000)')} as capped",
     )
 
 
 @query
 def epoch_to_date(spark, sf):
-    return derived.heartbeat_rows(spark, sf).select(
-        "event_id", S.epoch_date(F.col("timestampInfo.server")).cast("string").alias("day")
-    )
+    return _rows(spark, sf, f"cast({S.epoch_date('timestampInfo.server')} as string) as day")
 
 
 @query
 def quality_label(spark, sf):
-    levels = derived.player_events(spark, sf).filter(F.col("event") == "level")
-    return levels.select("event_id", S.quality_label(F.col("height"), F.col("level")).alias("quality_label"))
+    levels = derived.player_events(spark, sf).filter("event = 'level'")
+    return levels.selectExpr("event_id", f"{S.quality_label('height', 'level')} as quality_label")
 
 
 @query
 def map_totals(spark, sf):
-    m = F.col("qualityDistribution")
-    return derived.heartbeat_rows(spark, sf).select(
-        "event_id",
-        M.map_total(m, "requests").alias("requests"),
-        M.map_total(m, "responses", "double").alias("responses"),
-        M.map_total(m, "requestedData").alias("requested"),
-        M.map_total(m, "receivedData").alias("received"),
+    m = "qualityDistribution"
+    return _rows(
+        spark, sf,
+        f"{M.map_total(m, 'requests')} as requests",
+        f"{M.map_total(m, 'responses', 'double')} as responses",
+        f"{M.map_total(m, 'requestedData')} as requested",
+        f"{M.map_total(m, 'receivedData')} as received",
     )
 
 
@@ -247,15 +227,14 @@ def buffering_by_date(spark, sf):
 
 
 def _sessions(spark, sf, *columns):
-    out = ses.buffering_metrics(derived.heartbeats(spark, sf))
-    return out.select(*KEYS, *columns)
+    return ses.buffering_metrics(derived.heartbeats(spark, sf)).selectExpr(*KEYS, *columns)
 
 
 @query
 def session_span(spark, sf):
     return _sessions(
         spark, sf, "session_start_ms", "session_end_ms", "snapshot_count", "first_agent_ms", "last_agent_ms",
-        *_text("event_date"),
+        "cast(event_date as string) as event_date",
     )
 
 
@@ -297,16 +276,16 @@ def sessions_sorted(spark, sf):
 @query
 def validate_metrics(spark, sf):
     """Sessions of every 3rd viewer get negative peer bytes: they are set aside with a reason."""
-    beats = derived.heartbeats(spark, sf)
-    hit = F.substring("clientId", 2, 20).cast("long") % 3 == 0
-    p2p = F.when(hit, -F.col("totalDistribution.p2pTraffic.receivedData") - 1).otherwise(
-        F.col("totalDistribution.p2pTraffic.receivedData")
+    p2p = F.expr(
+        "if(cast(substring(clientId, 2) as bigint) % 3 = 0, -totalDistribution.p2pTraffic.receivedData - 1, "
+        "totalDistribution.p2pTraffic.receivedData)"
     )
     total = F.col("totalDistribution").withField("p2pTraffic.receivedData", p2p)
-    valid, rejected = validate(compute_metrics(beats.withColumn("totalDistribution", total)))
+    beats = derived.heartbeats(spark, sf).withColumn("totalDistribution", total)
+    valid, rejected = validate(compute_metrics(beats))
     columns = ["customer_id", "content_id", "client_id", "total_received_bytes", "p2p_received_bytes", "p2p_ratio"]
-    return valid.select(*columns, F.lit("").alias("reasons")).unionAll(
-        rejected.select(*columns, F.array_join("reasons", ",").alias("reasons"))
+    return valid.selectExpr(*columns, "'' as reasons").unionAll(
+        rejected.selectExpr(*columns, "array_join(reasons, ',') as reasons")
     )
 
 
@@ -319,30 +298,31 @@ def _per_label(spark, sf):
 
 def _entries(df: DataFrame) -> DataFrame:
     """Breakdown entries as rows with their position; the share is unrounded."""
-    total = F.aggregate("quality_breakdown.received_bytes", F.lit(0).cast("long"), lambda acc, b: acc + b)
-    rows = df.select(
-        *KEYS, "dominant_quality", total.alias("total"), F.posexplode("quality_breakdown").alias("pos", "entry")
+    rows = df.selectExpr(
+        *KEYS, "dominant_quality", f"{LABEL_BYTES} as total", "posexplode(quality_breakdown) as (pos, entry)"
     )
-    return rows.select(
+    return rows.selectExpr(
         *KEYS,
         "dominant_quality",
-        (F.col("pos") + 1).cast("long").alias("position"),
-        F.col("entry.quality_label").alias("quality_label"),
-        F.col("entry.received_bytes").alias("received_bytes"),
-        q.share_pct(F.col("entry.received_bytes"), F.col("total")).alias("share"),
+        "cast(pos + 1 as bigint) as position",
+        "entry.quality_label as quality_label",
+        "entry.received_bytes as received_bytes",
+        f"{q.share_pct('entry.received_bytes', 'total')} as share",
     )
 
 
+def _exploded(df: DataFrame) -> DataFrame:
+    return df.selectExpr(*KEYS, DAY_TEXT, "quality_label", f"{S.received_bytes('dist')} as bytes")
+
+
 @query
 def explode_quality(spark, sf):
-    rows = q.explode_quality(derived.heartbeats(spark, sf))
-    return rows.select(*KEYS, *_text("eventDate"), "quality_label", S.received_bytes(F.col("dist")).alias("bytes"))
+    return _exploded(q.explode_quality(derived.heartbeats(spark, sf)))
 
 
 @query
 def explode_quality_outer(spark, sf):
-    rows = q.explode_quality(derived.heartbeats(spark, sf), outer=True)
-    return rows.select(*KEYS, *_text("eventDate"), "quality_label", S.received_bytes(F.col("dist")).alias("bytes"))
+    return _exploded(q.explode_quality(derived.heartbeats(spark, sf), outer=True))
 
 
 @query
@@ -377,8 +357,8 @@ def quality_metrics(spark, sf):
 
 
 def _map_rows(df: DataFrame, *extra: str) -> DataFrame:
-    rows = df.select(*KEYS, *extra, F.explode("quality_breakdown").alias("quality_label", "v"))
-    return rows.select(*KEYS, *extra, "quality_label", F.col("v.received_bytes").alias("received_bytes"))
+    rows = df.selectExpr(*KEYS, *extra, "explode(quality_breakdown) as (quality_label, v)")
+    return rows.selectExpr(*KEYS, *extra, "quality_label", "v.received_bytes as received_bytes")
 
 
 @query
@@ -398,11 +378,12 @@ def join_dominant_breakdown(spark, sf):
 def flat_rows(spark, sf):
     """Flat form with the observed labels' byte columns; shares unrounded elsewhere."""
     flat = reshape.flatten_metrics(compute_metrics(derived.heartbeats(spark, sf)), OBSERVED_LABELS)
-    kept = [c for c in flat.columns if not c.startswith("quality_pct_")]
-    return flat.select(*kept).withColumns({
-        "event_date": F.col("event_date").cast("string"),
-        "dominant_quality": S.text_or_empty(F.col("dominant_quality")),
-    })
+    text = {
+        "event_date": "cast(event_date as string) as event_date",
+        "dominant_quality": f"{S.text_or_empty('dominant_quality')} as dominant_quality",
+    }
+    return flat.selectExpr(*[text.get(c, c) if c in FLAT_COLUMNS else f"`{c}`" for c in flat.columns
+                             if not c.startswith("quality_pct_")])
 
 
 @query
@@ -482,29 +463,28 @@ def window_quality_stats(spark, sf):
     return pe.window_quality_stats(derived.player_events(spark, sf))
 
 
-def _beat_columns() -> list:
-    return [
-        *KEYS,
-        F.col("timestampInfo.agent").alias("agent"),
-        *_text("eventDate"),
-        F.col("player.bufferings").cast("long").alias("bufferings"),
-        F.col("player.bufferingTime").cast("long").alias("buffering_ms"),
-        F.col("totalDistribution.sourceTraffic.requests").alias("requests"),
-        F.col("totalDistribution.sourceTraffic.receivedData").alias("received"),
-        F.size("qualityDistribution").cast("long").alias("labels"),
-    ]
+BEAT = [
+    *KEYS,
+    "timestampInfo.agent as agent",
+    DAY_TEXT,
+    "cast(player.bufferings as bigint) as bufferings",
+    "cast(player.bufferingTime as bigint) as buffering_ms",
+    "totalDistribution.sourceTraffic.requests as requests",
+    "totalDistribution.sourceTraffic.receivedData as received",
+    "cast(size(qualityDistribution) as bigint) as labels",
+]
 
 
 @query
 def build_heartbeats(spark, sf):
     beats = pe.build_heartbeats(derived.player_events(spark, sf), quiet_windows=False)
-    return beats.select(*_beat_columns())
+    return beats.selectExpr(*BEAT)
 
 
 @query
 def densify_windows(spark, sf):
     """With the heartbeats of quiet windows."""
-    return pe.build_heartbeats(derived.player_events(spark, sf)).select(*_beat_columns())
+    return pe.build_heartbeats(derived.player_events(spark, sf)).selectExpr(*BEAT)
 
 
 @query
@@ -522,7 +502,7 @@ def dedup_heartbeats(spark, sf):
     beats = derived.heartbeats(spark, sf)
     info = F.col("timestampInfo")
     copy = beats.withColumn("timestampInfo", info.withField("agent", info["agent"] + 1))
-    return dedup(beats.unionByName(copy)).select(*_scan_columns())
+    return dedup(beats.unionByName(copy)).selectExpr(*SCAN)
 
 
 @query

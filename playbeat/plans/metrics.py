@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from playbeat.operators.quality import quality_metrics
-from playbeat.operators.sessions import buffering_metrics
+from playbeat.operators.sessions import buffering_metrics, session_keys
 from playbeat.operators.validate import validate_metrics
-from playbeat.schema import HEARTBEAT_INTERVAL_MS, KEYS, METRIC_COLUMNS, QUALITY_ENTRY
+from playbeat.schema import HEARTBEAT_INTERVAL_MS, METRIC_COLUMNS, QUALITY_ENTRY
+
+RENAMED = {"customer_id": "customerId", "content_id": "contentId", "client_id": "clientId"}
 
 
 def assemble(buffering: DataFrame, quality: DataFrame, by_date: bool = False) -> DataFrame:
@@ -18,17 +20,14 @@ def assemble(buffering: DataFrame, quality: DataFrame, by_date: bool = False) ->
     in the projection.
     """
     if by_date:
-        quality = quality.withColumnRenamed("eventDate", "event_date")
-        on = KEYS + ["event_date"]
-    else:
-        on = KEYS
-    joined = buffering.join(quality.hint("merge"), on=on, how="left")
-    empty = F.array().cast(f"array<{QUALITY_ENTRY.simpleString()}>")
-    return (
-        joined.withColumn("quality_breakdown", F.coalesce("quality_breakdown", empty))
-        .withColumnsRenamed({"customerId": "customer_id", "contentId": "content_id", "clientId": "client_id"})
-        .select(*METRIC_COLUMNS)
-    )
+        buffering = buffering.withColumnRenamed("event_date", "eventDate")
+    joined = buffering.join(quality.hint("merge"), on=session_keys(by_date), how="left")
+    special = {
+        **RENAMED,
+        "event_date": "eventDate" if by_date else "event_date",
+        "quality_breakdown": f"coalesce(quality_breakdown, cast(array() as array<{QUALITY_ENTRY.simpleString()}>))",
+    }
+    return joined.selectExpr(*[f"{special.get(c, c)} as {c}" for c in METRIC_COLUMNS])
 
 
 def compute_metrics(

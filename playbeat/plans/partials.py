@@ -9,47 +9,46 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
-from playbeat.functions import scalars as S
+from playbeat.functions.maps import long_total
 from playbeat.functions.ordering import ServerOrdered
 from playbeat.operators.quality import breakdown_entries, quality_bytes, with_dominant
 from playbeat.operators.sessions import (
+    DAY,
+    SUMS,
+    exprs,
     keep_min_snapshots,
     project_flat,
     session_keys,
     session_totals,
     with_session_ratios,
 )
+from playbeat.plans.metrics import RENAMED
 from playbeat.schema import HEARTBEAT_INTERVAL_MS, KEYS, METRIC_COLUMNS
 
-SUMS = [
-    "snapshot_count",
-    "total_buffering_events",
-    "total_buffering_time_ms",
-    "total_received_bytes",
-    "p2p_received_bytes",
-]
+ADDED = ["snapshot_count", *SUMS]
 SPAN = ["session_start_ms", "first_agent_ms", "session_end_ms", "last_agent_ms"]
 
 PARTIAL = T.StructType(
     [T.StructField(k, T.StringType()) for k in KEYS]
     + [T.StructField("eventDate", T.DateType())]
-    + [T.StructField(c, T.LongType()) for c in SUMS + SPAN]
+    + [T.StructField(c, T.LongType()) for c in ADDED + SPAN]
     + [T.StructField("quality", T.MapType(T.StringType(), T.LongType()))]
 )
 
-
-def _label_maps(per_label: DataFrame, keys: list[str]) -> DataFrame:
-    return per_label.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("quality_label", "received_bytes"))).alias("quality")
-    )
+HEAD = ServerOrdered("head", "session_start_ms", "first_agent_ms")
+TAIL = ServerOrdered("tail", "session_end_ms", "last_agent_ms")
+FIRST_DAY = ServerOrdered("day", "session_start_ms", DAY.value, DAY.base)
 
 
 def _with_quality(totals: DataFrame, per_label: DataFrame, keys: list[str]) -> DataFrame:
-    joined = totals.join(_label_maps(per_label, keys).hint("merge"), on=keys, how="left")
-    empty = F.expr("map()").cast("map<string,bigint>")
-    return joined.withColumn("quality", F.coalesce("quality", empty)).select(*PARTIAL.fieldNames())
+    maps = per_label.groupBy(*keys).agg(
+        *exprs("map_from_entries(collect_list(struct(quality_label, received_bytes))) as quality")
+    )
+    joined = totals.join(maps.hint("merge"), on=keys, how="left")
+    empty = "cast(map() as map<string,bigint>)"
+    return joined.selectExpr(*PARTIAL.fieldNames()[:-1], f"coalesce(quality, {empty}) as quality")
 
 
 def session_partials(df: DataFrame) -> DataFrame:
@@ -63,36 +62,30 @@ def merge_partials(*parts: DataFrame, by_date: bool = True) -> DataFrame:
     """Merge partial states to one row per session; without ``by_date`` dates of a session merge too."""
     rows = reduce(DataFrame.unionByName, parts)
     keys = session_keys(by_date)
-    head = ServerOrdered("head", F.col("session_start_ms"), F.col("first_agent_ms"), lambda s: s)
-    tail = ServerOrdered("tail", F.col("session_end_ms"), F.col("last_agent_ms"), lambda s: s)
-    day = ServerOrdered(
-        "day",
-        F.col("session_start_ms"),
-        F.unix_date("eventDate"),
-        lambda s: F.floor(s / F.lit(S.DAY_MS)).cast("long"),
-    )
     totals = (
-        rows.select("*", *head.columns(), *tail.columns(), *([] if by_date else day.columns()))
+        rows.selectExpr("*", *HEAD.columns(), *TAIL.columns(), *([] if by_date else FIRST_DAY.columns()))
         .groupBy(*keys)
-        .agg(
-            *[F.sum(c).alias(c) for c in SUMS],
-            F.min("session_start_ms").alias("session_start_ms"),
-            F.max("session_end_ms").alias("session_end_ms"),
-            *head.aggregates(last=False),
-            *tail.aggregates(first=False),
-            *([] if by_date else day.aggregates(last=False)),
-        )
-        .withColumn("first_agent_ms", head.first())
-        .withColumn("last_agent_ms", tail.last())
+        .agg(*exprs(
+            *[f"sum({c}) as {c}" for c in ADDED],
+            "min(session_start_ms) as session_start_ms",
+            "max(session_end_ms) as session_end_ms",
+            *HEAD.aggregates(last=False),
+            *TAIL.aggregates(first=False),
+            *([] if by_date else FIRST_DAY.aggregates(last=False)),
+        ))
     )
-    if not by_date:
-        totals = totals.withColumn("eventDate", F.date_from_unix_date(day.first().cast("int")))
-    per_label = (
-        rows.select(*keys, F.explode("quality").alias("quality_label", "b"))
-        .groupBy(*keys, "quality_label")
-        .agg(F.sum("b").alias("received_bytes"))
+    day = "eventDate" if by_date else f"date_from_unix_date(cast({FIRST_DAY.first()} as int)) as eventDate"
+    totals = totals.selectExpr(
+        *KEYS,
+        day,
+        *ADDED,
+        "session_start_ms",
+        f"{HEAD.first()} as first_agent_ms",
+        "session_end_ms",
+        f"{TAIL.last()} as last_agent_ms",
     )
-    return _with_quality(totals, per_label, keys)
+    labels = rows.selectExpr(*keys, "explode(quality) as (quality_label, b)").groupBy(*keys, "quality_label")
+    return _with_quality(totals, labels.agg(*exprs("sum(b) as received_bytes")), keys)
 
 
 def finalize(
@@ -100,11 +93,8 @@ def finalize(
 ) -> DataFrame:
     """Session metrics from merged partial state; row-wise, no shuffle."""
     rows = with_session_ratios(keep_min_snapshots(partials, min_snapshots), heartbeat_interval_ms)
-    labels = F.transform(
-        F.map_entries("quality"),
-        lambda e: F.struct(e["key"].alias("quality_label"), e["value"].alias("received_bytes")),
-    )
-    total = F.aggregate(F.map_values("quality"), F.lit(0).cast("long"), lambda acc, b: acc + b)
-    rows = with_dominant(rows.withColumn("quality_breakdown", breakdown_entries(labels, total)))
-    names = {"customerId": "customer_id", "contentId": "content_id", "clientId": "client_id", "eventDate": "event_date"}
-    return rows.withColumnsRenamed(names).select(*METRIC_COLUMNS)
+    labels = "transform(map_entries(quality), e -> struct(e.key as quality_label, e.value as received_bytes))"
+    entries = breakdown_entries(labels, long_total("map_values(quality)"))
+    rows = with_dominant(rows, "*", entries=entries)
+    names = {**RENAMED, "event_date": "eventDate"}
+    return rows.selectExpr(*[f"{names.get(c, c)} as {c}" for c in METRIC_COLUMNS])

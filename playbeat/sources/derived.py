@@ -2,109 +2,81 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from playbeat.schema import DISTRIBUTION, HEARTBEAT_TEXT
+from playbeat.schema import DISTRIBUTION, HEARTBEAT, HEARTBEAT_TEXT
 
 BASE_MS = 1_704_067_200_000  # 2024-01-01 UTC
 
-# Event type -> label, k % 4 -> label and height.
-LABEL_BY_TYPE = {"view": "1080p", "click": "720p", "purchase": "360p", "signup": "270p"}
-LABELS_BY_K = ["1080p", "720p", "360p", "270p"]
-HEIGHTS_BY_K = [1080, 720, 360, 270]
-PLAYER_EVENT_BY_TYPE = {
-    "click": "waiting", "error": "stalled", "view": "playing", "signup": "level", "purchase": "frag",
-}
+# Event type -> label, k % 4 -> label and height, event type -> player event.
+LABEL_A = (
+    "case event_type when 'view' then '1080p' when 'click' then '720p' "
+    "when 'purchase' then '360p' when 'signup' then '270p' end"
+)
+LABEL_B = "element_at(array('1080p', '720p', '360p', '270p'), cast(k % 4 + 1 as int))"
+HEIGHT = "element_at(array(1080, 720, 360, 270), cast(k % 4 + 1 as int))"
+PLAYER_EVENT_OF_TYPE = (
+    "case event_type when 'click' then 'waiting' when 'error' then 'stalled' when 'view' then 'playing' "
+    "when 'signup' then 'level' when 'purchase' then 'frag' end"
+)
+
+VIEWER = ["concat('c', user_id % 3) as customerId", "concat('v', user_id) as clientId"]
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table with integer microseconds and the integer k of its JSON properties."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
         "event_id",
         "user_id",
         "event_type",
         "value",
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
-        F.get_json_object("props", "$.k").cast("long").alias("k"),
+        "cast(ts as timestamp) as ts",
+        "unix_micros(cast(ts as timestamp)) as us",
+        "cast(get_json_object(props, '$.k') as bigint) as k",
     )
 
 
-def _lookup(key: Column, values: dict) -> Column:
-    out = F.lit(None)
-    for name, value in values.items():
-        out = F.when(key == name, F.lit(value)).otherwise(out)
-    return out
-
+def _traffic(received: str) -> str:
+    return f"struct(1L as requests, 1D as responses, {received} as requestedData, {received} as receivedData)"
 
-def _nth(index: Column, values: list) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
-
-def _traffic(received: Column) -> Column:
-    return F.struct(
-        F.lit(1).cast("long").alias("requests"),
-        F.lit(1.0).alias("responses"),
-        received.alias("requestedData"),
-        received.alias("receivedData"),
-    )
-
-
-def _dist(source: Column, p2p: Column | None) -> Column:
-    leaf = DISTRIBUTION["p2pTraffic"].dataType
-    return F.struct(
-        _traffic(source).alias("sourceTraffic"),
-        (F.lit(None).cast(leaf) if p2p is None else _traffic(p2p)).alias("p2pTraffic"),
-    )
+def _dist(source: str, p2p: str | None) -> str:
+    none = f"cast(null as {DISTRIBUTION['p2pTraffic'].dataType.simpleString()})"
+    return f"struct({_traffic(source)} as sourceTraffic, {_traffic(p2p) if p2p else none} as p2pTraffic)"
 
 
-def _scaled(factor: int) -> Column:
-    return F.round(F.col("value") * F.lit(factor)).cast("long")
+def _scaled(factor: int) -> str:
+    return f"cast(round(value * {factor}) as bigint)"
 
 
 def heartbeat_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Heartbeats with the event id and the two label slots they were built from."""
-    e = events(spark, sf_dir)
-    is_error = F.col("event_type") == "error"
-    gap = F.col("event_id") % 11 == 0
-    zero = F.lit(0).cast("long")
-    server = F.lit(BASE_MS) + F.expr(f"(us - {BASE_MS}000L) div 500000L")
-    p2p = F.when(F.col("event_id") % 5 == 0, _scaled(300)).otherwise(zero)
-    e = e.select(
-        "*",
-        server.alias("server"),
-        p2p.alias("p2p"),
-        _scaled(1000).alias("source"),
-        _lookup(F.col("event_type"), LABEL_BY_TYPE).alias("label_a"),
-        _nth(F.col("k") % 4, LABELS_BY_K).alias("label_b"),
+    """Heartbeats with the event id they were built from."""
+    slots = (
+        f"filter(array(struct(label_a as key, {_dist('source', 'p2p')} as value), "
+        f"struct(if(label_b <> label_a, label_b, null) as key, {_dist('k * 1000', None)} as value)), "
+        "slot -> slot.key is not null)"
     )
-    slots = F.filter(
-        F.array(
-            F.struct(F.col("label_a").alias("key"), _dist(F.col("source"), F.col("p2p")).alias("value")),
-            F.struct(
-                F.when(F.col("label_b") != F.col("label_a"), F.col("label_b")).alias("key"),
-                _dist(F.col("k") * 1000, None).alias("value"),
-            ),
-        ),
-        lambda slot: slot["key"].isNotNull(),
+    e = events(spark, sf_dir).selectExpr(
+        "*",
+        f"{BASE_MS} + (us - {BASE_MS}000) div 500000L as server",
+        f"if(event_id % 5 = 0, {_scaled(300)}, 0L) as p2p",
+        f"{_scaled(1000)} as source",
+        f"{_scaled(1300)} as total",
+        f"{LABEL_A} as label_a",
+        f"{LABEL_B} as label_b",
     )
-    return e.select(
+    return e.selectExpr(
         "event_id",
-        F.concat(F.lit("c"), (F.col("user_id") % 3).cast("string")).alias("customerId"),
-        F.concat(F.lit("w"), F.expr("cast(dayofmonth(ts) div 7 as string)")).alias("contentId"),
-        F.concat(F.lit("v"), F.col("user_id").cast("string")).alias("clientId"),
-        F.struct(
-            F.col("server").alias("server"),
-            F.when(F.col("event_id") % 17 != 0, F.col("server") - F.col("event_id") % 500).alias("agent"),
-        ).alias("timestampInfo"),
-        F.struct(
-            F.when(is_error, 1 + F.col("event_id") % 3).when(~gap, zero).cast("int").alias("bufferings"),
-            F.when(is_error, F.col("source")).when(~gap, zero).cast("int").alias("bufferingTime"),
-        ).alias("player"),
-        _dist(_scaled(1300), F.col("p2p")).alias("totalDistribution"),
-        F.when(F.col("label_a").isNotNull(), F.map_from_entries(slots)).alias("qualityDistribution"),
-        F.col("ts").cast("date").alias("eventDate"),
-    )
+        *VIEWER,
+        "concat('w', dayofmonth(ts) div 7) as contentId",
+        "struct(server, if(event_id % 17 <> 0, server - event_id % 500, null) as agent) as timestampInfo",
+        "struct(cast(case when event_type = 'error' then 1 + event_id % 3 when event_id % 11 <> 0 then 0 end as int) "
+        "as bufferings, cast(case when event_type = 'error' then source when event_id % 11 <> 0 then 0 end as int) "
+        "as bufferingTime) as player",
+        f"{_dist('total', 'p2p')} as totalDistribution",
+        f"if(label_a is not null, map_from_entries({slots}), null) as qualityDistribution",
+        "cast(ts as date) as eventDate",
+    ).select("event_id", *HEARTBEAT.fieldNames())
 
 
 def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,23 +85,18 @@ def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def player_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw player events; a ``frag`` row is a fragment request and its bytes in one."""
-    kind = _lookup(F.col("event_type"), PLAYER_EVENT_BY_TYPE)
-    is_level, is_frag = F.col("event") == "level", F.col("event") == "frag"
-    return (
-        events(spark, sf_dir)
-        .withColumn("event", kind)
-        .select(
-            F.concat(F.lit("c"), (F.col("user_id") % 3).cast("string")).alias("customerId"),
-            F.lit("w0").alias("contentId"),
-            F.concat(F.lit("v"), F.col("user_id").cast("string")).alias("clientId"),
-            (F.lit(BASE_MS) + F.expr(f"(us - {BASE_MS}000L) div 5000000L")).alias("t"),
-            "event_id",
-            "event",
-            F.when(is_level & (F.col("k") % 10 != 9), _nth(F.col("k") % 4, HEIGHTS_BY_K)).cast("int").alias("height"),
-            F.when(is_level, F.col("k") % 4).cast("int").alias("level"),
-            F.when(is_frag, _scaled(1000)).alias("requested"),
-            F.when(is_frag, _scaled(1000)).alias("received"),
-        )
+    frag_bytes = f"if(event = 'frag', {_scaled(1000)}, null)"
+    return events(spark, sf_dir).selectExpr("*", f"{PLAYER_EVENT_OF_TYPE} as event").selectExpr(
+        VIEWER[0],
+        "'w0' as contentId",
+        VIEWER[1],
+        f"{BASE_MS} + (us - {BASE_MS}000) div 5000000L as t",
+        "event_id",
+        "event",
+        f"if(event = 'level' and k % 10 <> 9, {HEIGHT}, null) as height",
+        "cast(if(event = 'level', k % 4, null) as int) as level",
+        f"{frag_bytes} as requested",
+        f"{frag_bytes} as received",
     )
 
 
@@ -138,42 +105,34 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every 13th line is cut short, as a lost connection leaves it.
     """
-    rows = heartbeat_rows(spark, sf_dir)
-    body = F.to_json(
-        F.struct(
-            *[c for c in rows.columns if c not in ("event_id", "timestampInfo")],
-            F.struct(F.col("timestampInfo.agent").alias("agent")).alias("timestampInfo"),
-        )
-    )
-    return rows.select(
+    sent = [c for c in HEARTBEAT.fieldNames() if c != "timestampInfo"]
+    body = f"to_json(struct({', '.join(sent)}, struct(timestampInfo.agent as agent) as timestampInfo))"
+    return heartbeat_rows(spark, sf_dir).selectExpr(
         "event_id",
-        F.when(F.col("event_id") % 13 == 0, F.left(body, F.lit(40))).otherwise(body).alias("value"),
-        F.timestamp_millis(F.col("timestampInfo.server")).alias("timestamp"),
+        f"if(event_id % 13 = 0, left({body}, 40), {body}) as value",
+        "timestamp_millis(timestampInfo.server) as timestamp",
     )
 
 
 def text_heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Heartbeats with text leaves; some counters hold text that is not a whole number."""
-    text = heartbeat_rows(spark, sf_dir)
-    typed = {f.name: f.dataType for f in HEARTBEAT_TEXT.fields}
-    k = F.col("event_id")
     counter = (
-        F.when(k % 19 == 0, F.lit("x"))
-        .when(k % 23 == 0, F.lit("1.5"))
-        .when(k % 29 == 0, F.lit("1.0"))
-        .otherwise(F.col("player.bufferings").cast("string"))
+        "case when event_id % 19 = 0 then 'x' when event_id % 23 = 0 then '1.5' when event_id % 29 = 0 then '1.0' "
+        "else cast(player.bufferings as string) end"
     )
-    player = F.struct(counter.alias("bufferings"), F.col("player.bufferingTime").cast("string").alias("bufferingTime"))
-    return text.withColumn("player", player).select(
-        "event_id", *[F.col(n).cast(t).alias(n) for n, t in typed.items()]
+    player = f"struct({counter} as bufferings, cast(player.bufferingTime as string) as bufferingTime) as player"
+    text = heartbeat_rows(spark, sf_dir).selectExpr(
+        *[player if c == "player" else c for c in ["event_id", *HEARTBEAT.fieldNames()]]
     )
+    typed = [f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in HEARTBEAT_TEXT.fields]
+    return text.selectExpr("event_id", *typed)
 
 
 def fragment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Player events with fragment requests and loads as rows of their own; every 7th request fails."""
     rows = player_events(spark, sf_dir)
-    loaded = F.when(F.col("event_id") % 7 != 0, F.lit("frag_loaded"))
-    kinds = F.when(
-        F.col("event") == "frag", F.array_compact(F.array(F.lit("frag_loading"), loaded))
-    ).otherwise(F.array("event"))
-    return rows.withColumn("event", F.explode(kinds))
+    kinds = (
+        "if(event = 'frag', array_compact(array('frag_loading', if(event_id % 7 <> 0, 'frag_loaded', null))), "
+        "array(event))"
+    )
+    return rows.selectExpr(*[f"explode({kinds}) as event" if c == "event" else c for c in rows.columns])

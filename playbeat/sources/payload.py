@@ -20,15 +20,12 @@ def decode_payload(raw: DataFrame) -> DataFrame:
     decoded = raw.select(
         body.alias("p"), F.unix_millis(F.col("timestamp").cast("timestamp")).alias("received")
     )
-    fields = []
-    for name in HEARTBEAT.fieldNames():
-        c = F.col(f"p.{name}")
-        if name == "timestampInfo":
-            c = F.struct(F.col("received").alias("server"), c["agent"].alias("agent"))
-        elif name == "eventDate":
-            c = S.event_date(c, F.col("received"))
-        fields.append(c.alias(name))
-    return decoded.select(*fields, F.col(f"p.{CORRUPT}").alias(CORRUPT))
+    special = {
+        "timestampInfo": "struct(received as server, p.timestampInfo.agent as agent)",
+        "eventDate": S.event_date("p.eventDate", "received"),
+    }
+    fields = [f"{special.get(name, f'p.{name}')} as {name}" for name in HEARTBEAT.fieldNames()]
+    return decoded.selectExpr(*fields, f"p.{CORRUPT} as {CORRUPT}")
 
 
 def split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

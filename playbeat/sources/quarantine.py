@@ -2,66 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 from playbeat.functions import scalars as S
 from playbeat.schema import HEARTBEAT
 
 
-def _coerce_leaf(c: Column, kind: T.DataType) -> Column:
+def _coerce_leaf(x: str, kind: T.DataType) -> str:
     if isinstance(kind, T.LongType):
-        return S.strict_long(c)
+        return S.strict_long(x)
     if isinstance(kind, T.IntegerType):
-        return S.strict_long(c).try_cast("int")
-    return c if isinstance(kind, T.StringType) else c.try_cast(kind.simpleString())
+        return f"try_cast({S.strict_long(x)} as int)"
+    return x if isinstance(kind, T.StringType) else f"try_cast({x} as {kind.simpleString()})"
 
 
-def _coerce(c: Column, kind: T.DataType) -> Column:
+def _coerce(x: str, kind: T.DataType) -> str:
     """The value in its declared type, null where text does not fit; null structs stay null."""
     if isinstance(kind, T.StructType):
-        inner = F.struct(*[_coerce(c[f.name], f.dataType).alias(f.name) for f in kind.fields])
-        return F.when(c.isNotNull(), inner)
+        inner = ", ".join(f"{_coerce(f'{x}.{f.name}', f.dataType)} as {f.name}" for f in kind.fields)
+        return f"if({x} is null, null, struct({inner}))"
     if isinstance(kind, T.MapType):
-        return F.transform_values(c, lambda _, v: _coerce(v, kind.valueType))
-    return _coerce_leaf(c, kind)
+        return f"transform_values({x}, (k, v) -> {_coerce('v', kind.valueType)})"
+    return _coerce_leaf(x, kind)
 
 
-def _bad(c: Column, kind: T.DataType) -> Column:
+def _bad(x: str, kind: T.DataType) -> str:
     """True where some leaf holds text that its type cannot take."""
     if isinstance(kind, T.StructType):
-        out = F.lit(False)
-        for f in kind.fields:
-            out = out | _bad(c[f.name], f.dataType)
-        return out
+        return "(" + " or ".join(_bad(f"{x}.{f.name}", f.dataType) for f in kind.fields) + ")"
     if isinstance(kind, T.MapType):
-        return F.coalesce(F.exists(F.map_values(c), lambda v: _bad(v, kind.valueType)), F.lit(False))
+        return f"coalesce(exists(map_values({x}), v -> {_bad('v', kind.valueType)}), false)"
     if isinstance(kind, T.StringType):
-        return F.lit(False)
-    return c.isNotNull() & _coerce_leaf(c, kind).isNull()
+        return "false"
+    return f"({x} is not null and {_coerce_leaf(x, kind)} is null)"
 
 
-def _leaf_paths(c: Column, kind: T.DataType, path: str) -> list[tuple[str, Column, T.DataType]]:
+def _leaf_paths(path: str, kind: T.DataType) -> list[tuple[str, T.DataType]]:
     if isinstance(kind, T.StructType):
-        return [p for f in kind.fields for p in _leaf_paths(c[f.name], f.dataType, f"{path}.{f.name}")]
-    return [(path, c, kind)]
+        return [leaf for f in kind.fields for leaf in _leaf_paths(f"{path}.{f.name}", f.dataType)]
+    return [(path, kind)]
 
 
-def malformed_fields() -> Column:
+def malformed_fields() -> str:
     """Names of the fields of a text-leaf heartbeat that do not fit the heartbeat schema."""
-    leaves = [p for f in HEARTBEAT.fields for p in _leaf_paths(F.col(f.name), f.dataType, f.name)]
+    leaves = [leaf for f in HEARTBEAT.fields for leaf in _leaf_paths(f.name, f.dataType)]
     checks = [
-        F.when(_bad(c, kind), F.lit(path)) for path, c, kind in leaves if not isinstance(kind, T.StringType)
+        f"if({_bad(path, kind)}, '{path}', null)" for path, kind in leaves if not isinstance(kind, T.StringType)
     ]
-    return F.array_compact(F.array(*checks))
+    return f"array_compact(array({', '.join(checks)}))"
 
 
 def coerce_types(text: DataFrame) -> DataFrame:
     """Heartbeats with text leaves to the typed schema; text that does not fit becomes null."""
-    return text.select(*[_coerce(F.col(f.name), f.dataType).alias(f.name) for f in HEARTBEAT.fields])
+    return text.selectExpr(*[f"{_coerce(f.name, f.dataType)} as {f.name}" for f in HEARTBEAT.fields])
 
 
 def split_malformed(text: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid typed heartbeats, quarantined text rows with ``reasons``)."""
-    checked = text.withColumn("reasons", malformed_fields())
-    valid = coerce_types(checked.filter(F.size("reasons") == 0))
-    return valid, checked.filter(F.size("reasons") > 0)
+    checked = text.selectExpr("*", f"{malformed_fields()} as reasons")
+    return coerce_types(checked.filter("size(reasons) = 0")), checked.filter("size(reasons) > 0")

@@ -20,12 +20,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from playbeat.operators.quality import explode_quality
 from playbeat.functions import scalars as S
-from playbeat.operators.sessions import project_flat, session_totals, with_session_ratios
+from playbeat.operators.insights import WINDOW_SUMS
+from playbeat.operators.quality import quality_bytes
+from playbeat.operators.sessions import SERVER, exprs, project_flat, session_totals, with_session_ratios
 from playbeat.plans.metrics import compute_metrics
 from playbeat.plans.partials import PARTIAL, finalize, merge_partials, session_partials
-from playbeat.schema import HEARTBEAT_INTERVAL_MS, KEYS
+from playbeat.schema import HEARTBEAT_INTERVAL_MS
 from playbeat.sinks.tables import write_metrics
 from playbeat.sources.heartbeats import stream_telemetry
 
@@ -207,27 +208,19 @@ def stream_sessions(stream: DataFrame, heartbeat_interval_ms: int = HEARTBEAT_IN
 
 def stream_quality(stream: DataFrame) -> DataFrame:
     """Stateful form for ``update`` output: running bytes per session and label."""
-    rows = explode_quality(stream)
-    return rows.groupBy(*KEYS, "quality_label").agg(F.sum(S.received_bytes(F.col("dist"))).alias("received_bytes"))
+    return quality_bytes(stream)
 
 
 def stream_window_metrics(
     stream: DataFrame, duration: str = "30 seconds", watermark: str = "1 minute"
 ) -> DataFrame:
     """Event-time windows per content with a watermark; late heartbeats beyond it are dropped."""
-    server = F.timestamp_millis(S.server_time(F.col("timestampInfo.server")))
-    rows = stream.select(
-        S.session_key(F.col("contentId")).alias("contentId"),
-        server.alias("server_time"),
-        S.or_zero(F.col("player.bufferings")).alias("bufferings"),
-        S.or_zero(F.col("player.bufferingTime")).alias("buffering_ms"),
-        S.received_bytes(F.col("totalDistribution")).alias("received_bytes"),
+    rows = stream.selectExpr(
+        f"{S.session_key('contentId')} as contentId",
+        f"timestamp_millis({S.server_time(SERVER)}) as server_time",
+        f"{S.or_zero('player.bufferings')} as bufferings",
+        f"{S.or_zero('player.bufferingTime')} as buffering_ms",
+        f"{S.received_bytes('totalDistribution')} as received_bytes",
     ).withWatermark("server_time", watermark)
-    out = rows.groupBy(F.window("server_time", duration).alias("w"), "contentId").agg(
-        F.count(F.lit(1)).alias("heartbeats"),
-        F.count_if(F.col("bufferings") > 0).alias("heartbeats_with_buffering"),
-        F.sum("bufferings").alias("bufferings"),
-        F.sum("buffering_ms").alias("buffering_ms"),
-        F.sum("received_bytes").alias("received_bytes"),
-    )
-    return out.select("contentId", F.unix_millis("w.start").alias("window_start_ms"), *out.columns[2:])
+    out = rows.groupBy(F.window("server_time", duration).alias("w"), "contentId").agg(*exprs(*WINDOW_SUMS))
+    return out.selectExpr("contentId", "unix_millis(w.start) as window_start_ms", *out.columns[2:])
