@@ -11,13 +11,17 @@ MOST_BYTES = "order by received_bytes desc, quality_label"
 
 
 def explode_quality(df: DataFrame, outer: bool = False) -> DataFrame:
-    """One row per heartbeat and label; ``outer`` keeps heartbeats without a map as a null label."""
-    generator = "explode_outer" if outer else "explode"
-    return df.selectExpr(
+    """One row per heartbeat and label; ``outer`` keeps heartbeats without a map as a null label.
+
+    Without ``outer`` the null labels are dropped after an outer explode: from a plain explode Spark
+    infers a filter on the map's size below it, which builds a computed map twice.
+    """
+    rows = df.selectExpr(
         *key_columns(),
         f"{S.event_date('eventDate', SERVER)} as eventDate",
-        f"{generator}(qualityDistribution) as (quality_label, dist)",
+        "explode_outer(qualityDistribution) as (quality_label, dist)",
     )
+    return rows if outer else rows.filter("quality_label is not null")
 
 
 def quality_bytes(df: DataFrame, by_date: bool = False) -> DataFrame:

@@ -9,6 +9,7 @@ from playbeat.functions.ordering import ServerOrdered
 from playbeat.schema import HEARTBEAT_INTERVAL_MS, KEYS
 
 SERVER = "timestampInfo.server"
+LONG_MAX = 2**63 - 1
 AGENT = ServerOrdered("agent", "server", "agent")
 DAY = ServerOrdered("day", "server", "cast(unix_date(eventDate) as bigint)", lambda s: f"({s} div {S.DAY_MS})")
 
@@ -79,9 +80,14 @@ def session_totals(flat: DataFrame, by_date: bool = False) -> DataFrame:
 
 
 def with_session_ratios(totals: DataFrame, interval_ms: int = HEARTBEAT_INTERVAL_MS) -> DataFrame:
-    """Watch time and the ratios that follow from session totals."""
-    span = f"last_agent_ms - first_agent_ms + {interval_ms}L"
-    return totals.selectExpr("*", f"greatest({span}, {interval_ms}L) as watch_time_ms").selectExpr(
+    """Watch time and the ratios that follow from session totals.
+
+    A span beyond a long (absurd agent clocks) is held at the limits: one session must not fail the job.
+    """
+    span = f"try_add(try_subtract(last_agent_ms, first_agent_ms), {interval_ms}L)"
+    beyond = f"if(last_agent_ms > first_agent_ms, {LONG_MAX}L, 0L)"
+    watch = f"greatest(coalesce({span}, {beyond}), {interval_ms}L)"
+    return totals.selectExpr("*", f"{watch} as watch_time_ms").selectExpr(
         "*",
         f"{S.capped_ratio('total_buffering_time_ms', 'watch_time_ms')} as buffering_ratio",
         f"{S.safe_ratio('total_buffering_time_ms', 'total_buffering_events', 'null')} as avg_buffering_duration_ms",

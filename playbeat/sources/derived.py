@@ -51,10 +51,10 @@ def _scaled(factor: int) -> str:
 
 def heartbeat_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Heartbeats with the event id they were built from."""
-    slots = (
-        f"filter(array(struct(label_a as key, {_dist('source', 'p2p')} as value), "
-        f"struct(if(label_b <> label_a, label_b, null) as key, {_dist('k * 1000', None)} as value)), "
-        "slot -> slot.key is not null)"
+    first, second = _dist("source", "p2p"), _dist("k * 1000", None)
+    quality = (
+        f"case when label_a = label_b then map(label_a, {first}) "
+        f"when label_a is not null then map(label_a, {first}, label_b, {second}) end"
     )
     e = events(spark, sf_dir).selectExpr(
         "*",
@@ -74,7 +74,7 @@ def heartbeat_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "as bufferings, cast(case when event_type = 'error' then source when event_id % 11 <> 0 then 0 end as int) "
         "as bufferingTime) as player",
         f"{_dist('total', 'p2p')} as totalDistribution",
-        f"if(label_a is not null, map_from_entries({slots}), null) as qualityDistribution",
+        f"{quality} as qualityDistribution",
         "cast(ts as date) as eventDate",
     ).select("event_id", *HEARTBEAT.fieldNames())
 
