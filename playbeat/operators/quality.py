@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from playbeat.functions import scalars as S
-from playbeat.operators.sessions import SERVER, exprs, key_columns, session_keys
+from playbeat.operators.sessions import SERVER, exprs, key_columns, project_flat, session_keys, session_totals
+from playbeat.schema import OBSERVED_LABELS
 
 MOST_BYTES = "order by received_bytes desc, quality_label"
 
@@ -30,6 +33,63 @@ def quality_bytes(df: DataFrame, by_date: bool = False) -> DataFrame:
     return rows.agg(*exprs(f"sum({S.received_bytes('dist')}) as received_bytes"))
 
 
+def _quoted(label: str) -> str:
+    return "'" + label.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _has(label: str) -> str:
+    return f"map_contains_key(qualityDistribution, {_quoted(label)})"
+
+
+def label_sums(labels: Sequence[str]) -> dict[str, str]:
+    """Per heartbeat and expected label the bytes as a column, null where the map lacks the label."""
+    return {
+        f"label_{i}": f"if({_has(x)}, {S.received_bytes(f'qualityDistribution[{_quoted(x)}]')}, null)"
+        for i, x in enumerate(labels)
+    }
+
+
+def other_labels(df: DataFrame, labels: Sequence[str], by_date: bool = False) -> DataFrame:
+    """Bytes of labels that are not among the expected ones, one array per session.
+
+    Only heartbeats whose map holds more than the expected labels are exploded.
+    """
+    keys = session_keys(by_date)
+    if labels:
+        expected = " + ".join(f"int({_has(x)})" for x in labels)
+        df = df.filter(f"size(qualityDistribution) > {expected}")
+    per_label = quality_bytes(df, by_date)
+    if labels:
+        per_label = per_label.filter(f"quality_label not in ({', '.join(map(_quoted, labels))})")
+    return per_label.groupBy(*keys).agg(
+        *exprs("collect_list(struct(quality_label, received_bytes)) as other_labels")
+    )
+
+
+def session_labels(
+    df: DataFrame, by_date: bool = False, labels: Sequence[str] = OBSERVED_LABELS
+) -> DataFrame:
+    """Session totals with ``labels``, the array of (quality_label, received_bytes).
+
+    Expected labels are summed as columns of the session aggregate itself: no explode, and one shuffled
+    row per session. Whatever other labels the data holds come from a second, usually empty, branch that
+    is merge-joined on the keys both sides are already partitioned by.
+    """
+    columns = label_sums(labels)
+    flat = project_flat(df, *[f"{x} as {name}" for name, x in columns.items()])
+    totals = session_totals(flat, by_date, list(columns))
+    if by_date:
+        totals = totals.withColumnRenamed("event_date", "eventDate")
+    joined = totals.join(other_labels(df, labels, by_date).hint("merge"), on=session_keys(by_date), how="left")
+    expected = ", ".join(
+        f"struct({_quoted(x)} as quality_label, {name} as received_bytes)" for name, x in zip(columns, labels)
+    )
+    kind = "array<struct<quality_label:string,received_bytes:bigint>>"
+    present = f"filter(cast(array({expected}) as {kind}), x -> x.received_bytes is not null)"
+    kept = [c for c in totals.columns if c not in columns]
+    return joined.selectExpr(*kept, f"concat({present}, coalesce(other_labels, cast(array() as {kind}))) as labels")
+
+
 def share_pct(part: str, total: str) -> str:
     return f"({S.safe_ratio(part, total)} * 100)"
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from playbeat.functions import scalars as S
@@ -34,7 +36,7 @@ def key_columns() -> list[str]:
     return [f"{S.session_key(k)} as {k}" for k in KEYS]
 
 
-def project_flat(df: DataFrame) -> DataFrame:
+def project_flat(df: DataFrame, *more: str) -> DataFrame:
     """Early projection of the nested heartbeat to the columns the session aggregates need."""
     return df.selectExpr(
         *key_columns(),
@@ -45,12 +47,15 @@ def project_flat(df: DataFrame) -> DataFrame:
         f"{S.or_zero('player.bufferingTime')} as buffering_ms",
         f"{S.source_bytes('totalDistribution')} as source_bytes",
         f"{S.p2p_bytes('totalDistribution')} as p2p_bytes",
+        *more,
     )
 
 
-def session_totals(flat: DataFrame, by_date: bool = False) -> DataFrame:
+def session_totals(flat: DataFrame, by_date: bool = False, added: Sequence[str] = ()) -> DataFrame:
     """One row per session: count, span, sums, and the agent clock of the first and last heartbeat.
 
+    ``added`` names further columns to sum.
+
     Every buffer is a primitive, so this is a hash aggregate that combines on the map side: a session
     holding a third of all rows reaches the shuffle as one row per task.
     """
@@ -62,6 +67,7 @@ def session_totals(flat: DataFrame, by_date: bool = False) -> DataFrame:
             "max(server) as session_end_ms",
             "count(1) as snapshot_count",
             *[f"sum({x}) as {name}" for name, x in SUMS.items()],
+            *[f"sum({name}) as {name}" for name in added],
             *AGENT.aggregates(),
             *([] if by_date else DAY.aggregates(last=False)),
         ))
@@ -76,6 +82,7 @@ def session_totals(flat: DataFrame, by_date: bool = False) -> DataFrame:
         *SUMS,
         f"{AGENT.first()} as first_agent_ms",
         f"{AGENT.last()} as last_agent_ms",
+        *added,
     )
 
 

@@ -7,25 +7,16 @@ so heartbeats may be split over batches in any way.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, types as T
 
-from playbeat.functions.maps import long_total
 from playbeat.functions.ordering import ServerOrdered
-from playbeat.operators.quality import breakdown_entries, quality_bytes, with_dominant
-from playbeat.operators.sessions import (
-    DAY,
-    SUMS,
-    exprs,
-    keep_min_snapshots,
-    project_flat,
-    session_keys,
-    session_totals,
-    with_session_ratios,
-)
-from playbeat.plans.metrics import RENAMED
-from playbeat.schema import HEARTBEAT_INTERVAL_MS, KEYS, METRIC_COLUMNS
+from playbeat.operators.quality import session_labels
+from playbeat.operators.sessions import DAY, SUMS, exprs, session_keys
+from playbeat.plans.metrics import finish_metrics
+from playbeat.schema import HEARTBEAT_INTERVAL_MS, KEYS, OBSERVED_LABELS
 
 ADDED = ["snapshot_count", *SUMS]
 SPAN = ["session_start_ms", "first_agent_ms", "session_end_ms", "last_agent_ms"]
@@ -51,11 +42,10 @@ def _with_quality(totals: DataFrame, per_label: DataFrame, keys: list[str]) -> D
     return joined.selectExpr(*PARTIAL.fieldNames()[:-1], f"coalesce(quality, {empty}) as quality")
 
 
-def session_partials(df: DataFrame) -> DataFrame:
+def session_partials(df: DataFrame, labels: Sequence[str] = OBSERVED_LABELS) -> DataFrame:
     """Partial state per session and event date."""
-    keys = session_keys(by_date=True)
-    totals = session_totals(project_flat(df), by_date=True).withColumnRenamed("event_date", "eventDate")
-    return _with_quality(totals, quality_bytes(df, by_date=True), keys)
+    totals = session_labels(df, by_date=True, labels=labels)
+    return totals.selectExpr(*PARTIAL.fieldNames()[:-1], "map_from_entries(labels) as quality")
 
 
 def merge_partials(*parts: DataFrame, by_date: bool = True) -> DataFrame:
@@ -92,9 +82,6 @@ def finalize(
     partials: DataFrame, heartbeat_interval_ms: int = HEARTBEAT_INTERVAL_MS, min_snapshots: int = 1
 ) -> DataFrame:
     """Session metrics from merged partial state; row-wise, no shuffle."""
-    rows = with_session_ratios(keep_min_snapshots(partials, min_snapshots), heartbeat_interval_ms)
     labels = "transform(map_entries(quality), e -> struct(e.key as quality_label, e.value as received_bytes))"
-    entries = breakdown_entries(labels, long_total("map_values(quality)"))
-    rows = with_dominant(rows, "*", entries=entries)
-    names = {**RENAMED, "event_date": "eventDate"}
-    return rows.selectExpr(*[f"{names.get(c, c)} as {c}" for c in METRIC_COLUMNS])
+    rows = partials.selectExpr(*PARTIAL.fieldNames()[:-1], f"{labels} as labels")
+    return finish_metrics(rows, heartbeat_interval_ms, min_snapshots, "eventDate")

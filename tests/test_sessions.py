@@ -83,6 +83,12 @@ def test_random_rows_in_any_order(spark, partitions):
     check_metrics(compute_metrics(df, 10_000), rows, 10_000)
 
 
+@pytest.mark.parametrize("labels", [(), ("720p",), ("unknown", "it's", "a\\b", "1080p")])
+def test_expected_labels_change_the_plan_only(spark, labels):
+    rows = random_rows(300, 5) + [beat(quality={"it's": 3, "a\\b": 2, "a b": 1})]
+    check_metrics(compute_metrics(frame(spark, rows), labels=labels), rows)
+
+
 def test_partials_merge_in_any_grouping(spark):
     rows = random_rows(600, 11)
     parts = [session_partials(frame(spark, rows[i::4])) for i in range(4)]
