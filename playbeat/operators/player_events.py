@@ -48,8 +48,16 @@ def _keyed(events: DataFrame) -> DataFrame:
 
 
 def viewer_spans(events: DataFrame) -> DataFrame:
-    """First and last event time per viewer."""
-    return _keyed(events).groupBy(*KEYS).agg(*exprs("min(t) as first_t", "max(t) as last_t"))
+    """First and last event time per viewer.
+
+    Joined with the events, a viewer with a large part of them makes a skewed join. Spark splits the
+    skewed side at run time only when both inputs of the join come straight from a shuffle, and an
+    aggregate on the join keys would not be shuffled again. Grouping by a hash next to the keys makes
+    it so, at the price of one more shuffle of one row per viewer.
+    """
+    keyed = _keyed(events).selectExpr(*KEYS, f"xxhash64({', '.join(KEYS)}) as viewer_hash", "t")
+    spans = keyed.groupBy(*KEYS, "viewer_hash").agg(*exprs("min(t) as first_t", "max(t) as last_t"))
+    return spans.drop("viewer_hash")
 
 
 def _window_end(interval_ms: int, clip_last: bool) -> str:

@@ -27,10 +27,15 @@ def explode_quality(df: DataFrame, outer: bool = False) -> DataFrame:
     return rows if outer else rows.filter("quality_label is not null")
 
 
+def label_bytes(exploded: DataFrame, by_date: bool = False) -> DataFrame:
+    """Received bytes per session and label of exploded rows."""
+    rows = exploded.groupBy(*session_keys(by_date), "quality_label")
+    return rows.agg(*exprs(f"sum({S.received_bytes('dist')}) as received_bytes"))
+
+
 def quality_bytes(df: DataFrame, by_date: bool = False) -> DataFrame:
     """Received bytes per session and label; heartbeats without a map add nothing."""
-    rows = explode_quality(df).groupBy(*session_keys(by_date), "quality_label")
-    return rows.agg(*exprs(f"sum({S.received_bytes('dist')}) as received_bytes"))
+    return label_bytes(explode_quality(df), by_date)
 
 
 def _quoted(label: str) -> str:
@@ -52,16 +57,13 @@ def label_sums(labels: Sequence[str]) -> dict[str, str]:
 def other_labels(df: DataFrame, labels: Sequence[str], by_date: bool = False) -> DataFrame:
     """Bytes of labels that are not among the expected ones, one array per session.
 
-    Only heartbeats whose map holds more than the expected labels are exploded.
+    The expected labels are dropped right after the explode, before anything is grouped.
     """
     keys = session_keys(by_date)
+    rows = explode_quality(df)
     if labels:
-        expected = " + ".join(f"int({_has(x)})" for x in labels)
-        df = df.filter(f"size(qualityDistribution) > {expected}")
-    per_label = quality_bytes(df, by_date)
-    if labels:
-        per_label = per_label.filter(f"quality_label not in ({', '.join(map(_quoted, labels))})")
-    return per_label.groupBy(*keys).agg(
+        rows = rows.filter(f"quality_label not in ({', '.join(map(_quoted, labels))})")
+    return label_bytes(rows, by_date).groupBy(*keys).agg(
         *exprs("collect_list(struct(quality_label, received_bytes)) as other_labels")
     )
 

@@ -15,6 +15,8 @@ def get_spark(app_name: str = "playbeat", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # generated methods above 8000 bytes are not compiled by HotSpot; smaller ones then run faster
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
     )
     for key, value in conf.items():
@@ -22,10 +24,14 @@ def get_spark(app_name: str = "playbeat", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_local_root: str | None = None
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's spark.checkpoint.dir; a local one only where that is unset."""
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="playbeat-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        _local_root = _local_root or tempfile.mkdtemp(prefix="playbeat-")
+        root = _local_root
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

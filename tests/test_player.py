@@ -124,3 +124,16 @@ def test_a_hot_viewer_is_spread(spark):
     plan = pe.build_heartbeats(events_frame(spark, [ev(0, "frag", size=1)]))._jdf.queryExecution().optimizedPlan()
     windows_of_rows = [x for x in plan.toString().split("\n") if "Window" in x and "event_id" in x]
     assert windows_of_rows and all("chunk" in x for x in windows_of_rows)
+
+
+def test_viewer_join_can_be_split_when_skewed(spark):
+    """Both inputs of the join with the viewer spans come straight from a shuffle on the viewer."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = pe.assign_windows(events_frame(spark, [ev(0, "frag", size=1)]))
+        lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sorts = [i for i, x in enumerate(lines) if "Sort [" in x]
+    assert len(sorts) == 2
+    assert all("Exchange hashpartitioning" in lines[i + 1] and "viewer_hash" not in lines[i + 1] for i in sorts)

@@ -173,3 +173,9 @@ def test_job_sets_rejected_sessions_aside(spark, tmp_path):
 def test_streaming_needs_a_checkpoint():
     with pytest.raises(SystemExit):
         job.parse_args(["--input", "a", "--output", "b", "--streaming"])
+
+
+def test_scratch_is_below_the_shared_folder(spark):
+    from playbeat.session import shared_dir
+
+    assert shared_dir(spark, "x").startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir") + "/x-")

@@ -40,7 +40,7 @@ def paths(tmp_path):
     return {k: str(tmp_path / k) for k in ("in", "out", "check", "state")}
 
 
-@pytest.mark.parametrize("files", [1, 3, 7])
+@pytest.mark.parametrize("files", [1, 5])
 def test_session_totals_across_batches(spark, paths, files):
     rows = random_rows(300, files)
     write_files(spark, rows, paths["in"], files)
@@ -128,7 +128,7 @@ def test_dedup_stream(spark, paths):
     assert spark.table("unique").count() == 3
 
 
-@pytest.mark.parametrize("files", [1, 4])
+@pytest.mark.parametrize("files", [3])
 def test_player_stream(spark, paths, files):
     rows = random_events(8, 400, 700_000)
     df = events_frame(spark, rows).repartition(files)
