@@ -56,10 +56,15 @@ def parse_args(argv: list[str] | None = None) -> JobParams:
     )
 
 
+def _input_format(params: JobParams) -> str:
+    """Heartbeat tables are parquet files, or delta where the output is delta."""
+    return "delta" if params.fmt == "delta" else "parquet"
+
+
 def _load(spark: SparkSession, params: JobParams) -> DataFrame:
     if params.fmt == "delta":
         return read_for_metrics(spark, params.input_path, params.date, "delta")
-    return load_snapshots(spark, params.input_path, params.date, "parquet", HEARTBEAT_NARROW)
+    return load_snapshots(spark, params.input_path, params.date, _input_format(params), HEARTBEAT_NARROW)
 
 
 def run_batch(spark: SparkSession, params: JobParams) -> int:
@@ -104,7 +109,7 @@ def main(argv: list[str] | None = None) -> int:
 
         run_streaming(
             spark, params.input_path, params.output_path, params.checkpoint,
-            params.trigger_interval, params.heartbeat_interval_ms, params.fmt,
+            params.trigger_interval, params.heartbeat_interval_ms, params.fmt, input_fmt=_input_format(params),
         )
         return 0
     return run_batch(spark, params)

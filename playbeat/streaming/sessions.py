@@ -188,9 +188,10 @@ def run_streaming(
     heartbeat_ms: int = HEARTBEAT_INTERVAL_MS,
     fmt: str = "parquet",
     state_path: str | None = None,
+    input_fmt: str = "parquet",
 ) -> None:
-    """Heartbeat table to metrics table, until stopped."""
-    stream = stream_telemetry(spark, input_path, fmt)
+    """Heartbeat table to metrics table, until stopped; without a trigger until the table is read."""
+    stream = stream_telemetry(spark, input_path, input_fmt)
     start_sessions(
         stream, output_path, checkpoint_path, state_path, trigger_interval, heartbeat_ms, fmt
     ).awaitTermination()

@@ -61,6 +61,16 @@ def test_restart(spark, paths):
     assert texts(spark.read.schema(SESSION_METRICS).parquet(paths["out"])) == texts(want)
 
 
+def test_partitioned_table_to_json_table(spark, paths):
+    rows = [r for r in random_rows(80, 13) if r[7] is not None]
+    frame(spark, rows).write.partitionBy("eventDate").parquet(paths["in"])
+    sessions.run_streaming(
+        spark, paths["in"], paths["out"], paths["check"], None, fmt="json", state_path=paths["state"]
+    )
+    want = compute_metrics(frame(spark, rows), by_date=True)
+    assert texts(spark.read.schema(SESSION_METRICS).json(paths["out"])) == texts(want)
+
+
 def test_replayed_batch_counts_once(spark, paths):
     rows = random_rows(60, 4)
     sink = sessions.microbatch_sink(paths["out"], paths["state"])
