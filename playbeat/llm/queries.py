@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playbeat.llm.simhash_neardup import simhash_components
 from playbeat.llm.substring_dedup import remove_repeated_windows
 from playbeat.llm.workers import send_code
 
@@ -15,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = remove_repeated_windows(table(spark, sf_dir, "documents"), window=13)
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -31,6 +37,7 @@ def _sent(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 QUERIES = {
     name: _sent(fn)
     for name, fn in {
+        "op6_simhash_neardup": op6_simhash_neardup,
         "op7_substring_dedup": op7_substring_dedup,
     }.items()
 }
