@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playbeat.llm.embedding_neardup import embedding_links
+from playbeat.llm.sentencepiece_codec import decode_ids, encode_texts
 from playbeat.llm.simhash_neardup import simhash_components
 from playbeat.llm.substring_dedup import remove_repeated_windows
 from playbeat.llm.workers import send_code
@@ -16,6 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def piece_model(name: str = "piece_bpe_32k.model") -> bytes:
+    """Content of a public tokenizer's model file, which goes to the tasks with their code."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op6_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=3)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -26,6 +40,17 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_model()
+    rows = decode_ids(encode_texts(table(spark, sf_dir, "documents"), model, keep=["doc_id"]), model)
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def _sent(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         send_code(spark)
@@ -37,8 +62,10 @@ def _sent(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 QUERIES = {
     name: _sent(fn)
     for name, fn in {
+        "op1_embedding_neardup": op1_embedding_neardup,
         "op6_simhash_neardup": op6_simhash_neardup,
         "op7_substring_dedup": op7_substring_dedup,
+        "op8_sentencepiece": op8_sentencepiece,
     }.items()
 }
 

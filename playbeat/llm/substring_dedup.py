@@ -54,17 +54,25 @@ def super_kmers(hashes: np.ndarray, texts: np.ndarray, window: int, minimiser: i
     return first[start], np.diff(np.append(start, len(first))), text[first[start]], least[first[start]]
 
 
-def _pack(columns: list[np.ndarray], body: np.ndarray) -> bytes:
-    """Long columns and the bytes of the words, compressed together."""
-    raw = HEAD.pack(len(columns), len(columns[0])) + b"".join(c.astype(np.int64).tobytes() for c in columns) + body.tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+def _pack(doc: np.ndarray, key: np.ndarray, start: np.ndarray, end: np.ndarray, body: np.ndarray) -> bytes:
+    """Documents, word spans and the bytes of the words, compressed together; ids go as steps, as they mostly ascend."""
+    wide = int(len(end) > 0 and end.max() >= 1 << 31)
+    small = np.int64 if wide else np.int32
+    parts = [HEAD.pack(wide, len(doc)), np.diff(doc, prepend=0).tobytes(), key.astype(np.int32).tobytes(), start.astype(small).tobytes()]
+    raw = b"".join([*parts, (end - start).astype(small).tobytes(), body.tobytes()])
+    return zstandard.ZstdCompressor(level=5).compress(raw)
 
 
 def _unpack(blob: bytes) -> tuple[list[np.ndarray], np.ndarray]:
+    """Documents, keys, starts, numbers of words, and the bytes."""
     raw = zstandard.ZstdDecompressor().decompress(blob)
-    n, rows = HEAD.unpack_from(raw)
-    columns = [np.frombuffer(raw, np.int64, rows, HEAD.size + 8 * rows * i) for i in range(n)]
-    return columns, np.frombuffer(raw, np.uint8, offset=HEAD.size + 8 * rows * n)
+    wide, rows = HEAD.unpack_from(raw)
+    at, columns = HEAD.size, []
+    for kind in (np.int64, np.int32, *[np.int64 if wide else np.int32] * 2):
+        columns.append(np.frombuffer(raw, kind, rows, at).astype(np.int64))
+        at += columns[-1].size * np.dtype(kind).itemsize
+    columns[0] = np.cumsum(columns[0])
+    return columns, np.frombuffer(raw, np.uint8, offset=at)
 
 
 def _spans(doc: np.ndarray, key: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
@@ -94,7 +102,7 @@ def _ship(window: int, minimiser: int, buckets: int):
         later = later[A.same_ranges(body, at[first[later]], body, at[first[lead[later]]], size[later])]
         if len(later):
             known = text[later]
-            yield -1 - int(doc[known[0]] % buckets), _pack([doc[known], key[known], first[later] - texts[known], last[later] - texts[known]], body[:0])
+            yield -1 - int(doc[known[0]] % buckets), _pack(doc[known], key[known], first[later] - texts[known], last[later] - texts[known], body[:0])
         send = np.ones(len(first), bool)
         send[later] = False
         send = np.flatnonzero(send)
@@ -105,8 +113,8 @@ def _ship(window: int, minimiser: int, buckets: int):
         for lo, hi in zip(edges[:-1], edges[1:]):
             part = send[lo:hi]
             words, _ = A.gather(body, at[first[part]], at[last[part]])
-            columns = [doc[text[part]], key[text[part]], first[part] - texts[text[part]], count[part] + window - 1]
-            yield int(bucket[lo]), _pack(columns, words)
+            own = text[part]
+            yield int(bucket[lo]), _pack(doc[own], key[own], first[part] - texts[own], last[part] - texts[own], words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,7 +192,8 @@ def _judge(window: int):
         for batch in batches:
             for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if bucket < 0:
-                    yield _spans(*_unpack(blob.as_py())[0])
+                    doc, key, start, size = _unpack(blob.as_py())[0]
+                    yield _spans(doc, key, start, start + size)
                     continue
                 if bucket != at and held:
                     yield _repeats(held, window)
@@ -232,7 +241,7 @@ def _some_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
     return body, offsets
 
 
-def remove_repeated_windows(docs: DataFrame, window: int = 13, minimiser: int = 4, buckets: int | None = None, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeated_windows(docs: DataFrame, window: int = 13, minimiser: int = 3, buckets: int | None = None, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: (doc_id, kept_text, n_words, n_removed).
 
     Words are runs of bytes other than ASCII white space. A word goes if a window that covers it also starts, with the
@@ -240,12 +249,12 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13, minimiser: int =
     one space. Null and empty texts have no words and an empty `kept_text`; texts shorter than a window lose nothing.
     A row without an id neither loses words nor makes others lose any. Rows that repeat an id are the same document:
     they do not remove each other's words. Other columns are ignored.
-    `buckets` is the number of minimiser buckets; a task holds one bucket at a time, so it should grow with the input.
+    Rows of one id are told apart by 32 bits of a text hash. `buckets` is the number of minimiser buckets; a task holds one bucket at a time, so it should grow with the input.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = buckets or 4 * parts
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.xxhash64(F.col(text)).alias("key"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.hash(F.col(text)).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     packed = rows.where("doc IS NOT NULL AND length(text) > 0").mapInArrow(_ship(window, minimiser, buckets), "bucket long, packed binary")
     spans = packed.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_judge(window), "doc long, key long, start long, end long")
     spans = spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
