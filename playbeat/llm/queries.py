@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playbeat.llm.embedding_neardup import embedding_links
+from playbeat.llm.language_id import learn_languages, predict_language
 from playbeat.llm.sentencepiece_codec import decode_ids, encode_texts
 from playbeat.llm.simhash_neardup import simhash_components
 from playbeat.llm.substring_dedup import remove_repeated_windows
+from playbeat.llm.token_counts import token_counts
 from playbeat.llm.workers import send_code
 
 
@@ -30,6 +32,18 @@ def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
+    filters = learn_languages(docs.where("NOT held_out"))
+    found = predict_language(docs, filters)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), piece_model())
+
+
 def op6_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=3)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -63,6 +77,8 @@ QUERIES = {
     name: _sent(fn)
     for name, fn in {
         "op1_embedding_neardup": op1_embedding_neardup,
+        "op4_language_id": op4_language_id,
+        "op5_token_counts": op5_token_counts,
         "op6_simhash_neardup": op6_simhash_neardup,
         "op7_substring_dedup": op7_substring_dedup,
         "op8_sentencepiece": op8_sentencepiece,
