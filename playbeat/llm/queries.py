@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playbeat.llm.components import kept
+from playbeat.llm.document_fingerprints import fingerprints_with_next, near_fingerprints
 from playbeat.llm.embedding_neardup import embedding_links
 from playbeat.llm.language_id import learn_languages, predict_language
+from playbeat.llm.quality import fit_quality, predict_quality
 from playbeat.llm.sentencepiece_codec import decode_ids, encode_texts
 from playbeat.llm.simhash_neardup import simhash_components
 from playbeat.llm.substring_dedup import remove_repeated_windows
@@ -32,6 +35,15 @@ def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_near, for ids divisible by 100: how many of all documents have a fingerprint within 3 bits, the own one included."""
+    rows = kept(fingerprints_with_next(table(spark, sf_dir, "documents")))
+    asked = F.col("doc_id") % 100 == 0
+    near = near_fingerprints(rows.where(asked), rows, radius=3)
+    joined = rows.where(asked).join(near, "fingerprint", "left").select(*rows.columns, "n_near")
+    return joined.unionAll(rows.where(F.coalesce(~asked, F.lit(True))).select(*rows.columns, F.lit(None).cast("long").alias("n_near")))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
@@ -65,6 +77,24 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def graded(labels: DataFrame) -> DataFrame:
+    """Grades from the labels: 0 toxic, 1 poor, 2 good."""
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
+    return labels.select("doc_id", grade.alias("grade"))
+
+
+def judged(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
+    """Expected grade and tails of all documents, from a model of the rated ones, and whether grade 2 is the likelier side."""
+    model = fit_quality(docs, graded(labels))
+    top = F.element_at("tails", -1)
+    return predict_quality(docs, model, keep=keep).withColumn("accepted", top >= 0.5)
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
+    return rows.select("doc_id", "expected_grade", F.element_at("tails", -1).alias("p_good"), "accepted")
+
+
 def _sent(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         send_code(spark)
@@ -77,11 +107,13 @@ QUERIES = {
     name: _sent(fn)
     for name, fn in {
         "op1_embedding_neardup": op1_embedding_neardup,
+        "op2_document_fingerprints": op2_document_fingerprints,
         "op4_language_id": op4_language_id,
         "op5_token_counts": op5_token_counts,
         "op6_simhash_neardup": op6_simhash_neardup,
         "op7_substring_dedup": op7_substring_dedup,
         "op8_sentencepiece": op8_sentencepiece,
+        "op10_quality_classifier": op10_quality_classifier,
     }.items()
 }
 
