@@ -11,6 +11,7 @@ from playbeat.llm.components import kept
 from playbeat.llm.document_fingerprints import fingerprints_with_next, near_fingerprints
 from playbeat.llm.embedding_neardup import embedding_links
 from playbeat.llm.language_id import learn_languages, predict_language
+from playbeat.llm.license_scan import scan_licenses
 from playbeat.llm.quality import fit_quality, predict_quality
 from playbeat.llm.sentencepiece_codec import decode_ids, encode_texts
 from playbeat.llm.simhash_neardup import simhash_components
@@ -44,6 +45,10 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.unionAll(rows.where(F.coalesce(~asked, F.lit(True))).select(*rows.columns, F.lit(None).cast("long").alias("n_near")))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
@@ -108,6 +113,7 @@ QUERIES = {
     for name, fn in {
         "op1_embedding_neardup": op1_embedding_neardup,
         "op2_document_fingerprints": op2_document_fingerprints,
+        "op3_license_scan": op3_license_scan,
         "op4_language_id": op4_language_id,
         "op5_token_counts": op5_token_counts,
         "op6_simhash_neardup": op6_simhash_neardup,
