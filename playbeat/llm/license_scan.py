@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 #: Between words, after A-Z are lower-cased: all ASCII but digits and a-z.
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 K = 2
 #: Phrases that count wherever their words stand consecutively.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -42,7 +41,7 @@ TEMPLATES = {
     "creative-commons": "creative commons attribution",
     "unlicense": "this is free and unencumbered software released into the public domain",
 }
-#: Templates of fewer words must be there in full.
+#: Templates of fewer words must be there in full and in one piece.
 WHOLE_BELOW = 10
 #: Hash of the entry that stands for the text itself.
 WHOLE = 0
@@ -63,17 +62,20 @@ def positions(spark: SparkSession, phrases: dict[str, str], templates: dict[str,
                 raise ValueError(f"a template needs {K} words: {name}")
             rows += [(words[i : i + K], kind, label, i, words) for i in range(len(words) - K + 1)]
     made = spark.createDataFrame(rows, "gram array<string>, kind string, name string, start int, words array<string>")
-    return made.select(F.coalesce(gram_hash(F.col("gram")[0], F.col("gram")[1]), F.lit(WHOLE)).alias("hash"), "kind", "name", "start", "words")
+    return made.select(F.when(F.col("gram").isNotNull(), gram_hash(F.col("gram")[0], F.col("gram")[1])).otherwise(F.lit(WHOLE).cast("long")).alias("hash"), "kind", "name", "start", "words")
 
 
 def gram_hash(a: Column, b: Column) -> Column:
-    return F.when(a.isNotNull(), F.xxhash64(a, b))
+    return F.xxhash64(a, b)
 
 
 def text_words(text: Column) -> Column:
-    """Lower-cased words of a text; null has none."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    return F.array_remove(F.split(lowered, SEPARATOR), "")
+    """Lower-cased words of a text; null has none.
+
+    lower() also changes letters beyond ASCII, but never into a separator, and of these only the Kelvin sign becomes an
+    ASCII letter, a k, which no phrase has: words and matches are those of a text with A-Z alone lower-cased.
+    """
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATOR), "")
 
 
 def scan_licenses(docs: DataFrame, *, phrases: dict[str, str] | None = None, templates: dict[str, str] | None = None, slack: int = 2, least: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -81,7 +83,7 @@ def scan_licenses(docs: DataFrame, *, phrases: dict[str, str] | None = None, tem
 
     n_base counts the places of `phrases`, first_word and last_word are their smallest and largest start. `spans` lists the
     places of `templates` (label, first word, end word, part of the template's words that stand there in place), where
-    diagonals up to `slack` apart count as one place and the part is at least `least`, or all of a template of few words. labels joins the labels of both;
+    diagonals up to `slack` apart count as one place and the part is at least `least`, or all of a template of few words, in one piece. labels joins the labels of both;
     score is the largest part found, 1 for a phrase, 0 for nothing. Null and empty texts have no words and no labels.
     Ids may be null. Equal rows (id and text) are worked out once and returned as often as they came. Other columns are
     ignored. The broadcast side is the template table, whose size the templates set.
@@ -89,8 +91,12 @@ def scan_licenses(docs: DataFrame, *, phrases: dict[str, str] | None = None, tem
     spark = docs.sparkSession
     table = positions(spark, PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates)
     rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("mark"), text_words(F.col(text).cast("string")).alias("w"))
-    grams = F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))), lambda a, b: F.xxhash64(a, b))
-    spread = rows.select("id", "mark", "w", F.posexplode(F.concat(F.array(F.lit(WHOLE).cast("long")), grams)).alias("at", "hash"))
+    known = [r.hash for r in table.where("kind <> 'text'").select("hash").distinct().collect()]  # the templates' own, a fixed few
+    size = F.size("w")
+    # the join's keys that have no partner are left out while they are still an array, which spares most of the explode
+    places = F.when((size >= K) & F.lit(bool(known)), F.filter(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), lambda i: gram_hash(F.get("w", i - 1), F.get("w", i)).isin(known)))
+    spread = rows.select("id", "mark", "w", F.explode(F.concat(F.array(F.lit(0)), F.coalesce(places, F.array().cast("array<int>")))).alias("at"))
+    spread = spread.withColumn("hash", F.when(F.col("at") == 0, F.lit(WHOLE).cast("long")).otherwise(gram_hash(F.get("w", F.col("at") - 1), F.get("w", F.col("at")))))
     met = spread.join(F.broadcast(table), "hash").where((F.col("kind") == "text") == (F.col("at") == 0))
     begin = F.col("at") - 1 - F.col("start")  # the text's own entry stands at 0, so the first k-gram at 1
     window_start = F.greatest(begin - slack, F.lit(0))
@@ -110,7 +116,7 @@ def scan_licenses(docs: DataFrame, *, phrases: dict[str, str] | None = None, tem
     # templates: diagonals next to one another are one place; its words stand where any of them puts them
     order = Window.partitionBy("id", "mark", "kind", "name").orderBy("diagonal")
     far = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > slack, F.lit(True))
-    placed = votes.withColumn("place", F.when(F.col("kind") == "template", F.sum(far.cast("int")).over(order)).otherwise(F.col("diagonal")))
+    placed = votes.withColumn("place", F.when((F.col("kind") == "template") & (F.size("words") >= WHOLE_BELOW), F.sum(far.cast("int")).over(order)).otherwise(F.col("diagonal")))
     hits = F.filter(
         F.sequence(F.lit(0), F.size("words") - 1),
         lambda i: (F.col("diagonal") + i >= 0) & F.coalesce(F.get("around", (F.col("diagonal") + i - F.col("around_at")).cast("int")) == F.get("words", i.cast("int")), F.lit(False)),

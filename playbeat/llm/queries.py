@@ -12,6 +12,7 @@ from playbeat.llm.document_fingerprints import fingerprints_with_next, near_fing
 from playbeat.llm.embedding_neardup import embedding_links
 from playbeat.llm.language_id import learn_languages, predict_language
 from playbeat.llm.license_scan import scan_licenses
+from playbeat.llm.mixing import mix_sources, word_count
 from playbeat.llm.quality import fit_quality, predict_quality
 from playbeat.llm.sentencepiece_codec import decode_ids, encode_texts
 from playbeat.llm.simhash_neardup import simhash_components
@@ -82,6 +83,22 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A tree of domain, language and source: sources belong to one of three domains by their number.
+MIX_PATH = {
+    "domain": F.expr("concat('d', coalesce(try_cast(regexp_extract(source, '[0-9]+', 0) AS int), 0) % 3)"),
+    "lang": F.col("lang"),
+    "source": F.col("source"),
+}
+MIX_WEIGHTS = {"domain": {"d0": 50, "d1": 30, "d2": 20}, "lang": {"en": 30, "de": 15, "fr": 15, "es": 40}}
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """60 % of all words at the target weights, at most two epochs of any leaf."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", word_count(F.col("text")).alias("n_tokens"))
+    mixed = mix_sources(docs, MIX_PATH, MIX_WEIGHTS, share=0.6, most_epochs=2, seed=17, tokens=F.col("n_tokens"))
+    return mixed.select("doc_id", "epoch", "lang", "source", "n_tokens")
+
+
 def graded(labels: DataFrame) -> DataFrame:
     """Grades from the labels: 0 toxic, 1 poor, 2 good."""
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
@@ -119,6 +136,7 @@ QUERIES = {
         "op6_simhash_neardup": op6_simhash_neardup,
         "op7_substring_dedup": op7_substring_dedup,
         "op8_sentencepiece": op8_sentencepiece,
+        "op9_source_mixing": op9_source_mixing,
         "op10_quality_classifier": op10_quality_classifier,
     }.items()
 }
@@ -138,5 +156,37 @@ s AS (SELECT p.doc_id, count(gone.p) AS n_removed,
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(s.n_removed, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(s.kept, '')) AS kept_sha256
 FROM d LEFT JOIN s ON d.doc_id = s.doc_id
+""",
+    "op9_source_mixing": r"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(lang, '') AS l, coalesce(source, '') AS s,
+                  'd' || (coalesce(TRY_CAST(regexp_extract(source, '[0-9]+') AS INT), 0) % 3) AS m,
+                  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n FROM documents),
+leaf AS (SELECT m, l, s, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n) * 2 AS DOUBLE) AS room FROM d GROUP BY m, l, s),
+m0 AS (SELECT m, sum(room) AS room,
+              CASE m WHEN 'd0' THEN 50.0::DOUBLE WHEN 'd1' THEN 30.0::DOUBLE WHEN 'd2' THEN 20.0::DOUBLE ELSE 1.0::DOUBLE END AS w
+       FROM leaf GROUP BY m HAVING sum(room) > 0),
+m1 AS (SELECT *, ((SELECT floor(CAST(sum(n) AS DOUBLE) * 0.6::DOUBLE) FROM d)
+                  - coalesce(sum(room) OVER (ORDER BY room / w, m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / sum(w) OVER (ORDER BY room / w, m ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM m0),
+m2 AS (SELECT m, CASE WHEN room <= lev * w THEN room
+                 ELSE greatest(max(lev) FILTER (WHERE NOT room <= lev * w) OVER () * w, 0) END AS b FROM m1),
+l0 AS (SELECT m, l, sum(room) AS room, any_value(b) AS b,
+              CASE l WHEN 'en' THEN 30.0::DOUBLE WHEN 'de' THEN 15.0::DOUBLE WHEN 'fr' THEN 15.0::DOUBLE
+                     WHEN 'es' THEN 40.0::DOUBLE ELSE 1.0::DOUBLE END AS w
+       FROM leaf JOIN m2 USING (m) GROUP BY m, l HAVING sum(room) > 0),
+l1 AS (SELECT *, (b - coalesce(sum(room) OVER (PARTITION BY m ORDER BY room / w, l ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / sum(w) OVER (PARTITION BY m ORDER BY room / w, l ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM l0),
+l2 AS (SELECT m, l, CASE WHEN room <= lev * w THEN room
+                    ELSE greatest(max(lev) FILTER (WHERE NOT room <= lev * w) OVER (PARTITION BY m) * w, 0) END AS b FROM l1),
+s0 AS (SELECT m, l, s, n, room, b, 1.0::DOUBLE AS w FROM leaf JOIN l2 USING (m, l) WHERE room > 0),
+s1 AS (SELECT *, (b - coalesce(sum(room) OVER (PARTITION BY m, l ORDER BY room / w, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / sum(w) OVER (PARTITION BY m, l ORDER BY room / w, s ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM s0),
+s2 AS (SELECT m, l, s, n AS a, CAST(floor(CASE WHEN room <= lev * w THEN room
+          ELSE greatest(max(lev) FILTER (WHERE NOT room <= lev * w) OVER (PARTITION BY m, l) * w, 0) END) AS BIGINT) AS b FROM s1),
+k AS (SELECT d.*, b // a AS whole, b % a AS rest, md5(concat_ws('|', '17', CAST(b // a AS VARCHAR), CAST(doc_id AS VARCHAR))) AS key
+      FROM d JOIN s2 USING (m, l, s) WHERE b > 0),
+c AS (SELECT *, sum(n) OVER (PARTITION BY m, l, s ORDER BY key) AS upto FROM k),
+t AS (SELECT *, whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS times FROM c)
+SELECT doc_id, CAST(u.e AS BIGINT) AS epoch, lang, source, n AS n_tokens FROM t, unnest(range(0, times)) AS u(e)
 """,
 }
