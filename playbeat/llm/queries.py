@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playbeat.llm.components import kept
@@ -83,19 +83,19 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: A tree of domain, language and source: sources belong to one of three domains by their number.
-MIX_PATH = {
-    "domain": F.expr("concat('d', coalesce(try_cast(regexp_extract(source, '[0-9]+', 0) AS int), 0) % 3)"),
-    "lang": F.col("lang"),
-    "source": F.col("source"),
-}
+def mix_path() -> dict[str, Column]:
+    """A tree of domain, language and source: sources belong to one of three domains by their number."""
+    domain = "concat('d', coalesce(try_cast(regexp_extract(source, '[0-9]+', 0) AS int), 0) % 3)"
+    return {"domain": F.expr(domain), "lang": F.col("lang"), "source": F.col("source")}
+
+
 MIX_WEIGHTS = {"domain": {"d0": 50, "d1": 30, "d2": 20}, "lang": {"en": 30, "de": 15, "fr": 15, "es": 40}}
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """60 % of all words at the target weights, at most two epochs of any leaf."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", word_count(F.col("text")).alias("n_tokens"))
-    mixed = mix_sources(docs, MIX_PATH, MIX_WEIGHTS, share=0.6, most_epochs=2, seed=17, tokens=F.col("n_tokens"))
+    mixed = mix_sources(docs, mix_path(), MIX_WEIGHTS, share=0.6, most_epochs=2, seed=17, tokens=F.col("n_tokens"))
     return mixed.select("doc_id", "epoch", "lang", "source", "n_tokens")
 
 
