@@ -17,6 +17,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playbeat.llm import arrays as A
 
@@ -241,22 +242,26 @@ def _some_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
     return body, offsets
 
 
-def remove_repeated_windows(docs: DataFrame, window: int = 13, minimiser: int = 3, buckets: int | None = None, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: (doc_id, kept_text, n_words, n_removed).
+def remove_repeated_windows(docs: DataFrame, window: int = 13, minimiser: int = 3, buckets: int | None = None, *, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """One row per input row: (doc_id, the `keep` columns, kept_text, n_words, n_removed).
 
     Words are runs of bytes other than ASCII white space. A word goes if a window that covers it also starts, with the
     same words, in a document of smaller id; windows are judged on the input. `kept_text` joins the words that stay by
     one space. Null and empty texts have no words and an empty `kept_text`; texts shorter than a window lose nothing.
     A row without an id neither loses words nor makes others lose any. Rows that repeat an id are the same document:
-    they do not remove each other's words. Other columns are ignored.
+    they do not remove each other's words. Other columns than those in `keep` are ignored.
     Rows of one id are told apart by 32 bits of a text hash. `buckets` is the number of minimiser buckets; a task holds one bucket at a time, so it should grow with the input.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = buckets or 4 * parts
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.hash(F.col(text)).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    packed = rows.where("doc IS NOT NULL AND length(text) > 0").mapInArrow(_ship(window, minimiser, buckets), "bucket long, packed binary")
+    others = [F.col(f"`{c}`").alias(f"__keep_{i}") for i, c in enumerate(keep or [])]
+    own = [F.col(doc_id).cast("long").alias("doc"), F.hash(F.col(text)).cast("long").alias("key"), F.col(text).cast("string").alias("text")]
+    rows = docs.select(*own, *others)
+    packed = rows.select("doc", "key", "text").where("doc IS NOT NULL AND length(text) > 0").mapInArrow(_ship(window, minimiser, buckets), "bucket long, packed binary")
     spans = packed.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_judge(window), "doc long, key long, start long, end long")
     spans = spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    joined = rows.join(spans, ["doc", "key"], "left").select(F.col("doc").alias(doc_id), "text", "spans")
-    return joined.mapInArrow(_cut, f"`{doc_id}` long, kept_text string, n_words long, n_removed long")
+    joined = rows.join(spans, ["doc", "key"], "left").select("doc", *(c for c in rows.columns if c.startswith("__keep_")), "text", "spans")
+    kinds = [*joined.schema.fields[:-2], T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
+    cut = joined.mapInArrow(_cut, T.StructType(kinds))
+    return cut.select(F.col("doc").alias(doc_id), *(F.col(f"__keep_{i}").alias(c) for i, c in enumerate(keep or [])), "kept_text", "n_words", "n_removed")
