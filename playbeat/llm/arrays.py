@@ -96,8 +96,16 @@ class Rolling:
         return mix((self.sums[ends] - self.sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return Rolling(buf).hashes(starts, ends)
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 19) -> np.ndarray:
+    """Hashes of words that stand in order, from prefix sums over about `block` bytes at once."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + block, "right")))
+        lo, hi = starts[at], ends[to - 1]
+        out[at:to] = Rolling(buf[lo:hi]).hashes(starts[at:to] - lo, ends[at:to] - lo)
+        at = to
+    return out
 
 
 def gather(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

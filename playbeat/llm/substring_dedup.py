@@ -254,7 +254,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13, minimiser: int =
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = buckets or 4 * parts
+    buckets = buckets or 8 * parts
     others = [F.col(f"`{c}`").alias(f"__keep_{i}") for i, c in enumerate(keep or [])]
     own = [F.col(doc_id).cast("long").alias("doc"), F.hash(F.col(text)).cast("long").alias("key"), F.col(text).cast("string").alias("text")]
     rows = docs.select(*own, *others)
