@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from playbeat.functions.scalars import held_add
+
 
 def pairs_to_map(pairs: str) -> str:
     """Map from an array of (key, value) structs; the last of equal keys wins, an empty array is null."""
@@ -22,5 +24,5 @@ def map_total(quality: str, field: str, kind: str = "bigint") -> str:
 
 
 def long_total(values: str) -> str:
-    """Sum of an array of longs."""
-    return f"aggregate({values}, 0L, (acc, v) -> acc + v)"
+    """Sum of an array of longs, held at the largest one where it overflows."""
+    return f"aggregate({values}, 0L, (acc, v) -> {held_add('acc', 'v')})"

@@ -4,7 +4,8 @@
 sorts every input split before it can combine. Here the pair (server, value) is packed into one long:
 the value is stored as its distance from a base that follows from the server time. Pairs that do not
 fit (server outside 0..2^42, distance outside 2^20) take a decimal key instead, which is null - and so
-costs next to nothing - on ordinary rows. Both ways are exact; the result is the smaller (larger) pair.
+costs next to nothing - on ordinary rows. Both ways give the smaller (larger) pair exactly, for any long
+value and server times within 9 * 10^17 of the epoch; server times beyond that rank as equal.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ WIDTH = 21
 HALF = 1 << (WIDTH - 1)
 MASK = (1 << WIDTH) - 1
 MAX_SERVER = (1 << 42) - 1
-SHIFT = "10000000000000000000BD"  # more than the span of values that share one server time
+MOST = 899_999_999_999_999_999  # of a server time in the decimal key, so that key and value fit in 38 digits
+SHIFT = "100000000000000000000BD"  # more than the span of values that share one server time
 
 
 class ServerOrdered:
@@ -31,7 +33,8 @@ class ServerOrdered:
             f"coalesce({s} between 0 and {MAX_SERVER} "
             f"and try_subtract({v}, {base}) between -{HALF} and {HALF - 1}, false)"
         )
-        far_key = f"cast({s} as decimal(19,0)) * {SHIFT} + cast({v} as decimal(19,0))"
+        held = f"cast(greatest(least({s}, {MOST}L), -{MOST}L) as decimal(18,0))"
+        far_key = f"cast({held} * {SHIFT} as decimal(38,0)) + cast({v} as decimal(19,0))"
         return [
             f"if({near}, shiftleft({s}, {WIDTH}) + ({v} - {base}) + {HALF}L, null) as {n}_near",
             f"if({near}, null, {s}) as {n}_far_server",

@@ -6,6 +6,7 @@ Text keeps plan building cheap: a projection is one call into the JVM, not one p
 from __future__ import annotations
 
 DAY_MS = 86_400_000
+LONG_MAX = 2**63 - 1
 MAX_MS = 253_402_300_799_999  # end of the year 9999
 EPOCH = "date'1970-01-01'"
 
@@ -37,8 +38,18 @@ def p2p_bytes(dist: str) -> str:
     return or_zero(f"{dist}.p2pTraffic.receivedData")
 
 
+def held_add(a: str, b: str) -> str:
+    """Sum of two longs, held at the largest one where it overflows; the session checks know that value."""
+    return f"coalesce(try_add({a}, {b}), {LONG_MAX}L)"
+
+
+def held_sum(x: str) -> str:
+    """Sum over a group, held at the largest long where it overflows, null where there is nothing to sum."""
+    return f"coalesce(try_sum({x}), if(count({x}) > 0, {LONG_MAX}L, null))"
+
+
 def received_bytes(dist: str) -> str:
-    return f"({source_bytes(dist)} + {p2p_bytes(dist)})"
+    return held_add(source_bytes(dist), p2p_bytes(dist))
 
 
 def safe_ratio(num: str, den: str, default: str = "0D") -> str:

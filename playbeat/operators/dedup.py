@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from playbeat.functions.scalars import server_time, session_key
+from playbeat.functions.scalars import session_key
 from playbeat.operators.sessions import SERVER, key_columns
 from playbeat.schema import KEYS
 
-# Among differing copies the smallest by these stays.
+AGENT = "timestampInfo.agent"
+# Which clock tells heartbeats of a session apart, and its time: the server's, else the player's.
+CLOCK = f"case when {SERVER} is not null then 's' when {AGENT} is not null then 'a' end"
+TIME = f"coalesce({SERVER}, {AGENT})"
+
+# Among differing copies the smallest by these stays. Two longs decide nearly always; the rest makes the order total.
 COPY_ORDER = (
-    "timestampInfo.server, timestampInfo.agent, eventDate, player, totalDistribution, "
+    f"{AGENT}, xxhash64(eventDate, player, totalDistribution), eventDate, player, totalDistribution, "
     "array_sort(map_entries(qualityDistribution))"
 )
 
@@ -18,21 +23,30 @@ COPY_ORDER = (
 def dedup_heartbeats(df: DataFrame) -> DataFrame:
     """One heartbeat per session and server time, whichever order the rows arrive in.
 
-    Copies are cut to one per input split before the shuffle (a window group limit), so a heartbeat
-    repeated a billion times does not meet in one task.
+    A heartbeat without a server time is known by its agent time instead; without either nothing tells it
+    from another, and it stays. Copies are cut to one per input split before the shuffle (a window group
+    limit), so a heartbeat repeated a billion times does not meet in one task.
     """
-    keys = ", ".join([*[session_key(k) for k in KEYS], server_time(SERVER)])
-    ranked = df.selectExpr("*", f"row_number() over (partition by {keys} order by {COPY_ORDER}) as _copy")
-    return ranked.filter("_copy = 1").drop("_copy")
+    marked = df.selectExpr("*", f"{CLOCK} as _clock", f"if({TIME} is null, monotonically_increasing_id(), {TIME}) as _at")
+    keys = ", ".join([*[session_key(k) for k in KEYS], "_clock", "_at"])
+    ranked = marked.selectExpr("*", f"row_number() over (partition by {keys} order by {COPY_ORDER}) as _copy")
+    return ranked.filter("_copy = 1").drop("_copy", "_clock", "_at")
 
 
 def dedup_stream(df: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """Streaming form: repeats within the watermark are dropped; state older than it is evicted."""
+    """Streaming form, with state for the length of the watermark.
+
+    Repeats within the watermark are dropped. A heartbeat that arrives later than the watermark is dropped
+    too, repeated or not, as its state is gone: choose a watermark beyond the latest arrival that counts.
+    Heartbeats without any clock pass.
+    """
     timed = df.selectExpr(
         *[c for c in df.columns if c not in KEYS],
         *key_columns(),
-        f"{server_time(SERVER)} as _server",
-        f"timestamp_millis({server_time(SERVER)}) as _time",
+        f"{CLOCK} as _clock",
+        f"{TIME} as _at",
+        f"timestamp_millis({TIME}) as _time",
     )
-    kept = timed.withWatermark("_time", watermark).dropDuplicatesWithinWatermark([*KEYS, "_server"])
-    return kept.select(*df.columns)
+    known = timed.filter("_at is not null").withWatermark("_time", watermark)
+    kept = known.dropDuplicatesWithinWatermark([*KEYS, "_clock", "_at"]).select(*df.columns)
+    return kept.unionAll(timed.filter("_at is null").select(*df.columns))

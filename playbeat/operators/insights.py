@@ -74,12 +74,24 @@ def quality_switches(events: DataFrame, chunk_ms: int = SWITCH_CHUNK_MS) -> Data
 def segment_failures(
     events: DataFrame, interval_ms: int = HEARTBEAT_INTERVAL_MS, chunk_ms: int = CHUNK_MS
 ) -> DataFrame:
-    """Fragments asked for and never loaded, per label."""
+    """Requests for fragments that were never loaded, per label in force at the request.
+
+    Requests and loads meet by viewer and ``segment_id``: a load after a switch still answers its request, and
+    a retry that loads answers all requests of the segment. A request without a segment id stands alone.
+    """
     rows = asof_quality(events, interval_ms, chunk_ms)
-    counts = rows.groupBy("quality_label").agg(*exprs(
+    segment = "if(segment_id is null, struct(event_id as id, true as alone), struct(segment_id as id, false as alone))"
+    keyed = rows.selectExpr(*KEYS, f"inline(array({segment}))", "quality_label", "event")
+    counts = keyed.groupBy(*KEYS, "id", "alone", "quality_label").agg(*exprs(
         f"count_if({REQUESTS}) as requests", f"count_if({LOADS}) as loads"
     ))
-    failed = counts.selectExpr("*", "greatest(requests - loads, 0L) as failures")
+    answered = counts.selectExpr(
+        "quality_label", "requests", f"sum(loads) over (partition by {', '.join(KEYS)}, id, alone) > 0 as answered"
+    )
+    totals = answered.groupBy("quality_label").agg(*exprs(
+        "sum(requests) as requests", "sum(if(answered, requests, 0L)) as loads"
+    ))
+    failed = totals.filter("requests > 0").selectExpr("*", "requests - loads as failures")
     return failed.selectExpr("*", f"{S.safe_ratio('failures', 'requests')} as failure_rate")
 
 
@@ -116,5 +128,5 @@ WINDOW_SUMS = [
 
 
 def window_metrics(df: DataFrame, window_ms: int = HEARTBEAT_INTERVAL_MS) -> DataFrame:
-    """Heartbeats, stalls and bytes per content and server-time window."""
-    return _server_window(df, window_ms).groupBy("contentId", "window_start_ms").agg(*exprs(*WINDOW_SUMS))
+    """Heartbeats, stalls and bytes per customer's content and server-time window."""
+    return _server_window(df, window_ms).groupBy("customerId", "contentId", "window_start_ms").agg(*exprs(*WINDOW_SUMS))

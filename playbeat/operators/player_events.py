@@ -130,7 +130,7 @@ def asof_quality(
     joined = rows.join(_chunk_carry(windowed, chunk_ms), on=CHUNK_KEYS, how="left")
     label = f"coalesce(local_label, carry_label, {NO_LABEL})"
     return joined.selectExpr(
-        *WINDOW_KEYS, "t", "event_id", "event", f"{label} as quality_label", "requested", "received"
+        *WINDOW_KEYS, "t", "event_id", "event", f"{label} as quality_label", "segment_id", "requested", "received"
     )
 
 

@@ -30,7 +30,7 @@ def explode_quality(df: DataFrame, outer: bool = False) -> DataFrame:
 def label_bytes(exploded: DataFrame, by_date: bool = False) -> DataFrame:
     """Received bytes per session and label of exploded rows."""
     rows = exploded.groupBy(*session_keys(by_date), "quality_label")
-    return rows.agg(*exprs(f"sum({S.received_bytes('dist')}) as received_bytes"))
+    return rows.agg(*exprs(f"{S.held_sum(S.received_bytes('dist'))} as received_bytes"))
 
 
 def quality_bytes(df: DataFrame, by_date: bool = False) -> DataFrame:
@@ -54,42 +54,32 @@ def label_sums(labels: Sequence[str]) -> dict[str, str]:
     }
 
 
-def other_labels(df: DataFrame, labels: Sequence[str], by_date: bool = False) -> DataFrame:
-    """Bytes of labels that are not among the expected ones, one array per session.
-
-    The expected labels are dropped right after the explode, before anything is grouped.
-    """
-    keys = session_keys(by_date)
-    rows = explode_quality(df)
-    if labels:
-        rows = rows.filter(f"quality_label not in ({', '.join(map(_quoted, labels))})")
-    return label_bytes(rows, by_date).groupBy(*keys).agg(
-        *exprs("collect_list(struct(quality_label, received_bytes)) as other_labels")
-    )
-
-
 def session_labels(
     df: DataFrame, by_date: bool = False, labels: Sequence[str] = OBSERVED_LABELS
 ) -> DataFrame:
-    """Session totals with ``labels``, the array of (quality_label, received_bytes).
+    """Session totals with ``labels``, the array of (quality_label, received_bytes), in one scan.
 
-    Expected labels are summed as columns of the session aggregate itself: no explode, and one shuffled
-    row per session. Whatever other labels the data holds come from a second, usually empty, branch that
-    is merge-joined on the keys both sides are already partitioned by.
+    Expected labels are summed as columns of the session aggregate: no explode, and one shuffled row per
+    session. Entries of the map with any other label become rows of their own before that aggregate and
+    come back as a list per session.
     """
     columns = label_sums(labels)
-    flat = project_flat(df, *[f"{x} as {name}" for name, x in columns.items()])
-    totals = session_totals(flat, by_date, list(columns))
+    unknown = f"e.key not in ({', '.join(map(_quoted, labels))})" if labels else "true"
+    entries = (
+        f"transform(filter(map_entries(qualityDistribution), e -> {unknown}), "
+        f"e -> struct(e.key as label, {S.received_bytes('e.value')} as label_bytes))"
+    )
+    flat = project_flat(df, *[f"{x} as {name}" for name, x in columns.items()], f"{entries} as entries")
+    totals = session_totals(flat, by_date, list(columns), "entries")
     if by_date:
         totals = totals.withColumnRenamed("event_date", "eventDate")
-    joined = totals.join(other_labels(df, labels, by_date).hint("merge"), on=session_keys(by_date), how="left")
     expected = ", ".join(
         f"struct({_quoted(x)} as quality_label, {name} as received_bytes)" for name, x in zip(columns, labels)
     )
     kind = "array<struct<quality_label:string,received_bytes:bigint>>"
     present = f"filter(cast(array({expected}) as {kind}), x -> x.received_bytes is not null)"
-    kept = [c for c in totals.columns if c not in columns]
-    return joined.selectExpr(*kept, f"concat({present}, coalesce(other_labels, cast(array() as {kind}))) as labels")
+    kept = [c for c in totals.columns if c not in (*columns, "label_list")]
+    return totals.selectExpr(*kept, f"concat({present}, cast(label_list as {kind})) as labels")
 
 
 def share_pct(part: str, total: str) -> str:
@@ -169,7 +159,8 @@ def quality_metrics(df: DataFrame, by_date: bool = False) -> DataFrame:
 
 
 def join_dominant_breakdown(per_label: DataFrame, by_date: bool = False) -> DataFrame:
-    """Dominant label left-joined with the map view on the session keys."""
-    keys = session_keys(by_date)
-    breakdown = quality_map(per_label, by_date).hint("merge")
-    return dominant_quality(per_label, by_date).join(breakdown, on=keys, how="left")
+    """Dominant label next to the map view, per session; the breakdown already holds both, so there is no join."""
+    rows = quality_breakdown(per_label, by_date).filter("dominant_quality is not null")
+    return rows.selectExpr(
+        *session_keys(by_date), "dominant_quality", f"{breakdown_map('quality_breakdown')} as quality_breakdown"
+    )

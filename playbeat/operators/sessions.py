@@ -11,16 +11,17 @@ from playbeat.functions.ordering import ServerOrdered
 from playbeat.schema import HEARTBEAT_INTERVAL_MS, KEYS
 
 SERVER = "timestampInfo.server"
-LONG_MAX = 2**63 - 1
 AGENT = ServerOrdered("agent", "server", "agent")
 DAY = ServerOrdered("day", "server", "cast(unix_date(eventDate) as bigint)", lambda s: f"({s} div {S.DAY_MS})")
 
+# Null where a sum does not fit a long: that session is set aside, the others go on.
 SUMS = {
-    "total_buffering_events": "bufferings",
-    "total_buffering_time_ms": "buffering_ms",
-    "total_received_bytes": "source_bytes + p2p_bytes",
-    "p2p_received_bytes": "p2p_bytes",
+    "total_buffering_events": "try_sum(bufferings)",
+    "total_buffering_time_ms": "try_sum(buffering_ms)",
+    "total_received_bytes": "try_add(try_sum(source_bytes), try_sum(p2p_bytes))",
+    "p2p_received_bytes": "try_sum(p2p_bytes)",
 }
+FLAT = ["server", "agent", "bufferings", "buffering_ms", "source_bytes", "p2p_bytes"]
 
 
 def exprs(*texts: str) -> list[Column]:
@@ -51,27 +52,60 @@ def project_flat(df: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def session_totals(flat: DataFrame, by_date: bool = False, added: Sequence[str] = ()) -> DataFrame:
+def with_label_rows(df: DataFrame, entries: str, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Each row once with ``columns`` and a null label, and once per entry (label, bytes) with those alone.
+
+    So totals and bytes per label come from one pass over the table.
+    """
+    kind = "array<struct<label:string,label_bytes:bigint>>"
+    none = "array(struct(cast(null as string) as label, cast(null as bigint) as label_bytes))"
+    both = f"concat(cast({none} as {kind}), coalesce(cast({entries} as {kind}), cast(array() as {kind})))"
+    rows = df.selectExpr(*keys, *columns, f"inline({both}) as (label, label_bytes)")
+    return rows.selectExpr(*keys, "label", "label_bytes", *[f"if(label is null, {c}, null) as {c}" for c in columns])
+
+
+def fold_labels(rows: DataFrame, keys: Sequence[str], aggregates: Sequence[str]) -> DataFrame:
+    """One row per key from label rows: the aggregates of the null label, and ``label_list`` of the others.
+
+    The rows meet by key and label in a hash aggregate that combines on the map side; what the second
+    aggregate gathers per key are its labels, already summed.
+    """
+    first = rows.groupBy(*keys, "label").agg(*exprs(*aggregates, f"{S.held_sum('label_bytes')} as label_bytes"))
+    measures = [c for c in first.columns if c not in (*keys, "label", "label_bytes")]
+    entry = "if(label is null, null, struct(label as quality_label, label_bytes as received_bytes))"
+    return first.groupBy(*keys).agg(
+        *exprs(*[f"max({c}) as {c}" for c in measures], f"collect_list({entry}) as label_list")
+    )
+
+
+def session_totals(
+    flat: DataFrame, by_date: bool = False, added: Sequence[str] = (), entries: str | None = None
+) -> DataFrame:
     """One row per session: count, span, sums, and the agent clock of the first and last heartbeat.
 
-    ``added`` names further columns to sum.
+    ``added`` names further columns to sum; ``entries`` is an array of (label, bytes) per row, which comes back
+    summed per label as ``label_list``.
 
     Every buffer is a primitive, so this is a hash aggregate that combines on the map side: a session
     holding a third of all rows reaches the shuffle as one row per task.
     """
-    totals = (
-        flat.selectExpr("*", *AGENT.columns(), *([] if by_date else DAY.columns()))
-        .groupBy(*session_keys(by_date))
-        .agg(*exprs(
-            "min(server) as session_start_ms",
-            "max(server) as session_end_ms",
-            "count(1) as snapshot_count",
-            *[f"sum({x}) as {name}" for name, x in SUMS.items()],
-            *[f"sum({name}) as {name}" for name in added],
-            *AGENT.aggregates(),
-            *([] if by_date else DAY.aggregates(last=False)),
-        ))
-    )
+    keys = session_keys(by_date)
+    aggregates = [
+        "min(server) as session_start_ms",
+        "max(server) as session_end_ms",
+        "count(server) as snapshot_count",  # never null in a heartbeat's row
+        *[f"{x} as {name}" for name, x in SUMS.items()],
+        *[f"{S.held_sum(name)} as {name}" for name in added],
+        *AGENT.aggregates(),
+        *([] if by_date else DAY.aggregates(last=False)),
+    ]
+    if entries is not None:
+        flat = with_label_rows(flat, entries, keys, [*FLAT, *added, *([] if by_date else ["eventDate"])])
+    clocks = flat.selectExpr("*", *AGENT.columns(), *([] if by_date else DAY.columns()))
+    if entries is None:
+        totals = clocks.groupBy(*keys).agg(*exprs(*aggregates))
+    else:
+        totals = fold_labels(clocks, keys, aggregates)
     day = "eventDate" if by_date else f"date_from_unix_date(cast({DAY.first()} as int))"
     return totals.selectExpr(
         *KEYS,
@@ -83,16 +117,18 @@ def session_totals(flat: DataFrame, by_date: bool = False, added: Sequence[str]
         f"{AGENT.first()} as first_agent_ms",
         f"{AGENT.last()} as last_agent_ms",
         *added,
+        *([] if entries is None else ["label_list"]),
     )
 
 
 def with_session_ratios(totals: DataFrame, interval_ms: int = HEARTBEAT_INTERVAL_MS) -> DataFrame:
     """Watch time and the ratios that follow from session totals.
 
-    A span beyond a long (absurd agent clocks) is held at the limits: one session must not fail the job.
+    A span beyond a long (absurd agent clocks) is held at the limits, so that one session does not fail the
+    job; the session checks set it aside.
     """
     span = f"try_add(try_subtract(last_agent_ms, first_agent_ms), {interval_ms}L)"
-    beyond = f"if(last_agent_ms > first_agent_ms, {LONG_MAX}L, 0L)"
+    beyond = f"if(last_agent_ms > first_agent_ms, {S.LONG_MAX}L, 0L)"
     watch = f"greatest(coalesce({span}, {beyond}), {interval_ms}L)"
     return totals.selectExpr("*", f"{watch} as watch_time_ms").selectExpr(
         "*",

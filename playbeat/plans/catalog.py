@@ -450,7 +450,7 @@ def assign_windows(spark, sf):
 
 @query
 def asof_quality(spark, sf):
-    return pe.asof_quality(derived.player_events(spark, sf)).drop("requested", "received")
+    return pe.asof_quality(derived.player_events(spark, sf)).drop("segment_id", "requested", "received")
 
 
 @query

@@ -300,10 +300,10 @@ SQL: dict[str, str] = {
       UNION ALL SELECT {METRICS} FROM late WHERE event_date >= '{FILTER_DATE}'"""),
     "stream_sessions": ses(f"SELECT {METRICS} FROM ses"),
     "window_metrics": hb("""
-      SELECT "contentId", server // 30000 * 30000 AS window_start_ms, count(*) AS heartbeats,
+      SELECT "customerId", "contentId", server // 30000 * 30000 AS window_start_ms, count(*) AS heartbeats,
         count(*) FILTER (buf0 > 0) AS heartbeats_with_buffering, CAST(sum(buf0) AS BIGINT) AS bufferings,
         CAST(sum(ms0) AS BIGINT) AS buffering_ms, CAST(sum(source_bytes + p2p_bytes) AS BIGINT) AS received_bytes
-      FROM hb GROUP BY 1, 2"""),
+      FROM hb GROUP BY 1, 2, 3"""),
     "assign_windows": pe(f"SELECT {KEYS}, event_id, t, win, win_start, win_end FROM pe"),
     "asof_quality": pe(f"SELECT {KEYS}, win, t, event_id, event, quality_label FROM filled WHERE event = 'frag'"),
     "buffer_intervals": pe(f"SELECT {KEYS}, win, start_ms, event_id, end_ms, duration_ms FROM stalls"),

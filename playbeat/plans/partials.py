@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, types as T
 
 from playbeat.functions.ordering import ServerOrdered
 from playbeat.operators.quality import session_labels
-from playbeat.operators.sessions import DAY, SUMS, exprs, session_keys
+from playbeat.operators.sessions import DAY, SUMS, fold_labels, session_keys, with_label_rows
 from playbeat.plans.metrics import finish_metrics
 from playbeat.schema import HEARTBEAT_INTERVAL_MS, KEYS, OBSERVED_LABELS
 
@@ -33,15 +33,6 @@ TAIL = ServerOrdered("tail", "session_end_ms", "last_agent_ms")
 FIRST_DAY = ServerOrdered("day", "session_start_ms", DAY.value, DAY.base)
 
 
-def _with_quality(totals: DataFrame, per_label: DataFrame, keys: list[str]) -> DataFrame:
-    maps = per_label.groupBy(*keys).agg(
-        *exprs("map_from_entries(collect_list(struct(quality_label, received_bytes))) as quality")
-    )
-    joined = totals.join(maps.hint("merge"), on=keys, how="left")
-    empty = "cast(map() as map<string,bigint>)"
-    return joined.selectExpr(*PARTIAL.fieldNames()[:-1], f"coalesce(quality, {empty}) as quality")
-
-
 def session_partials(df: DataFrame, labels: Sequence[str] = OBSERVED_LABELS) -> DataFrame:
     """Partial state per session and event date."""
     totals = session_labels(df, by_date=True, labels=labels)
@@ -52,20 +43,24 @@ def merge_partials(*parts: DataFrame, by_date: bool = True) -> DataFrame:
     """Merge partial states to one row per session; without ``by_date`` dates of a session merge too."""
     rows = reduce(DataFrame.unionByName, parts)
     keys = session_keys(by_date)
-    totals = (
-        rows.selectExpr("*", *HEAD.columns(), *TAIL.columns(), *([] if by_date else FIRST_DAY.columns()))
-        .groupBy(*keys)
-        .agg(*exprs(
-            *[f"sum({c}) as {c}" for c in ADDED],
-            "min(session_start_ms) as session_start_ms",
-            "max(session_end_ms) as session_end_ms",
-            *HEAD.aggregates(last=False),
-            *TAIL.aggregates(first=False),
-            *([] if by_date else FIRST_DAY.aggregates(last=False)),
-        ))
+    columns = [*ADDED, *SPAN, *([] if by_date else ["eventDate"])]
+    entries = "transform(map_entries(quality), e -> struct(e.key as label, e.value as label_bytes))"
+    spread = with_label_rows(rows, entries, keys, columns)
+    spread = spread.selectExpr(
+        "*", *HEAD.columns(), *TAIL.columns(), *([] if by_date else FIRST_DAY.columns()), "label is null as whole"
     )
+    totals = fold_labels(spread, keys, [
+        # a part whose sum did not fit makes the whole one null, too
+        *[f"if(count({c}) < count_if(whole), null, try_sum({c})) as {c}" for c in ADDED],
+        "min(session_start_ms) as session_start_ms",
+        "max(session_end_ms) as session_end_ms",
+        *HEAD.aggregates(last=False),
+        *TAIL.aggregates(first=False),
+        *([] if by_date else FIRST_DAY.aggregates(last=False)),
+    ])
     day = "eventDate" if by_date else f"date_from_unix_date(cast({FIRST_DAY.first()} as int)) as eventDate"
-    totals = totals.selectExpr(
+    pairs = "transform(label_list, x -> struct(x.quality_label as key, x.received_bytes as value))"
+    return totals.selectExpr(
         *KEYS,
         day,
         *ADDED,
@@ -73,9 +68,8 @@ def merge_partials(*parts: DataFrame, by_date: bool = True) -> DataFrame:
         f"{HEAD.first()} as first_agent_ms",
         "session_end_ms",
         f"{TAIL.last()} as last_agent_ms",
+        f"map_from_entries({pairs}) as quality",
     )
-    labels = rows.selectExpr(*keys, "explode(quality) as (quality_label, b)").groupBy(*keys, "quality_label")
-    return _with_quality(totals, labels.agg(*exprs("sum(b) as received_bytes")), keys)
 
 
 def finalize(

@@ -65,6 +65,7 @@ PLAYER_EVENT = T.StructType(
         T.StructField("level", T.IntegerType()),
         T.StructField("requested", T.LongType()),
         T.StructField("received", T.LongType()),
+        T.StructField("segment_id", T.LongType()),
     ]
 )
 

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def get_spark(app_name: str = "playbeat", **conf: str) -> SparkSession:
-    """Ambient session on a cluster, a new one otherwise. Time zone is UTC: dates come from epoch ms."""
+    """The running session with these settings, or a new one. Event dates follow UTC whatever the cluster's zone."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # generated methods above 8000 bytes are not compiled by HotSpot; smaller ones then run faster
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
@@ -24,14 +21,14 @@ def get_spark(app_name: str = "playbeat", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-_local_root: str | None = None
-
-
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's spark.checkpoint.dir; a local one only where that is unset."""
-    global _local_root
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        _local_root = _local_root or tempfile.mkdtemp(prefix="playbeat-")
-        root = _local_root
+    """A fresh folder that all executors see: below spark.checkpoint.dir, or below the warehouse where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Deletes a folder and what it holds, on whatever file system it is; one that is not there is no error."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    where = hadoop.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -97,6 +97,7 @@ def player_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(if(event = 'level', k % 4, null) as int) as level",
         f"{frag_bytes} as requested",
         f"{frag_bytes} as received",
+        "if(event = 'frag', event_id, null) as segment_id",
     )
 
 
@@ -131,8 +132,11 @@ def text_heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fragment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Player events with fragment requests and loads as rows of their own; every 7th request fails."""
     rows = player_events(spark, sf_dir)
+    # every 5th load comes two seconds late, when another level may be in force
+    late = "if(event = 'frag_loaded' and event_id % 5 = 0, t + 2000, t) as t"
     kinds = (
         "if(event = 'frag', array_compact(array('frag_loading', if(event_id % 7 <> 0, 'frag_loaded', null))), "
         "array(event))"
     )
-    return rows.selectExpr(*[f"explode({kinds}) as event" if c == "event" else c for c in rows.columns])
+    parts = rows.selectExpr(*[f"explode({kinds}) as event" if c == "event" else c for c in rows.columns])
+    return parts.selectExpr(*[late if c == "t" else c for c in parts.columns])

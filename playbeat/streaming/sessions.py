@@ -215,13 +215,14 @@ def stream_quality(stream: DataFrame) -> DataFrame:
 def stream_window_metrics(
     stream: DataFrame, duration: str = "30 seconds", watermark: str = "1 minute"
 ) -> DataFrame:
-    """Event-time windows per content with a watermark; late heartbeats beyond it are dropped."""
+    """Event-time windows per customer's content with a watermark; heartbeats later than it are dropped."""
     rows = stream.selectExpr(
+        f"{S.session_key('customerId')} as customerId",
         f"{S.session_key('contentId')} as contentId",
         f"timestamp_millis({S.server_time(SERVER)}) as server_time",
         f"{S.or_zero('player.bufferings')} as bufferings",
         f"{S.or_zero('player.bufferingTime')} as buffering_ms",
         f"{S.received_bytes('totalDistribution')} as received_bytes",
     ).withWatermark("server_time", watermark)
-    out = rows.groupBy(F.window("server_time", duration).alias("w"), "contentId").agg(*exprs(*WINDOW_SUMS))
-    return out.selectExpr("contentId", "unix_millis(w.start) as window_start_ms", *out.columns[2:])
+    out = rows.groupBy(F.window("server_time", duration).alias("w"), "customerId", "contentId").agg(*exprs(*WINDOW_SUMS))
+    return out.selectExpr("customerId", "contentId", "unix_millis(w.start) as window_start_ms", *out.columns[3:])

@@ -31,7 +31,7 @@ def frame(spark, rows):
 def events_frame(spark, rows, client="v"):
     """Rows of (t, event, height, level, bytes)."""
     full = [
-        ("c", "w", client, t, i, event, height, level, size, size)
+        ("c", "w", client, t, i, event, height, level, size, size, i)
         for i, (t, event, height, level, size) in enumerate(rows)
     ]
     return spark.createDataFrame(full, PLAYER_EVENT)

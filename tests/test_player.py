@@ -7,6 +7,7 @@ from beats import T0, events_frame, expected_heartbeats
 
 from playbeat.operators import insights, player_events as pe
 from playbeat.plans.metrics import compute_metrics
+from playbeat.schema import PLAYER_EVENT
 from playbeat.streaming.player import heartbeats_aligned
 
 
@@ -137,3 +138,16 @@ def test_viewer_join_can_be_split_when_skewed(spark):
     sorts = [i for i, x in enumerate(lines) if "Sort [" in x]
     assert len(sorts) == 2
     assert all("Exchange hashpartitioning" in lines[i + 1] and "viewer_hash" not in lines[i + 1] for i in sorts)
+
+
+def test_a_load_answers_its_own_request(spark):
+    """A fragment asked for at 1080p and loaded after a switch to 720p did not fail; one never loaded did."""
+    from playbeat.operators.insights import segment_failures
+
+    rows = [
+        (T0, 1, "level", 1080, None), (T0 + 10, 2, "frag_loading", None, 7), (T0 + 20, 3, "level", 720, None),
+        (T0 + 30, 4, "frag_loaded", None, 7), (T0 + 40, 5, "frag_loading", None, 8), (T0 + 50, 6, "frag_loading", None, None),
+    ]
+    full = [("c", "w", "v", t, i, event, height, None, 1, 1, segment) for t, i, event, height, segment in rows]
+    got = {r.quality_label: (r.requests, r.loads, r.failures, r.failure_rate) for r in segment_failures(spark.createDataFrame(full, PLAYER_EVENT)).collect()}
+    assert got == {"1080p": (1, 1, 0, 0.0), "720p": (2, 0, 2, 1.0)}

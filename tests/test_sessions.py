@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from playbeat.operators import quality
 from playbeat.operators.dedup import dedup_heartbeats
+from playbeat.operators.insights import window_metrics
 from playbeat.operators.reshape import flatten_metrics
+from playbeat.operators.sessions import buffering_metrics
 from playbeat.operators.summary import dominant_distribution, fleet_summary, fleet_summary_pct
 from playbeat.plans.metrics import compute_metrics, process_all
-from playbeat.plans.partials import finalize, merge_partials, session_partials
-from playbeat.schema import SESSION_METRICS
+from playbeat.operators.validate import validate_metrics
+from playbeat.plans.partials import PARTIAL, finalize, merge_partials, session_partials
+from playbeat.schema import HEARTBEAT_NARROW, SESSION_METRICS
 
 LONG_MIN, LONG_MAX = -(2**63), 2**63 - 1
 
@@ -195,3 +198,68 @@ def test_session_totals_hash_aggregate(spark):
 
     plan = buffering_metrics(frame(spark, [beat()]))._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_dedup_without_server_time(spark):
+    rows = [beat(None, T0), beat(None, T0), beat(None, T0 + 1), beat(None, None), beat(None, None), beat(T0, 1), beat(T0, 2), beat(0, 5), beat(0, 6)]
+    got = dedup_heartbeats(frame(spark, rows)).collect()
+    assert len(got) == 6 and sorted(r.timestampInfo.agent for r in got if r.timestampInfo.server is not None) == [1, 5]
+
+
+def test_windows_keep_customers_apart(spark):
+    rows = [beat(customer="one", src=3), beat(customer="two", src=5)]
+    got = {r.customerId: r.received_bytes for r in window_metrics(frame(spark, rows)).collect()}
+    assert got == {"one": 3, "two": 5}
+
+
+def test_extreme_clocks_keep_their_order(spark):
+    rng = random.Random(11)
+    times = [0, 1, 5, 6, T0, 2**42, 2**42 + 1, -3, 8 * 10**17, -8 * 10**17]
+    agents = [LONG_MIN, LONG_MAX, -9 * 10**18, 9 * 10**18, 0, T0, T0 + 2**20, T0 - 2**21]
+    for _ in range(6):
+        rows = [beat(rng.choice(times), rng.choice(agents) or None) for _ in range(12)]
+        pairs = [(s, a if a else s) for (s, a) in (r[3] for r in rows)]
+        got = buffering_metrics(frame(spark, rows)).first()
+        assert (got.first_agent_ms, got.last_agent_ms) == (min(pairs)[1], max(pairs)[1])
+
+
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_session_metrics_scan_the_table_once(spark, tmp_path):
+    frame(spark, [beat(quality={"1080p": 3, "8k": 1})]).write.parquet(str(tmp_path / "beats"))
+    beats = spark.read.schema(HEARTBEAT_NARROW).parquet(str(tmp_path / "beats"))
+    assert scans(compute_metrics(beats)) == scans(session_partials(beats)) == 1
+    partials = session_partials(beats)
+    partials.write.parquet(str(tmp_path / "partials"))
+    assert scans(merge_partials(spark.read.schema(PARTIAL).parquet(str(tmp_path / "partials")))) == 1
+
+
+@pytest.mark.parametrize("labels", [[], ["240p"], ["1080p", "720p"], ["it's", "a\\b", "1080p", "270p", "360p", "720p"]])
+def test_unexpected_labels_do_not_change_the_result(spark, labels):
+    rng = random.Random(5)
+    ladder = ["2160p", "1440p", "1080p", "720p", "540p", "480p", "it's", "a\\b", ""]
+    rows = [beat(T0 + i * 30_000, client=f"v{i % 7}", quality={x: rng.randint(0, 9) for x in rng.sample(ladder, rng.randint(0, 5))}) for i in range(80)]
+    rows += [beat(client="none"), beat(client="empty", quality={})]
+    got = sorted(map(str, compute_metrics(frame(spark, rows), labels=labels).collect()))
+    assert got == sorted(map(str, compute_metrics(frame(spark, rows)).collect()))
+    check_metrics(compute_metrics(frame(spark, rows), labels=labels), rows)
+
+
+def test_an_overflow_sets_one_session_aside(spark):
+    huge = 2**62
+    rows = [beat(client="ok", src=5, quality={"1080p": 5})]
+    rows += [beat(client="bytes", src=huge), beat(client="bytes", src=huge)]
+    rows += [beat(client="row", src=huge, p2p=huge)]
+    rows += [beat(client="label", quality={"1080p": huge}), beat(client="label", quality={"1080p": huge})]
+    rows += [beat(client="other", quality={"8k": huge}), beat(client="other", quality={"8k": huge})]
+    rows += [beat(T0, -9 * 10**18, client="span"), beat(T0 + 1, 9 * 10**18, client="span")]
+    valid, rejected = process_all(frame(spark, rows))
+    assert [r.client_id for r in valid.collect()] == ["ok"]
+    reasons = {r.client_id: r.reasons for r in rejected.collect()}
+    assert set(reasons) == {"bytes", "row", "label", "other", "span"}
+    assert reasons["span"] == ["watch_time_out_of_range"] and all("counter_overflow" in v for k, v in reasons.items() if k != "span")
+    halves = [session_partials(frame(spark, rows[i::2])) for i in range(2)]
+    merged = validate_metrics(finalize(merge_partials(*halves, by_date=False)))
+    assert [r.client_id for r in merged[0].collect()] == ["ok"]

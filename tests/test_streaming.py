@@ -138,6 +138,14 @@ def test_dedup_stream(spark, paths):
     assert spark.table("unique").count() == 3
 
 
+def test_dedup_stream_without_server_time(spark, paths):
+    rows = [beat(None, T0), beat(None, T0), beat(None, T0 + 1), beat(None, None, n=1), beat(None, None, n=1), beat()]
+    write_files(spark, rows, paths["in"], 1)
+    query = dedup_stream(stream(spark, paths["in"])).writeStream.format("memory").queryName("clockless")
+    query.option("checkpointLocation", paths["check"]).trigger(availableNow=True).start().awaitTermination()
+    assert spark.table("clockless").count() == 5
+
+
 @pytest.mark.parametrize("files", [3])
 def test_player_stream(spark, paths, files):
     rows = random_events(8, 400, 700_000)
