@@ -4,17 +4,23 @@ from __future__ import annotations
 
 import argparse
 import sys
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from playbeat.functions.scalars import session_key
+from playbeat.operators.dedup import dedup_heartbeats
+from playbeat.operators.sessions import key_columns
 from playbeat.operators.summary import dominant_distribution, fleet_summary, fleet_summary_pct
 from playbeat.operators.validate import validate_metrics
 from playbeat.plans.metrics import compute_metrics
-from playbeat.schema import HEARTBEAT_INTERVAL_MS, HEARTBEAT_NARROW, SESSION_METRICS
-from playbeat.session import get_spark, shared_dir
-from playbeat.sinks.tables import write_csv, write_json, write_metrics
-from playbeat.sources.heartbeats import load_snapshots, read_for_metrics
+from playbeat.schema import HEARTBEAT_INTERVAL_MS, HEARTBEAT_NARROW, KEYS, OBSERVED_LABELS, SESSION_METRICS
+from playbeat.session import get_spark, remove_dir
+from playbeat.sinks.tables import SESSION_COLUMNS, replace_date, replace_sessions, write_csv, write_json, write_metrics
+from playbeat.sources.heartbeats import filter_date, load_checked, read_for_metrics
+from playbeat.sources.payload import CORRUPT, decode_payload, split_decoded
+from playbeat.sources.quarantine import as_quarantine, split_clocks
 
 
 @dataclass(frozen=True)
@@ -30,29 +36,41 @@ class JobParams:
     files: bool = True
     streaming: bool = False
     checkpoint: str | None = None
-    trigger_interval: str = "30 seconds"
+    trigger_interval: str | None = "30 seconds"
+    labels: tuple[str, ...] = tuple(OBSERVED_LABELS)
+    dedup: bool = False
+    payload: bool = False
 
 
 def parse_args(argv: list[str] | None = None) -> JobParams:
     p = argparse.ArgumentParser(description="Viewer quality-of-service metrics from heartbeats")
     p.add_argument("--input", required=True)
     p.add_argument("--output", required=True)
-    p.add_argument("--date", help="one event date, YYYY-MM-DD")
+    p.add_argument("--date", help="one event date, YYYY-MM-DD; without --by-date its sessions are read in full")
     p.add_argument("--heartbeat-interval-ms", type=int, default=HEARTBEAT_INTERVAL_MS)
     p.add_argument("--min-snapshots", type=int, default=1)
     p.add_argument("--format", default="parquet", choices=["parquet", "json", "orc", "delta"])
     p.add_argument("--by-date", action="store_true", help="split sessions at midnight")
     p.add_argument("--partition-by", default="event_date", help="comma-separated output partition columns")
     p.add_argument("--no-files", action="store_true", help="write the table only, no JSON and CSV")
+    p.add_argument("--labels", default=",".join(OBSERVED_LABELS), help="quality labels to expect; others are found, too")
+    p.add_argument("--dedup", action="store_true", help="count repeated heartbeats once")
+    p.add_argument("--payload", action="store_true", help="the input holds JSON payloads: columns value and timestamp")
     p.add_argument("--streaming", action="store_true")
     p.add_argument("--checkpoint")
-    p.add_argument("--trigger-interval", default="30 seconds")
+    p.add_argument("--trigger-interval", default="30 seconds", help="'once' reads what is there and stops")
     a = p.parse_args(argv)
     if a.streaming and not a.checkpoint:
         p.error("--checkpoint is required in streaming mode")
+    if a.streaming and a.date:
+        p.error("a stream has no single --date")
+    if a.payload and a.date and not a.by_date:
+        p.error("--payload with --date needs --by-date")
     return JobParams(
         a.input, a.output, a.date, a.heartbeat_interval_ms, a.min_snapshots, a.format, a.by_date,
-        tuple(a.partition_by.split(",")), not a.no_files, a.streaming, a.checkpoint, a.trigger_interval,
+        tuple(a.partition_by.split(",")), not a.no_files, a.streaming, a.checkpoint,
+        None if a.trigger_interval == "once" else a.trigger_interval,
+        tuple(x for x in a.labels.split(",") if x), a.dedup, a.payload,
     )
 
 
@@ -61,43 +79,75 @@ def _input_format(params: JobParams) -> str:
     return "delta" if params.fmt == "delta" else "parquet"
 
 
-def _load(spark: SparkSession, params: JobParams) -> DataFrame:
-    if params.fmt == "delta":
-        return read_for_metrics(spark, params.input_path, params.date, "delta")
-    return load_snapshots(spark, params.input_path, params.date, _input_format(params), HEARTBEAT_NARROW)
+def _load(spark: SparkSession, params: JobParams, date: str | None) -> tuple[DataFrame, list[DataFrame]]:
+    """Heartbeats with usable values and clocks, and what was set aside, each with ``reasons``."""
+    aside: list[DataFrame] = []
+    if params.payload:
+        decoded = decode_payload(spark.read.format(_input_format(params)).load(params.input_path))
+        beats, corrupt = split_decoded(decoded)
+        beats = filter_date(beats, date)
+        aside.append(corrupt.selectExpr(f"{CORRUPT} as line", "array('payload') as reasons"))
+    elif params.fmt == "delta":
+        beats = read_for_metrics(spark, params.input_path, date, "delta")
+    else:
+        beats, bad = load_checked(spark, params.input_path, date, _input_format(params), HEARTBEAT_NARROW)
+        aside += [] if bad is None else [bad]
+    beats, clockless = split_clocks(beats)
+    return (dedup_heartbeats(beats) if params.dedup else beats), [*aside, clockless]
 
 
 def run_batch(spark: SparkSession, params: JobParams) -> int:
     """0 when done or when there is nothing to do, 1 when the input is missing.
 
-    The metrics are computed once, into the shared folder; table, files and summaries read that.
-    A run over one date replaces that date in the table, a run over all dates replaces the table.
+    The metrics are computed once, into a folder beside the output; table, files and summaries read that, and
+    it is removed at the end. A run over all dates replaces table, rejected sessions and quarantine. A run
+    over one date replaces that date with ``--by-date``; without it a session may reach into other dates, so
+    all heartbeats of the sessions seen on the date are read and their rows are replaced wherever they are.
     """
     try:
-        heartbeats = _load(spark, params)
+        beats, aside = _load(spark, params, params.date)
     except FileNotFoundError as error:
-        print(f"could not load data: {error}", file=sys.stderr)
+        print(f"input not readable: {error}", file=sys.stderr)
         return 1
-    if heartbeats.isEmpty():
-        print("no heartbeats, nothing to process", file=sys.stderr)
-        return 0
     out = params.output_path.rstrip("/")
-    staged = shared_dir(spark, "metrics")
-    compute_metrics(heartbeats, params.heartbeat_interval_ms, params.min_snapshots, params.by_date).write.parquet(staged)
+    for i, bad in enumerate(aside):
+        at = f"{out}/quarantine/part={i}" if params.date is None else f"{out}/quarantine_by_date/date={params.date}/part={i}"
+        as_quarantine(bad).write.mode("overwrite").json(at)
+    if beats.isEmpty():
+        print(f"{params.input_path} holds no usable heartbeat{f' of {params.date}' if params.date else ''}", file=sys.stderr)
+        if params.date is None:
+            return 0
+    staged = f"{out}/_staging_{uuid.uuid4().hex}"
+    touched = None
+    if params.date is not None and not params.by_date:
+        touched = beats.selectExpr(*key_columns()).distinct()
+        every = _load(spark, params, None)[0]
+        match = " and ".join(f"{session_key(f'b.{k}')} = t.{k}" for k in KEYS)
+        beats = every.alias("b").join(touched.alias("t"), F.expr(match), "left_semi")
+        touched = touched.selectExpr(*[f"{k} as {c}" for k, c in zip(KEYS, SESSION_COLUMNS)])
+    metrics = compute_metrics(beats, params.heartbeat_interval_ms, params.min_snapshots, params.by_date, params.labels)
+    metrics.write.parquet(staged)
     valid, rejected = validate_metrics(spark.read.schema(SESSION_METRICS).parquet(staged))
+    table, set_aside = f"{out}/viewer_metrics", f"{out}/rejected_sessions"
+    for rows, path, fmt, by in ((rejected, set_aside, "json", ("event_date",)), (valid, table, params.fmt, params.partition_by)):
+        if params.date is None:
+            write_metrics(rows, path, fmt, by, replace_table=True)
+        elif params.by_date:
+            replace_date(spark, rows, params.date, path, fmt, by)
+        else:
+            replace_sessions(spark, rows, touched, path, fmt, by)
     if not rejected.isEmpty():
-        rejected.write.mode("overwrite").json(f"{out}/rejected_sessions")
-        print(f"sessions with values out of range are in {out}/rejected_sessions", file=sys.stderr)
+        print(f"{rejected.count()} sessions with values out of range are in {set_aside}", file=sys.stderr)
     if valid.isEmpty():
-        print("no session metrics, check min_snapshots", file=sys.stderr)
-        return 0
-    write_metrics(valid, f"{out}/viewer_metrics", params.fmt, params.partition_by, params.date is None)
-    if params.files:
-        write_json(valid, f"{out}/viewer_metrics_json")
-        write_csv(valid, f"{out}/viewer_metrics_csv")
-    fleet_summary(valid).show(truncate=False)
-    fleet_summary_pct(valid).show(truncate=False)
-    dominant_distribution(valid, include_missing=True).show(truncate=False)
+        print(f"no session has {params.min_snapshots} heartbeats or more (min_snapshots)", file=sys.stderr)
+    else:
+        if params.files:
+            write_json(valid, f"{out}/viewer_metrics_json")
+            write_csv(valid, f"{out}/viewer_metrics_csv")
+        fleet_summary(valid).show(truncate=False)
+        fleet_summary_pct(valid).show(truncate=False)
+        dominant_distribution(valid, include_missing=True).show(truncate=False)
+    remove_dir(spark, staged)
     return 0
 
 
@@ -110,6 +160,8 @@ def main(argv: list[str] | None = None) -> int:
         run_streaming(
             spark, params.input_path, params.output_path, params.checkpoint,
             params.trigger_interval, params.heartbeat_interval_ms, params.fmt, input_fmt=_input_format(params),
+            payload=params.payload, dedup=params.dedup, by_date=params.by_date, min_snapshots=params.min_snapshots,
+            partition_by=params.partition_by, labels=params.labels,
         )
         return 0
     return run_batch(spark, params)

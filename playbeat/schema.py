@@ -44,16 +44,24 @@ def _heartbeat(leaf: T.StructType, count, stamp, day) -> T.StructType:
 
 
 DISTRIBUTION = distribution(traffic())
-HEARTBEAT = _heartbeat(traffic(), T.IntegerType, T.LongType, T.DateType)
+HEARTBEAT = _heartbeat(traffic(), T.LongType, T.LongType, T.DateType)
 
 # What the session metrics read. Spark prunes struct leaves by itself, but not through an explode of
 # the quality map, so the map value is declared with its two byte counters only.
 HEARTBEAT_NARROW = _heartbeat(
-    T.StructType([T.StructField("receivedData", T.LongType())]), T.IntegerType, T.LongType, T.DateType
+    T.StructType([T.StructField("receivedData", T.LongType())]), T.LongType, T.LongType, T.DateType
 )
 
-# Every leaf as text: the input of the quarantine split.
-HEARTBEAT_TEXT = _heartbeat(traffic(T.StringType, T.StringType), T.StringType, T.StringType, T.StringType)
+
+
+def as_text(kind: T.DataType) -> T.DataType:
+    """The same nesting with every leaf as text: the input of the quarantine split."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, as_text(f.dataType)) for f in kind.fields])
+    return T.MapType(T.StringType(), as_text(kind.valueType)) if isinstance(kind, T.MapType) else T.StringType()
+
+
+HEARTBEAT_TEXT = as_text(HEARTBEAT)
 
 PLAYER_EVENT = T.StructType(
     [T.StructField(k, T.StringType()) for k in KEYS]

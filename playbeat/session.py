@@ -27,6 +27,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def list_dir(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none where it is missing."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(where)) if files.exists(where) else []
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Deletes a folder and what it holds, on whatever file system it is; one that is not there is no error."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs

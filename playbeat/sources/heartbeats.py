@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.types import StructType
 
-from playbeat.schema import HEARTBEAT, HEARTBEAT_NARROW
+from playbeat.schema import HEARTBEAT, HEARTBEAT_NARROW, as_text
+from playbeat.sources.quarantine import split_malformed
 
 PARTITION = "eventDate"
 TABLE_FORMATS = ("delta",)  # formats that keep their own file list instead of directories
@@ -42,31 +43,78 @@ def read_for_metrics(
     return read_telemetry(spark, input_path, date_partition, fmt, HEARTBEAT_NARROW)
 
 
-def load_snapshots(
-    spark: SparkSession,
-    input_path: str,
-    date_partition: str | None = None,
-    fmt: str = "parquet",
-    schema: StructType = HEARTBEAT,
+def fitted(declared: T.DataType, actual: T.DataType | None) -> T.DataType:
+    """The declared type where a scan of the actual one gives it, else the actual type, leaf by leaf."""
+    if isinstance(declared, StructType) and isinstance(actual, StructType):
+        known = {f.name: f.dataType for f in actual.fields}
+        return StructType([T.StructField(f.name, fitted(f.dataType, known.get(f.name))) for f in declared.fields])
+    if isinstance(declared, T.MapType) and isinstance(actual, T.MapType):
+        return T.MapType(T.StringType(), fitted(declared.valueType, actual.valueType))
+    widens = (
+        isinstance(declared, T.LongType) and isinstance(actual, (T.ByteType, T.ShortType, T.IntegerType))
+        or isinstance(declared, T.DoubleType) and isinstance(actual, T.FloatType)
+    )
+    return declared if actual is None or widens else actual
+
+
+def _loses(declared: T.DataType, found: T.DataType) -> bool:
+    """Whether a cast could lose or refuse values: then the rows are checked one by one."""
+    if isinstance(declared, StructType) and isinstance(found, StructType):
+        return any(_loses(d.dataType, f.dataType) for d, f in zip(declared.fields, found.fields))
+    if isinstance(declared, T.MapType) and isinstance(found, T.MapType):
+        return _loses(declared.valueType, found.valueType)
+    whole = isinstance(declared, T.DoubleType) and isinstance(found, T.IntegralType)
+    return not (found == declared or whole or isinstance(declared, T.StringType))
+
+
+def _scan(
+    spark: SparkSession, input_path: str, date_partition: str | None, fmt: str, schema: StructType | None
 ) -> DataFrame:
-    """Scan the ``eventDate=`` directories; FileNotFoundError where the path or the date is missing.
-
-    With a date only that directory is listed, not the whole table.
-    """
     base = input_path.rstrip("/")
     wanted = date_partition if date_partition is not None else "*"
+    reader = spark.read.format(fmt).option("basePath", base)
     try:
-        df = (
-            spark.read.format(fmt)
-            .schema(schema)
-            .option("basePath", base)
-            .load(f"{base}/{PARTITION}={wanted}")
-        )
+        return (reader if schema is None else reader.schema(schema)).load(f"{base}/{PARTITION}={wanted}")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error.getCondition()):
             raise FileNotFoundError(f"no {PARTITION}={wanted} below {base}") from error
         raise
-    return filter_date(df, date_partition)
+
+
+def load_checked(
+    spark: SparkSession,
+    input_path: str,
+    date_partition: str | None = None,
+    fmt: str = "parquet",
+    schema: StructType = HEARTBEAT,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Scan the ``eventDate=`` directories in the files' own types: (heartbeats, rows set aside or None).
+
+    Counters may be 32 or 64 bits wide, whole or real, or text. Where every value of the files' types fits,
+    nothing is checked; else rows with a value that does not fit are set aside with the fields' names. The
+    types are those of one file: the files of a run must agree, but for integers that widen. FileNotFoundError
+    where the path or the date is missing.
+    """
+    actual = _scan(spark, input_path, date_partition, fmt, None).schema
+    found = fitted(schema, actual)
+    rows = filter_date(_scan(spark, input_path, date_partition, fmt, found), date_partition)
+    if found == schema:
+        return rows, None
+    if not _loses(schema, found):
+        return rows.selectExpr(*[f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in schema.fields]), None
+    text = rows.selectExpr(*[f"cast({f.name} as {as_text(f.dataType).simpleString()}) as {f.name}" for f in schema.fields])
+    return split_malformed(text, schema)
+
+
+def load_snapshots(
+    spark: SparkSession,
+    input_path: str,
+    date_partition: str | None = None,
+    fmt: str = "parquet",
+    schema: StructType = HEARTBEAT,
+) -> DataFrame:
+    """The heartbeats of ``load_checked`` alone; with a date only that directory is listed, not the whole table."""
+    return load_checked(spark, input_path, date_partition, fmt, schema)[0]
 
 
 def with_source_file(df: DataFrame) -> DataFrame:

@@ -43,21 +43,42 @@ def _leaf_paths(path: str, kind: T.DataType) -> list[tuple[str, T.DataType]]:
     return [(path, kind)]
 
 
-def malformed_fields() -> str:
+def malformed_fields(schema: T.StructType = HEARTBEAT) -> str:
     """Names of the fields of a text-leaf heartbeat that do not fit the heartbeat schema."""
-    leaves = [leaf for f in HEARTBEAT.fields for leaf in _leaf_paths(f.name, f.dataType)]
+    leaves = [leaf for f in schema.fields for leaf in _leaf_paths(f.name, f.dataType)]
     checks = [
         f"if({_bad(path, kind)}, '{path}', null)" for path, kind in leaves if not isinstance(kind, T.StringType)
     ]
     return f"array_compact(array({', '.join(checks)}))"
 
 
-def coerce_types(text: DataFrame) -> DataFrame:
+def coerce_types(text: DataFrame, schema: T.StructType = HEARTBEAT) -> DataFrame:
     """Heartbeats with text leaves to the typed schema; text that does not fit becomes null."""
-    return text.selectExpr(*[f"{_coerce(f.name, f.dataType)} as {f.name}" for f in HEARTBEAT.fields])
+    return text.selectExpr(*[f"{_coerce(f.name, f.dataType)} as {f.name}" for f in schema.fields])
 
 
-def split_malformed(text: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_malformed(text: DataFrame, schema: T.StructType = HEARTBEAT) -> tuple[DataFrame, DataFrame]:
     """(valid typed heartbeats, quarantined text rows with ``reasons``)."""
-    checked = text.selectExpr("*", f"{malformed_fields()} as reasons")
-    return coerce_types(checked.filter("size(reasons) = 0")), checked.filter("size(reasons) > 0")
+    checked = text.selectExpr("*", f"{malformed_fields(schema)} as reasons")
+    return coerce_types(checked.filter("size(reasons) = 0"), schema), checked.filter("size(reasons) > 0")
+
+
+# A clock beyond these years would file the heartbeat under a date it cannot have.
+CLOCKS = {
+    f"timestampInfo.{clock} out of range": f"not coalesce(timestampInfo.{clock} between 0 and {S.MAX_MS}, true)"
+    for clock in ("server", "agent")
+}
+CLOCKS["no date"] = "eventDate is null and timestampInfo.server is null"
+
+
+def split_clocks(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(heartbeats with usable clocks, the others with ``reasons``): years 1970 to 9999, and a date or a server time."""
+    checks = ", ".join(f"if({broken}, '{name}', null)" for name, broken in CLOCKS.items())
+    checked = df.selectExpr("*", f"array_compact(array({checks})) as reasons")
+    return checked.filter("size(reasons) = 0").drop("reasons"), checked.filter("size(reasons) > 0")
+
+
+def as_quarantine(bad: DataFrame) -> DataFrame:
+    """Set-aside rows in one form, whatever their types: the row as JSON and the reasons."""
+    columns = ", ".join(f"`{c}`" for c in bad.columns if c != "reasons")
+    return bad.selectExpr(f"to_json(struct({columns})) as row", "reasons")

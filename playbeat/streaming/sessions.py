@@ -2,118 +2,132 @@
 
 Totals across micro-batches are kept as mergeable partials in files, not in operator state:
 
-    <state>/delta/gen=G/batch_id=N/eventDate=D   partials of micro-batch N; a replay replaces its own
-    <state>/base/eventDate=D/upto=G              partials of date D merged over generations up to G
-    <state>/commits                              (eventDate, upto) rows; a null date marks generation G done
-
-A generation is a fixed number of micro-batches. A reader takes each date's newest committed base and
-the deltas of later generations, by path, so neither listing nor reading grows with the stream's age.
-Nothing is updated in place: a driver or executor lost at any point leaves a state that reads as before.
-Bases and generations below a newer commit are never read again and may be deleted.
+    <state>/delta/<query>-<batch>/eventDate=D   partials of a micro-batch; a replay replaces its own
+    <state>/base/seq=K/eventDate=D              partials of date D merged by compaction K
+    <state>/commits/seq=K                       what compaction K left: each date's base, and the deltas in them
+
+``<query>`` is the identity of the checkpoint, so a state folder may be fed by several checkpoints, one after
+another or side by side in turn, and each heartbeat counts once. What is in a base is listed by name: nothing depends
+on batch numbers or on how often compaction runs, which may change at any restart. A reader takes the newest
+commit, the bases it names and the deltas it does not. A driver or executor lost at any point leaves a state that
+reads as before: a folder counts only when its write was completed. A compaction removes the deltas and bases that
+the commit before it had already replaced, so neither listing nor reading grows with the stream's age.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import json
+from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from playbeat.functions import scalars as S
+from playbeat.operators.dedup import dedup_stream
 from playbeat.operators.insights import WINDOW_SUMS
 from playbeat.operators.quality import quality_bytes
 from playbeat.operators.sessions import SERVER, exprs, project_flat, session_totals, with_session_ratios
+from playbeat.operators.validate import validate_metrics
 from playbeat.plans.metrics import compute_metrics
 from playbeat.plans.partials import PARTIAL, finalize, merge_partials, session_partials
-from playbeat.schema import HEARTBEAT_INTERVAL_MS
-from playbeat.sinks.tables import write_metrics
+from playbeat.schema import HEARTBEAT_INTERVAL_MS, KEYS, OBSERVED_LABELS
+from playbeat.session import list_dir, remove_dir
+from playbeat.sinks.tables import METRIC_KEYS, SESSION_COLUMNS, replace_sessions
 from playbeat.sources.heartbeats import stream_telemetry
+from playbeat.sources.payload import decode_payload, split_decoded
+from playbeat.sources.quarantine import as_quarantine, split_clocks
 
-COMMIT = T.StructType([T.StructField("eventDate", T.DateType()), T.StructField("upto", T.LongType())])
+COMMIT = T.StructType([
+    T.StructField("eventDate", T.DateType()), T.StructField("base", T.LongType()), T.StructField("delta", T.StringType()),
+])
+PAYLOAD_ROW = "value string, timestamp timestamp"
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A state table; one that was never written is empty."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error.getCondition()):
-            raise
-        return spark.createDataFrame([], schema)
+def _complete(spark: SparkSession, path: str) -> bool:
+    return "_SUCCESS" in list_dir(spark, path)
 
 
-def done_generation(spark: SparkSession, state_path: str) -> int:
-    """The last generation that is merged into bases, -1 before the first."""
-    mark = _read(spark, f"{state_path}/commits", COMMIT).agg(F.max("upto")).first()[0]
-    return -1 if mark is None else mark
+def last_commit(spark: SparkSession, state_path: str) -> tuple[int, dict, set[str]]:
+    """(number, base of each date, names of the deltas in them) of the newest completed compaction; -1 before the first.
 
+    A few longs per date and the deltas of one compaction come to the driver.
+    """
+    numbers = sorted((int(x.split("=")[1]) for x in list_dir(spark, f"{state_path}/commits")), reverse=True)
+    for k in numbers:
+        path = f"{state_path}/commits/seq={k}"
+        if _complete(spark, path):
+            rows = list(spark.read.schema(COMMIT).json(path).toLocalIterator())
+            return k, {r.eventDate: r.base for r in rows if r.delta is None}, {r.delta for r in rows if r.delta is not None}
+    return -1, {}, set()
 
-def _deltas(spark: SparkSession, state_path: str, dates: list | None, last_gen: int | None) -> DataFrame:
-    """Partials of the generations after the last merged one."""
-    done = done_generation(spark, state_path)
-    if last_gen is None:
-        schema = T.StructType(PARTIAL.fields + [T.StructField("gen", T.LongType())])
-        df = _read(spark, f"{state_path}/delta", schema).filter(F.col("gen") > done)
-    else:
-        paths = [f"{state_path}/delta/gen={g}" for g in range(done + 1, last_gen + 1)]
-        parts = [_read(spark, path, PARTIAL).select(*PARTIAL.fieldNames()) for path in paths]
-        df = reduce(DataFrame.unionByName, parts, spark.createDataFrame([], PARTIAL))
-    if dates is not None:
-        df = df.filter(F.col("eventDate").isin(dates))
-    return df.select(*PARTIAL.fieldNames())
 
+def open_deltas(spark: SparkSession, state_path: str) -> list[str]:
+    """Names of the completed deltas that are in no committed base."""
+    merged = last_commit(spark, state_path)[2]
+    names = [x for x in list_dir(spark, f"{state_path}/delta") if x not in merged]
+    return [x for x in names if _complete(spark, f"{state_path}/delta/{x}")]
 
-def _bases(spark: SparkSession, state_path: str, dates: list | None) -> DataFrame:
-    """The newest committed base of each date, read by its path. One small row per date comes to the driver."""
-    commits = _read(spark, f"{state_path}/commits", COMMIT).filter(F.col("eventDate").isNotNull())
-    if dates is not None:
-        commits = commits.filter(F.col("eventDate").isin(dates))
-    newest = commits.groupBy("eventDate").agg(F.max("upto").alias("upto"))
-    root = f"{state_path}/base"
-    paths = [f"{root}/eventDate={r.eventDate}/upto={r.upto}" for r in newest.toLocalIterator()]
+
+def _partials(spark: SparkSession, paths: Sequence[str], root: str | None = None) -> DataFrame:
     if not paths:
         return spark.createDataFrame([], PARTIAL)
-    return spark.read.schema(PARTIAL).option("basePath", root).parquet(*paths).select(*PARTIAL.fieldNames())
+    reader = spark.read.schema(PARTIAL)
+    reader = reader if root is None else reader.option("basePath", root)
+    return reader.parquet(*paths).select(*PARTIAL.fieldNames())
 
 
-def read_state(
-    spark: SparkSession, state_path: str, dates: list | None = None, last_gen: int | None = None
-) -> DataFrame:
-    """Unmerged partials of the given dates: bases and later deltas."""
-    return _bases(spark, state_path, dates).unionByName(_deltas(spark, state_path, dates, last_gen))
+def read_deltas(spark: SparkSession, state_path: str, names: Sequence[str]) -> DataFrame:
+    # read one by one and united: partition discovery of several roots at once would want them to be one table
+    parts = [_partials(spark, [f"{state_path}/delta/{x}"]) for x in names]
+    out = _partials(spark, [])
+    for part in parts:
+        out = out.unionByName(part)
+    return out
 
 
-def _batch_path(state_path: str, gen: int, batch_id: int) -> str:
-    return f"{state_path}/delta/gen={gen}/batch_id={batch_id}"
+def read_state(spark: SparkSession, state_path: str, dates: list | None = None) -> DataFrame:
+    """Unmerged partials of the given dates, or of all: bases and the deltas that are not in them."""
+    _, bases, _ = last_commit(spark, state_path)
+    root = f"{state_path}/base"
+    paths = [f"{root}/seq={k}/eventDate={day}" for day, k in bases.items() if dates is None or day in dates]
+    later = read_deltas(spark, state_path, open_deltas(spark, state_path))
+    if dates is not None:
+        later = later.filter(F.col("eventDate").isin(dates))
+    return _partials(spark, paths, root).unionByName(later)
 
 
-def write_delta(partials: DataFrame, state_path: str, gen: int, batch_id: int) -> None:
+def write_delta(partials: DataFrame, state_path: str, name: str) -> None:
     """Store a micro-batch's partials; writing the same batch again replaces it."""
-    partials.hint("rebalance", "eventDate").write.mode("overwrite").partitionBy("eventDate").parquet(
-        _batch_path(state_path, gen, batch_id)
-    )
+    partials.hint("rebalance", "eventDate").write.mode("overwrite").partitionBy("eventDate").parquet(f"{state_path}/delta/{name}")
 
 
 def _dates_of(df: DataFrame) -> list:
     return [row.eventDate for row in df.select("eventDate").distinct().toLocalIterator()]
 
 
-def compact_state(spark: SparkSession, state_path: str, gen: int) -> None:
-    """Merge the deltas of generations up to ``gen`` into new bases, then commit. Other dates stay as they are."""
-    dates = _dates_of(_deltas(spark, state_path, None, gen))
-    if dates:
-        merged = merge_partials(read_state(spark, state_path, dates, gen))
-        (
-            merged.withColumn("upto", F.lit(gen).cast("long"))
-            .hint("rebalance", "eventDate")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("eventDate", "upto")
-            .parquet(f"{state_path}/base")
-        )
-    done = spark.createDataFrame([(day, gen) for day in [*dates, None]], COMMIT)
-    done.coalesce(1).write.mode("append").parquet(f"{state_path}/commits")
+def compact_state(spark: SparkSession, state_path: str) -> None:
+    """Merge all open deltas into new bases of their dates, commit, and remove what the commit before had replaced."""
+    seq, bases, merged = last_commit(spark, state_path)
+    names = open_deltas(spark, state_path)
+    if not names:
+        return
+    dates = _dates_of(read_deltas(spark, state_path, names))
+    new = merge_partials(read_state(spark, state_path, dates))
+    new.hint("rebalance", "eventDate").write.mode("overwrite").partitionBy("eventDate").parquet(f"{state_path}/base/seq={seq + 1}")
+    now = {**bases, **{day: seq + 1 for day in dates}}
+    rows = [(day, k, None) for day, k in now.items()] + [(None, None, x) for x in names]
+    commit = spark.createDataFrame(rows, COMMIT).coalesce(1)
+    commit.write.mode("overwrite").json(f"{state_path}/commits/seq={seq + 1}")
+    # readers of the commit before this one may still be under way; of older ones there are none
+    for name in merged:
+        remove_dir(spark, f"{state_path}/delta/{name}")
+    used = {*bases.values(), *now.values()}
+    for name in list_dir(spark, f"{state_path}/base"):
+        if int(name.split("=")[1]) not in used:
+            remove_dir(spark, f"{state_path}/base/{name}")
+    for name in list_dir(spark, f"{state_path}/commits"):
+        if int(name.split("=")[1]) < seq:
+            remove_dir(spark, f"{state_path}/commits/{name}")
 
 
 def current_metrics(
@@ -123,41 +137,93 @@ def current_metrics(
     min_snapshots: int = 1,
     by_date: bool = False,
     dates: list | None = None,
-    last_gen: int | None = None,
 ) -> DataFrame:
     """Session metrics of everything the stream has seen, or of some dates."""
-    merged = merge_partials(read_state(spark, state_path, dates, last_gen), by_date=by_date)
+    merged = merge_partials(read_state(spark, state_path, dates), by_date=by_date)
     return finalize(merged, heartbeat_interval_ms, min_snapshots)
 
 
-def microbatch_sink(
-    output_path: str,
-    state_path: str,
-    heartbeat_interval_ms: int = HEARTBEAT_INTERVAL_MS,
-    fmt: str = "parquet",
-    generation: int = 20,
-):
-    """foreachBatch function: store the batch's partials, then republish the dates it touched.
+class SessionSink:
+    """foreachBatch function: stores a batch's partials and publishes the sessions it touched.
 
-    The generation before the current one is merged when its successor begins: all its batches are
-    committed by then, so none of them can be replayed.
+    Only those sessions are merged and replaced, valid ones in the table, those out of range in
+    ``<output>_rejected`` with reasons. Plain files have no finer unit than a partition, so publishing rewrites
+    the dates of these sessions; with ``publish_every`` n that happens once in n batches, and the batches in
+    between cost what they hold, however much the day already has. ``flush`` publishes what is left.
+    ``generation`` open deltas make a compaction; the number may change at any restart.
     """
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+    def __init__(
+        self,
+        output_path: str,
+        state_path: str,
+        heartbeat_interval_ms: int = HEARTBEAT_INTERVAL_MS,
+        fmt: str = "parquet",
+        generation: int = 20,
+        checkpoint_path: str | None = None,
+        by_date: bool = False,
+        min_snapshots: int = 1,
+        partition_by: Sequence[str] = ("event_date",),
+        labels: Sequence[str] = OBSERVED_LABELS,
+        publish_every: int = 1,
+    ):
+        self.output, self.state, self.checkpoint = output_path.rstrip("/"), state_path.rstrip("/"), checkpoint_path
+        self.interval, self.fmt, self.generation, self.publish_every = heartbeat_interval_ms, fmt, generation, publish_every
+        self.by_date, self.min_snapshots, self.partition_by, self.labels = by_date, min_snapshots, partition_by, labels
+        self.query: str | None = None
+        self.unpublished: list[str] | None = None
+
+    def _query(self, spark: SparkSession) -> str:
+        """The identity Spark gave to the checkpoint."""
+        if self.query is None:
+            line = None if self.checkpoint is None else spark.read.text(f"{self.checkpoint}/metadata").first()[0]
+            self.query = "direct" if line is None else json.loads(line)["id"]
+        return self.query
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        gen = batch_id // generation
-        if done_generation(spark, state_path) < gen - 1:
-            compact_state(spark, state_path, gen - 1)
-        write_delta(session_partials(batch), state_path, gen, batch_id)
-        dates = _dates_of(_read(spark, _batch_path(state_path, gen, batch_id), PARTIAL))
-        metrics = current_metrics(
-            spark, state_path, heartbeat_interval_ms, by_date=True, dates=dates, last_gen=gen
-        )
-        write_metrics(metrics, output_path, fmt)
+        batch = batch.persist()
+        try:
+            name = f"{self._query(spark)}-{batch_id}"
+            if self.unpublished is None:  # after a start whatever is open may not have been published
+                self.unpublished = [x for x in open_deltas(spark, self.state) if x != name] if self.publish_every > 1 else []
+            if batch.isEmpty() or name in last_commit(spark, self.state)[2]:
+                return
+            if len([x for x in open_deltas(spark, self.state) if x != name]) >= self.generation:
+                self.flush(spark)
+                # a batch that is replayed was not committed, so its earlier delta must not become part of a base
+                remove_dir(spark, f"{self.state}/delta/{name}")
+                compact_state(spark, self.state)
+            usable, clockless = split_clocks(batch)
+            write_delta(session_partials(usable, self.labels), self.state, name)
+            as_quarantine(clockless).write.mode("overwrite").json(f"{self.state}/quarantine/{name}")
+            self.unpublished = [*(x for x in self.unpublished if x != name), name]
+            if len(self.unpublished) >= self.publish_every:
+                self.flush(spark)
+        finally:
+            batch.unpersist()
+
+    def flush(self, spark: SparkSession) -> None:
+        """Publish the sessions of the batches stored since the last time; of all open ones right after a start."""
+        if self.unpublished is None:
+            self.unpublished = open_deltas(spark, self.state)
+        if not self.unpublished:
+            return
+        changed = read_deltas(spark, self.state, self.unpublished)
+        keys = [*KEYS, "eventDate"] if self.by_date else KEYS
+        touched = changed.select(*keys).distinct()
+        rows = read_state(spark, self.state, _dates_of(changed) if self.by_date else None)
+        merged = merge_partials(rows.join(touched, on=keys, how="left_semi"), by_date=self.by_date)
+        valid, rejected = validate_metrics(finalize(merged, self.interval, self.min_snapshots))
+        names = METRIC_KEYS if self.by_date else SESSION_COLUMNS
+        touched = touched.toDF(*names)
+        replace_sessions(spark, rejected, touched, f"{self.output}_rejected", "json", keys=names)
+        replace_sessions(spark, valid, touched, self.output, self.fmt, self.partition_by, names)
+        self.unpublished = []
 
-    return process
+
+def microbatch_sink(output_path: str, state_path: str, *args, **kw) -> SessionSink:
+    return SessionSink(output_path, state_path, *args, **kw)
 
 
 def start_sessions(
@@ -169,10 +235,11 @@ def start_sessions(
     heartbeat_interval_ms: int = HEARTBEAT_INTERVAL_MS,
     fmt: str = "parquet",
     generation: int = 20,
+    **kw,
 ) -> StreamingQuery:
-    """Session metrics per event date, correct across micro-batches; no trigger drains the source once."""
+    """Session metrics, correct across micro-batches; no trigger drains the source once. More options: SessionSink."""
     state = state_path or f"{output_path.rstrip('/')}_state"
-    sink = microbatch_sink(output_path, state, heartbeat_interval_ms, fmt, generation)
+    sink = microbatch_sink(output_path, state, heartbeat_interval_ms, fmt, generation, checkpoint_path, **kw)
     writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_path)
     if trigger_interval is None:
         return writer.trigger(availableNow=True).start()
@@ -189,12 +256,21 @@ def run_streaming(
     fmt: str = "parquet",
     state_path: str | None = None,
     input_fmt: str = "parquet",
+    payload: bool = False,
+    dedup: bool = False,
+    **kw,
 ) -> None:
-    """Heartbeat table to metrics table, until stopped; without a trigger until the table is read."""
-    stream = stream_telemetry(spark, input_path, input_fmt)
+    """Heartbeat table, or payload table, to metrics table, until stopped; without a trigger until the table is read."""
+    if payload:
+        raw = spark.readStream.format(input_fmt).schema(PAYLOAD_ROW).load(input_path)
+        stream = split_decoded(decode_payload(raw))[0]
+    else:
+        stream = stream_telemetry(spark, input_path, input_fmt)
     start_sessions(
-        stream, output_path, checkpoint_path, state_path, trigger_interval, heartbeat_ms, fmt
+        dedup_stream(stream) if dedup else stream, output_path, checkpoint_path, state_path, trigger_interval, heartbeat_ms, fmt, **kw
     ).awaitTermination()
+    if kw.get("publish_every", 1) > 1:
+        SessionSink(output_path, state_path or f"{output_path.rstrip('/')}_state", heartbeat_ms, fmt, **kw).flush(spark)
 
 
 def microbatch_metrics(batch: DataFrame, heartbeat_interval_ms: int = HEARTBEAT_INTERVAL_MS) -> DataFrame:

@@ -86,11 +86,11 @@ def test_quarantine(spark):
     rows = [text("x"), text("5"), text("1.5"), text("1.0"), text("1", bad_map), text("1", good_map),
             text("1", day="soon"), text(str(2**40)), text(None, server="99999999999999999999")]
     valid, bad = split_malformed(spark.createDataFrame(rows, HEARTBEAT_TEXT))
-    assert sorted(r.player.bufferings for r in valid.collect()) == [1, 1, 5]
+    assert sorted(r.player.bufferings for r in valid.collect()) == [1, 1, 5, 2**40]
     kept = [r.qualityDistribution for r in valid.collect() if r.qualityDistribution]
     assert tuple(kept[0]["720p"].sourceTraffic) == (1, 0.5, 3, 4)
     assert sorted(tuple(r.reasons) for r in bad.collect()) == [
-        ("eventDate",), ("player.bufferings",), ("player.bufferings",), ("player.bufferings",),
+        ("eventDate",), ("player.bufferings",), ("player.bufferings",),
         ("qualityDistribution",), ("timestampInfo.server",),
     ]
 
@@ -179,3 +179,86 @@ def test_scratch_is_below_the_shared_folder(spark):
     from playbeat.session import shared_dir
 
     assert shared_dir(spark, "x").startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir") + "/x-")
+
+
+def run_job(spark, *args):
+    return job.run_batch(spark, job.parse_args(list(args)))
+
+
+def output(spark, out):
+    return sorted(map(str, spark.read.schema(SESSION_METRICS).parquet(f"{out}/viewer_metrics").select(*METRIC_COLUMNS).collect()))
+
+
+@pytest.mark.parametrize("more", [(), ("--by-date",), ("--partition-by", "customer_id,content_id")])
+def test_date_rerun_of_unchanged_input_changes_nothing(spark, tmp_path, more):
+    path, out = str(tmp_path / "beats"), str(tmp_path / "out")
+    midnight = [beat(T1 - 30_000, T1 - 30_000, client="late"), beat(T1 + 30_000, T1 + 30_000, client="late", day=DAY2)]
+    frame(spark, [*ROWS, *midnight]).write.partitionBy("eventDate").parquet(path)
+    assert run_job(spark, "--input", path, "--output", out, "--no-files", *more) == 0
+    first = output(spark, out)
+    for day in ("2024-01-02", "2024-01-01"):
+        assert run_job(spark, "--input", path, "--output", out, "--no-files", "--date", day, *more) == 0
+        assert output(spark, out) == first
+    assert not glob.glob(f"{out}/*staging*")
+
+
+def test_emptied_date(spark, tmp_path):
+    path, out = str(tmp_path / "beats"), str(tmp_path / "out")
+    frame(spark, ROWS).write.partitionBy("eventDate").parquet(path)
+    for more in ((), ("--by-date",)):
+        assert run_job(spark, "--input", path, "--output", out, *more) == 0
+        assert run_job(spark, "--input", path, "--output", out, "--date", "2024-01-02", "--min-snapshots", "2", *more) == 0
+        assert {r.client_id for r in spark.read.schema(SESSION_METRICS).parquet(f"{out}/viewer_metrics").collect()} == {"v"}
+
+
+def test_upsert_follows_a_session_that_moves(spark, tmp_path):
+    path = str(tmp_path / "t")
+    late = [beat(T1, T1, day=DAY2), beat(T1, T1, client="other", day=DAY2)]
+    upsert_table(spark, compute_metrics(frame(spark, late)), path)
+    upsert_table(spark, compute_metrics(frame(spark, [beat(), late[0]])), path)
+    got = {(r.client_id, str(r.event_date)): r.snapshot_count for r in spark.read.schema(SESSION_METRICS).parquet(path).collect()}
+    assert got == {("v", "2024-01-01"): 2, ("other", "2024-01-02"): 1}
+
+
+@pytest.mark.parametrize("counter,responses", [("int", "bigint"), ("bigint", "double"), ("double", "float"), ("string", "int")])
+def test_files_in_their_own_types(spark, tmp_path, counter, responses):
+    path, out = str(tmp_path / "beats"), str(tmp_path / "out")
+    rows = [beat(n=2, ms=70, src=5, quality={"720p": 5}), beat(T0 + 30_000, T0 + 30_000, n=1, ms=5, src=6)]
+    df = frame(spark, rows)
+    leaf = f"struct<requests:{counter},responses:{responses},requestedData:{counter},receivedData:{counter}>"
+    dist = f"struct<sourceTraffic:{leaf},p2pTraffic:{leaf}>"
+    kinds = {"player": f"struct<bufferings:{counter},bufferingTime:{counter}>", "totalDistribution": dist, "qualityDistribution": f"map<string,{dist}>"}
+    df.selectExpr(*[f"cast({c} as {kinds[c]}) as {c}" if c in kinds else c for c in df.columns]).write.partitionBy("eventDate").parquet(path)
+    got = load_snapshots(spark, path)
+    assert got.schema.simpleString() == df.select(*got.columns).schema.simpleString()
+    assert run_job(spark, "--input", path, "--output", out, "--no-files") == 0
+    check_metrics(spark.read.schema(SESSION_METRICS).parquet(f"{out}/viewer_metrics"), rows)
+
+
+def test_job_quarantines_bad_values_and_clocks(spark, tmp_path):
+    path, out = str(tmp_path / "beats"), str(tmp_path / "out")
+    rows = [beat(n=i, client=f"v{i}") for i in range(4)] + [beat(10**17, client="far"), beat(None, T0, client="nodate", day=None)]
+    df = frame(spark, rows)
+    text = "struct(if(clientId = 'v2', 'x', cast(player.bufferings as string)) as bufferings, cast(player.bufferingTime as string) as bufferingTime) as player"
+    df.selectExpr(*[text if c == "player" else c for c in df.columns]).write.partitionBy("eventDate").parquet(path)
+    assert run_job(spark, "--input", path, "--output", out, "--no-files") == 0
+    assert {r.client_id for r in spark.read.schema(SESSION_METRICS).parquet(f"{out}/viewer_metrics").collect()} == {"v0", "v1", "v3"}
+    bad = spark.read.schema("row string, reasons array<string>").json(f"{out}/quarantine").collect()
+    assert sorted(tuple(r.reasons) for r in bad) == [("no date",), ("player.bufferings",), ("timestampInfo.server out of range",)]
+    assert any('"clientId":"far"' in r.row for r in bad)
+
+
+def test_job_payload_and_dedup(spark, tmp_path):
+    path, out = str(tmp_path / "payloads"), str(tmp_path / "out")
+    body = json.dumps({"customerId": "c", "contentId": "w", "clientId": "v", "eventDate": "2024-01-01", "timestampInfo": {"agent": T0}, "totalDistribution": {"sourceTraffic": {"receivedData": 5}}})
+    received = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    spark.createDataFrame([(x, received) for x in (body, body, body[:20])], "value string, timestamp timestamp").write.parquet(path)
+    for more, count in ((), 2), (("--dedup",), 1):
+        assert run_job(spark, "--input", path, "--output", out, "--no-files", "--payload", *more) == 0
+        assert spark.read.schema(SESSION_METRICS).parquet(f"{out}/viewer_metrics").first().snapshot_count == count
+    assert spark.read.schema("row string, reasons array<string>").json(f"{out}/quarantine").count() == 1
+
+
+def test_streaming_refuses_a_date():
+    with pytest.raises(SystemExit):
+        job.parse_args(["--input", "a", "--output", "b", "--streaming", "--checkpoint", "c", "--date", "2024-01-01"])
