@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playbeat.llm import arrays as A
 
@@ -160,19 +161,20 @@ def predict_quality(docs: DataFrame, model: Ordinal, *, text: str = "text", keep
     """
     made = ["expected_grade", "tails"]
     names = [c for c in (keep or docs.columns) if c not in made]
+    # a text that is kept goes to the workers once
+    shared = text in names and docs.schema[text].dataType == T.StringType()
+    n, where = len(names), names.index(text) if shared else len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_columns - 1
-            buf, offsets = A.text_buffer(batch.column(n))
+            buf, offsets = A.text_buffer(batch.column(where))
             for lo, hi in A.slices(offsets):
                 tails = model.tails(buf[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 at = pa.array(np.arange(0, tails.size + 1, tails.shape[1], dtype=np.int32))
                 columns = [pa.array(tails.sum(1)), pa.ListArray.from_arrays(at, pa.array(tails.ravel()))]
                 yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns[:n], *columns], names=[*names, *made])
 
-    from pyspark.sql import types as T
-
     kinds = [T.StructField("expected_grade", T.DoubleType()), T.StructField("tails", T.ArrayType(T.DoubleType()))]
     schema = T.StructType([*(docs.schema[c] for c in names), *kinds])
-    return docs.select(*(F.col(f"`{c}`") for c in names), F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)
+    more = [] if shared else [F.col(text).cast("string").alias("__text")]
+    return docs.select(*(F.col(f"`{c}`") for c in names), *more).mapInArrow(run, schema)

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,6 +81,18 @@ def _spans(doc: np.ndarray, key: np.ndarray, start: np.ndarray, end: np.ndarray)
     return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (doc, key, start, end)], names=["doc", "key", "start", "end"])
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of TASK_BYTES or a little more."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= TASK_BYTES:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _ship(window: int, minimiser: int, buckets: int):
     """Documents (doc, key, text) to packed strings by bucket; decisions of the task itself have a negative bucket."""
 
@@ -118,7 +131,7 @@ def _ship(window: int, minimiser: int, buckets: int):
             yield int(bucket[lo]), _pack(doc[own], key[own], first[part] - texts[own], last[part] - texts[own], words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _gathered(batches):
             doc, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             buf, offsets = A.text_buffer(batch.column(2))
             for lo, hi in A.slices(offsets, TASK_BYTES):
@@ -207,31 +220,45 @@ def _judge(window: int):
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(as_is: bool):
     """(text, spans) to (kept_text, n_words, n_removed), after the other columns, which stay as they are."""
-    for batch in batches:
-        n = batch.num_columns
-        whole, all_offsets = A.text_buffer(batch.column(n - 2))
-        for lo, hi in A.slices(all_offsets):
-            part, offsets = batch.slice(lo, hi - lo), all_offsets[lo : hi + 1] - all_offsets[lo]
-            buf = whole[all_offsets[lo] : all_offsets[hi]]
-            starts, ends, texts = A.word_bounds(buf, offsets)
-            spans = part.column(n - 1)
-            inside = spans.flatten()
-            owner = np.repeat(np.arange(hi - lo), spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
-            depth = np.zeros(len(starts) + 1, np.int64)
-            if len(owner):
-                np.add.at(depth, texts[owner] + inside.field(0).to_numpy(), 1)
-                np.add.at(depth, texts[owner] + inside.field(1).to_numpy(), -1)
-            stay = np.cumsum(depth[:-1]) == 0
-            body, _ = A.spaced_words(buf, starts[stay], ends[stay]) if stay.all() else _some_words(buf, starts[stay], ends[stay])
-            left = np.append(0, np.cumsum(stay))[texts]
-            sizes = np.append(0, np.cumsum((ends - starts + 1)[stay]))[left]
-            close = sizes[1:] - (sizes[1:] > sizes[:-1])
-            body, offsets = A.gather(body, sizes[:-1], close)
-            n_words = np.diff(texts)
-            columns = [*part.columns[: n - 2], A.string_array(body, offsets), pa.array(n_words), pa.array(n_words - np.diff(left))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[: n - 2], "kept_text", "n_words", "n_removed"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _cut_batch(batch, as_is)
+
+    return run
+
+
+def _cut_batch(batch: pa.RecordBatch, as_is: bool) -> Iterator[pa.RecordBatch]:
+    n = batch.num_columns
+    whole, all_offsets = A.text_buffer(batch.column(n - 2))
+    for lo, hi in A.slices(all_offsets):
+        part, offsets = batch.slice(lo, hi - lo), all_offsets[lo : hi + 1] - all_offsets[lo]
+        buf = whole[all_offsets[lo] : all_offsets[hi]]
+        starts, ends, texts = A.word_bounds(buf, offsets)
+        spans = part.column(n - 1)
+        inside = spans.flatten()
+        owner = np.repeat(np.arange(hi - lo), spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        depth = np.zeros(len(starts) + 1, np.int64)
+        if len(owner):
+            np.add.at(depth, texts[owner] + inside.field(0).to_numpy(), 1)
+            np.add.at(depth, texts[owner] + inside.field(1).to_numpy(), -1)
+        stay = np.cumsum(depth[:-1]) == 0
+        body, _ = A.spaced_words(buf, starts[stay], ends[stay]) if stay.all() else _some_words(buf, starts[stay], ends[stay])
+        left = np.append(0, np.cumsum(stay))[texts]
+        sizes = np.append(0, np.cumsum((ends - starts + 1)[stay]))[left]
+        opening, close = sizes[:-1], sizes[1:] - (sizes[1:] > sizes[:-1])
+        n_words, n_left = np.diff(texts), np.diff(left)
+        if as_is:  # texts that lose nothing come from the source
+            body, same = np.concatenate([body, buf]), n_words == n_left
+            opening = np.where(same, len(body) - len(buf) + offsets[:-1], opening)
+            close = np.where(same, len(body) - len(buf) + offsets[1:], close)
+        text = A.string_array(*A.gather(body, opening, close))
+        if as_is and part.column(n - 2).null_count:
+            text = pc.if_else(part.column(n - 2).is_null(), None, text)
+        columns = [*part.columns[: n - 2], text, pa.array(n_words), pa.array(n_words - n_left)]
+        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[: n - 2], "kept_text", "n_words", "n_removed"])
 
 
 def _some_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,12 +269,12 @@ def _some_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
     return body, offsets
 
 
-def remove_repeated_windows(docs: DataFrame, window: int = 13, minimiser: int = 3, buckets: int | None = None, *, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def remove_repeated_windows(docs: DataFrame, window: int = 13, minimiser: int = 3, buckets: int | None = None, *, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, as_is: bool = False) -> DataFrame:
     """One row per input row: (doc_id, the `keep` columns, kept_text, n_words, n_removed).
 
     Words are runs of bytes other than ASCII white space. A word goes if a window that covers it also starts, with the
     same words, in a document of smaller id; windows are judged on the input. `kept_text` joins the words that stay by
-    one space. Null and empty texts have no words and an empty `kept_text`; texts shorter than a window lose nothing.
+    one space; with `as_is` a text that loses nothing stays as it was, null or not. Null and empty texts have no words and an empty `kept_text`; texts shorter than a window lose nothing.
     A row without an id neither loses words nor makes others lose any. Rows that repeat an id are the same document:
     they do not remove each other's words. Other columns than those in `keep` are ignored.
     Rows of one id are told apart by 32 bits of a text hash. `buckets` is the number of minimiser buckets; a task holds one bucket at a time, so it should grow with the input.
@@ -263,5 +290,5 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13, minimiser: int =
     spans = spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = rows.join(spans, ["doc", "key"], "left").select("doc", *(c for c in rows.columns if c.startswith("__keep_")), "text", "spans")
     kinds = [*joined.schema.fields[:-2], T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
-    cut = joined.mapInArrow(_cut, T.StructType(kinds))
+    cut = joined.mapInArrow(_cut(as_is), T.StructType(kinds))
     return cut.select(F.col("doc").alias(doc_id), *(F.col(f"__keep_{i}").alias(c) for i, c in enumerate(keep or [])), "kept_text", "n_words", "n_removed")

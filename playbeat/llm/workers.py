@@ -10,11 +10,17 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SENT: set[str] = set()
 
 
 def send_code(spark: SparkSession) -> None:
-    """Adds the package's sources to the session once, as `--py-files` would; the driver serves the archive to executors."""
+    """Adds the package's sources to the session once, as `--py-files` would; the driver serves the archive to executors.
+
+    Also makes Arrow batches of whole texts smaller, unless the session has a size of its own.
+    """
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, "1000")
     context = spark.sparkContext
     if context.applicationId in _SENT:
         return
