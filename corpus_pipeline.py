@@ -42,11 +42,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     A document that had words and has none left goes.
     """
     send_code(spark)
-    cut = remove_repeated_windows(docs, window=13, keep=["lang", "source", "n_chars", "text"])
-    changed = F.col("n_removed") > 0
-    text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
-    n_chars = F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    return cut.where("n_removed < n_words OR n_words = 0").select("doc_id", text.alias("text"), "lang", "source", n_chars.alias("n_chars"))
+    cut = remove_repeated_windows(docs, window=13, keep=["lang", "source", "n_chars"], as_is=True)
+    n_chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
+    left = cut.where("n_removed < n_words OR n_words = 0")
+    return left.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", n_chars.alias("n_chars"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
