@@ -13,15 +13,17 @@ from playbeat.functions import maps as M, scalars as S
 from playbeat.operators import insights, player_events as pe, quality as q, reshape, sessions as ses, summary
 from playbeat.operators.dedup import dedup_heartbeats as dedup
 from playbeat.operators.validate import validate_metrics as validate
+from playbeat.plans.job import JobParams, run_batch
 from playbeat.plans.metrics import compute_metrics, sessions_sorted as by_key
 from playbeat.plans.partials import finalize, merge_partials as merge, session_partials
-from playbeat.schema import FLAT_COLUMNS, KEYS, OBSERVED_LABELS, SESSION_METRICS
+from playbeat.schema import FLAT_COLUMNS, KEYS, SESSION_METRICS
 from playbeat.session import shared_dir
 from playbeat.sinks.tables import upsert_metrics as upsert, write_metrics
 from playbeat.sources import derived
-from playbeat.sources.heartbeats import filter_date as on_date, read_telemetry
+from playbeat.sources.heartbeats import filter_date as on_date, read_telemetry, stream_telemetry
 from playbeat.sources.payload import decode_payload as decode
 from playbeat.sources.quarantine import coerce_types as coerce, split_malformed
+from playbeat.streaming.sessions import start_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -376,14 +378,13 @@ def join_dominant_breakdown(spark, sf):
 
 @query
 def flat_rows(spark, sf):
-    """Flat form with the observed labels' byte columns; shares unrounded elsewhere."""
-    flat = reshape.flatten_metrics(compute_metrics(derived.heartbeats(spark, sf)), OBSERVED_LABELS)
+    """Flat form, its labels found in the data; the shares are rounded to two places in the breakdown itself."""
+    flat = reshape.flatten_metrics(compute_metrics(derived.heartbeats(spark, sf)))
     text = {
         "event_date": "cast(event_date as string) as event_date",
         "dominant_quality": f"{S.text_or_empty('dominant_quality')} as dominant_quality",
     }
-    return flat.selectExpr(*[text.get(c, c) if c in FLAT_COLUMNS else f"`{c}`" for c in flat.columns
-                             if not c.startswith("quality_pct_")])
+    return flat.selectExpr(*[text.get(c, c) if c in FLAT_COLUMNS else f"`{c}`" for c in flat.columns])
 
 
 @query
@@ -427,13 +428,40 @@ def upsert_metrics(spark, sf):
 
 @query
 def stream_sessions(spark, sf):
-    """What the streaming sink keeps: partials of three disjoint batches that together hold all rows, merged."""
+    """The table as a stream, in several micro-batches through the streaming sink, and the published table read back."""
+    stream = stream_telemetry(spark, _table(spark, sf), maxFilesPerTrigger="16")
+    out = shared_dir(spark, "stream")
+    start_sessions(stream, f"{out}/table", f"{out}/checkpoint", f"{out}/state", trigger_interval=None).awaitTermination()
+    return _flat(spark.read.schema(SESSION_METRICS).parquet(f"{out}/table"))
+
+
+@query
+def merge_partials(spark, sf):
+    """Partials of three disjoint parts that together hold all rows, merged."""
     beats = derived.heartbeats(spark, sf)
     mapped, early = F.col("qualityDistribution").isNotNull(), F.col("eventDate") < F.lit(FILTER_DATE).cast("date")
     batches = [beats.filter(~mapped), beats.filter(mapped & early), beats.filter(mapped & ~early)]
     return _flat(finalize(merge(*[session_partials(b) for b in batches], by_date=False)))
 
 
+@query
+def rerun_date(spark, sf):
+    """The job over all dates, then again over one date of the same input: nothing changes."""
+    path, out = _table(spark, sf), shared_dir(spark, "job")
+    for date in (None, FILTER_DATE):
+        run_batch(spark, JobParams(path, out, date, files=False))
+    return _flat(spark.read.schema(SESSION_METRICS).parquet(f"{out}/viewer_metrics"))
+
+
+@query
+def job_with_quarantine(spark, sf):
+    """The job over a table with text counters, some of which are no whole numbers: those rows are set aside."""
+    path, out = shared_dir(spark, "text"), shared_dir(spark, "job")
+    derived.text_heartbeats(spark, sf).drop("event_id").hint("rebalance", "eventDate").write.partitionBy("eventDate").parquet(path)
+    run_batch(spark, JobParams(path, out, files=False))
+    return _flat(spark.read.schema(SESSION_METRICS).parquet(f"{out}/viewer_metrics"))
+
+
 @query
 def window_metrics(spark, sf):
     return insights.window_metrics(derived.heartbeats(spark, sf))

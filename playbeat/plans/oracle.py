@@ -280,7 +280,12 @@ SQL: dict[str, str] = {
         coalesce(dominant_quality, '') AS dominant_quality, total_received_bytes, p2p_received_bytes, p2p_ratio,
         {', '.join(f'''(SELECT coalesce(max(received_bytes), 0) FROM ses_pl l WHERE l."customerId" = s."customerId"
           AND l."contentId" = s."contentId" AND l."clientId" = s."clientId" AND quality_label = '{x}')
-          AS "quality_bytes_{x}"''' for x in ('1080p', '270p', '360p', '720p'))}
+          AS "quality_bytes_{x}"''' for x in ('1080p', '270p', '360p', '720p'))},
+        {', '.join(f'''(SELECT coalesce(max(CASE WHEN s.label_bytes > 0 THEN
+            round(CAST(received_bytes AS DOUBLE) / CAST(s.label_bytes AS DOUBLE) * 100, 2) END), 0.0)
+          FROM ses_pl l WHERE l."customerId" = s."customerId" AND l."contentId" = s."contentId"
+          AND l."clientId" = s."clientId" AND quality_label = '{x}')
+          AS "quality_pct_{x}"''' for x in ('1080p', '270p', '360p', '720p'))}
       FROM ses s"""),
     "distinct_labels": ses("SELECT DISTINCT quality_label FROM ses_pl ORDER BY 1"),
     "fleet_summary": ses("""
@@ -299,6 +304,13 @@ SQL: dict[str, str] = {
       SELECT {METRICS} FROM ses WHERE event_date < '{FILTER_DATE}'
       UNION ALL SELECT {METRICS} FROM late WHERE event_date >= '{FILTER_DATE}'"""),
     "stream_sessions": ses(f"SELECT {METRICS} FROM ses"),
+    "merge_partials": ses(f"SELECT {METRICS} FROM ses"),
+    "rerun_date": ses(f"SELECT {METRICS} FROM ses"),
+    "job_with_quarantine": hb(f""",
+good AS (SELECT * REPLACE (CASE WHEN event_id % 29 = 0 THEN 1 ELSE buf0 END AS buf0) FROM hb
+         WHERE event_id % 19 <> 0 AND event_id % 23 <> 0),
+good_lab AS (SELECT * FROM lab WHERE event_id % 19 <> 0 AND event_id % 23 <> 0)
+{sessions(hb='good', lab='good_lab')} SELECT {METRICS} FROM ses"""),
     "window_metrics": hb("""
       SELECT "customerId", "contentId", server // 30000 * 30000 AS window_start_ms, count(*) AS heartbeats,
         count(*) FILTER (buf0 > 0) AS heartbeats_with_buffering, CAST(sum(buf0) AS BIGINT) AS bufferings,
