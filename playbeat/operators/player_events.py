@@ -16,7 +16,7 @@ from playbeat.operators.sessions import exprs, key_columns
 from playbeat.schema import HEARTBEAT, HEARTBEAT_INTERVAL_MS, KEYS
 
 CHUNK_MS = 1_000
-SEQUENCE_STEP = 1_024
+VISIT_GAP_MS = 1_800_000  # a viewer without events for longer has left and come back
 
 # Fixed values of the player event model.
 STALLS = "event in ('waiting', 'stalled')"
@@ -253,32 +253,28 @@ def window_totals(windowed: DataFrame, chunk_ms: int = CHUNK_MS) -> DataFrame:
 
 
 def densify_windows(
-    totals: DataFrame,
-    spans: DataFrame,
-    interval_ms: int = HEARTBEAT_INTERVAL_MS,
-    clip_last: bool = False,
+    totals: DataFrame, interval_ms: int = HEARTBEAT_INTERVAL_MS, visit_gap_ms: int = VISIT_GAP_MS
 ) -> DataFrame:
-    """Adds the quiet windows between a viewer's first and last event, with zeros and an empty map.
+    """Adds the quiet windows within a visit, with zeros and an empty map.
 
-    The window numbers are generated in two steps so that no row ever holds a long sequence.
+    Windows with events that begin at most ``visit_gap_ms`` apart belong to one visit. Between visits a player
+    sends nothing, so a wrong clock or a viewer who returns after days adds no windows, and a pair of windows
+    adds at most ``visit_gap_ms / interval_ms``. One row per window with events is ordered per viewer.
     """
-    every = (
-        spans.selectExpr("*", f"(last_t - first_t) div {interval_ms}L as last_win")
-        .selectExpr("*", f"explode(sequence(0L, last_win, {SEQUENCE_STEP}L)) as block")
-        .selectExpr("*", f"explode(sequence(block, least(block + {SEQUENCE_STEP - 1}L, last_win))) as win")
-        .selectExpr("*", f"first_t + win * {interval_ms} as win_start")
-        .selectExpr(*WINDOW_KEYS, "win_start", f"{_window_end(interval_ms, clip_last)} as win_end")
-    )
-    filled = every.join(totals.drop("win_start", "win_end"), on=WINDOW_KEYS, how="left")
+    after = f"lead(win) over (partition by {', '.join(KEYS)} order by win)"
+    ahead = totals.selectExpr(*WINDOW_KEYS, "win_start", f"{after} as next_win")
+    pauses = ahead.filter(f"next_win - win > 1 and (next_win - win) * {interval_ms} <= {visit_gap_ms}")
+    quiet = pauses.selectExpr(*KEYS, "win as from_win", "win_start as from_start", "explode(sequence(win + 1, next_win - 1)) as win")
     kind = totals.schema["quality"].dataType.simpleString()
-    return filled.selectExpr(
+    filled = quiet.selectExpr(
         *WINDOW_KEYS,
-        "win_start",
-        "win_end",
-        f"{S.or_zero('bufferings')} as bufferings",
-        f"{S.or_zero('buffering_ms')} as buffering_ms",
-        f"coalesce(quality, cast(map() as {kind})) as quality",
+        f"from_start + (win - from_win) * {interval_ms} as win_start",
+        f"from_start + (win - from_win + 1) * {interval_ms} as win_end",
+        "0L as bufferings",
+        "0L as buffering_ms",
+        f"cast(map() as {kind}) as quality",
     )
+    return totals.selectExpr(*filled.columns[:-1], f"coalesce(quality, cast(map() as {kind})) as quality").unionByName(filled)
 
 
 def to_heartbeats(totals: DataFrame) -> DataFrame:
@@ -305,9 +301,10 @@ def build_heartbeats(
     clip_last: bool = False,
     quiet_windows: bool = True,
     chunk_ms: int = CHUNK_MS,
+    visit_gap_ms: int = VISIT_GAP_MS,
 ) -> DataFrame:
     """Heartbeats as the players would have sent them."""
     totals = window_totals(assign_windows(events, interval_ms, clip_last), chunk_ms)
     if quiet_windows:
-        totals = densify_windows(totals, viewer_spans(events), interval_ms, clip_last)
+        totals = densify_windows(totals, interval_ms, visit_gap_ms)
     return to_heartbeats(totals)

@@ -511,8 +511,8 @@ def build_heartbeats(spark, sf):
 
 @query
 def densify_windows(spark, sf):
-    """With the heartbeats of quiet windows."""
-    return pe.build_heartbeats(derived.player_events(spark, sf)).selectExpr(*BEAT)
+    """With the heartbeats of quiet windows, where no more than a minute is quiet."""
+    return pe.build_heartbeats(derived.player_events(spark, sf), visit_gap_ms=60_000).selectExpr(*BEAT)
 
 
 @query

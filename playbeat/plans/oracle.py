@@ -135,10 +135,14 @@ wq AS (
   SELECT {KEYS}, win, quality_label, count(*) AS requests, CAST(sum(bytes) AS BIGINT) AS received
   FROM filled WHERE event = 'frag' GROUP BY ALL),
 wins AS (SELECT DISTINCT {KEYS}, win, win_end FROM pe),
-every AS (
+ahead AS (
+  SELECT {KEYS}, first_t, win, lead(win) OVER (PARTITION BY {KEYS} ORDER BY win) AS next_win
+  FROM (SELECT DISTINCT {KEYS}, first_t, win FROM pe)),
+{', '.join(f"""{name} AS (
+  SELECT * FROM wins UNION ALL
   SELECT {KEYS}, win, first_t + win * 30000 + 30000 AS win_end FROM (
-    SELECT {KEYS}, first_t, unnest(range(0, (last_t - first_t) // 30000 + 1)) AS win
-    FROM (SELECT DISTINCT {KEYS}, first_t, last_t FROM pe)))"""
+    SELECT {KEYS}, first_t, unnest(range(win + 1, next_win)) AS win FROM ahead
+    WHERE (next_win - win) * 30000 <= {gap}))""" for name, gap in (('every', 1800000), ('every_minute', 60000)))}"""
 
 
 def beats(wins: str) -> str:
@@ -322,7 +326,7 @@ good_lab AS (SELECT * FROM lab WHERE event_id % 19 <> 0 AND event_id % 23 <> 0)
     "window_quality_stats": pe(f"""
       SELECT {KEYS}, win, quality_label, requests, received AS requested, received FROM wq"""),
     "build_heartbeats": pe(beats("wins")),
-    "densify_windows": pe(beats("every")),
+    "densify_windows": pe(beats("every_minute")),
     "player_sessions": PLAYER_SESSIONS,
     "dedup_heartbeats": hb(f"""
       SELECT {SCAN.replace(', agent,', ', agent0 AS agent,')} FROM (

@@ -100,9 +100,16 @@ def test_aligned_windows(spark):
     assert windows(heartbeats_aligned(events_frame(spark, rows)), start) == expected_heartbeats(rows, start=start)
 
 
-def test_long_quiet_span(spark):
-    rows = [ev(0, "other"), ev(30_000 * 5_000, "other")]
-    assert pe.build_heartbeats(events_frame(spark, rows)).count() == 5_001
+def test_quiet_windows_within_a_visit_only(spark):
+    rows = [ev(0, "other"), ev(30_000 * 60, "other"), ev(30_000 * 121, "other"), ev(86_400_000 * 9, "other")]
+    got = sorted(windows(pe.build_heartbeats(events_frame(spark, rows))))
+    assert got == [*range(61), 121, 86_400_000 * 9 // 30_000]
+    assert pe.build_heartbeats(events_frame(spark, rows), visit_gap_ms=30_000 * 61).count() == 123
+
+
+def test_a_bogus_clock_adds_one_window(spark):
+    rows = [(0, "other", None, None, None), ev(0, "other")]
+    assert pe.build_heartbeats(events_frame(spark, rows)).count() == 2
 
 
 def test_chain_to_sessions(spark):
