@@ -26,6 +26,13 @@ def heartbeats_aligned(
 
 def player_sink(log_path: str, output_path: str, interval_ms: int, slot_ms: int, chunk_ms: int):
     def process(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # it is read for its slots and for the log
+        try:
+            store(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def store(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
