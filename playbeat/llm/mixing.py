@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from playbeat.llm.components import kept
 
-#: Hex digits of the order by which a leaf's rows are summed before single rows are looked at.
-DIGITS = 4
 #: Leaves up to which their table is broadcast.
 FEW_LEAVES = 20_000
 
@@ -82,9 +80,11 @@ def plan_mix(rows: DataFrame, path: list[str], weights: list[dict[str, float] |
     `rows` has the path columns without nulls, `id` and `tokens`. The total is `share` of all tokens.
     """
     total = math.floor((rows.agg(F.sum("tokens")).first()[0] or 0) * share)
-    leaves = kept(leaf_budgets(rows.groupBy(*path).agg(F.sum("tokens").alias("tokens")), path, weights, total, most_epochs, other))
+    # a leaf's rows are summed by so many hex digits of their order that a leaf has about as many parts as a part has rows
+    digits = F.greatest(F.ceil(F.log(16.0, F.sqrt(F.count("*")))), F.lit(1)).cast("int").alias("digits")
+    leaves = kept(leaf_budgets(rows.groupBy(*path).agg(F.sum("tokens").alias("tokens"), digits), path, weights, total, most_epochs, other))
     keyed = with_plan(rows.select(*path, "id", F.col("tokens").alias("n")), leaves.where("rest > 0"), path).withColumn("key", epoch_key(F.col("id"), seed, F.col("epochs")))
-    keyed = keyed.select(*path, "rest", "n", "key", F.substring("key", 1, DIGITS).alias("part"))
+    keyed = keyed.select(*path, "rest", "n", "key", F.substring(F.col("key"), F.lit(1), F.col("digits")).alias("part"))
     parts = keyed.groupBy(*path, "part", "rest").agg(F.sum("n").alias("n"))
     upto = F.sum("n").over(Window.partitionBy(*path).orderBy("part"))
     edge = parts.withColumn("upto", upto).where("upto > rest AND upto - n <= rest").select(*path, "part", (F.col("upto") - F.col("n")).alias("before"))
