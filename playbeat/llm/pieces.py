@@ -150,7 +150,7 @@ class Pieces:
 class Recent:
     """A bounded memory of results: two generations, of which the older one is dropped."""
 
-    def __init__(self, make, most: int = 1 << 17):
+    def __init__(self, make, most: int = 1 << 15):
         self.make, self.most, self.new, self.old = make, most, {}, {}
 
     def __call__(self, key: str):

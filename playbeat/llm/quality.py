@@ -168,7 +168,7 @@ def predict_quality(docs: DataFrame, model: Ordinal, *, text: str = "text", keep
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offsets = A.text_buffer(batch.column(where))
-            for lo, hi in A.slices(offsets):
+            for lo, hi in A.slices(offsets, 1 << 20):
                 tails = model.tails(buf[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 at = pa.array(np.arange(0, tails.size + 1, tails.shape[1], dtype=np.int32))
                 columns = [pa.array(tails.sum(1)), pa.ListArray.from_arrays(at, pa.array(tails.ravel()))]
@@ -177,4 +177,4 @@ def predict_quality(docs: DataFrame, model: Ordinal, *, text: str = "text", keep
     kinds = [T.StructField("expected_grade", T.DoubleType()), T.StructField("tails", T.ArrayType(T.DoubleType()))]
     schema = T.StructType([*(docs.schema[c] for c in names), *kinds])
     more = [] if shared else [F.col(text).cast("string").alias("__text")]
-    return docs.select(*(F.col(f"`{c}`") for c in names), *more).mapInArrow(run, schema)
+    return docs.select(*(F.col(f"`{c}`") for c in names), *more).mapInArrow(A.released(run), schema)

@@ -29,7 +29,7 @@ class Codec:
     def __init__(self, model: bytes):
         self.pieces = p = Pieces(model)
         self.segment_ids = Recent(self._segment)
-        self.strand_ids = Recent(lambda s: array("i", self.merge(s)).tobytes(), 1 << 18)
+        self.strand_ids = Recent(lambda s: array("i", self.merge(s)).tobytes(), 1 << 16)
         forms = [b"" if k == CONTROL else p.unknown_surface.encode() if k == UNKNOWN else bytes([int(n[1:-1], 16)]) if k == BYTE else n.replace(SPACE, " ").encode() for n, k in zip(p.names, p.kinds)]
         self.form = np.frombuffer(b"".join(forms), np.uint8)
         self.form_at = np.append(0, np.cumsum([len(f) for f in forms]))
@@ -222,7 +222,7 @@ def encode_texts(docs: DataFrame, model: bytes, *, text: str = "text", keep: lis
     from pyspark.sql import types as T
 
     schema = T.StructType([*(docs.schema[c] for c in names), *(T.StructField(c, T.ArrayType(T.IntegerType())) for c in made)])
-    return docs.select(*(F.col(f"`{c}`") for c in names), F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*(F.col(f"`{c}`") for c in names), F.col(text).cast("string").alias("__text")).mapInArrow(A.released(run), schema)
 
 
 def decode_ids(rows: DataFrame, model: bytes, *, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -243,4 +243,4 @@ def decode_ids(rows: DataFrame, model: bytes, *, ids: str = "ids", to: str = "de
     from pyspark.sql import types as T
 
     schema = T.StructType([*(rows.schema[c] for c in names), T.StructField(to, T.StringType())])
-    return rows.select(*(F.col(f"`{c}`") for c in names)).mapInArrow(run, schema)
+    return rows.select(*(F.col(f"`{c}`") for c in names)).mapInArrow(A.released(run), schema)

@@ -224,7 +224,7 @@ def near_edges(entries: DataFrame, distance: int) -> DataFrame:
     index = entries.select(F.inline(F.array(*rows)))
     name = F.col("root") if distance == 0 else F.col("root") * len(rows) + F.col("t")
     index = index.repartitionByRange(parts, "t", "rank").sortWithinPartitions("t", "rank").select(name.alias("root"), "fp", "node")
-    found = kept(index.mapInArrow(_search(distance), ENTRY))
+    found = kept(index.mapInArrow(A.released(_search(distance)), ENTRY))
     leaves = found.where("root IS NOT NULL")
     other = leaves.select([F.col(c).alias(f"{c}_") for c in leaves.columns])
     differ = F.bit_count(F.col("pattern").bitwiseXOR(F.col("pattern_")).bitwiseAND(F.col("mask")).bitwiseAND(F.col("mask_")))
@@ -243,7 +243,7 @@ def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = 3, *,
     component. An empty table gives no rows. Other columns are ignored.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    prints = kept(rows.mapInArrow(_fingerprint(shingle), "doc long, fp long"))
+    prints = kept(rows.mapInArrow(A.released(_fingerprint(shingle)), "doc long, fp long"))
     entries = kept(prints.where("doc IS NOT NULL").groupBy("fp").agg(F.min("doc").alias("node")))
     merged = connected_components(near_edges(entries, distance))
     ids = entries.join(merged, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))

@@ -285,10 +285,10 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13, minimiser: int =
     others = [F.col(f"`{c}`").alias(f"__keep_{i}") for i, c in enumerate(keep or [])]
     own = [F.col(doc_id).cast("long").alias("doc"), F.hash(F.col(text)).cast("long").alias("key"), F.col(text).cast("string").alias("text")]
     rows = docs.select(*own, *others)
-    packed = rows.select("doc", "key", "text").where("doc IS NOT NULL AND length(text) > 0").mapInArrow(_ship(window, minimiser, buckets), "bucket long, packed binary")
-    spans = packed.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_judge(window), "doc long, key long, start long, end long")
+    packed = rows.select("doc", "key", "text").where("doc IS NOT NULL AND length(text) > 0").mapInArrow(A.released(_ship(window, minimiser, buckets)), "bucket long, packed binary")
+    spans = packed.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(A.released(_judge(window)), "doc long, key long, start long, end long")
     spans = spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = rows.join(spans, ["doc", "key"], "left").select("doc", *(c for c in rows.columns if c.startswith("__keep_")), "text", "spans")
     kinds = [*joined.schema.fields[:-2], T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
-    cut = joined.mapInArrow(_cut(as_is), T.StructType(kinds))
+    cut = joined.mapInArrow(A.released(_cut(as_is)), T.StructType(kinds))
     return cut.select(F.col("doc").alias(doc_id), *(F.col(f"__keep_{i}").alias(c) for i, c in enumerate(keep or [])), "kept_text", "n_words", "n_removed")

@@ -34,7 +34,7 @@ class Viterbi:
         self.unknown = min(p.score.values()) - PENALTY
         self.apart = p.byte_fallback and SPACE in p.score
         self.part = Recent(self._part)
-        self.strand = Recent(self.best, 1 << 18)
+        self.strand = Recent(self.best, 1 << 17)
 
     def best(self, text: str) -> tuple[float, int]:
         """Score and number of pieces of the best path through a stretch of normalised text."""
@@ -109,4 +109,4 @@ def token_counts(docs: DataFrame, model: bytes, *, doc_id: str = "doc_id", text:
     from pyspark.sql import types as T
 
     schema = T.StructType([rows.schema["id"], T.StructField("n", T.LongType()), T.StructField("s", T.DoubleType())])
-    return rows.mapInArrow(run, schema).select(F.col("id").alias(doc_id), F.col("n").alias("n_tokens"), F.col("s").alias("score"))
+    return rows.mapInArrow(A.released(run), schema).select(F.col("id").alias(doc_id), F.col("n").alias("n_tokens"), F.col("s").alias("score"))
