@@ -79,3 +79,32 @@ def test_recall_of_the_passes_alone(spark):
 
 def test_more_passes_for_larger_tables():
     assert E.passes_for(10**9, 0.9, 256, 0.99) > E.passes_for(10**6, 0.9, 256, 0.99) >= 12
+
+
+def test_linked_pairs_within_a_dense_cone(spark):
+    """A third of the rows in a cone below the threshold: bits hardly split them, so windows miss the links between them."""
+    rng = np.random.default_rng(5)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    n, dim = 6000, 64
+    axis = unit(rng.standard_normal(dim))
+    away = rng.standard_normal((n // 3, dim))
+    cone = np.sqrt(0.75) * axis + np.sqrt(0.25) * unit(away - (away @ axis)[:, None] * axis)
+    apart = rng.standard_normal((300, dim))
+    near = cone[:300]
+    apart = unit(apart - (apart * near).sum(1)[:, None] * near)
+    vectors = np.concatenate([cone, 0.905 * near + np.sqrt(1 - 0.905**2) * apart, unit(rng.standard_normal((n - n // 3 - 300, dim)))])
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    found = E.embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), reach=8)
+    got = dict(found.select("vec_id", "n_links").collect())
+    want = ((vectors @ vectors.T) >= 0.9).sum(1) - 1
+    assert want.sum() >= 600
+    assert sum(got.values()) >= 0.99 * want.sum()
+
+
+def test_sureness_counts_only_what_a_window_holds():
+    marks = np.array([0, 1, 2, 3, 1 << 62, (1 << 62) + 1], np.int64)
+    whole = E.sureness(marks, 2, 0.5, 0, 6, True, True)
+    cut = E.sureness(marks, 2, 0.5, 0, 6, False, False)
+    assert whole[0] == -math.log1p(-(0.5**63)) and (cut <= whole).all()
+    assert E.sureness(np.zeros(9, np.int64), 2, 0.5, 4, 5, True, True)[0] == 0
+    assert E.sureness(np.zeros(2, np.int64), 2, 0.5, 0, 2, True, True).min() > 20
