@@ -5,6 +5,9 @@ windows that share a minimiser (the smallest hash of their `minimiser`-word part
 bucket of that minimiser. Equal windows have equal minimisers, so each bucket sorts and compares its windows alone.
 Before the shuffle every task compares its own strings: of equal strings only those of the smallest document travel,
 the others are known to be repeats, so a passage that a third of all documents hold arrives about once per task.
+Minimisers with many windows, as those of a frequent part with ever other neighbours, are found by counting them in a
+sample of the documents; their windows travel singly and are dealt over several buckets by the window's own hash.
+Equal windows still meet, whatever the sample says.
 """
 
 from __future__ import annotations
@@ -24,6 +27,12 @@ from playbeat.llm import arrays as A
 
 #: Texts compared with one another before the shuffle.
 TASK_BYTES = 8 << 20
+#: Windows of a minimiser above which they are dealt by their own hash, and windows of a bucket on average at most.
+SPLIT_ABOVE = 1 << 18
+BUCKET_WINDOWS = 1 << 21
+#: One document in so many is counted for both.
+COUNT_EVERY = 16
+STEP = np.uint64(0x9E3779B97F4A7C15)
 HEAD = struct.Struct("<qq")
 
 
@@ -93,7 +102,57 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
-def _ship(window: int, minimiser: int, buckets: int):
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Documents (doc, key, text) as ids, keys, bytes and offsets of about TASK_BYTES of text."""
+    for batch in _gathered(batches):
+        doc, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        buf, offsets = A.text_buffer(batch.column(2))
+        for lo, hi in A.slices(offsets, TASK_BYTES):
+            yield doc[lo:hi], key[lo:hi], buf[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+
+
+def _minimisers(window: int, minimiser: int):
+    """Documents to numbers of windows by minimiser, and of all under null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, buf, offsets in _texts(batches):
+            starts, ends, texts = A.word_bounds(buf, offsets)
+            _, count, _, least = super_kmers(A.word_hashes(buf, starts, ends), texts, window, minimiser)
+            found, own = np.unique(least, return_inverse=True)
+            n = np.bincount(own, count, minlength=len(found)).astype(np.int64)
+            least = pa.concat_arrays([pa.array(found.view(np.int64)), pa.nulls(1, pa.int64())])
+            yield pa.RecordBatch.from_arrays([least, pa.array(np.append(n, n.sum()))], names=["least", "n"])
+
+    return run
+
+
+def layout(rows: DataFrame, window: int, minimiser: int, least_buckets: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of buckets, the minimisers to be dealt by window in order, and over how many parts each, from a sample of (doc, key, text)."""
+    some = rows.where(F.pmod(F.xxhash64("doc", "key"), F.lit(COUNT_EVERY)) == 0)
+    counts = some.mapInArrow(A.released(_minimisers(window, minimiser)), "least long, n long").groupBy("least").agg(F.sum("n").alias("n"))
+    many = counts.where(F.col("least").isNull() | (F.col("n") * COUNT_EVERY > SPLIT_ABOVE)).collect()
+    windows = sum(r.n for r in many if r.least is None) * COUNT_EVERY
+    found = np.array([r.least for r in many if r.least is not None], np.int64).view(np.uint64)
+    n = np.array([r.n for r in many if r.least is not None], np.int64) * COUNT_EVERY
+    order = np.argsort(found)
+    return max(least_buckets, -(-windows // BUCKET_WINDOWS)), found[order], -(-n // SPLIT_ABOVE)[order]
+
+
+def _split(hashes: np.ndarray, window: int, runs: tuple[np.ndarray, ...], hot: np.ndarray, splits: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The runs of windows with those of hot minimisers singly, whose minimiser is changed by the window's own hash."""
+    first, count, text, least = runs
+    at = np.minimum(np.searchsorted(hot, least), len(hot) - 1)
+    single = hot[at] == least
+    times = np.where(single, count, 1)
+    own = np.repeat(np.arange(len(first)), times)
+    first = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(times) - times, times)
+    single, least = single[own], least[own]
+    mark = A.Rolling(hashes).hashes(first[single], first[single] + window)
+    least[single] += mark % splits[at[own][single]].astype(np.uint64) * STEP
+    return first, np.where(single, 1, count[own]), text[own], least
+
+
+def _ship(window: int, minimiser: int, buckets: int, hot: np.ndarray | None = None, splits: np.ndarray | None = None):
     """Documents (doc, key, text) to packed strings by bucket; decisions of the task itself have a negative bucket."""
 
     def rows(doc: np.ndarray, key: np.ndarray, buf: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, bytes]]:
@@ -103,6 +162,8 @@ def _ship(window: int, minimiser: int, buckets: int):
         first, count, text, least = super_kmers(hashes, texts, window, minimiser)
         if not len(first):
             return
+        if hot is not None and len(hot):
+            first, count, text, least = _split(hashes, window, (first, count, text, least), hot, splits)
         last = first + count + window - 1
         mark = A.Rolling(hashes).hashes(first, last)
         order = np.lexsort((doc[text], mark))
@@ -115,8 +176,11 @@ def _ship(window: int, minimiser: int, buckets: int):
         later = later[size[later] == size[lead[later]]]
         later = later[A.same_ranges(body, at[first[later]], body, at[first[lead[later]]], size[later])]
         if len(later):
-            known = text[later]
-            yield -1 - int(doc[known[0]] % buckets), _pack(doc[known], key[known], first[later] - texts[known], last[later] - texts[known], body[:0])
+            known, begin, end = text[later], first[later], last[later]
+            cut = np.append(True, (known[1:] != known[:-1]) | (begin[1:] > end[:-1]))
+            closes = np.append(np.flatnonzero(cut)[1:], len(later)) - 1
+            known, begin, end = known[cut], begin[cut], end[closes]
+            yield -1 - int(doc[known[0]] % buckets), _pack(doc[known], key[known], begin - texts[known], end - texts[known], body[:0])
         send = np.ones(len(first), bool)
         send[later] = False
         send = np.flatnonzero(send)
@@ -131,15 +195,12 @@ def _ship(window: int, minimiser: int, buckets: int):
             yield int(bucket[lo]), _pack(doc[own], key[own], first[part] - texts[own], last[part] - texts[own], words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _gathered(batches):
-            doc, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            buf, offsets = A.text_buffer(batch.column(2))
-            for lo, hi in A.slices(offsets, TASK_BYTES):
-                part = list(rows(doc[lo:hi], key[lo:hi], buf[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]))
-                if part:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([b for b, _ in part], pa.int64()), pa.array([x for _, x in part], pa.binary())], names=["bucket", "packed"]
-                    )
+        for texts in _texts(batches):
+            part = list(rows(*texts))
+            if part:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b for b, _ in part], pa.int64()), pa.array([x for _, x in part], pa.binary())], names=["bucket", "packed"]
+                )
 
     return run
 
@@ -277,15 +338,17 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13, minimiser: int =
     one space; with `as_is` a text that loses nothing stays as it was, null or not. Null and empty texts have no words and an empty `kept_text`; texts shorter than a window lose nothing.
     A row without an id neither loses words nor makes others lose any. Rows that repeat an id are the same document:
     they do not remove each other's words. Other columns than those in `keep` are ignored.
-    Rows of one id are told apart by 32 bits of a text hash. `buckets` is the number of minimiser buckets; a task holds one bucket at a time, so it should grow with the input.
+    Rows of one id are told apart by 32 bits of a text hash. `buckets` is the number of minimiser buckets; a task holds one
+    bucket at a time. By default it grows with the windows counted in a sample, and minimisers with many windows are split.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = buckets or 8 * parts
     others = [F.col(f"`{c}`").alias(f"__keep_{i}") for i, c in enumerate(keep or [])]
     own = [F.col(doc_id).cast("long").alias("doc"), F.hash(F.col(text)).cast("long").alias("key"), F.col(text).cast("string").alias("text")]
     rows = docs.select(*own, *others)
-    packed = rows.select("doc", "key", "text").where("doc IS NOT NULL AND length(text) > 0").mapInArrow(A.released(_ship(window, minimiser, buckets)), "bucket long, packed binary")
+    texts = rows.select("doc", "key", "text").where("doc IS NOT NULL AND length(text) > 0")
+    counted, hot, splits = layout(texts, window, minimiser, 8 * parts)
+    packed = texts.mapInArrow(A.released(_ship(window, minimiser, buckets or counted, hot, splits)), "bucket long, packed binary")
     spans = packed.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(A.released(_judge(window)), "doc long, key long, start long, end long")
     spans = spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = rows.join(spans, ["doc", "key"], "left").select("doc", *(c for c in rows.columns if c.startswith("__keep_")), "text", "spans")

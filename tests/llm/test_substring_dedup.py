@@ -80,3 +80,32 @@ def test_texts_that_lose_nothing_stay_as_they_are(spark, odd):
     got = S.remove_repeated_windows(odd, as_is=True).collect()
     assert sorted(((r.doc_id, r.kept_text) for r in got if not r.n_removed), key=str) == [x for x in source if x in {(r.doc_id, r.kept_text) for r in got}]
     assert sum(not r.n_removed for r in got) >= len(source) - 3 and any(r.kept_text is None for r in got)
+
+
+def frequent_part(n):
+    """Texts that share a 3-word part, the least hash among all parts, each with neighbours of its own but for every tenth."""
+    words = [f"q{i}" for i in range(3000)]
+    buf = np.frombuffer(" ".join(words).encode(), np.uint8)
+    starts, ends, _ = S.A.word_bounds(buf, np.array([0, len(buf)]))
+    hashes = S.A.Rolling(S.A.word_hashes(buf, starts, ends)).hashes(np.arange(2998), np.arange(3, 3001))
+    at = int(hashes.argmin())
+    part = " ".join(words[at : at + 3])
+    return [(i, " ".join([*(f"a{j}x{i - i % 10 // 9}" for j in range(12)), part, *(f"b{j}x{i - i % 10 // 9}" for j in range(12))])) for i in range(n)]
+
+
+def test_windows_of_a_frequent_part_are_split(spark, monkeypatch):
+    monkeypatch.setattr(S, "SPLIT_ABOVE", 500)
+    monkeypatch.setattr(S, "COUNT_EVERY", 1)
+    monkeypatch.setattr(S, "BUCKET_WINDOWS", 2000)
+    rows = frequent_part(1500)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    texts = df.selectExpr("doc_id AS doc", "cast(hash(text) AS long) AS key", "text")
+    buckets, hot, splits = S.layout(texts, 13, 3, 4)
+    assert len(hot) >= 1 and splits.max() >= 20 and buckets >= 10
+    shipped = texts.mapInArrow(S._ship(13, 3, 64, hot, splits), "bucket long, packed binary").where("bucket >= 0").collect()
+    sizes = {}
+    for bucket, blob in shipped:
+        size = S._unpack(bytes(blob))[0][3]
+        sizes[bucket] = sizes.get(bucket, 0) + int((size - 12).sum())
+    assert max(sizes.values()) <= 0.1 * sum(sizes.values())
+    check(df)
