@@ -29,11 +29,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; documents without an id stay."""
+    """One row of each group of near duplicates, with its smallest id.
+
+    Rows that repeat an id are one document: of equal ones one stays, of different ones that with the least text hash.
+    Rows without an id are not compared, not even with equal texts, and all stay.
+    """
     send_code(spark)
     groups = simhash_components(docs, shingle=3, distance=3)
-    stay = groups.where("component_id IS NULL OR doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stay.where("doc_id IS NOT NULL"), "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL")).select(*COLUMNS)
+    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
+    # rows of an id are cut to one per task before the shuffle
+    first = F.min(F.struct(F.xxhash64("text").alias("mark"), *COLUMNS[1:])).alias("row")
+    single = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(first).select("doc_id", *(F.col(f"row.{c}") for c in COLUMNS[1:]))
+    return single.join(stay, "doc_id", "left_semi").select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
