@@ -124,14 +124,17 @@ def fit(text: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndar
 def fit_quality(docs: DataFrame, ratings: DataFrame, *, sample: int = 8192, seed: int = 11, doc_id: str = "doc_id", text: str = "text", grade: str = "grade") -> Ordinal:
     """A model from rated documents: `ratings` has doc_id and an integer grade from 0 up, higher for better.
 
-    At most `sample` rated rows are used, chosen by a seeded hash of their ids, so the choice does not depend on order
-    or partitions; their features go to the driver. Null ids, grades and texts are left out. With fewer than two grades
-    the model accepts everything.
+    At most `sample` different pairs of id and grade are used, chosen by a seeded hash of their ids, so the choice does
+    not depend on order or partitions; the features of one text for each go to the driver. Of the texts that repeat an id
+    the one with the least hash counts. Null ids, grades and texts are left out. With fewer than two grades the model
+    accepts everything.
     """
-    rated = ratings.select(F.col(doc_id).cast("long").alias("id"), F.col(grade).cast("int").alias("grade")).where("id IS NOT NULL AND grade >= 0")
+    rated = ratings.select(F.col(doc_id).cast("long").alias("id"), F.col(grade).cast("int").alias("grade")).where("id IS NOT NULL AND grade >= 0").distinct()
     chosen = rated.orderBy(F.xxhash64("id", F.lit(seed)), "id", "grade").limit(sample)
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
-    rows = texts.join(F.broadcast(chosen), "id").select("grade", "text")  # the broadcast side has `sample` rows at most
+    # the broadcast side has `sample` rows at most, and so has the result, as texts of an id are cut to one, first per task
+    own = texts.join(F.broadcast(chosen.select("id")), "id", "left_semi").groupBy("id").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    rows = own.join(F.broadcast(chosen), "id").select("grade", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -247,3 +247,14 @@ def test_pieces_refuse_models_they_cannot_treat(model):
     proto.pieces[300].type = 4
     with pytest.raises(ValueError):
         Pieces(proto.SerializeToString())
+
+
+def test_repeated_ids_do_not_fill_the_sample(spark, monkeypatch):
+    from playbeat.llm import quality
+
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda owner, feature, value, grades, **more: seen.append(grades.tolist()))
+    ratings = spark.createDataFrame([(1, 0)] * 50 + [(2, 1), (3, 2)], "doc_id long, grade int")
+    docs = spark.createDataFrame([(1, f"poor text number {i}") for i in range(40)] + [(2, "fair text"), (3, "good text")], "doc_id long, text string")
+    quality.fit_quality(docs.repartition(4), ratings, sample=3)
+    assert sorted(seen[0]) == [0, 1, 2]
