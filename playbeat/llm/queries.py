@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, over whole tables, and their SQL where SQL can express them."""
+"""The registered queries of the operators, over whole tables, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from playbeat.llm.document_fingerprints import fingerprints_with_next, near_fing
 from playbeat.llm.embedding_neardup import embedding_links
 from playbeat.llm.language_id import learn_languages, predict_language
 from playbeat.llm.license_scan import scan_licenses
+from playbeat.llm.merkle import fold_proofs, merkle_proofs, row_digest
 from playbeat.llm.mixing import mix_sources, word_count
 from playbeat.llm.quality import fit_quality, predict_quality
 from playbeat.llm.sentencepiece_codec import decode_ids, encode_texts
@@ -117,6 +118,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "expected_grade", F.element_at("tails", -1).alias("p_good"), "accepted")
 
 
+MANIFEST = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, folded from a leaf whose n_chars is one too large where 7 divides the id's CRC."""
+    docs = table(spark, sf_dir, "documents")
+    changed = row_digest([F.expr("try_add(n_chars, 1)") if c == "n_chars" else c for c in MANIFEST])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, changed).alias("tampered")
+    proofs = merkle_proofs(docs.select("doc_id", "lang", row_digest(MANIFEST).alias("leaf"), tampered), keep=["doc_id", "tampered"])
+    folded = fold_proofs(proofs.withColumn("shown", F.coalesce("tampered", "leaf")), leaf="shown")
+    return folded.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def _sent(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         send_code(spark)
@@ -138,10 +152,49 @@ QUERIES = {
         "op8_sentencepiece": op8_sentencepiece,
         "op9_source_mixing": op9_source_mixing,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_merkle_manifest": op11_merkle_manifest,
     }.items()
 }
 
+
+def _crc32(column: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of a whole number's decimal digits."""
+    digits = f"list_transform(string_split(CAST({column} AS VARCHAR), ''), lambda ch: ascii(ch)::BIGINT)"
+    bits = "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {digits}), lambda c, b: {bits}), 4294967295::BIGINT)"
+
+
+def _fields(*columns: str) -> str:
+    """DuckDB SQL for the digest of a manifest leaf."""
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns) + ")"
+
+
 SQL = {
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, {_fields(*MANIFEST)} AS leaf,
+    {_fields("doc_id", "source", "lang", "(n_chars + 1)", "text")} AS changed, {_crc32("doc_id")} AS crc FROM documents),
+gr AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, count(*) AS n FROM d GROUP BY lang),
+a AS (SELECT d.*, gr.g, gr.n, row_number() OVER (PARTITION BY gr.g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p
+      FROM d JOIN gr ON d.lang IS NOT DISTINCT FROM gr.lang),
+t AS (SELECT g, 0 AS l, p, n, leaf AS h FROM a UNION ALL
+      SELECT g, l + 1, p // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY p)) FROM t WHERE n > 1 GROUP BY g, l, p // 2, n),
+s AS (SELECT g, h AS subroot, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS l, g AS p, n, subroot AS h FROM s UNION ALL
+      SELECT l + 1, p // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY p)) FROM u WHERE n > 1 GROUP BY l, p // 2, n),
+steps AS (SELECT a.g, a.p, v.l AS o, (a.p >> v.l) & 1 AS odd, b.h AS sib
+          FROM a JOIN (SELECT DISTINCT g, l FROM t WHERE n > 1) v USING (g)
+          LEFT JOIN t b ON b.g = a.g AND b.l = v.l AND b.p = xor(a.p >> v.l, 1)
+          UNION ALL
+          SELECT a.g, a.p, 100 + v.l, (a.g >> v.l) & 1, b.h FROM a JOIN (SELECT DISTINCT l FROM u WHERE n > 1) v ON TRUE
+          LEFT JOIN u b ON b.l = v.l AND b.p = xor(a.g >> v.l, 1)),
+w AS (SELECT g, p, list(CASE WHEN sib IS NULL THEN '-' WHEN odd = 1 THEN '<' || sib ELSE '>' || sib END ORDER BY o) AS steps,
+             coalesce(string_agg(sib, '' ORDER BY o), '') AS siblings FROM steps GROUP BY g, p),
+f AS (SELECT a.doc_id, a.leaf, s.subroot, (SELECT h FROM u WHERE n = 1) AS root, sha256(coalesce(w.siblings, '')) AS proof_sha256,
+             list_reduce(list_prepend(CASE WHEN a.crc % 7 = 0 THEN a.changed ELSE a.leaf END, coalesce(w.steps, [])), lambda x, y:
+                 CASE y[1] WHEN '-' THEN sha256(x) WHEN '<' THEN sha256(y[2:] || x) ELSE sha256(x || y[2:]) END) AS folded_root
+      FROM a JOIN s USING (g) LEFT JOIN w ON a.g = w.g AND a.p = w.p)
+SELECT *, folded_root = root AS verified FROM f
+""",
     "op7_substring_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
