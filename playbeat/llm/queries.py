@@ -14,6 +14,7 @@ from playbeat.llm.language_id import learn_languages, predict_language
 from playbeat.llm.license_scan import scan_licenses
 from playbeat.llm.merkle import fold_proofs, merkle_proofs, row_digest
 from playbeat.llm.mixing import mix_sources, word_count
+from playbeat.llm.neighbour_graph import nearest_neighbours
 from playbeat.llm.quality import fit_quality, predict_quality
 from playbeat.llm.sentencepiece_codec import decode_ids, encode_texts
 from playbeat.llm.simhash_neardup import simhash_components
@@ -131,6 +132,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folded.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
 def _sent(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         send_code(spark)
@@ -153,6 +159,7 @@ QUERIES = {
         "op9_source_mixing": op9_source_mixing,
         "op10_quality_classifier": op10_quality_classifier,
         "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_nearest_neighbours": op12_nearest_neighbours,
     }.items()
 }
 
