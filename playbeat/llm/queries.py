@@ -15,6 +15,7 @@ from playbeat.llm.license_scan import scan_licenses
 from playbeat.llm.merkle import fold_proofs, merkle_proofs, row_digest
 from playbeat.llm.mixing import mix_sources, word_count
 from playbeat.llm.neighbour_graph import nearest_neighbours
+from playbeat.llm.prefix_trie import conversation_trie
 from playbeat.llm.quality import fit_quality, predict_quality
 from playbeat.llm.sentencepiece_codec import decode_ids, encode_texts
 from playbeat.llm.simhash_neardup import simhash_components
@@ -137,6 +138,13 @@ def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(rows, rows.where("vec_id % 20 = 0"), k=20)
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each rebuilt upon the first turns of the first one of its twenty."""
+    turns = table(spark, sf_dir, "conversations")
+    head = F.crc32(F.col("conv").cast("string")) % 4
+    return conversation_trie(turns, base=F.col("conv") - F.col("conv") % 20, head=head, most=3)
+
+
 def _sent(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         send_code(spark)
@@ -160,6 +168,7 @@ QUERIES = {
         "op10_quality_classifier": op10_quality_classifier,
         "op11_merkle_manifest": op11_merkle_manifest,
         "op12_nearest_neighbours": op12_nearest_neighbours,
+        "op13_conversation_trie": op13_conversation_trie,
     }.items()
 }
 
@@ -201,6 +210,27 @@ f AS (SELECT a.doc_id, a.leaf, s.subroot, (SELECT h FROM u WHERE n = 1) AS root,
                  CASE y[1] WHEN '-' THEN sha256(x) WHEN '<' THEN sha256(y[2:] || x) ELSE sha256(x || y[2:]) END) AS folded_root
       FROM a JOIN s USING (g) LEFT JOIN w ON a.g = w.g AND a.p = w.p)
 SELECT *, folded_root = root AS verified FROM f
+""",
+    "op13_conversation_trie": rf"""
+WITH r AS (SELECT conv_id, turn, md5(strlen(role) || ':' || role || text) AS k, CAST(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS BIGINT) AS w
+           FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS i FROM r),
+c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base, {_crc32("conv_id")} % 4 AS h FROM t),
+b AS (SELECT c.conv_id, t.i AS pos, t.k, t.w FROM c JOIN t ON t.conv_id = c.base AND t.i <= c.h),
+m AS (SELECT c.conv_id, c.h, count(b.pos) AS m FROM c LEFT JOIN b USING (conv_id) GROUP BY c.conv_id, c.h),
+s AS (SELECT * FROM b UNION ALL SELECT t.conv_id, t.i - m.h + m.m, t.k, t.w FROM t JOIN m USING (conv_id) WHERE t.i > m.h),
+l AS (SELECT conv_id, list(k ORDER BY pos) AS k, list(w ORDER BY pos) AS w FROM s GROUP BY conv_id),
+q AS (SELECT c.conv_id, coalesce(l.k, []) AS k, l.w FROM c LEFT JOIN l USING (conv_id)),
+p AS (SELECT q.conv_id, d, k[1:d] AS pre, CASE WHEN d = 0 THEN 0 ELSE w[d] END AS w, len(k) = d AS ends FROM q, unnest(range(0, len(k) + 1)) AS u(d)),
+n AS (SELECT d, pre, min(conv_id) AS conv_id, count(*) AS n, max(w) AS w,
+             coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '') AS ids FROM p GROUP BY d, pre),
+f AS (SELECT d - 1 AS d, pre[1:d - 1] AS pre, count(*) AS f FROM n WHERE d > 0 GROUP BY ALL),
+o AS (SELECT n.*, coalesce(f.f, 0) AS f FROM n LEFT JOIN f ON n.d = f.d AND n.pre = f.pre),
+a AS (SELECT u.a AS d, o.pre[1:u.a] AS pre, sum(CASE WHEN o.f = 0 THEN 1 ELSE 0 END) AS leaves, sum((o.n - 1) * o.w) AS saved
+      FROM o, unnest(range(0, o.d + 1)) AS u(a) GROUP BY ALL)
+SELECT o.conv_id, CAST(o.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, o.n AS n_convs, CAST(o.f AS BIGINT) AS n_children,
+       CAST(a.leaves AS BIGINT) AS n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens, sha256(o.ids) AS ends_sha256
+FROM o JOIN a ON o.d = a.d AND o.pre = a.pre LEFT JOIN n up ON up.d = o.d - 1 AND up.pre = o.pre[1:o.d - 1]
 """,
     "op7_substring_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
