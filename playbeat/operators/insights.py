@@ -79,7 +79,7 @@ def segment_failures(
     Requests and loads meet by viewer and ``segment_id``: a load after a switch still answers its request, and
     a retry that loads answers all requests of the segment. A request without a segment id stands alone.
     """
-    rows = asof_quality(events, interval_ms, chunk_ms)
+    rows = asof_quality(events, interval_ms, chunk_ms, ["segment_id"])
     segment = "if(segment_id is null, struct(event_id as id, true as alone), struct(segment_id as id, false as alone))"
     keyed = rows.selectExpr(*KEYS, f"inline(array({segment}))", "quality_label", "event")
     counts = keyed.groupBy(*KEYS, "id", "alone", "quality_label").agg(*exprs(

@@ -8,6 +8,8 @@ hands to the next (last state, last label) travels through a table with one row
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from playbeat.functions import scalars as S
@@ -93,44 +95,53 @@ def _with_chunks(windowed: DataFrame, chunk_ms: int) -> DataFrame:
     )
 
 
-def _local_state(windowed: DataFrame, chunk_ms: int) -> DataFrame:
-    """State before each row and label at each row, as far as its own chunk tells.
+def _chunked(windowed: DataFrame, chunk_ms: int, *columns: str) -> DataFrame:
+    """Rows dealt by chunk.
 
     The explicit repartition matters: the join on the viewer leaves rows partitioned by viewer, which
-    would satisfy these windows and keep a hot viewer in one task.
+    would satisfy the windows over chunks and keep a hot viewer in one task.
     """
-    return _with_chunks(windowed, chunk_ms).repartition(*CHUNK_KEYS).selectExpr(
+    rows = _with_chunks(windowed, chunk_ms)
+    return (rows.select(*CHUNK_KEYS, "t", "event_id", *columns) if columns else rows).repartition(*CHUNK_KEYS)
+
+
+def _local_state(chunked: DataFrame) -> DataFrame:
+    """State before each row and label at each row, as far as its own chunk tells."""
+    return chunked.selectExpr(
         "*",
-        f"last(state, true) over ({IN_CHUNK} {BEFORE}) as prev_state",
-        f"last(label, true) over ({IN_CHUNK} {UP_TO}) as local_label",
+        *([f"last(state, true) over ({IN_CHUNK} {BEFORE}) as prev_state"] if "state" in chunked.columns else []),
+        *([f"last(label, true) over ({IN_CHUNK} {UP_TO}) as local_label"] if "label" in chunked.columns else []),
     )
 
 
-def _chunk_carry(windowed: DataFrame, chunk_ms: int) -> DataFrame:
-    """Per chunk: state and label handed over by earlier chunks, first resume of later ones."""
-    tails = _with_chunks(windowed, chunk_ms).groupBy(*CHUNK_KEYS).agg(*exprs(
-        "max_by(state, if(state is null, null, struct(t, event_id))) as tail_state",
-        "max_by(label, if(label is null, null, struct(t, event_id))) as tail_label",
-        "min(if(state = 0, t, null)) as head_resume",
-    ))
-    return tails.selectExpr(
-        *CHUNK_KEYS,
-        f"last(tail_state, true) over ({EARLIER_CHUNKS}) as carry_state",
-        f"last(tail_label, true) over ({EARLIER_CHUNKS}) as carry_label",
-        f"last(head_resume, true) over ({LATER_CHUNKS}) as next_resume",
-    )
+def _chunk_carry(chunked: DataFrame, value: str, *more: str) -> DataFrame:
+    """Per chunk: the last ``value`` of earlier chunks, and ``more`` aggregates.
+
+    A chunk's tail is taken with all columns of its row. Thereby rows and tails need the same columns of the
+    exchange below, so Spark makes it once and both read it.
+    """
+    others = [c for c in chunked.columns if c not in CHUNK_KEYS]
+    whole = f"max_by(struct({', '.join(others)}), if({value} is null, null, struct(t, event_id))) as tail"
+    tails = chunked.groupBy(*CHUNK_KEYS).agg(*exprs(whole, *more))
+    return tails.selectExpr("*", f"last(tail.{value}, true) over ({EARLIER_CHUNKS}) as carry_{value}").drop("tail")
 
 
 def asof_quality(
-    events: DataFrame, interval_ms: int = HEARTBEAT_INTERVAL_MS, chunk_ms: int = CHUNK_MS
+    events: DataFrame,
+    interval_ms: int = HEARTBEAT_INTERVAL_MS,
+    chunk_ms: int = CHUNK_MS,
+    columns: Sequence[str] = ("segment_id", "requested", "received"),
 ) -> DataFrame:
-    """Each fragment event with the label in force at its time; ``unknown`` until a window has one."""
-    windowed = assign_windows(events, interval_ms)
-    rows = _local_state(windowed, chunk_ms).filter(f"{REQUESTS} or {LOADS}")
-    joined = rows.join(_chunk_carry(windowed, chunk_ms), on=CHUNK_KEYS, how="left")
+    """Each fragment event with the label in force at its time; ``unknown`` until a window has one.
+
+    Name only the further ``columns`` that are used: dropping one later keeps the exchange from being shared.
+    """
+    chunked = _chunked(assign_windows(events, interval_ms), chunk_ms, "event", "label", *columns)
+    rows = _local_state(chunked).filter(f"{REQUESTS} or {LOADS}")
+    joined = rows.join(_chunk_carry(chunked, "label"), on=CHUNK_KEYS, how="left")
     label = f"coalesce(local_label, carry_label, {NO_LABEL})"
     return joined.selectExpr(
-        *WINDOW_KEYS, "t", "event_id", "event", f"{label} as quality_label", "segment_id", "requested", "received"
+        *WINDOW_KEYS, "t", "event_id", "event", f"{label} as quality_label", *columns
     )
 
 
@@ -144,12 +155,13 @@ def buffer_intervals(
 
     A stall still open at the window end is cut there and does not go on in the next window.
     """
-    windowed = assign_windows(events, interval_ms, clip_last)
-    states = _local_state(windowed, chunk_ms).filter("state is not null")
-    states = states.selectExpr(
+    chunked = _chunked(assign_windows(events, interval_ms, clip_last).filter(f"{STALLS} or {RESUMES}"), chunk_ms, "state", "win_end")
+    states = _local_state(chunked).selectExpr(
         "*", f"last(if(state = 0, t, null), true) over ({IN_CHUNK_REVERSED} {BEFORE}) as local_resume"
     )
-    joined = states.join(_chunk_carry(windowed, chunk_ms), on=CHUNK_KEYS, how="left")
+    carry = _chunk_carry(chunked, "state", "min(if(state = 0, t, null)) as head_resume")
+    carry = carry.selectExpr(*CHUNK_KEYS, "carry_state", f"last(head_resume, true) over ({LATER_CHUNKS}) as next_resume")
+    joined = states.join(carry, on=CHUNK_KEYS, how="left")
     starts = joined.filter("state = 1 and coalesce(prev_state, carry_state, 0) = 0")
     return starts.selectExpr(
         *WINDOW_KEYS, "t as start_ms", "event_id", "coalesce(local_resume, next_resume, win_end) as end_ms"
@@ -174,7 +186,7 @@ def _window_label_rows(windowed: DataFrame, chunk_ms: int) -> DataFrame:
     ends = "(state = 0 and prev_state = 1)"
     head = "(state is not null and prev_state is null)"
     chunks = (
-        _local_state(windowed, chunk_ms)
+        _local_state(_chunked(windowed, chunk_ms))
         .selectExpr(
             "*",
             "t - win_start as offset",

@@ -10,13 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playbeat.functions import maps as M, scalars as S
-from playbeat.operators import insights, player_events as pe, quality as q, reshape, sessions as ses, summary
+from playbeat.operators import insights, player_events as pe, quality as q, reshape, sessions as ses, summary, visits
 from playbeat.operators.dedup import dedup_heartbeats as dedup
 from playbeat.operators.validate import validate_metrics as validate
 from playbeat.plans.job import JobParams, run_batch
 from playbeat.plans.metrics import compute_metrics, sessions_sorted as by_key
 from playbeat.plans.partials import finalize, merge_partials as merge, session_partials
-from playbeat.schema import FLAT_COLUMNS, KEYS, SESSION_METRICS
+from playbeat.schema import FLAT_COLUMNS, HEARTBEAT, KEYS, PLAYER_EVENT, SESSION_METRICS
 from playbeat.session import shared_dir
 from playbeat.sinks.tables import upsert_metrics as upsert, write_metrics
 from playbeat.sources import derived
@@ -24,6 +24,7 @@ from playbeat.sources.heartbeats import filter_date as on_date, read_telemetry,
 from playbeat.sources.payload import decode_payload as decode
 from playbeat.sources.quarantine import coerce_types as coerce, split_malformed
 from playbeat.streaming.sessions import start_sessions
+from playbeat.streaming.visits import start_visit_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -478,7 +479,7 @@ def assign_windows(spark, sf):
 
 @query
 def asof_quality(spark, sf):
-    return pe.asof_quality(derived.player_events(spark, sf)).drop("segment_id", "requested", "received")
+    return pe.asof_quality(derived.player_events(spark, sf), columns=[])
 
 
 @query
@@ -511,8 +512,36 @@ def build_heartbeats(spark, sf):
 
 @query
 def densify_windows(spark, sf):
-    """With the heartbeats of quiet windows, where no more than a minute is quiet."""
-    return pe.build_heartbeats(derived.player_events(spark, sf), visit_gap_ms=60_000).selectExpr(*BEAT)
+    """With the heartbeats of all quiet windows of a visit."""
+    return pe.build_heartbeats(derived.player_events(spark, sf)).selectExpr(*BEAT)
+
+
+@query
+def visit_heartbeats(spark, sf):
+    """Windows by visit: some events are starts and stops, and a pause of half an hour ends a visit, too."""
+    return visits.visit_heartbeats(derived.visit_events(spark, sf)).selectExpr(*BEAT)
+
+
+@query
+def stream_visits(spark, sf):
+    """The same from a stream: slices of events, out of order by up to an hour, through keyed state; a restart between slices.
+
+    The last slice is one event far ahead, as a stream that goes on would bring: it lets time pass, so all visits end.
+    """
+    path = shared_dir(spark, "visits")
+    events = derived.visit_events(spark, sf)
+    span = events.agg(F.min("t").alias("low"), F.max("t").alias("high")).first()
+    if span.low is None:
+        return visits.visit_heartbeats(events).selectExpr(*BEAT)
+    slices = 4
+    place = f"cast((t + event_id % 7 * 600000 - {span.low}) * {slices}D / {span.high - span.low + 3_600_001} as int)"
+    ahead = spark.range(1).selectExpr(f"{span.high + 10_000_000_000}L as t", "'other' as event", "'~' as customerId")
+    for i in range(slices + 1):
+        part = events.filter(f"{place} = {i}") if i < slices else ahead
+        part.write.mode("append").parquet(f"{path}/events")
+        stream = spark.readStream.schema(PLAYER_EVENT).option("maxFilesPerTrigger", "1000000").parquet(f"{path}/events")
+        start_visit_stream(stream, f"{path}/beats", f"{path}/checkpoint", "2 hours", None).awaitTermination()
+    return spark.read.schema(HEARTBEAT).parquet(f"{path}/beats").selectExpr(*BEAT)
 
 
 @query

@@ -96,7 +96,7 @@ def ses(select: str, **kw) -> str:
     return f"WITH {HB}{sessions(**kw)} {select}"
 
 
-PLAYER = EVENTS + f""",
+PLAYER_ROWS = EVENTS + f""",
 pe0 AS (
   SELECT 'c' || (user_id % 3) AS "customerId", 'w0' AS "contentId", 'v' || user_id AS "clientId",
     {B} + (us - {B}000) // 5000000 AS t, event_id,
@@ -106,12 +106,11 @@ pe0 AS (
       CASE k % 4 WHEN 0 THEN 1080 WHEN 1 THEN 720 WHEN 2 THEN 360 ELSE 270 END END AS height,
     CASE WHEN event_type = 'signup' THEN k % 4 END AS level,
     CASE WHEN event_type = 'purchase' THEN CAST(round(value * 1000) AS BIGINT) END AS bytes
-  FROM e),
-pe1 AS (
-  SELECT *, min(t) OVER v AS first_t, max(t) OVER v AS last_t FROM pe0
-  WINDOW v AS (PARTITION BY {KEYS})),
+  FROM e)"""
+
+WINDOWED = f"""
 pe AS (
-  SELECT *, (t - first_t) // 30000 AS win, first_t + (t - first_t) // 30000 * 30000 AS win_start,
+  SELECT *, @win AS win, first_t + (t - first_t) // 30000 * 30000 AS win_start,
     first_t + (t - first_t) // 30000 * 30000 + 30000 AS win_end,
     CASE WHEN event IN ('waiting', 'stalled') THEN 1 WHEN event = 'playing' THEN 0 END AS state,
     CASE WHEN event = 'level' THEN CASE WHEN height > 0 THEN height || 'p' ELSE 'level_' || level END END AS label
@@ -136,13 +135,44 @@ wq AS (
   FROM filled WHERE event = 'frag' GROUP BY ALL),
 wins AS (SELECT DISTINCT {KEYS}, win, win_end FROM pe),
 ahead AS (
-  SELECT {KEYS}, first_t, win, lead(win) OVER (PARTITION BY {KEYS} ORDER BY win) AS next_win
+  SELECT {KEYS}, first_t, win, lead(win) OVER (PARTITION BY {KEYS}, first_t ORDER BY win) AS next_win
   FROM (SELECT DISTINCT {KEYS}, first_t, win FROM pe)),
-{', '.join(f"""{name} AS (
+every AS (
   SELECT * FROM wins UNION ALL
-  SELECT {KEYS}, win, first_t + win * 30000 + 30000 AS win_end FROM (
-    SELECT {KEYS}, first_t, unnest(range(win + 1, next_win)) AS win FROM ahead
-    WHERE (next_win - win) * 30000 <= {gap}))""" for name, gap in (('every', 1800000), ('every_minute', 60000)))}"""
+  SELECT {KEYS}, win, @end AS win_end FROM (
+    SELECT {KEYS}, first_t, unnest(range(win + @step, next_win, @step)) AS win FROM ahead WHERE @near))"""
+
+
+def windowed(**words: str) -> str:
+    out = WINDOWED
+    for name, sql in words.items():
+        out = out.replace(f"@{name}", sql)
+    return out
+
+
+BY_VIEWER = windowed(
+    win="(t - first_t) // 30000", end="first_t + win * 30000 + 30000", step="1", near="(next_win - win) * 30000 <= 1800000"
+)
+BY_VISIT = windowed(win="first_t + (t - first_t) // 30000 * 30000", end="win + 30000", step="30000", near="true")
+
+PLAYER = f"""{PLAYER_ROWS},
+pe1 AS (
+  SELECT *, min(t) OVER v AS first_t, max(t) OVER v AS last_t FROM pe0
+  WINDOW v AS (PARTITION BY {KEYS})),{BY_VIEWER}"""
+
+# visits: a start, the time after a stop, a pause and the first event begin one; a window is known by its start
+VISITS = f"""{PLAYER_ROWS},
+pe00 AS (SELECT * REPLACE (CASE event_id % 40 WHEN 0 THEN 'start' WHEN 1 THEN 'stop' ELSE event END AS event) FROM pe0),
+moments AS (SELECT {KEYS}, t, bool_or(event = 'start') AS starts, bool_or(event = 'stop') AS stops FROM pe00 GROUP BY ALL),
+marks AS (
+  SELECT *, coalesce(starts OR lag(stops) OVER v OR t - lag(t) OVER v > 1800000, true) AS mark FROM moments
+  WINDOW v AS (PARTITION BY {KEYS} ORDER BY t)),
+spans AS (
+  SELECT {KEYS}, t, max(CASE WHEN mark THEN t END) OVER (PARTITION BY {KEYS} ORDER BY t) AS first_t FROM marks),
+pe1 AS (
+  SELECT e.*, s.first_t, max(e.t) OVER (PARTITION BY e."customerId", e."clientId", s.first_t) AS last_t
+  FROM pe00 e JOIN spans s ON e."customerId" = s."customerId" AND e."clientId" = s."clientId" AND e.t = s.t),
+{BY_VISIT}"""
 
 
 def beats(wins: str) -> str:
@@ -326,7 +356,9 @@ good_lab AS (SELECT * FROM lab WHERE event_id % 19 <> 0 AND event_id % 23 <> 0)
     "window_quality_stats": pe(f"""
       SELECT {KEYS}, win, quality_label, requests, received AS requested, received FROM wq"""),
     "build_heartbeats": pe(beats("wins")),
-    "densify_windows": pe(beats("every_minute")),
+    "densify_windows": pe(beats("every")),
+    "visit_heartbeats": f"WITH {VISITS} {beats('every')}",
+    "stream_visits": f"WITH {VISITS} {beats('every')}",
     "player_sessions": PLAYER_SESSIONS,
     "dedup_heartbeats": hb(f"""
       SELECT {SCAN.replace(', agent,', ', agent0 AS agent,')} FROM (

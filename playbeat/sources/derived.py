@@ -140,3 +140,10 @@ def fragment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     parts = rows.selectExpr(*[f"explode({kinds}) as event" if c == "event" else c for c in rows.columns])
     return parts.selectExpr(*[late if c == "t" else c for c in parts.columns])
+
+
+def visit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Player events of which some are a start or a stop of the player."""
+    rows = player_events(spark, sf_dir)
+    kind = "case event_id % 40 when 0 then 'start' when 1 then 'stop' else event end as event"
+    return rows.selectExpr(*[kind if c == "event" else c for c in rows.columns])

@@ -158,3 +158,23 @@ def test_a_load_answers_its_own_request(spark):
     full = [("c", "w", "v", t, i, event, height, None, 1, 1, segment) for t, i, event, height, segment in rows]
     got = {r.quality_label: (r.requests, r.loads, r.failures, r.failure_rate) for r in segment_failures(spark.createDataFrame(full, PLAYER_EVENT)).collect()}
     assert got == {"1080p": (1, 1, 0, 0.0), "720p": (2, 0, 2, 1.0)}
+
+
+@pytest.mark.parametrize("name", ["asof_quality", "buffer_intervals", "segment_failures"])
+def test_events_are_windowed_once(spark, tmp_path, name):
+    """Rows and what chunks hand over come from one exchange: no more scans than windows alone need."""
+    rows = random_events(3, 200)
+    events_frame(spark, rows).write.parquet(str(tmp_path / "events"))
+    events = spark.read.schema(PLAYER_EVENT).parquet(str(tmp_path / "events"))
+
+    def scans(df):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        return plan.count("FileScan")
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        alone = scans(pe.assign_windows(events))
+        assert scans({**vars(insights), **vars(pe)}[name](events)) == alone == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
