@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import SparkSession
@@ -22,8 +23,11 @@ def get_spark(app_name: str = "playbeat", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder that all executors see: below spark.checkpoint.dir, or below the warehouse where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A fresh folder that all executors see: below spark.checkpoint.dir; below the warehouse only on one machine without it."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -39,3 +43,8 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     where = hadoop.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def query_id(spark: SparkSession, checkpoint_path: str) -> str:
+    """The identity that Spark gave to a streaming checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint_path}/metadata").first()[0])["id"]

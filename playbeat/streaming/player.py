@@ -1,9 +1,10 @@
 """Heartbeats from a stream of raw player events.
 
 A window's events may arrive in several micro-batches and in any order, so the events themselves are
-kept: each batch is stored under its slot of time and its id (a replay replaces its own files), and the
-slots it touched are read by path and rebuilt with the batch operators. Slots are whole numbers of
-heartbeat windows, aligned to the epoch.
+kept: each batch is stored under its slot of time, the identity of its checkpoint and its id (a replay replaces
+its own files, and several checkpoints may fill one log), and the slots it touched are read by path and rebuilt
+with the batch operators. Slots are whole numbers of heartbeat windows, aligned to the epoch. Windows that count
+from a viewer's own first event, quiet and last windows are what `streaming.visits` makes.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from playbeat.operators.player_events import CHUNK_MS, align_windows, to_heartbeats, window_totals
 from playbeat.schema import HEARTBEAT_INTERVAL_MS, PLAYER_EVENT
+from playbeat.session import query_id
 
 SLOT_MS = 300_000
 
@@ -24,7 +26,7 @@ def heartbeats_aligned(
     return to_heartbeats(window_totals(align_windows(events, interval_ms), chunk_ms))
 
 
-def player_sink(log_path: str, output_path: str, interval_ms: int, slot_ms: int, chunk_ms: int):
+def player_sink(log_path: str, output_path: str, interval_ms: int, slot_ms: int, chunk_ms: int, checkpoint_path: str):
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # it is read for its slots and for the log
         try:
@@ -38,14 +40,14 @@ def player_sink(log_path: str, output_path: str, interval_ms: int, slot_ms: int,
         spark = batch.sparkSession
         slot = F.floor(F.col("t") / F.lit(slot_ms))
         rows = batch.filter(F.col("t").isNotNull()).select(
-            *PLAYER_EVENT.fieldNames(), slot.alias("slot"), F.lit(batch_id).cast("long").alias("batch_id")
+            *PLAYER_EVENT.fieldNames(), slot.alias("slot"), F.lit(f"{query_id(spark, checkpoint_path)}-{batch_id}").alias("batch")
         )
         slots = [row.slot for row in rows.select("slot").distinct().toLocalIterator()]
         (
             rows.hint("rebalance", "slot")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("slot", "batch_id")
+            .partitionBy("slot", "batch")
             .parquet(log_path)
         )
         touched = [f"{log_path}/slot={s}" for s in slots]
@@ -78,7 +80,7 @@ def start_player_stream(
     """Player events to a heartbeat table partitioned by time slot."""
     if slot_ms % interval_ms:
         raise ValueError("slot_ms must be a multiple of interval_ms")
-    sink = player_sink(log_path, output_path, interval_ms, slot_ms, chunk_ms)
+    sink = player_sink(log_path, output_path, interval_ms, slot_ms, chunk_ms, checkpoint_path)
     writer = events.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_path)
     if trigger_interval is None:
         return writer.trigger(availableNow=True).start()

@@ -16,7 +16,6 @@ the commit before it had already replaced, so neither listing nor reading grows
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -31,7 +30,7 @@ from playbeat.operators.validate import validate_metrics
 from playbeat.plans.metrics import compute_metrics
 from playbeat.plans.partials import PARTIAL, finalize, merge_partials, session_partials
 from playbeat.schema import HEARTBEAT_INTERVAL_MS, KEYS, OBSERVED_LABELS
-from playbeat.session import list_dir, remove_dir
+from playbeat.session import list_dir, query_id, remove_dir
 from playbeat.sinks.tables import METRIC_KEYS, SESSION_COLUMNS, replace_sessions
 from playbeat.sources.heartbeats import stream_telemetry
 from playbeat.sources.payload import decode_payload, split_decoded
@@ -176,8 +175,7 @@ class SessionSink:
     def _query(self, spark: SparkSession) -> str:
         """The identity Spark gave to the checkpoint."""
         if self.query is None:
-            line = None if self.checkpoint is None else spark.read.text(f"{self.checkpoint}/metadata").first()[0]
-            self.query = "direct" if line is None else json.loads(line)["id"]
+            self.query = "direct" if self.checkpoint is None else query_id(spark, self.checkpoint)
         return self.query
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:

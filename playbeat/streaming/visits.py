@@ -9,7 +9,6 @@ is later than the watermark allows.
 
 from __future__ import annotations
 
-import json
 import sys
 from collections.abc import Iterator
 
@@ -21,6 +20,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from playbeat.operators.player_events import CHUNK_MS, VISIT_GAP_MS, _keyed, to_heartbeats, window_totals
 from playbeat.schema import HEARTBEAT_INTERVAL_MS, KEYS, PLAYER_EVENT
+from playbeat.session import query_id
 
 # what runs in Python workers is in this module alone and travels with its code
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -156,11 +156,6 @@ def windowed_stream(
     return timed.groupBy(*KEYS).transformWithStateInPandas(processor, WINDOWED, "Append", "EventTime")
 
 
-def query_id(spark, checkpoint_path: str) -> str:
-    """The identity that Spark gave to a checkpoint."""
-    return json.loads(spark.read.text(f"{checkpoint_path}/metadata").first()[0])["id"]
-
-
 def start_visit_stream(
     events: DataFrame,
     output_path: str,

@@ -215,3 +215,16 @@ def test_player_stream(spark, paths, files):
     start = T0 // 30_000 * 30_000
     got = windows(spark.read.schema(HEARTBEAT).parquet(paths["out"]), start)
     assert got == expected_heartbeats(rows, start=start)
+
+
+def test_player_log_filled_by_two_checkpoints(spark, paths, tmp_path):
+    """A new checkpoint counts its batches from 0 again; nothing of the first one's events is replaced."""
+    rows = random_events(9, 120, 200_000)
+    for i in (0, 1):
+        source, check = str(tmp_path / f"in{i}"), str(tmp_path / f"check{i}")
+        df = events_frame(spark, rows)
+        df.filter(f"event_id {'<' if i == 0 else '>='} 70").coalesce(1).write.parquet(source)
+        player.start_player_stream(stream(spark, source, PLAYER_EVENT), paths["state"], paths["out"], check, None).awaitTermination()
+    assert spark.read.parquet(paths["state"]).count() == len(rows)
+    start = T0 // 30_000 * 30_000
+    assert windows(spark.read.schema(HEARTBEAT).parquet(paths["out"]), start) == expected_heartbeats(rows, start=start)
