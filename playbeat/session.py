@@ -38,6 +38,11 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(where)) if files.exists(where) else []
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Deletes a folder and what it holds, on whatever file system it is; one that is not there is no error."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs

@@ -113,6 +113,22 @@ def replace_sessions(
     remove_dir(spark, staging)
 
 
+def replace_partitions(
+    rows: DataFrame, output_path: str, fmt: str, partition_by: Sequence[str], whole: Sequence[tuple]
+) -> None:
+    """``rows`` are all there is of the partitions ``whole``: those are replaced, and removed where they have no row.
+
+    ``rows`` are read twice, so they should be persisted. At most one entry per partition of ``whole`` comes to the driver.
+    """
+    spark = rows.sparkSession
+    write_metrics(rows, output_path, fmt, partition_by)
+    held = {tuple("" if v is None else str(v) for v in r) for r in rows.select(*partition_by).distinct().toLocalIterator()}
+    for values in whole:
+        if tuple("" if v is None else str(v) for v in values) not in held:
+            names = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(partition_by, values)]
+            remove_dir(spark, "/".join([output_path.rstrip("/"), *names]))
+
+
 def replace_date(
     spark: SparkSession,
     updates: DataFrame,

@@ -59,7 +59,7 @@ def test_session_totals_across_batches(spark, paths, files):
 
 
 def published(spark, paths, **by):
-    return texts(spark.read.schema(SESSION_METRICS).parquet(paths["out"]))
+    return texts(spark.read.schema(SESSION_METRICS).parquet(paths["out"]).drop("bucket"))
 
 
 def batch_result(spark, rows, **kw):
@@ -127,7 +127,7 @@ def test_partitioned_table_to_json_table(spark, paths):
     sessions.run_streaming(
         spark, paths["in"], paths["out"], paths["check"], None, fmt="json", state_path=paths["state"]
     )
-    assert texts(spark.read.schema(SESSION_METRICS).json(paths["out"])) == batch_result(spark, rows)
+    assert texts(spark.read.schema(SESSION_METRICS).json(paths["out"]).drop("bucket")) == batch_result(spark, rows)
 
 
 def test_replayed_batch_counts_once(spark, paths):
@@ -228,3 +228,44 @@ def test_player_log_filled_by_two_checkpoints(spark, paths, tmp_path):
     assert spark.read.parquet(paths["state"]).count() == len(rows)
     start = T0 // 30_000 * 30_000
     assert windows(spark.read.schema(HEARTBEAT).parquet(paths["out"]), start) == expected_heartbeats(rows, start=start)
+
+
+def files(path):
+    """Data files and when each was written."""
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("part-*")}
+
+
+def test_a_batch_opens_and_writes_only_its_buckets(spark, paths, tmp_path):
+    contents = [f"w{i}" for i in range(40)]
+    first = [beat(T0 + i, content=c, client=f"v{i}", src=5) for c in contents for i in range(3)]
+    sink = sessions.microbatch_sink(paths["out"], paths["state"], generation=1)
+    sink(frame(spark, first), 0)
+    sink(frame(spark, [beat(T0 + 10, content="w0", client="v0", src=5)]), 1)  # compacts what was there
+    before = files(tmp_path / "out")
+    later = [beat(T0 + 50_000, content=c, client="v1", src=7) for c in ("w3", "w4")]
+    own = {r.bucket for r in frame(spark, later).select(sessions.bucket_of(sessions.BUCKETS)).collect()}
+    opened = sessions.read_state(spark, paths["state"], own).inputFiles()
+    assert opened and {int(f.rsplit("bucket=", 1)[1].split("/")[0]) for f in opened} <= own
+    sink(frame(spark, later), 2)
+    after = files(tmp_path / "out")
+    changed = {f for f in {*before, *after} if before.get(f) != after.get(f)}
+    assert changed and {int(f.split("bucket=")[1].split("/")[0]) for f in changed} <= own and len(own) <= 2
+    assert published(spark, paths) == batch_result(spark, [*first, beat(T0 + 10, content="w0", client="v0", src=5), *later])
+
+
+def test_a_session_that_moves_to_an_earlier_date_leaves_the_later_one(spark, paths, tmp_path):
+    day = 86_400_000
+    sink = sessions.microbatch_sink(paths["out"], paths["state"])
+    rows = [beat(T0 + day + 5, day=None), beat(T0 + day + 9, day=None, client="stays", content="else")]
+    sink(frame(spark, rows), 0)
+    sink(frame(spark, [beat(T0 + 5, day=None)]), 1)
+    assert published(spark, paths) == batch_result(spark, [*rows, beat(T0 + 5, day=None)])
+    assert len({f.split("/")[0] for f in files(tmp_path / "out")}) == 2
+
+
+def test_the_number_of_buckets_is_that_of_the_state(spark, paths):
+    rows = random_rows(90, 17)
+    sessions.microbatch_sink(paths["out"], paths["state"], buckets=3)(frame(spark, rows[:40]), 0)
+    sessions.microbatch_sink(paths["out"], paths["state"], buckets=50, generation=1)(frame(spark, rows[40:]), 1)
+    assert sessions.bucket_count(spark, paths["state"]) == 3
+    assert published(spark, paths) == batch_result(spark, rows)
