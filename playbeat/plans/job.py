@@ -18,6 +18,7 @@ from playbeat.plans.metrics import compute_metrics
 from playbeat.schema import HEARTBEAT_INTERVAL_MS, HEARTBEAT_NARROW, KEYS, OBSERVED_LABELS, SESSION_METRICS
 from playbeat.session import get_spark, remove_dir
 from playbeat.sinks.tables import SESSION_COLUMNS, replace_date, replace_sessions, write_csv, write_json, write_metrics
+from playbeat.sources.date_index import dates_of_sessions, refresh_index
 from playbeat.sources.heartbeats import filter_date, load_checked, read_for_metrics
 from playbeat.sources.payload import CORRUPT, decode_payload, split_decoded
 from playbeat.sources.quarantine import as_quarantine, split_clocks
@@ -79,7 +80,7 @@ def _input_format(params: JobParams) -> str:
     return "delta" if params.fmt == "delta" else "parquet"
 
 
-def _load(spark: SparkSession, params: JobParams, date: str | None) -> tuple[DataFrame, list[DataFrame]]:
+def _load(spark: SparkSession, params: JobParams, date: str | list[str] | None) -> tuple[DataFrame, list[DataFrame]]:
     """Heartbeats with usable values and clocks, and what was set aside, each with ``reasons``."""
     aside: list[DataFrame] = []
     if params.payload:
@@ -96,13 +97,26 @@ def _load(spark: SparkSession, params: JobParams, date: str | None) -> tuple[Dat
     return (dedup_heartbeats(beats) if params.dedup else beats), [*aside, clockless]
 
 
+def load_sessions(spark: SparkSession, params: JobParams, touched: DataFrame) -> DataFrame:
+    """All heartbeats of the touched sessions, from the dates that the index of the table names; delta has none."""
+    dates: list[str] | None = None
+    if params.fmt != "delta":
+        index = f"{params.output_path.rstrip('/')}/session_dates"
+        known = refresh_index(spark, params.input_path, index, lambda days: _load(spark, params, days)[0])
+        dates = dates_of_sessions(spark, index, known, touched)
+    every = _load(spark, params, dates)[0] if dates is None or dates else _load(spark, params, params.date)[0].limit(0)
+    match = " and ".join(f"{session_key(f'b.{k}')} = t.{k}" for k in KEYS)
+    return every.alias("b").join(touched.alias("t"), F.expr(match), "left_semi")
+
+
 def run_batch(spark: SparkSession, params: JobParams) -> int:
     """0 when done or when there is nothing to do, 1 when the input is missing.
 
     The metrics are computed once, into a folder beside the output; table, files and summaries read that, and
     it is removed at the end. A run over all dates replaces table, rejected sessions and quarantine. A run
     over one date replaces that date with ``--by-date``; without it a session may reach into other dates, so
-    all heartbeats of the sessions seen on the date are read and their rows are replaced wherever they are.
+    the dates on which the index of sessions finds those of this date are read and their rows are replaced wherever
+    they are. The index is made by the first such run and brought up to date by later ones.
     """
     try:
         beats, aside = _load(spark, params, params.date)
@@ -121,9 +135,7 @@ def run_batch(spark: SparkSession, params: JobParams) -> int:
     touched = None
     if params.date is not None and not params.by_date:
         touched = beats.selectExpr(*key_columns()).distinct()
-        every = _load(spark, params, None)[0]
-        match = " and ".join(f"{session_key(f'b.{k}')} = t.{k}" for k in KEYS)
-        beats = every.alias("b").join(touched.alias("t"), F.expr(match), "left_semi")
+        beats = load_sessions(spark, params, touched)
         touched = touched.selectExpr(*[f"{k} as {c}" for k, c in zip(KEYS, SESSION_COLUMNS)])
     metrics = compute_metrics(beats, params.heartbeat_interval_ms, params.min_snapshots, params.by_date, params.labels)
     metrics.write.parquet(staged)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 
@@ -38,6 +39,14 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(where)) if files.exists(where) else []
 
 
+def dir_signature(spark: SparkSession, path: str) -> str:
+    """Number, size and time of the files in a folder: what changes when one is added, removed or replaced."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    held = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(where)
+    files = [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in held if s.getPath().getName()[0] not in "._"]
+    return hashlib.sha256(repr(sorted(files)).encode()).hexdigest()
+
+
 def make_dir(spark: SparkSession, path: str) -> None:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)

@@ -68,13 +68,14 @@ def _loses(declared: T.DataType, found: T.DataType) -> bool:
 
 
 def _scan(
-    spark: SparkSession, input_path: str, date_partition: str | None, fmt: str, schema: StructType | None
+    spark: SparkSession, input_path: str, date_partition: str | list[str] | None, fmt: str, schema: StructType | None
 ) -> DataFrame:
     base = input_path.rstrip("/")
     wanted = date_partition if date_partition is not None else "*"
+    paths = [f"{base}/{PARTITION}={d}" for d in (wanted if isinstance(wanted, list) else [wanted])]
     reader = spark.read.format(fmt).option("basePath", base)
     try:
-        return (reader if schema is None else reader.schema(schema)).load(f"{base}/{PARTITION}={wanted}")
+        return (reader if schema is None else reader.schema(schema)).load(paths)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error.getCondition()):
             raise FileNotFoundError(f"no {PARTITION}={wanted} below {base}") from error
@@ -84,12 +85,14 @@ def _scan(
 def load_checked(
     spark: SparkSession,
     input_path: str,
-    date_partition: str | None = None,
+    date_partition: str | list[str] | None = None,
     fmt: str = "parquet",
     schema: StructType = HEARTBEAT,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Scan the ``eventDate=`` directories in the files' own types: (heartbeats, rows set aside or None).
 
+    A list names directories, of which nothing but themselves is listed.
+
     Counters may be 32 or 64 bits wide, whole or real, or text. Where every value of the files' types fits,
     nothing is checked; else rows with a value that does not fit are set aside with the fields' names. The
     types are those of one file: the files of a run must agree, but for integers that widen. FileNotFoundError
@@ -97,7 +100,8 @@ def load_checked(
     """
     actual = _scan(spark, input_path, date_partition, fmt, None).schema
     found = fitted(schema, actual)
-    rows = filter_date(_scan(spark, input_path, date_partition, fmt, found), date_partition)
+    rows = _scan(spark, input_path, date_partition, fmt, found)
+    rows = rows if isinstance(date_partition, list) else filter_date(rows, date_partition)
     if found == schema:
         return rows, None
     if not _loses(schema, found):

@@ -8,6 +8,7 @@ import json
 import pytest
 from beats import DAY, T0, beat, check_metrics, frame
 
+from playbeat.operators.sessions import key_columns
 from playbeat.plans import job
 from playbeat.plans.metrics import compute_metrics
 from playbeat.schema import FLAT_COLUMNS, HEARTBEAT_TEXT, METRIC_COLUMNS, SESSION_METRICS
@@ -202,6 +203,37 @@ def test_date_rerun_of_unchanged_input_changes_nothing(spark, tmp_path, more):
     assert not glob.glob(f"{out}/*staging*")
 
 
+def test_a_rerun_reads_the_dates_of_its_sessions_only(spark, tmp_path, monkeypatch):
+    """The index names the dates; it follows a table that changes, and a hash met twice only costs a read."""
+    path, out = str(tmp_path / "beats"), str(tmp_path / "out")
+    day = 86_400_000
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(6)]
+    rows = [beat(T0 + i * day, T0 + i * day, client=f"v{i}", day=d) for i, d in enumerate(days)]
+    over = beat(T0 + 3 * day + 1, client="v1", day=days[3])
+    frame(spark, [*rows, over]).write.partitionBy("eventDate").parquet(path)
+    params = job.JobParams(path, out, str(days[1]), files=False)
+
+    def dates_read():
+        touched = job._load(spark, params, params.date)[0].selectExpr(*key_columns()).distinct()
+        beats = job.load_sessions(spark, params, touched)
+        files = {f for f in beats.inputFiles() if "eventDate=" in f}
+        assert sorted(r.clientId for r in beats.select("clientId").distinct().collect()) == ["v1"]
+        return sorted({f.split("eventDate=")[1].split("/")[0] for f in files})
+
+    indexed = []
+    build = job.refresh_index
+    monkeypatch.setattr(job, "refresh_index", lambda s, i, x, load: build(s, i, x, lambda d: indexed.append(d) or load(d)))
+    assert dates_read() == ["2024-01-02", "2024-01-04"]
+    assert dates_read() == ["2024-01-02", "2024-01-04"]
+    frame(spark, [beat(T0 + 5 * day + 1, client="v1", day=days[5])]).write.mode("append").partitionBy("eventDate").parquet(path)
+    assert dates_read() == ["2024-01-02", "2024-01-04", "2024-01-06"]
+    assert indexed == [[str(d) for d in days], ["2024-01-06"]]
+    assert job.run_batch(spark, job.JobParams(path, out, files=False)) == 0
+    first = output(spark, out)
+    assert job.run_batch(spark, params) == 0
+    assert output(spark, out) == first
+
+
 def test_emptied_date(spark, tmp_path):
     path, out = str(tmp_path / "beats"), str(tmp_path / "out")
     frame(spark, ROWS).write.partitionBy("eventDate").parquet(path)
