@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 
+import numpy as np
 from sentencepiece import sentencepiece_model_pb2
 
 SPACE = "▁"
@@ -147,28 +148,52 @@ class Pieces:
         return out
 
 
-class Recent:
-    """A bounded memory of results: two generations, of which the older one is dropped."""
+    def form(self, text: bytes) -> tuple[str, list[int] | None]:
+        """Normal form of a text, and the source byte of each of its bytes, None where only spaces were swapped."""
+        if self.plain and SPACE.encode() not in text:
+            try:
+                form = text.decode().replace(" ", SPACE)
+                return (SPACE + form if form and self.prefix else form), None
+            except UnicodeDecodeError:  # the general way replaces such bytes
+                pass
+        form, source = self.normalise(text)
+        return form.decode(), source
 
-    def __init__(self, make, most: int = 1 << 15):
-        self.make, self.most, self.new, self.old = make, most, {}, {}
+    def units(self, texts: list[bytes], long: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The different parts of all texts, the part at each place, and the first place of each text (one more than texts).
 
-    def __call__(self, key: str):
-        found = self.old.get(key)
-        if found is None:
-            found = self.make(key)
+        Parts are segments; one of more than `long` characters is cut into strands.
+        """
+        parts, first = [], [0]
+        for text in texts:
+            segments = self.segments(self.form(text)[0])
+            if segments and max(map(len, segments)) > long:
+                segments = [u for s in segments for u in ([s] if len(s) <= long else self.strands(s))]
+            parts += segments
+            first.append(len(parts))
+        number = dict(zip(dict.fromkeys(parts), range(len(parts))))
+        return list(number), np.fromiter(map(number.__getitem__, parts), np.int64, len(parts)), np.array(first)
+
+
+class Memory:
+    """Results of parts seen lately; two generations, of which the older one is dropped. A part met again stays.
+
+    `make` works many parts at once. A generation grows by at most the parts of one call beyond `most`.
+    """
+
+    def __init__(self, make, most: int = 1 << 17, longest: int = 64):
+        self.make, self.most, self.longest, self.new, self.old = make, most, longest, {}, {}
+
+    def all(self, parts: list[str]) -> list:
         if len(self.new) >= self.most:
             self.old, self.new = self.new, {}
-        if len(key) <= 64:
-            self.new[key] = found
-        return found
-
-    def all(self, keys: list[str]) -> list:
-        get, out = self.new.get, []
-        for key in keys:
-            found = get(key)
-            if found is None:
-                found = self(key)
-                get = self.new.get
-            out.append(found)
+        out = list(map(self.new.get, parts))
+        lost = [i for i, x in enumerate(out) if x is None]
+        wanted = [parts[i] for i in lost]
+        again = list(map(self.old.get, wanted))
+        made = iter(self.make([p for p, x in zip(wanted, again) if x is None]))
+        found = [x if x is not None else next(made) for x in again]
+        for i, x in zip(lost, found):
+            out[i] = x
+        self.new.update((p, x) for p, x in zip(wanted, found) if len(p) <= self.longest)
         return out

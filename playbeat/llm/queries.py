@@ -76,10 +76,13 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """spans_hash stands for the source bytes of every piece."""
     model = piece_model()
-    rows = decode_ids(encode_texts(table(spark, sf_dir, "documents"), model, keep=["doc_id"]), model)
+    rows = encode_texts(table(spark, sf_dir, "documents"), model, keep=["doc_id"], spans=True)
+    rows = decode_ids(rows.select("doc_id", "ids", F.xxhash64("begins", "ends").alias("spans_hash")), model)
     return rows.select(
         "doc_id",
+        "spans_hash",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

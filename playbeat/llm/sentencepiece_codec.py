@@ -1,14 +1,14 @@
 """SentencePiece BPE encoding with offsets into the source, and decoding.
 
 Normalisation takes the longest prefix the model's compiled character map knows, keeps where each byte came from, and
-projects every piece to its original byte span. Merges never cross a place that no piece spans, so a text is cut there
-and results are remembered by segment, in a bounded memory.
+projects every piece to its original byte span. Merges never cross a place that no piece spans, so texts are cut there;
+each different part of a slice of texts is looked up once, and those not met lately are merged side by side, one merge of
+every part at a time.
 """
 
 from __future__ import annotations
 
 import heapq
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playbeat.llm import arrays as A
-from playbeat.llm.pieces import BYTE, CONTROL, SPACE, UNKNOWN, Pieces, Recent
+from playbeat.llm.pieces import BYTE, CONTROL, SPACE, UNKNOWN, Memory, Pieces
 
 #: Symbols from which a heap finds the next merge.
 LONG = 64
@@ -28,8 +28,8 @@ NONE = 1 << 40
 class Codec:
     def __init__(self, model: bytes):
         self.pieces = p = Pieces(model)
-        self.segment_ids = Recent(self._segment)
-        self.strand_ids = Recent(lambda s: array("i", self.merge(s)).tobytes(), 1 << 16)
+        self.known = Memory(self._parts)
+        self._symbols()
         forms = [b"" if k == CONTROL else p.unknown_surface.encode() if k == UNKNOWN else bytes([int(n[1:-1], 16)]) if k == BYTE else n.replace(SPACE, " ").encode() for n, k in zip(p.names, p.kinds)]
         self.form = np.frombuffer(b"".join(forms), np.uint8)
         self.form_at = np.append(0, np.cumsum([len(f) for f in forms]))
@@ -37,31 +37,92 @@ class Codec:
         self.follows = np.array([k == BYTE and 0x80 <= int(n[1:-1], 16) < 0xC0 for n, k in zip(p.names, p.kinds)])
         self.spaced = np.array([n.startswith(SPACE) and k not in (CONTROL, UNKNOWN, BYTE) for n, k in zip(p.names, p.kinds)])
 
+    def _symbols(self) -> None:
+        """Numbers for pieces and their characters, and the table of pairs of symbols that make a piece."""
+        p = self.pieces
+        names = sorted({*p.score, *(c for s in p.score for c in s)})
+        number = {s: i for i, s in enumerate(names)}
+        self.piece_of = np.array([p.id.get(s, -1) for s in names], np.int32)
+        self.symbol_of = np.full(0x110000, -1, np.int32)
+        for s, i in number.items():
+            if len(s) == 1:
+                self.symbol_of[ord(s)] = i
+        pairs = [(number[s[:i]], number[s[i:]], p.rank[s], number[s]) for s in p.score for i in range(1, len(s)) if s[:i] in number and s[i:] in number]
+        table = np.array(pairs, np.int64).reshape(-1, 4)
+        keys = table[:, 0] * len(names) + table[:, 1]
+        order = np.argsort(keys)
+        self.size, self.pair, self.pair_rank, self.pair_symbol = len(names), np.append(keys[order], -1), np.append(table[order, 2], NONE), np.append(table[order, 3], -1)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of each pair of symbols, NONE if it is no piece, and the symbol it makes."""
+        key = left.astype(np.int64) * self.size + right
+        at = np.searchsorted(self.pair[:-1], key)
+        at = np.where((self.pair[at] == key) & (left >= 0) & (right >= 0), at, len(self.pair) - 1)
+        return self.pair_rank[at], self.pair_symbol[at]
+
+    def merge_all(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many stretches of normalised text, and where those of each begin (one more than units).
+
+        In each stretch always the best-scored neighbours, the leftmost of equals, are joined.
+        """
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        symbol, place, unit = self.symbol_of[codes], np.arange(len(codes)), np.repeat(np.arange(len(units)), sizes)
+        rank, makes = np.full(len(codes), NONE), np.full(len(codes), -1)
+        if len(codes) > 1:
+            rank[:-1], makes[:-1] = self._ranks(symbol[:-1], symbol[1:])
+            rank[:-1][unit[1:] != unit[:-1]] = NONE
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        while len(symbol):
+            first = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
+            best = np.minimum.reduceat(rank, first)
+            counts = np.diff(np.append(first, len(unit)))
+            best = np.repeat(best, counts)
+            open_ = best < NONE
+            if not open_.all():
+                done.append((unit[~open_], place[~open_], symbol[~open_]))
+                symbol, place, unit, rank, makes, best = (x[open_] for x in (symbol, place, unit, rank, makes, best))
+                if not len(symbol):
+                    break
+            at = np.flatnonzero(rank == best)
+            at = at[np.append(True, unit[at[1:]] != unit[at[:-1]])]  # one of each unit
+            symbol[at] = makes[at]
+            stay = np.ones(len(symbol), bool)
+            stay[at + 1] = False
+            at = at - np.arange(len(at))  # one symbol went for each merge before
+            symbol, place, unit, rank, makes = (x[stay] for x in (symbol, place, unit, rank, makes))
+            at = np.concatenate([at, at[at > 0] - 1])
+            right = np.minimum(at + 1, len(symbol) - 1)
+            pair = (unit[at] == unit[right]) & (at != right)
+            found, made = self._ranks(symbol[at], symbol[right])
+            rank[at], makes[at] = np.where(pair, found, NONE), made
+        if not done:
+            return np.zeros(0, np.int32), np.zeros(len(units) + 1, np.int64)
+        unit, place, symbol = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(place, kind="stable")
+        unit, place, symbol = unit[order], place[order], symbol[order]
+        ids = np.where(symbol >= 0, self.piece_of[symbol], -1)
+        odd = np.flatnonzero(ids < 0)
+        counts = np.ones(len(ids), np.int64)
+        if len(odd):  # a symbol that is no piece is one character
+            more = [self._unknown(chr(c)) for c in codes[place[odd]].tolist()]
+            counts[odd] = [len(m) for m in more]
+            starts = np.cumsum(counts) - counts
+            out = np.repeat(ids, counts)
+            fill = np.repeat(starts[odd], counts[odd]) + np.concatenate([np.arange(len(m)) for m in more])
+            out[fill] = np.concatenate(more)
+            ids = out
+        per_unit = np.bincount(unit, weights=counts, minlength=len(units)).astype(np.int64)
+        return ids.astype(np.int32), np.append(0, np.cumsum(per_unit))
+
+    def _unknown(self, character: str) -> list[int]:
+        p = self.pieces
+        return [p.bytes[b] for b in character.encode()] if p.byte_fallback else [p.unknown]
+
     def merge(self, text: str) -> list[int]:
-        """Ids of one stretch of normalised text: always the best-scored neighbours, the leftmost of equals, are joined."""
-        symbols, rank = list(text), self.pieces.rank.get
-        if len(symbols) > LONG:
-            symbols = self._merge_long(symbols)
-        else:
-            ranks = [rank(a + b, NONE) for a, b in zip(symbols, symbols[1:])]
-            while ranks and (best := min(ranks)) < NONE:
-                i = ranks.index(best)
-                symbols[i] += symbols.pop(i + 1)
-                del ranks[i]
-                if i < len(ranks):
-                    ranks[i] = rank(symbols[i] + symbols[i + 1], NONE)
-                if i:
-                    ranks[i - 1] = rank(symbols[i - 1] + symbols[i], NONE)
-        out = []
-        for s in symbols:
-            known = self.pieces.id.get(s)
-            if known is not None:
-                out.append(known)
-            elif self.pieces.byte_fallback:
-                out += [self.pieces.bytes[b] for b in s.encode()]
-            else:
-                out.append(self.pieces.unknown)
-        return out
+        """Ids of one long stretch."""
+        known = self.pieces.id
+        return [i for s in self._merge_long(list(text)) for i in ([known[s]] if s in known else self._unknown(s))]
 
     def _merge_long(self, symbols: list[str]) -> list[str]:
         score, n = self.pieces.score, len(symbols)
@@ -83,27 +144,28 @@ class Codec:
                 heapq.heappush(heap, (-score[s], before[i], s))
         return [s for s in symbols if s]
 
-    def _segment(self, text: str) -> bytes:
-        strands = self.pieces.strands(text)
-        return self.strand_ids(text) if len(strands) == 1 else b"".join(self.strand_ids.all(strands))
+    def _parts(self, units: list[str]) -> list[bytes]:
+        short = [u for u in units if len(u) <= LONG]
+        ids, begin = self.merge_all(short)
+        raw, at = ids.tobytes(), (4 * begin).tolist()
+        own = iter([raw[b:e] for b, e in zip(at[:-1], at[1:])])
+        return [next(own) if len(u) <= LONG else np.array(self.merge(u), np.int32).tobytes() for u in units]
+
+    def encode_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts, and where those of each begin (one more than texts)."""
+        units, at, first = self.pieces.units(texts, LONG)
+        parts = self.known.all(units)
+        begin = np.append(0, np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) // 4))
+        ids, offsets = A.gather(np.frombuffer(b"".join(parts), np.int32), begin[at], begin[at + 1])
+        return ids, offsets[first]
 
     def encode(self, text: bytes) -> np.ndarray:
         """Ids of a whole text."""
-        return np.frombuffer(b"".join(self.segment_ids.all(self.pieces.segments(self._normal(text)[0]))), np.int32)
-
-    def _normal(self, text: bytes) -> tuple[str, list[int] | None]:
-        if self.pieces.plain and SPACE.encode() not in text:
-            try:
-                form = text.decode().replace(" ", SPACE)
-                return (SPACE + form if form and self.pieces.prefix else form), None
-            except UnicodeDecodeError:  # the general way replaces such bytes
-                pass
-        form, source = self.pieces.normalise(text)
-        return form.decode(), source
+        return self.encode_all([text])[0]
 
     def spans(self, text: bytes, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Source byte range of every piece of the text's encoding; of a character in bytes the last one has it, as in the library."""
-        form, source = self._normal(text)
+        form, source = self.pieces.form(text)
         sizes = np.diff(self.form_at)[ids]
         if source is None:
             ends = np.cumsum(sizes) - (1 if self.pieces.prefix and len(ids) else 0)
@@ -211,11 +273,10 @@ def encode_texts(docs: DataFrame, model: bytes, *, text: str = "text", keep: lis
             for lo, hi in A.slices(offsets):
                 raw, at = buf[offsets[lo] : offsets[hi]].tobytes(), (offsets[lo : hi + 1] - offsets[lo]).tolist()
                 texts = [raw[s:e] for s, e in zip(at[:-1], at[1:])]
-                ids = [own.encode(t) for t in texts]
-                ends = np.append(0, np.cumsum([len(i) for i in ids]))
-                columns = [_list(np.concatenate(ids), ends)]
+                ids, ends = own.encode_all(texts)
+                columns = [_list(ids, ends)]
                 if spans:
-                    pairs = [own.spans(t, i) for t, i in zip(texts, ids)]
+                    pairs = [own.spans(t, ids[b:e]) for t, b, e in zip(texts, ends[:-1].tolist(), ends[1:].tolist())]
                     columns += [_list(np.concatenate([p[k] for p in pairs]).astype(np.int32), ends) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns[:n], *columns], names=schema.names)
 

@@ -3,13 +3,15 @@
 An Aho-Corasick automaton over the vocabulary enumerates all pieces that end at each character; dynamic programming
 carries the best score and how many pieces reach it. Ties go as in the tokenizers: of equal scores the piece that
 starts first, so the longest, wins. A character that is no piece costs the least score less ten and counts its bytes
-where the model falls back to bytes. Scores add in double precision. A text is cut where no piece can cross, and the
-results of its parts are remembered in a bounded memory.
+where the model falls back to bytes. Scores add in double precision. Texts are cut where no piece can cross; each
+different part of a slice of texts is looked up once, those not met lately are worked in one run of the automaton, and the
+programme takes the same character of all parts at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -18,8 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playbeat.llm import arrays as A
-from playbeat.llm.pieces import SPACE, Pieces, Recent
+from playbeat.llm.pieces import SPACE, Memory, Pieces
 
+#: Characters of a part that is not cut further.
+LONG = 64
 #: What an unknown character costs beyond the least score.
 PENALTY = 10.0
 
@@ -27,57 +31,84 @@ PENALTY = 10.0
 class Viterbi:
     def __init__(self, model: bytes):
         self.pieces = p = Pieces(model)
-        self.found = ahocorasick.Automaton()
-        for piece, score in p.score.items():
-            self.found.add_word(piece, (len(piece), score))
+        self.names, self.scores = list(p.score), np.array([*p.score.values()], np.float64)
+        self.sizes = np.array([len(s) for s in self.names], np.int64)
+        self.found = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for i, piece in enumerate(self.names):
+            self.found.add_word(piece, i)
         self.found.make_automaton()
         self.unknown = min(p.score.values()) - PENALTY
         self.apart = p.byte_fallback and SPACE in p.score
-        self.part = Recent(self._part)
-        self.strand = Recent(self.best, 1 << 17)
-
-    def best(self, text: str) -> tuple[float, int]:
-        """Score and number of pieces of the best path through a stretch of normalised text."""
-        n, score = len(text), self.pieces.score
-        best, count, odd = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
-        matches = self.found.iter(text)
-        ahead = next(matches, None)
-        for at in range(n):
-            top, pick = None, -1
-            while ahead is not None and ahead[0] == at:
-                size, s = ahead[1]
-                start = at + 1 - size
-                s += best[start]
-                if top is None or s > top or (s == top and start < pick):
-                    top, pick = s, start
-                ahead = next(matches, None)
-            if text[at] not in score and (top is None or best[at] + self.unknown > top):
-                best[at + 1], odd[at + 1] = best[at] + self.unknown, True
-                count[at + 1] = count[at] + (len(text[at].encode()) if self.pieces.byte_fallback else not odd[at])
-            else:
-                best[at + 1], count[at + 1] = top, count[pick] + 1
-        return best[n], count[n]
-
-    def _part(self, text: str) -> tuple[float, int]:
-        strands = self.pieces.strands(text) if self.apart else [text]
-        found = self.strand.all(strands)
-        return found[0] if len(found) == 1 else (sum(f[0] for f in found), sum(f[1] for f in found))
-
-    def total(self, text: bytes) -> tuple[float, int]:
-        """Score and number of pieces of a whole text."""
+        self.known = Memory(self._packed)
+        self.single = np.zeros(0x110000, bool)
+        self.single[[ord(s) for s in self.names if len(s) == 1]] = True
+        used = {c for s in self.names for c in s}
+        #: A character of no piece, which stands between the parts.
+        self.between = next(c for c in map(chr, range(0x10FFFF, 0, -1)) if c not in used)
+
+    def _packed(self, units: list[str]) -> list[bytes]:
+        raw = np.stack(self.best_all(units), axis=1).astype(np.float64).tobytes()
+        return [raw[i : i + 16] for i in range(0, len(raw), 16)]
+
+    def best_all(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Score and number of pieces of the best path through each stretch of normalised text."""
+        text = self.between.join(units)
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        begin = np.cumsum(sizes + 1) - sizes - 1
+        pairs = np.fromiter(chain.from_iterable(self.found.iter(text)), np.int64).reshape(-1, 2)
+        end, piece = pairs[:, 0] + 1, pairs[:, 1]
+        start = end - self.sizes[piece]
+        unit = np.searchsorted(begin, start, "right") - 1
+        step = end - begin[unit]
+        order = np.lexsort((start, unit, step))
+        end, start, score, step = end[order], start[order], self.scores[piece[order]], step[order]
+        cut = np.searchsorted(step, np.arange(1, int(sizes.max(initial=0)) + 2))
+        # entry i of these stands for the place before character i of `text`
+        best, count, odd = np.zeros(len(codes) + 1), np.zeros(len(codes) + 1, np.int64), np.zeros(len(codes) + 1, bool)
+        by_size = np.argsort(-sizes, kind="stable")
+        longer = np.searchsorted(-sizes[by_size], -np.arange(1, len(cut)), "right")
+        for k, (lo, hi) in enumerate(zip(cut[:-1], cut[1:]), 1):
+            if hi > lo:
+                value = best[start[lo:hi]] + score[lo:hi]
+                first = np.flatnonzero(np.append(True, end[lo + 1 : hi] != end[lo : hi - 1]))
+                top = np.maximum.reduceat(value, first)
+                at = np.flatnonzero(value == np.repeat(top, np.diff(np.append(first, hi - lo))))
+                at = at[np.append(True, end[lo + at[1:]] != end[lo + at[:-1]])]  # of equals the first start
+                here = end[lo + at]
+                best[here], count[here] = top, count[start[lo + at]] + 1
+            here = begin[by_size[: longer[k - 1]]] + k
+            here = here[~self.single[codes[here - 1]]]
+            if len(here):
+                met = np.zeros(len(here), bool)
+                if hi > lo:
+                    ends = end[lo:hi][first]  # they ascend, as units do
+                    met = ends[np.minimum(np.searchsorted(ends, here), len(ends) - 1)] == here
+                cost = best[here - 1] + self.unknown
+                take = ~met | (cost > best[here])
+                here, cost = here[take], cost[take]
+                own = codes[here - 1]
+                bytes_ = 1 + (own > 0x7F).astype(np.int64) + (own > 0x7FF) + (own > 0xFFFF)
+                count[here] = count[here - 1] + (bytes_ if self.pieces.byte_fallback else ~odd[here - 1])
+                best[here], odd[here] = cost, True
+        return best[begin + sizes], count[begin + sizes]
+
+    def total_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Score and number of pieces of whole texts."""
         p = self.pieces
-        try:
-            form = text.decode() if p.plain and SPACE.encode() not in text else None
-        except UnicodeDecodeError:
-            form = None
-        if form is None:
-            form = p.normalise(text)[0].decode()
+        if self.apart:
+            units, at, first = p.units(texts, LONG)
         else:
-            form = (SPACE if form and p.prefix else "") + form.replace(" ", SPACE)
-        if not form:
-            return 0.0, 0
-        found = self.part.all(p.segments(form)) if self.apart else [self.best(form)]
-        return sum(f[0] for f in found), sum(f[1] for f in found)
+            units = [p.form(t)[0] for t in texts]
+            at, first = np.arange(len(texts)), np.arange(len(texts) + 1)
+        scores, counts = np.frombuffer(b"".join(self.known.all(units)), np.float64).reshape(-1, 2).T
+        text = np.repeat(np.arange(len(texts)), np.diff(first))
+        counts = np.bincount(text, weights=counts[at], minlength=len(texts)).round().astype(np.int64)
+        return np.bincount(text, weights=scores[at], minlength=len(texts)), counts
+
+    def total(self, text: bytes) -> tuple[float, int]:
+        scores, counts = self.total_all([text])
+        return float(scores[0]), int(counts[0])
 
 
 _MODELS: dict[int, Viterbi] = {}
@@ -101,8 +132,7 @@ def token_counts(docs: DataFrame, model: bytes, *, doc_id: str = "doc_id", text:
             buf, offsets = A.text_buffer(batch.column(1))
             for lo, hi in A.slices(offsets):
                 raw, at = buf[offsets[lo] : offsets[hi]].tobytes(), (offsets[lo : hi + 1] - offsets[lo]).tolist()
-                found = [own.total(raw[s:e]) for s, e in zip(at[:-1], at[1:])]
-                counts, scores = np.array([f[1] for f in found], np.int64), np.array([f[0] for f in found])
+                scores, counts = own.total_all([raw[s:e] for s, e in zip(at[:-1], at[1:])])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(counts), pa.array(scores)], names=["id", "n", "s"])
 
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))

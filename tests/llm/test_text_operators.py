@@ -15,7 +15,7 @@ from tokenizers import Tokenizer, models
 from playbeat.llm import document_fingerprints as D
 from playbeat.llm import language_id as L
 from playbeat.llm import quality as Q
-from playbeat.llm.pieces import CharacterMap, Pieces, Recent
+from playbeat.llm.pieces import CharacterMap, Memory, Pieces
 from playbeat.llm.queries import graded, piece_model
 from playbeat.llm.sentencepiece_codec import Codec, decode_ids, encode_texts
 from playbeat.llm.token_counts import Viterbi, token_counts
@@ -98,12 +98,6 @@ def test_character_map_without_entries():
     assert CharacterMap(b"").longest(b"abc", 0) == (0, b"")
 
 
-def test_memory_is_bounded():
-    seen = Recent(lambda k: k.upper(), most=4)
-    assert seen.all(["a", "b", "a", *"cdefghij", "a"])[-1] == "A"
-    assert len(seen.new) <= 4 and len(seen.old) <= 4
-
-
 def unigram(model):
     proto = sentencepiece_model_pb2.ModelProto()
     proto.ParseFromString(model)
@@ -258,3 +252,26 @@ def test_repeated_ids_do_not_fill_the_sample(spark, monkeypatch):
     docs = spark.createDataFrame([(1, f"poor text number {i}") for i in range(40)] + [(2, "fair text"), (3, "good text")], "doc_id long, text string")
     quality.fit_quality(docs.repartition(4), ratings, sample=3)
     assert sorted(seen[0]) == [0, 1, 2]
+
+
+def test_memory_is_bounded_and_keeps_what_is_met_again():
+    worked = []
+    seen = Memory(lambda parts: worked.extend(parts) or [p.upper() for p in parts], most=4, longest=3)
+    for part in ("ab", "cd", "ef", "gh", "ij", "kl"):
+        assert seen.all(["a", part, part, "long one"]) == ["A", part.upper(), part.upper(), "LONG ONE"]
+    assert worked.count("a") == 1 and worked.count("long one") == 6
+    assert len(seen.new) <= 7 and len(seen.old) <= 7
+
+
+def test_many_parts_side_by_side_equal_each_alone(model):
+    """Merges and paths of many stretches at once, with odd characters, are those of each stretch by itself."""
+    r = random.Random(6)
+    letters = "▁▁eeennnaatrsidl" + "éü漢😀\x00"
+    units = ["".join(r.choice(letters) for _ in range(r.randint(1, 30))) for _ in range(2000)]
+    own, path = Codec(model), Viterbi(model)
+    ids, begin = own.merge_all(units)
+    scores, counts = path.best_all(units)
+    for i, u in enumerate(units[:300]):
+        assert ids[begin[i] : begin[i + 1]].tolist() == own.merge(u)
+        score, count = path.best_all([u])
+        assert (scores[i], counts[i]) == (score[0], count[0])
