@@ -44,7 +44,9 @@ def passes_for(vectors: int, threshold: float, reach: int, recall: float, least:
 
 
 def matrix(column: pa.Array, size: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
+    """Vectors as rows, each scaled by a power of two so that no square over- or underflows; this is exact and turns none."""
+    rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, initial=0.0))[1][:, None])
 
 
 def _project(passes: int, seed: int):

@@ -108,3 +108,11 @@ def test_sureness_counts_only_what_a_window_holds():
     assert whole[0] == -math.log1p(-(0.5**63)) and (cut <= whole).all()
     assert E.sureness(np.zeros(9, np.int64), 2, 0.5, 4, 5, True, True)[0] == 0
     assert E.sureness(np.zeros(2, np.int64), 2, 0.5, 0, 2, True, True).min() > 20
+
+
+def test_vectors_of_extreme_length(spark):
+    """Finite vectors link by their angle however large or small they are."""
+    near, far = [1.0, 1.0, 1.0001], [1.0, -1.0, 0.5]
+    rows = [(10 * i + j, [x * s for x in v]) for i, s in enumerate((1e160, 1e-170, 1e-200, 3.0, 1e307)) for j, v in enumerate(([1.0, 1.0, 1.0], near, far))]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {i: (9, 0) if i % 10 < 2 else (4, 2) for i, _ in rows}

@@ -100,11 +100,12 @@ def test_words_and_hashes():
     assert (hashes == A.word_hashes(buf, starts, ends)).all() and hashes[2] == hashes[3] and len(set(hashes.tolist())) == len(hashes) - 1
 
 
-def test_repeated_ids_leave_one_row_of_a_group(spark):
+def test_repeated_ids_leave_one_row_of_each_text_of_a_group(spark):
     text = " ".join(f"w{i}" for i in range(40))
     other = " ".join(f"z{i}" for i in range(40))
     rows = [(1, text), (1, text), (1, text), (2, text), (3, other), (3, other + " more of it"), (None, text), (None, text)]
     docs = spark.createDataFrame([(i, t, "en", "s1", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = corpus_pipeline.near_duplicates(spark, docs.repartition(3), SF).collect()
-    assert sorted(r.doc_id or 0 for r in got) == [0, 0, 1, 3]
+    assert sorted(r.doc_id or 0 for r in got) == [0, 0, 1, 3, 3]
+    assert {r.text for r in got if r.doc_id == 3} == {other, other + " more of it"}
     assert all(r.n_chars == len(r.text) for r in got)
