@@ -29,18 +29,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates, with its smallest id.
+    """Of each group of near duplicates the rows of its smallest id.
 
-    Rows that repeat an id are one document: of equal ones one stays, of different ones that with the least text hash.
-    Rows without an id are not compared, not even with equal texts, and all stay.
+    Rows with one id and one text are one document, of which one row stays; an id with different texts keeps one row of
+    each. Rows without an id are not compared, not even with equal texts, and all stay.
     """
     send_code(spark)
     groups = simhash_components(docs, shingle=3, distance=3)
     stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    # rows of an id are cut to one per task before the shuffle
-    first = F.min(F.struct(F.xxhash64("text").alias("mark"), *COLUMNS[1:])).alias("row")
-    single = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(first).select("doc_id", *(F.col(f"row.{c}") for c in COLUMNS[1:]))
-    return single.join(stay, "doc_id", "left_semi").select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
+    mark = F.xxhash64("text").alias("mark")
+    named = docs.where("doc_id IS NOT NULL")
+    # the ids meet the narrow rows; texts travel once, by id and mark, after equal ones of a task have become one
+    stay = named.select("doc_id", mark).distinct().join(stay, "doc_id", "left_semi")
+    single = named.groupBy("doc_id", mark).agg(F.min(F.struct(*COLUMNS[1:])).alias("row"))
+    single = single.join(stay, ["doc_id", "mark"], "left_semi").select("doc_id", *(F.col(f"row.{c}") for c in COLUMNS[1:]))
+    return single.select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,9 +59,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Nine tenths of the words at the target weights; leaves that are short come a second time."""
+    """As many words as there are, at the target weights; leaves that are short come a second time."""
     send_code(spark)
-    return mix_sources(docs, mix_path(), MIX_WEIGHTS, share=0.9, most_epochs=2, seed=17).select(*COLUMNS)
+    return mix_sources(docs, mix_path(), MIX_WEIGHTS, share=1.0, most_epochs=2, seed=17).select(*COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
