@@ -59,9 +59,9 @@ class Viterbi:
         pairs = np.fromiter(chain.from_iterable(self.found.iter(text)), np.int64).reshape(-1, 2)
         end, piece = pairs[:, 0] + 1, pairs[:, 1]
         start = end - self.sizes[piece]
-        unit = np.searchsorted(begin, start, "right") - 1
-        step = end - begin[unit]
-        order = np.lexsort((start, unit, step))
+        step = end - np.repeat(begin, sizes + 1)[start]
+        # matches come by their end, of one end the longest first; a stable sort by step leaves parts and starts in order
+        order = np.argsort(step.astype(np.uint16) if len(step) and step.max() < 1 << 16 else step, kind="stable")
         end, start, score, step = end[order], start[order], self.scores[piece[order]], step[order]
         cut = np.searchsorted(step, np.arange(1, int(sizes.max(initial=0)) + 2))
         # entry i of these stands for the place before character i of `text`
