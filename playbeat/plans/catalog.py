@@ -380,7 +380,10 @@ def join_dominant_breakdown(spark, sf):
 @query
 def flat_rows(spark, sf):
     """Flat form, its labels found in the data; the shares are rounded to two places in the breakdown itself."""
-    flat = reshape.flatten_metrics(compute_metrics(derived.heartbeats(spark, sf)))
+    beats = derived.heartbeats(spark, sf)
+    # the labels are those of the heartbeats' maps, which takes no second run of the metrics
+    labels = [row.quality_label for row in q.explode_quality(beats).select("quality_label").distinct().toLocalIterator()]
+    flat = reshape.flatten_metrics(compute_metrics(beats), labels)
     text = {
         "event_date": "cast(event_date as string) as event_date",
         "dominant_quality": f"{S.text_or_empty('dominant_quality')} as dominant_quality",
