@@ -7,13 +7,13 @@ import sys
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from playbeat.functions.scalars import session_key
 from playbeat.operators.dedup import dedup_heartbeats
-from playbeat.operators.sessions import key_columns
-from playbeat.operators.summary import dominant_distribution, fleet_summary, fleet_summary_pct
-from playbeat.operators.validate import validate_metrics
+from playbeat.operators.sessions import exprs, keep_min_snapshots, key_columns
+from playbeat.operators.summary import fleet_figures, label_counts, summary_of, summary_pct_of
+from playbeat.operators.validate import violations
 from playbeat.plans.metrics import compute_metrics
 from playbeat.schema import HEARTBEAT_INTERVAL_MS, HEARTBEAT_NARROW, KEYS, OBSERVED_LABELS, SESSION_METRICS
 from playbeat.session import get_spark, remove_dir
@@ -24,6 +24,9 @@ from playbeat.sources.payload import CORRUPT, decode_payload, split_decoded
 from playbeat.sources.quarantine import as_quarantine, split_clocks
 
 
+REJECTED = T.StructType([*SESSION_METRICS.fields, T.StructField("reasons", T.ArrayType(T.StringType()))])
+
+
 @dataclass(frozen=True)
 class JobParams:
     input_path: str
@@ -109,11 +112,40 @@ def load_sessions(spark: SparkSession, params: JobParams, touched: DataFrame) ->
     return every.alias("b").join(touched.alias("t"), F.expr(match), "left_semi")
 
 
+FIGURES = "sessions bigint, rejected bigint, viewers bigint, viewers_with_buffering bigint, avg_buffering_ratio double, avg_p2p_ratio double"
+
+
+def stage_metrics(metrics: DataFrame, min_snapshots: int, staged: str) -> dict:
+    """Writes the sessions of enough heartbeats with the ``reasons`` against them; the counts and means of the run.
+
+    They are observed on the rows as they are written. The observation stands in the write's own stage, in which the
+    result of a task counts once, also where tasks or executors are lost.
+    """
+    enough = f"snapshot_count >= {min_snapshots}"
+    checked = metrics.selectExpr("*", f"{violations()} as reasons")
+    seen = Observation()
+    rejected, valid = f"{enough} and size(reasons) > 0", f"({enough} and size(reasons) = 0)"
+    watched = checked.observe(seen, *exprs("count(1) as sessions", f"count_if({rejected}) as rejected", *fleet_figures(valid)))
+    keep_min_snapshots(watched, min_snapshots).write.parquet(staged)
+    return seen.get
+
+
+def print_summary(spark: SparkSession, figures: dict, labels: list) -> None:
+    """The fleet summaries and the sessions by dominant label, from what the driver has already."""
+    names = [field.split()[0] for field in FIGURES.split(", ")]
+    row = spark.createDataFrame([tuple(figures[n] for n in names)], FIGURES)
+    summary_of(row).show(truncate=False)
+    summary_pct_of(row).show(truncate=False)
+    led = [(r.quality_label, r.dominated) for r in labels if r.dominated]
+    led = spark.createDataFrame(led, "dominant_quality string, count bigint")
+    led.orderBy(F.desc("count"), "dominant_quality").show(truncate=False)
+
+
 def run_batch(spark: SparkSession, params: JobParams) -> int:
     """0 when done or when there is nothing to do, 1 when the input is missing.
 
-    The metrics are computed once, into a folder beside the output; table, files and summaries read that, and
-    it is removed at the end. A run over all dates replaces table, rejected sessions and quarantine. A run
+    The metrics are computed once, into a folder beside the output; the table and the files read that, and it is
+    removed at the end. Counts and means are observed on that one write, and one aggregate over it gives the labels. A run over all dates replaces table, rejected sessions and quarantine. A run
     over one date replaces that date with ``--by-date``; without it a session may reach into other dates, so
     the dates on which the index of sessions finds those of this date are read and their rows are replaced wherever
     they are. The index is made by the first such run and brought up to date by later ones.
@@ -127,19 +159,21 @@ def run_batch(spark: SparkSession, params: JobParams) -> int:
     for i, bad in enumerate(aside):
         at = f"{out}/quarantine/part={i}" if params.date is None else f"{out}/quarantine_by_date/date={params.date}/part={i}"
         as_quarantine(bad).write.mode("overwrite").json(at)
-    if beats.isEmpty():
-        print(f"{params.input_path} holds no usable heartbeat{f' of {params.date}' if params.date else ''}", file=sys.stderr)
-        if params.date is None:
-            return 0
     staged = f"{out}/_staging_{uuid.uuid4().hex}"
     touched = None
     if params.date is not None and not params.by_date:
         touched = beats.selectExpr(*key_columns()).distinct()
         beats = load_sessions(spark, params, touched)
         touched = touched.selectExpr(*[f"{k} as {c}" for k, c in zip(KEYS, SESSION_COLUMNS)])
-    metrics = compute_metrics(beats, params.heartbeat_interval_ms, params.min_snapshots, params.by_date, params.labels)
-    metrics.write.parquet(staged)
-    valid, rejected = validate_metrics(spark.read.schema(SESSION_METRICS).parquet(staged))
+    metrics = compute_metrics(beats, params.heartbeat_interval_ms, 1, params.by_date, params.labels)
+    figures = stage_metrics(metrics, params.min_snapshots, staged)
+    if not figures["sessions"]:
+        print(f"{params.input_path} holds no usable heartbeat{f' of {params.date}' if params.date else ''}", file=sys.stderr)
+        if params.date is None:
+            remove_dir(spark, staged)
+            return 0
+    rows = spark.read.schema(REJECTED).parquet(staged)
+    valid, rejected = rows.filter("size(reasons) = 0").drop("reasons"), rows.filter("size(reasons) > 0")
     table, set_aside = f"{out}/viewer_metrics", f"{out}/rejected_sessions"
     for rows, path, fmt, by in ((rejected, set_aside, "json", ("event_date",)), (valid, table, params.fmt, params.partition_by)):
         if params.date is None:
@@ -148,17 +182,17 @@ def run_batch(spark: SparkSession, params: JobParams) -> int:
             replace_date(spark, rows, params.date, path, fmt, by)
         else:
             replace_sessions(spark, rows, touched, path, fmt, by)
-    if not rejected.isEmpty():
-        print(f"{rejected.count()} sessions with values out of range are in {set_aside}", file=sys.stderr)
-    if valid.isEmpty():
+    if figures["rejected"]:
+        print(f"{figures['rejected']} sessions with values out of range are in {set_aside}", file=sys.stderr)
+    if not figures["viewers"]:
         print(f"no session has {params.min_snapshots} heartbeats or more (min_snapshots)", file=sys.stderr)
     else:
+        # labels, of which there are few, come to the driver: they name the columns of the CSV
+        labels = list(label_counts(valid).toLocalIterator())
         if params.files:
             write_json(valid, f"{out}/viewer_metrics_json")
-            write_csv(valid, f"{out}/viewer_metrics_csv")
-        fleet_summary(valid).show(truncate=False)
-        fleet_summary_pct(valid).show(truncate=False)
-        dominant_distribution(valid, include_missing=True).show(truncate=False)
+            write_csv(valid, f"{out}/viewer_metrics_csv", [r.quality_label for r in labels if r.sessions])
+        print_summary(spark, figures, labels)
     remove_dir(spark, staged)
     return 0
 

@@ -8,7 +8,9 @@ import json
 import pytest
 from beats import DAY, T0, beat, check_metrics, frame
 
+from playbeat.operators.reshape import distinct_labels
 from playbeat.operators.sessions import key_columns
+from playbeat.operators.summary import dominant_distribution, fleet_summary, label_counts
 from playbeat.plans import job
 from playbeat.plans.metrics import compute_metrics
 from playbeat.schema import FLAT_COLUMNS, HEARTBEAT_TEXT, METRIC_COLUMNS, SESSION_METRICS
@@ -294,3 +296,36 @@ def test_job_payload_and_dedup(spark, tmp_path):
 def test_streaming_refuses_a_date():
     with pytest.raises(SystemExit):
         job.parse_args(["--input", "a", "--output", "b", "--streaming", "--checkpoint", "c", "--date", "2024-01-01"])
+
+
+def test_job_counts_on_its_one_write(spark, tmp_path, capsys, monkeypatch):
+    """Counts, means and labels are those of the written table, and the metrics are computed by one write."""
+    figures, stage = [], job.stage_metrics
+    monkeypatch.setattr(job, "stage_metrics", lambda *a: figures.append(stage(*a)) or figures[-1])
+    path, out = str(tmp_path / "beats"), str(tmp_path / "out")
+    rows = [*ROWS, beat(src=10, p2p=-1, client="bad"), beat(client="plain"), beat(T0 + 1, client="plain")]
+    frame(spark, rows).write.partitionBy("eventDate").parquet(path)
+    assert job.run_batch(spark, job.JobParams(path, out, files=False, min_snapshots=2)) == 0
+    written = spark.read.schema(SESSION_METRICS).parquet(f"{out}/viewer_metrics")
+    assert figures[0]["sessions"] == compute_metrics(frame(spark, rows)).count()
+    assert figures[0]["viewers"] == written.count() and figures[0]["rejected"] == 0
+    assert job.run_batch(spark, job.JobParams(path, out, files=False)) == 0
+    assert "1 sessions with values out of range" in capsys.readouterr().err
+    written = spark.read.schema(SESSION_METRICS).parquet(f"{out}/viewer_metrics")
+    assert figures[1]["rejected"] == 1
+    summary = fleet_summary(written).first()
+    assert (figures[1]["viewers"], figures[1]["viewers_with_buffering"]) == (summary.viewers, summary.viewers_with_buffering)
+    assert figures[1]["avg_buffering_ratio"] == pytest.approx(summary.avg_buffering_ratio)
+    labels = label_counts(written).collect()
+    assert sorted(r.quality_label for r in labels if r.sessions) == [r[0] for r in distinct_labels(written).collect()]
+    led = {r.quality_label: r.dominated for r in labels if r.dominated}
+    assert led == {r.dominant_quality: r["count"] for r in dominant_distribution(written, include_missing=True).collect()}
+
+
+def test_job_over_no_heartbeat_writes_nothing(spark, tmp_path, capsys):
+    path, out = str(tmp_path / "beats"), str(tmp_path / "out")
+    frame(spark, [beat()]).write.partitionBy("eventDate").parquet(path)
+    frame(spark, [beat()]).limit(0).drop("eventDate").write.mode("overwrite").parquet(f"{path}/eventDate=2024-01-01")
+    assert job.run_batch(spark, job.JobParams(path, out)) == 0
+    assert "holds no usable heartbeat" in capsys.readouterr().err
+    assert not glob.glob(f"{out}/viewer_metrics*") and not glob.glob(f"{out}/_staging*")
