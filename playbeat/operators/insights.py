@@ -98,6 +98,7 @@ def segment_failures(
 def _server_window(df: DataFrame, window_ms: int) -> DataFrame:
     return df.selectExpr(
         *key_columns(),
+        f"{S.server_time(SERVER)} as server_ms",
         f"{S.server_time(SERVER)} div {window_ms}L * {window_ms} as window_start_ms",
         f"{S.or_zero('player.bufferings')} as bufferings",
         f"{S.or_zero('player.bufferingTime')} as buffering_ms",
@@ -127,6 +128,7 @@ WINDOW_SUMS = [
 ]
 
 
-def window_metrics(df: DataFrame, window_ms: int = HEARTBEAT_INTERVAL_MS) -> DataFrame:
-    """Heartbeats, stalls and bytes per customer's content and server-time window."""
-    return _server_window(df, window_ms).groupBy("customerId", "contentId", "window_start_ms").agg(*exprs(*WINDOW_SUMS))
+def window_metrics(df: DataFrame, window_ms: int = HEARTBEAT_INTERVAL_MS, latest: bool = False) -> DataFrame:
+    """Heartbeats, stalls and bytes per customer's content and server-time window; on request the latest server time."""
+    sums = [*WINDOW_SUMS, "max(server_ms) as latest_ms"] if latest else WINDOW_SUMS
+    return _server_window(df, window_ms).groupBy("customerId", "contentId", "window_start_ms").agg(*exprs(*sums))

@@ -25,6 +25,7 @@ from playbeat.sources.payload import decode_payload as decode
 from playbeat.sources.quarantine import coerce_types as coerce, split_malformed
 from playbeat.streaming.sessions import start_sessions
 from playbeat.streaming.visits import start_visit_stream
+from playbeat.streaming.windows import all_windows, start_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -471,6 +472,15 @@ def window_metrics(spark, sf):
     return insights.window_metrics(derived.heartbeats(spark, sf))
 
 
+@query
+def stream_windows(spark, sf):
+    """The table as a stream whose files come in no order of time: windows closed by the watermark, late rows merged in."""
+    stream = stream_telemetry(spark, _table(spark, sf), maxFilesPerTrigger="16")
+    out = shared_dir(spark, "windows")
+    start_windows(stream, f"{out}/windows", f"{out}/checkpoint", trigger_interval=None).awaitTermination()
+    return all_windows(spark, f"{out}/windows")
+
+
 # --- player events
 
 

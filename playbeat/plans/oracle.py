@@ -219,6 +219,12 @@ SELECT {KEYS}, first_value(quality_label) OVER w AS dominant_quality, row_number
 FROM ses_pl
 WINDOW w AS (PARTITION BY {KEYS} ORDER BY received_bytes DESC, quality_label), p AS (PARTITION BY {KEYS})"""
 
+WINDOWED = hb("""
+      SELECT "customerId", "contentId", server // 30000 * 30000 AS window_start_ms, count(*) AS heartbeats,
+        count(*) FILTER (buf0 > 0) AS heartbeats_with_buffering, CAST(sum(buf0) AS BIGINT) AS bufferings,
+        CAST(sum(ms0) AS BIGINT) AS buffering_ms, CAST(sum(source_bytes + p2p_bytes) AS BIGINT) AS received_bytes
+      FROM hb GROUP BY 1, 2, 3""")
+
 SQL: dict[str, str] = {
     "scan_heartbeats": hb(f"SELECT {SCAN} FROM hb"),
     "scan_table": hb(f"SELECT {SCAN} FROM hb"),
@@ -345,11 +351,8 @@ good AS (SELECT * REPLACE (CASE WHEN event_id % 29 = 0 THEN 1 ELSE buf0 END AS b
          WHERE event_id % 19 <> 0 AND event_id % 23 <> 0),
 good_lab AS (SELECT * FROM lab WHERE event_id % 19 <> 0 AND event_id % 23 <> 0)
 {sessions(hb='good', lab='good_lab')} SELECT {METRICS} FROM ses"""),
-    "window_metrics": hb("""
-      SELECT "customerId", "contentId", server // 30000 * 30000 AS window_start_ms, count(*) AS heartbeats,
-        count(*) FILTER (buf0 > 0) AS heartbeats_with_buffering, CAST(sum(buf0) AS BIGINT) AS bufferings,
-        CAST(sum(ms0) AS BIGINT) AS buffering_ms, CAST(sum(source_bytes + p2p_bytes) AS BIGINT) AS received_bytes
-      FROM hb GROUP BY 1, 2, 3"""),
+    "window_metrics": WINDOWED,
+    "stream_windows": WINDOWED,
     "assign_windows": pe(f"SELECT {KEYS}, event_id, t, win, win_start, win_end FROM pe"),
     "asof_quality": pe(f"SELECT {KEYS}, win, t, event_id, event, quality_label FROM filled WHERE event = 'frag'"),
     "buffer_intervals": pe(f"SELECT {KEYS}, win, start_ms, event_id, end_ms, duration_ms FROM stalls"),

@@ -39,6 +39,13 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(where)) if files.exists(where) else []
 
 
+def completed_dirs(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Names of the folders below a path that match and whose write was completed, from one listing."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}/_SUCCESS")
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where)
+    return sorted(s.getPath().getParent().getName() for s in found or [])
+
+
 def dir_signature(spark: SparkSession, path: str) -> str:
     """Number, size and time of the files in a folder: what changes when one is added, removed or replaced."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

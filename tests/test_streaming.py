@@ -15,7 +15,7 @@ from playbeat.schema import HEARTBEAT, PLAYER_EVENT, SESSION_METRICS
 from playbeat.session import list_dir
 from playbeat.sources.heartbeats import stream_telemetry
 from playbeat.sources.quarantine import split_clocks
-from playbeat.streaming import player, sessions
+from playbeat.streaming import player, sessions, windows as late_windows
 
 
 def texts(df):
@@ -269,3 +269,67 @@ def test_the_number_of_buckets_is_that_of_the_state(spark, paths):
     sessions.microbatch_sink(paths["out"], paths["state"], buckets=50, generation=1)(frame(spark, rows[40:]), 1)
     assert sessions.bucket_count(spark, paths["state"]) == 3
     assert published(spark, paths) == batch_result(spark, rows)
+
+
+def window_rows(n, spread):
+    """Heartbeats of two contents whose order in the files is not that of time."""
+    return [beat(T0 + (i * 7919 % n) * spread, n=i % 2, ms=i, src=i, content="wx"[i % 2], client=str(i)) for i in range(n)]
+
+
+def drain_windows(spark, paths, delay_ms=60_000):
+    late_windows.start_windows(stream(spark, paths["in"]), paths["out"], paths["check"], delay_ms, None).awaitTermination()
+
+
+def test_late_heartbeats_are_kept(spark, paths):
+    rows = window_rows(120, 5_000)
+    write_files(spark, rows[:80], paths["in"], 3)
+    drain_windows(spark, paths)
+    write_files(spark, [*rows[80:], beat(T0 - 10**8, src=3)], paths["in"], 2)  # after a restart, one very late
+    drain_windows(spark, paths)
+    assert texts(late_windows.all_windows(spark, paths["out"])) == texts(window_metrics(frame(spark, [*rows, beat(T0 - 10**8, src=3)])))
+    late = late_windows.read_windows(spark, paths["out"], "late")
+    assert late.filter(f"window_start_ms < {T0}").count() == 1
+    closed = late_windows.read_windows(spark, paths["out"], "closed").select(*late_windows.WINDOW_KEYS)
+    assert closed.count() == closed.distinct().count() > 0
+    assert len(list_dir(spark, paths["out"] + "/_commits")) <= 2
+
+
+def test_closed_windows_are_those_of_the_watermarked_aggregate(spark, paths):
+    """Where the aggregate has an empty micro-batch after each, in which it closes windows."""
+    rows = window_rows(90, 4_000)
+    for i in range(3):
+        write_files(spark, rows[i::3], paths["in"], 1)
+        drain_windows(spark, paths)
+        plain = sessions.stream_window_metrics(stream(spark, paths["in"]), watermark="1 minute").writeStream
+        plain.format("parquet").option("checkpointLocation", paths["check"] + "2").trigger(availableNow=True).start(
+            paths["state"]
+        ).awaitTermination()
+    assert texts(late_windows.read_windows(spark, paths["out"], "closed").drop("batch", "kind")) == texts(
+        spark.read.parquet(paths["state"])
+    )
+
+
+def test_window_batches_replayed_or_broken_off(spark, paths, monkeypatch):
+    rows = window_rows(60, 5_000)
+    sink = late_windows.WindowSink(paths["out"], None)
+    parts = [frame(spark, rows[i::3]) for i in range(3)]
+    sink(parts[0], 0)
+    sink(parts[0], 0)
+    with monkeypatch.context() as m:  # lost after the rows were written, before the commit
+        m.setattr(late_windows, "COMMIT", "no type")
+        with pytest.raises(Exception):
+            sink(parts[1], 1)
+    sink(parts[1], 1)
+    sink(frame(spark, []), 2)
+    sink(parts[2], 3)
+    late_windows.WindowSink(paths["out"], None)(parts[2], 3)
+    assert texts(late_windows.all_windows(spark, paths["out"])) == texts(window_metrics(frame(spark, rows)))
+
+
+def test_windows_of_clocks_at_the_limits(spark, paths):
+    assert late_windows.all_windows(spark, paths["out"]).count() == 0
+    rows = [beat(-(2**63) + 1, src=1), beat(T0, src=2), beat(2**63 - 1, src=3), beat(None, src=4), beat(T0 + 1, src=5)]
+    sink = late_windows.WindowSink(paths["out"], None)
+    for i, row in enumerate(rows):
+        sink(frame(spark, [row]), i)
+    assert texts(late_windows.all_windows(spark, paths["out"])) == texts(window_metrics(frame(spark, rows)))
