@@ -59,6 +59,31 @@ def test_templates_with_changes(spark):
     assert got[5].labels == "cc-by-nc-4.0" and got[6].labels == "gpl,gpl-3.0" and got[7].labels == "" and got[8].labels == "gpl"
 
 
+GPL = "GNU General Public License as published by the Free Software Foundation, either version"
+CC = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0"),
+    ("This source code is subject to all the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0"),
+    (f"under the terms of the {GPL} 3 of the License", "gpl,gpl-3.0"),
+    (f"under the terms of the {GPL} 2 of the License", "gpl,gpl-2.0"),
+    (f"{GPL} 4", "gpl"),
+    ("the GNU General Public License just as published by the Free Software Foundation, either version 3", "gpl,gpl-3.0"),
+    (GPL.replace("General", "Lesser General") + " 3", "gpl,lgpl"),
+    ("Licensed under the new Apache License, Version 2.0", "apache,apache-2.0"),
+    ("Licensed under the Apache License, Version 1.0 (the License); you may not use this file except in compliance with the License.", "apache"),
+    ("Licensed under Apache License, Version 2.0 (the License), and you may not use this file but in compliance with it.", "apache,apache-2.0"),
+    (CC.format(""), "cc-by-4.0,creative-commons"),
+    (CC.format("-ShareAlike"), "cc-by-sa-4.0,creative-commons"),
+    (CC.format("-NonCommercial").replace("licensed", "hereby licensed"), "cc-by-nc-4.0,creative-commons"),
+])
+def test_notices(spark, text, labels):
+    rows = [(1, f"Some words first. {text} And others after it."), (2, " ".join(reversed(text.split())))]
+    got = {r.doc_id: r.labels for r in S.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == labels and not set(got[2].split(",")) - {"gpl", "mit", "apache", ""}
+
+
 def test_scan_without_rows(empty):
     assert rows_of(S.scan_licenses(empty)) == []
 
