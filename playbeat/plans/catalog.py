@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from playbeat.functions import maps as M, scalars as S
 from playbeat.operators import insights, player_events as pe, quality as q, reshape, sessions as ses, summary, visits
@@ -17,12 +17,13 @@ from playbeat.plans.job import JobParams, run_batch
 from playbeat.plans.metrics import compute_metrics, sessions_sorted as by_key
 from playbeat.plans.partials import finalize, merge_partials as merge, session_partials
 from playbeat.schema import FLAT_COLUMNS, HEARTBEAT, KEYS, PLAYER_EVENT, SESSION_METRICS
-from playbeat.session import shared_dir
-from playbeat.sinks.tables import upsert_metrics as upsert, write_metrics
+from playbeat.session import make_dir, shared_dir
+from playbeat.sinks.tables import SESSION_COLUMNS, upsert_metrics as upsert, write_metrics
 from playbeat.sources import derived
 from playbeat.sources.heartbeats import filter_date as on_date, read_telemetry, stream_telemetry
 from playbeat.sources.payload import decode_payload as decode
 from playbeat.sources.quarantine import coerce_types as coerce, split_malformed
+from playbeat.streaming.running import running_metrics
 from playbeat.streaming.sessions import start_sessions
 from playbeat.streaming.visits import start_visit_stream
 from playbeat.streaming.windows import all_windows, start_windows
@@ -440,6 +441,23 @@ def stream_sessions(spark, sf):
     return _flat(spark.read.schema(SESSION_METRICS).parquet(f"{out}/table"))
 
 
+@query
+def running_sessions(spark, sf):
+    """The table as a stream through one stateful query; of the rows that it gave for a session the last one."""
+    stream = stream_telemetry(spark, _table(spark, sf), maxFilesPerTrigger="16")
+    out = shared_dir(spark, "running")
+    make_dir(spark, f"{out}/rows")  # a stream without rows writes none
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
+
+    writer = running_metrics(stream).writeStream.outputMode("update").foreachBatch(store)
+    writer.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema(T.StructType(SESSION_METRICS.fields).add("batch", "long")).parquet(f"{out}/rows")
+    last = rows.groupBy(*SESSION_COLUMNS).agg(F.max("batch").alias("batch"))
+    return _flat(rows.join(last, [*SESSION_COLUMNS, "batch"]))
+
+
 @query
 def merge_partials(spark, sf):
     """Partials of three disjoint parts that together hold all rows, merged."""

@@ -344,6 +344,7 @@ SQL: dict[str, str] = {
       SELECT {METRICS} FROM ses WHERE event_date < '{FILTER_DATE}'
       UNION ALL SELECT {METRICS} FROM late WHERE event_date >= '{FILTER_DATE}'"""),
     "stream_sessions": ses(f"SELECT {METRICS} FROM ses"),
+    "running_sessions": ses(f"SELECT {METRICS} FROM ses"),
     "merge_partials": ses(f"SELECT {METRICS} FROM ses"),
     "rerun_date": ses(f"SELECT {METRICS} FROM ses"),
     "job_with_quarantine": hb(f""",

@@ -15,7 +15,7 @@ from playbeat.schema import HEARTBEAT, PLAYER_EVENT, SESSION_METRICS
 from playbeat.session import list_dir
 from playbeat.sources.heartbeats import stream_telemetry
 from playbeat.sources.quarantine import split_clocks
-from playbeat.streaming import player, sessions, windows as late_windows
+from playbeat.streaming import player, running, sessions, windows as late_windows
 
 
 def texts(df):
@@ -178,6 +178,16 @@ def test_stateful_forms(spark, paths):
     assert got == sorted(map(str, quality_bytes(frame(spark, rows)).collect()))
 
 
+def test_running_metrics_are_the_session_metrics(spark, paths):
+    rows = usable(random_rows(200, 5))
+    rows += [beat(src=2**62, client="big", quality={"x": 2**62}), beat(T0 + 1, src=2**62, client="big", quality={"x": 2**62, "'odd": 1})]
+    rows += [beat(T0 + i, src=1, client="hot", quality={"720p": 1, f"l{i % 3}": 2}) for i in range(300)]
+    write_files(spark, rows, paths["in"], 3)
+    got = latest(spark, running.running_metrics(stream(spark, paths["in"])), "r", ["customer_id", "content_id", "client_id"], paths["check"])
+    want = sorted(map(str, compute_metrics(frame(spark, rows)).collect()))
+    assert got == want
+
+
 def test_windows_with_watermark(spark, paths):
     rows = [beat(T0 + i * 1_000, n=i % 2, ms=i, src=i) for i in range(100)]
     write_files(spark, rows, paths["in"], 1)
