@@ -453,7 +453,7 @@ def running_sessions(spark, sf):
 
     writer = running_metrics(stream).writeStream.outputMode("update").foreachBatch(store)
     writer.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    rows = spark.read.schema(T.StructType(SESSION_METRICS.fields).add("batch", "long")).parquet(f"{out}/rows")
+    rows = spark.read.schema(T.StructType([*SESSION_METRICS.fields, T.StructField("batch", T.LongType())])).parquet(f"{out}/rows")
     last = rows.groupBy(*SESSION_COLUMNS).agg(F.max("batch").alias("batch"))
     return _flat(rows.join(last, [*SESSION_COLUMNS, "batch"]))
 

@@ -1,5 +1,9 @@
 """Batch and stream give the same result, however the input is split and wherever the stream stops."""
 
+import datetime as dt
+from types import SimpleNamespace
+
+import pandas as pd
 import pytest
 from beats import T0, beat, check_metrics, events_frame, expected_heartbeats, frame
 from test_player import random_events, windows
@@ -10,6 +14,7 @@ from playbeat.operators.insights import window_metrics
 from playbeat.operators.quality import quality_bytes
 from playbeat.operators.sessions import buffering_metrics
 from playbeat.operators.validate import validate_metrics
+from playbeat.plans import catalog
 from playbeat.plans.metrics import compute_metrics
 from playbeat.schema import HEARTBEAT, PLAYER_EVENT, SESSION_METRICS
 from playbeat.session import list_dir
@@ -188,6 +193,59 @@ def test_running_metrics_are_the_session_metrics(spark, paths):
     assert got == want
 
 
+class Entries(dict):
+    """A map state that counts how often it is asked."""
+
+    calls = 0
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in self
+
+    def getValue(self, key):
+        self.calls += 1
+        return self[key]
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+
+def test_one_call_serves_many_sessions_and_touches_the_state_of_each_once():
+    held = Entries()
+    processor = running.RunningSessions()
+    processor.init(SimpleNamespace(getMapState=lambda *_: held))
+
+    def part(clients, server):
+        rows = [("c", "w", v, server, server + 1, 1, 2, 3, 4, 5.0, [{"label": f"l{v}", "label_bytes": 7}]) for v in clients]
+        return pd.DataFrame(rows, columns=running.ROW)
+
+    for turn in (1, 2):
+        before = held.calls
+        parts = [part([f"v{i}" for i in range(40)], 10 * turn), part(["v0"] * 5, 10 * turn + 5)]
+        given = pd.concat(processor.handleInputRows((3,), iter(parts), None))
+        assert held.calls - before <= 3 * 40 and len(given) == len(held) == 40
+        row = given.set_index("clientId").loc["v0"]
+        assert (row["snapshot_count"], row["session_start_ms"], row["last_agent_ms"]) == (6 * turn, 10, 10 * turn + 6)
+        assert row["quality"] == {"lv0": 42 * turn} and row["p2p_received_bytes"] == 24 * turn
+
+
+def test_few_buckets_give_the_same_running_metrics(spark, paths):
+    rows = usable(random_rows(120, 8))
+    write_files(spark, rows, paths["in"], 3)
+    got = latest(spark, running.running_metrics(stream(spark, paths["in"]), buckets=2), "r", ["customer_id", "content_id", "client_id"], paths["check"])
+    assert got == sorted(map(str, compute_metrics(frame(spark, rows)).collect()))
+
+
+def test_reading_back_running_rows_leaves_the_schema_alone(spark, tmp_path):
+    events = [(i, dt.datetime(2024, 1, 1 + i % 3), i % 4, "view", 1.5, '{"k": 1}') for i in range(20)]
+    kind = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(events, kind).write.parquet(f"{tmp_path}/events.parquet")
+    names = SESSION_METRICS.fieldNames()
+    assert catalog.running_sessions(spark, str(tmp_path)).count() == 4
+    assert SESSION_METRICS.fieldNames() == names
+
+
 def test_windows_with_watermark(spark, paths):
     rows = [beat(T0 + i * 1_000, n=i % 2, ms=i, src=i) for i in range(100)]
     write_files(spark, rows, paths["in"], 1)
