@@ -2,9 +2,10 @@
 
 A viewer's state holds the events of windows that may still grow and where the last finished window stood. When the
 watermark has passed a window's end, its events leave the state together, with the windows of the visit that were
-quiet before it; the batch operators make heartbeats of them. When the watermark is more than the visit gap behind
-the last event, the state is dropped. The result is that of `operators.visits.visit_heartbeats`, provided that no event
-is later than the watermark allows.
+quiet before it; the batch operators make heartbeats of them. When the watermark is more than the visit gap past the
+last event, the state is dropped. Viewers are dealt to buckets: state, timer and calls of the processor are a bucket's,
+so that what a call costs is shared by many viewers. The result is that of `operators.visits.visit_heartbeats`, provided
+that no event is later than the watermark allows.
 """
 
 from __future__ import annotations
@@ -28,9 +29,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OWN = T.StructType([f for f in PLAYER_EVENT.fields if f.name not in KEYS])
 WINDOWED = T.StructType([*PLAYER_EVENT.fields, *(T.StructField(c, T.LongType()) for c in ("win", "win_start", "win_end"))])
+OF_KEYS = [T.StructField(k, T.StringType()) for k in KEYS]
+#: An event of a viewer that waits for its window's end.
+HELD = T.StructType([*OF_KEYS, *OWN.fields])
 #: Where a viewer stands: start of the visit, number of its last finished window, time of its last event in a
-#: finished window, whether that was a stop, and the timer that is set.
-PLACE = T.StructType([T.StructField(c, T.LongType()) for c in ("visit", "done", "last_t", "stopped", "timer")])
+#: finished window, and whether that was a stop.
+PLACE = T.StructType([*OF_KEYS, *(T.StructField(c, T.LongType()) for c in ("visit", "done", "last_t", "stopped"))])
+TIMER = T.StructType([T.StructField("timer", T.LongType())])
+#: Number of buckets; a stream's checkpoint belongs to it. Rows given at once.
+BUCKETS, GIVEN = 1024, 10_000
 
 
 class Visits:
@@ -92,68 +99,90 @@ class Visits:
 
 
 class VisitProcessor(StatefulProcessor):
+    """The viewers of a bucket: their waiting events, where they stand, and one timer for the first that is due."""
+
     def __init__(self, interval: int, gap: int, clip: bool):
         self.visits = Visits(interval, gap, clip)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.events = handle.getListState("events", OWN)
-        self.place = handle.getValueState("place", PLACE)
+        self.events = handle.getListState("events", HELD)
+        self.places = handle.getListState("places", PLACE)
+        self.timer = handle.getValueState("timer", TIMER)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        names, earliest = OWN.fieldNames(), None
+        names, earliest = HELD.fieldNames(), None
         for part in rows:
-            values = part[names].astype(object).where(part[names].notna(), None)
-            new = [tuple(int(v) if v is not None and c != "event" else v for c, v in zip(names, row)) for row in values.itertuples(index=False)]
-            self.events.appendList(new)
-            earliest = min([t for t, *_ in new] + ([] if earliest is None else [earliest]))
-        place = tuple(self.place.get()) if self.place.exists() else (None,) * 5
-        self._wake(place[:4], place[4], earliest + self.visits.interval - 1, timerValues.getCurrentWatermarkInMs(), False)
+            columns = [part[f.name].tolist() for f in HELD.fields]
+            for at, f in enumerate(HELD.fields):
+                whole = isinstance(f.dataType, (T.LongType, T.IntegerType))
+                columns[at] = [None if pd.isna(v) else int(v) if whole else v for v in columns[at]]
+            self.events.appendList(list(zip(*columns)))
+            earliest = min(columns[names.index("t")] + ([] if earliest is None else [earliest]))
+        held = self.timer.get()
+        self._wake(held[0] if held else None, earliest + self.visits.interval - 1, timerValues.getCurrentWatermarkInMs(), False)
         return iter([])
 
-    def _wake(self, place: tuple | None, timer: int | None, wanted: int | None, now: int, replace: bool) -> None:
-        """Sets the one timer, to `wanted` or, without `replace`, to the earlier of both, and stores the place."""
+    def _wake(self, timer: int | None, wanted: int | None, now: int, replace: bool) -> None:
+        """Sets the one timer, to `wanted` or, without `replace`, to the earlier of both."""
         wanted = None if wanted is None else max(wanted, now + 1)
         if not replace and timer is not None:
             wanted = min(timer, wanted)
-        if wanted != timer:
-            if timer is not None and timer > now:
-                self.handle.deleteTimer(timer)
-            if wanted is not None:
-                self.handle.registerTimer(wanted)
-        if wanted is None and place is None:
-            self.place.clear()
+        if wanted == timer:
+            return
+        if timer is not None and timer > now:
+            self.handle.deleteTimer(timer)
+        if wanted is None:
+            self.timer.clear()
         else:
-            self.place.update((*(place or (None,) * 4), wanted))
+            self.handle.registerTimer(wanted)
+            self.timer.update((wanted,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        until = timerValues.getCurrentWatermarkInMs()
-        place = tuple(self.place.get()) if self.place.exists() else (None,) * 5
-        held = [tuple(e) for e in self.events.get()]
-        out, now, stay, again = self.visits.advance(place[:4] if place[0] is not None else None, held, until)
-        if len(stay) != len(held):
-            self.events.clear()
-            if stay:
-                self.events.appendList(stay)
-        self._wake(now, place[4], again, until, True)
-        if out:
-            empty = (None,) * (len(OWN.fieldNames()) - 1)
-            rows = [(*key, *(e if e is not None else (start, *empty)), start, start, end) for e, start, end in out]
-            frame = pd.DataFrame(rows, columns=WINDOWED.fieldNames(), dtype=object)
-            kinds = {f.name: "Int64" for f in WINDOWED.fields if not isinstance(f.dataType, T.StringType)}
-            yield frame.astype(kinds)
+        until, k = timerValues.getCurrentWatermarkInMs(), len(KEYS)
+        viewers: dict[tuple, tuple[tuple | None, list[tuple]]] = {tuple(p[:k]): (tuple(p[k:]), []) for p in self.places.get()}
+        n = 0
+        for n, event in enumerate(self.events.get(), 1):
+            viewers.setdefault(tuple(event[:k]), (None, []))[1].append(tuple(event[k:]))
+        empty = (None,) * (len(OWN.fieldNames()) - 1)
+        places, stay, due, given = [], [], [], []
+        for viewer, (place, held) in viewers.items():
+            out, now, ahead, again = self.visits.advance(place, held, until)
+            places += [(*viewer, *now)] if now is not None else []
+            stay += [(*viewer, *e) for e in ahead]
+            due += [again] if again is not None else []
+            given += [(*viewer, *(e if e is not None else (start, *empty)), start, start, end) for e, start, end in out]
+        if len(stay) != n:
+            self._replace(self.events, stay)
+        self._replace(self.places, places)
+        timer = self.timer.get()
+        self._wake(timer[0] if timer else None, min(due, default=None), until, True)
+        kinds = {f.name: "Int64" for f in WINDOWED.fields if not isinstance(f.dataType, T.StringType)}
+        for at in range(0, len(given), GIVEN):
+            yield pd.DataFrame(given[at : at + GIVEN], columns=WINDOWED.fieldNames(), dtype=object).astype(kinds)
+
+    @staticmethod
+    def _replace(state, rows: list[tuple]) -> None:
+        state.clear()
+        for at in range(0, len(rows), GIVEN):
+            state.appendList(rows[at : at + GIVEN])
 
     def close(self) -> None:
         pass
 
 
 def windowed_stream(
-    events: DataFrame, watermark: str, interval_ms: int = HEARTBEAT_INTERVAL_MS, visit_gap_ms: int = VISIT_GAP_MS, clip_last: bool = False
+    events: DataFrame, watermark: str, interval_ms: int = HEARTBEAT_INTERVAL_MS, visit_gap_ms: int = VISIT_GAP_MS, clip_last: bool = False,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Finished windows of a stream of player events: all events of a window in one micro-batch, quiet ones as a bare row."""
+    """Finished windows of a stream of player events: all events of a window in one micro-batch, quiet ones as a bare row.
+
+    The number of buckets belongs to the checkpoint: a stream goes on with the one that it was started with.
+    """
     timed = _keyed(events).withColumn("event_time", F.timestamp_millis("t")).withWatermark("event_time", watermark)
+    timed = timed.withColumn("bucket", F.expr(f"cast(pmod(xxhash64({', '.join(KEYS)}), {buckets}) as int)"))
     processor = VisitProcessor(interval_ms, visit_gap_ms, clip_last)
-    return timed.groupBy(*KEYS).transformWithStateInPandas(processor, WINDOWED, "Append", "EventTime")
+    return timed.groupBy("bucket").transformWithStateInPandas(processor, WINDOWED, "Append", "EventTime")
 
 
 def start_visit_stream(
@@ -170,7 +199,7 @@ def start_visit_stream(
     """Player events to a heartbeat table, ``<output>/part=<query>-<batch>/eventDate=D``.
 
     A micro-batch that is replayed replaces its own part; a batch without finished windows writes none. Events later
-    than the watermark are not counted. One viewer's open windows are in one task's state.
+    than the watermark are not counted. One bucket's open windows are in one task's state.
     """
     spark = events.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)

@@ -2,13 +2,15 @@
 
 import random
 from collections import defaultdict
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from beats import T0, expected_heartbeats
 
 from playbeat.operators.visits import visit_heartbeats
 from playbeat.schema import HEARTBEAT, PLAYER_EVENT
-from playbeat.streaming.visits import Visits, start_visit_stream
+from playbeat.streaming.visits import OWN, VisitProcessor, Visits, start_visit_stream
 
 GAP = 120_000
 KINDS = ["waiting", "stalled", "playing", "level", "frag", "frag_loading", "frag_loaded", "other"]
@@ -145,3 +147,46 @@ def test_stream_with_a_restart(spark, tmp_path, clip):
     progress = run()
     assert windows(spark.read.schema(HEARTBEAT).parquet(paths["out"])) == expected(rows, clip)
     assert progress.stateOperators[0].numRowsTotal <= 3  # those of the last, lone event
+
+
+class Values(list):
+    """A list state or value state, and how often it was asked."""
+
+    calls = 0
+
+    def appendList(self, rows):
+        self.calls += 1
+        self.extend(rows)
+
+    def get(self):
+        self.calls += 1
+        return list(self) if self.many else (tuple(self) or None)
+
+    def update(self, value):
+        self[:] = value
+
+
+def test_one_call_and_one_timer_serve_many_viewers():
+    states, timers = {}, []
+
+    def state(name, _, many):
+        states[name] = Values()
+        states[name].many = many
+        return states[name]
+
+    handle = SimpleNamespace(
+        getListState=lambda name, kind: state(name, kind, True), getValueState=lambda name, kind: state(name, kind, False),
+        registerTimer=timers.append, deleteTimer=timers.remove,
+    )
+    processor = VisitProcessor(30_000, GAP, False)
+    processor.init(handle)
+    rows = [("c", "w", client, t, i, event, height, level, size, size, i) for i, (client, t, event, height, level, size) in enumerate(talk(3, viewers=25))]
+    frame = pd.DataFrame(rows, columns=["customerId", "contentId", "clientId", *OWN.fieldNames()])
+    now = lambda ms: SimpleNamespace(getCurrentWatermarkInMs=lambda: ms)
+    assert list(processor.handleInputRows((1,), iter([frame]), now(0))) == []
+    assert timers == [frame["t"].min() + 29_999] and states["events"].calls == 1
+    timers.clear()  # as it has expired
+    given = pd.concat(processor.handleExpiredTimer((1,), now(10**14), None))
+    wanted = expected([(client, t, event, height, level, size) for _, _, client, t, _, event, height, level, size, *_ in rows])
+    assert set(zip(given["clientId"], given["win_end"])) == set(wanted)
+    assert sum(s.calls for s in states.values()) < 10 and not any(states.values()) and not timers
