@@ -7,6 +7,8 @@ import struct
 import numpy as np
 from sentencepiece import sentencepiece_model_pb2
 
+from playbeat.llm import arrays as A
+
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -148,19 +150,25 @@ class Pieces:
         return out
 
 
+    def swaps(self, text: bytes) -> bool:
+        """Whether the normal form only swaps spaces for the space symbol, with the prefix before it."""
+        if not self.plain or SPACE.encode() in text:
+            return False
+        try:
+            return text.decode() is not None
+        except UnicodeDecodeError:  # the general way replaces such bytes
+            return False
+
     def form(self, text: bytes) -> tuple[str, list[int] | None]:
         """Normal form of a text, and the source byte of each of its bytes, None where only spaces were swapped."""
-        if self.plain and SPACE.encode() not in text:
-            try:
-                form = text.decode().replace(" ", SPACE)
-                return (SPACE + form if form and self.prefix else form), None
-            except UnicodeDecodeError:  # the general way replaces such bytes
-                pass
+        if self.swaps(text):
+            form = text.decode().replace(" ", SPACE)
+            return (SPACE + form if form and self.prefix else form), None
         form, source = self.normalise(text)
         return form.decode(), source
 
-    def units(self, texts: list[bytes], long: int) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """The different parts of all texts, the part at each place, and the first place of each text (one more than texts).
+    def units(self, texts: list[bytes], long: int) -> tuple[list[str], np.ndarray]:
+        """The parts of all texts in order, and the first part of each text (one more than texts).
 
         Parts are segments; one of more than `long` characters is cut into strands.
         """
@@ -171,29 +179,64 @@ class Pieces:
                 segments = [u for s in segments for u in ([s] if len(s) <= long else self.strands(s))]
             parts += segments
             first.append(len(parts))
-        number = dict(zip(dict.fromkeys(parts), range(len(parts))))
-        return list(number), np.fromiter(map(number.__getitem__, parts), np.int64, len(parts)), np.array(first)
+        return parts, np.array(first)
+
+
+class Table:
+    """Whole numbers from 0 to whole numbers, for many keys at once: open addressing, at most a quarter full."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, none: int):
+        self.none, bits = none, max(4, int(4 * len(keys)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, none, np.int64)
+        slot, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[slot[left]] < 0]
+            put = free[np.unique(slot[free], return_index=True)[1]]
+            self.keys[slot[put]], self.values[slot[put]] = keys[put], values[put]
+            left = np.setdiff1d(left, put)
+            slot[left] = slot[left] + 1 & self.last
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * A.BASE >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, `none` where it is not held."""
+        slot = self._slot(keys)
+        held = self.keys[slot]
+        out = np.where(held == keys, self.values[slot], self.none)
+        left = np.flatnonzero((held != keys) & (held >= 0))
+        while len(left):
+            slot[left] = slot[left] + 1 & self.last
+            held = self.keys[slot[left]]
+            same = held == keys[left]
+            out[left[same]] = self.values[slot[left[same]]]
+            left = left[~same & (held >= 0)]
+        return out
 
 
 class Memory:
     """Results of parts seen lately; two generations, of which the older one is dropped. A part met again stays.
 
-    `make` works many parts at once. A generation grows by at most the parts of one call beyond `most`.
+    `make` works many different parts at once. A generation grows by at most the parts of one call beyond `most`.
     """
 
     def __init__(self, make, most: int = 1 << 17, longest: int = 64):
         self.make, self.most, self.longest, self.new, self.old = make, most, longest, {}, {}
 
     def all(self, parts: list[str]) -> list:
+        """The result of every part; parts may repeat, and those not met lately are worked once."""
         if len(self.new) >= self.most:
             self.old, self.new = self.new, {}
         out = list(map(self.new.get, parts))
         lost = [i for i, x in enumerate(out) if x is None]
-        wanted = [parts[i] for i in lost]
-        again = list(map(self.old.get, wanted))
-        made = iter(self.make([p for p, x in zip(wanted, again) if x is None]))
-        found = [x if x is not None else next(made) for x in again]
-        for i, x in zip(lost, found):
-            out[i] = x
-        self.new.update((p, x) for p, x in zip(wanted, found) if len(p) <= self.longest)
+        if not lost:
+            return out
+        wanted = list(dict.fromkeys(map(parts.__getitem__, lost)))
+        found = dict(zip(wanted, map(self.old.get, wanted)))
+        fresh = [p for p, x in found.items() if x is None]
+        found.update(zip(fresh, self.make(fresh)))
+        for i in lost:
+            out[i] = found[parts[i]]
+        self.new.update(found if max(map(len, wanted)) <= self.longest else {p: x for p, x in found.items() if len(p) <= self.longest})
         return out

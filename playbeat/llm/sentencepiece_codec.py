@@ -2,8 +2,8 @@
 
 Normalisation takes the longest prefix the model's compiled character map knows, keeps where each byte came from, and
 projects every piece to its original byte span. Merges never cross a place that no piece spans, so texts are cut there;
-each different part of a slice of texts is looked up once, and those not met lately are merged side by side, one merge of
-every part at a time.
+each part is looked up among those met lately, and the different ones of a slice of texts that are new are merged side by
+side, one merge of every part at a time.
 """
 
 from __future__ import annotations
@@ -153,11 +153,10 @@ class Codec:
 
     def encode_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of whole texts, and where those of each begin (one more than texts)."""
-        units, at, first = self.pieces.units(texts, LONG)
+        units, first = self.pieces.units(texts, LONG)
         parts = self.known.all(units)
-        begin = np.append(0, np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) // 4))
-        ids, offsets = A.gather(np.frombuffer(b"".join(parts), np.int32), begin[at], begin[at + 1])
-        return ids, offsets[first]
+        offsets = np.append(0, np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) // 4))
+        return np.frombuffer(b"".join(parts), np.int32), offsets[first]
 
     def encode(self, text: bytes) -> np.ndarray:
         """Ids of a whole text."""

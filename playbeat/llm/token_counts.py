@@ -4,23 +4,21 @@ An Aho-Corasick automaton over the vocabulary enumerates all pieces that end at
 carries the best score and how many pieces reach it. Ties go as in the tokenizers: of equal scores the piece that
 starts first, so the longest, wins. A character that is no piece costs the least score less ten and counts its bytes
 where the model falls back to bytes. Scores add in double precision. Texts are cut where no piece can cross; each
-different part of a slice of texts is looked up once, those not met lately are worked in one run of the automaton, and the
-programme takes the same character of all parts at a time.
+part is looked up among those met lately, and the different ones of a slice of texts that are new are worked side by side:
+automaton and programme take the same character of all parts at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playbeat.llm import arrays as A
-from playbeat.llm.pieces import SPACE, Memory, Pieces
+from playbeat.llm.pieces import SPACE, Memory, Pieces, Table
 
 #: Characters of a part that is not cut further.
 LONG = 64
@@ -28,23 +26,71 @@ LONG = 64
 PENALTY = 10.0
 
 
+class Automaton:
+    """Aho-Corasick automaton that steps through many texts at once; states are numbers, 0 is the root.
+
+    `matched` is the longest piece at the end of what a state has read, as a state of its own, `shorter` the next one that
+    ends there, 0 if there is none; `piece` and `size` belong to such states.
+    """
+
+    def __init__(self, pieces: list[str]):
+        goes, piece, size = [{}], [-1], [0]
+        for i, s in enumerate(pieces):
+            node = 0
+            for c in s:
+                if c not in goes[node]:
+                    goes[node][c] = len(goes)
+                    goes.append({})
+                    piece.append(-1)
+                    size.append(size[node] + 1)
+                node = goes[node][c]
+            piece[node] = i
+        fail, shorter = [0] * len(goes), [0] * len(goes)
+        for node in sorted(range(len(goes)), key=size.__getitem__):
+            for c, child in goes[node].items():
+                at = fail[node]
+                while at and c not in goes[at]:
+                    at = fail[at]
+                fail[child] = at = goes[at].get(c, 0) if node else 0
+                shorter[child] = at if piece[at] >= 0 else shorter[at]
+        self.fail, self.shorter, self.piece, self.size = (np.array(x, np.int64) for x in (fail, shorter, piece, size))
+        self.matched = np.where(self.piece >= 0, np.arange(len(goes)), self.shorter)
+        used = sorted({c for s in pieces for c in s})
+        #: Number of each character, 0 for those of no piece.
+        self.number = np.zeros(0x110000, np.int64)
+        self.number[list(map(ord, used))] = np.arange(1, len(used) + 1)
+        self.width = len(used) + 1
+        self.first = np.zeros(self.width, np.int64)
+        for c, child in goes[0].items():
+            self.first[self.number[ord(c)]] = child
+        edges = np.array([(n * self.width + self.number[ord(c)], child) for n, g in enumerate(goes) if n for c, child in g.items()], np.int64).reshape(-1, 2)
+        self.edges = Table(edges[:, 0], edges[:, 1], -1)
+
+    def step(self, state: np.ndarray, character: np.ndarray) -> np.ndarray:
+        """States after one more character each, given by its number."""
+        out = self.first[character]
+        left = np.flatnonzero(state)
+        at, read = state[left], character[left]
+        while len(left):
+            next_ = self.edges.get(at * self.width + read)
+            out[left[next_ >= 0]] = next_[next_ >= 0]
+            at = self.fail[at]
+            on = (next_ < 0) & (at > 0)
+            left, at, read = left[on], at[on], read[on]
+        return out
+
+
 class Viterbi:
     def __init__(self, model: bytes):
         self.pieces = p = Pieces(model)
-        self.names, self.scores = list(p.score), np.array([*p.score.values()], np.float64)
-        self.sizes = np.array([len(s) for s in self.names], np.int64)
-        self.found = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for i, piece in enumerate(self.names):
-            self.found.add_word(piece, i)
-        self.found.make_automaton()
+        names = list(p.score)
+        self.found = Automaton(names)
+        self.scores = np.array([*p.score.values(), 0.0], np.float64)[self.found.piece]
         self.unknown = min(p.score.values()) - PENALTY
         self.apart = p.byte_fallback and SPACE in p.score
-        self.known = Memory(self._packed)
+        self.known = Memory(self._packed, 1 << 18)
         self.single = np.zeros(0x110000, bool)
-        self.single[[ord(s) for s in self.names if len(s) == 1]] = True
-        used = {c for s in self.names for c in s}
-        #: A character of no piece, which stands between the parts.
-        self.between = next(c for c in map(chr, range(0x10FFFF, 0, -1)) if c not in used)
+        self.single[[ord(s) for s in names if len(s) == 1]] = True
 
     def _packed(self, units: list[str]) -> list[bytes]:
         raw = np.stack(self.best_all(units), axis=1).astype(np.float64).tobytes()
@@ -52,59 +98,52 @@ class Viterbi:
 
     def best_all(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Score and number of pieces of the best path through each stretch of normalised text."""
-        text = self.between.join(units)
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
         sizes = np.fromiter(map(len, units), np.int64, len(units))
+        # of these, entry `begin` + k of a part stands for the place behind its k-th character
         begin = np.cumsum(sizes + 1) - sizes - 1
-        pairs = np.fromiter(chain.from_iterable(self.found.iter(text)), np.int64).reshape(-1, 2)
-        end, piece = pairs[:, 0] + 1, pairs[:, 1]
-        start = end - self.sizes[piece]
-        step = end - np.repeat(begin, sizes + 1)[start]
-        # matches come by their end, of one end the longest first; a stable sort by step leaves parts and starts in order
-        order = np.argsort(step.astype(np.uint16) if len(step) and step.max() < 1 << 16 else step, kind="stable")
-        end, start, score, step = end[order], start[order], self.scores[piece[order]], step[order]
-        cut = np.searchsorted(step, np.arange(1, int(sizes.max(initial=0)) + 2))
-        # entry i of these stands for the place before character i of `text`
-        best, count, odd = np.zeros(len(codes) + 1), np.zeros(len(codes) + 1, np.int64), np.zeros(len(codes) + 1, bool)
+        best, count, odd = (np.zeros(len(codes) + len(units), kind) for kind in (np.float64, np.int64, bool))
         by_size = np.argsort(-sizes, kind="stable")
-        longer = np.searchsorted(-sizes[by_size], -np.arange(1, len(cut)), "right")
-        for k, (lo, hi) in enumerate(zip(cut[:-1], cut[1:]), 1):
-            if hi > lo:
-                value = best[start[lo:hi]] + score[lo:hi]
-                first = np.flatnonzero(np.append(True, end[lo + 1 : hi] != end[lo : hi - 1]))
-                top = np.maximum.reduceat(value, first)
-                at = np.flatnonzero(value == np.repeat(top, np.diff(np.append(first, hi - lo))))
-                at = at[np.append(True, end[lo + at[1:]] != end[lo + at[:-1]])]  # of equals the first start
-                here = end[lo + at]
-                best[here], count[here] = top, count[start[lo + at]] + 1
-            here = begin[by_size[: longer[k - 1]]] + k
-            here = here[~self.single[codes[here - 1]]]
-            if len(here):
-                met = np.zeros(len(here), bool)
-                if hi > lo:
-                    ends = end[lo:hi][first]  # they ascend, as units do
-                    met = ends[np.minimum(np.searchsorted(ends, here), len(ends) - 1)] == here
-                cost = best[here - 1] + self.unknown
-                take = ~met | (cost > best[here])
-                here, cost = here[take], cost[take]
-                own = codes[here - 1]
-                bytes_ = 1 + (own > 0x7F).astype(np.int64) + (own > 0x7FF) + (own > 0xFFFF)
-                count[here] = count[here - 1] + (bytes_ if self.pieces.byte_fallback else ~odd[here - 1])
-                best[here], odd[here] = cost, True
+        longer = np.searchsorted(-sizes[by_size], -np.arange(1, int(sizes.max(initial=0)) + 1), "right")
+        first, own = begin[by_size], (begin - np.arange(len(units)))[by_size]
+        found, state = self.found, np.zeros(len(units), np.int64)
+        for k, n in enumerate(longer.tolist(), 1):
+            here, code = first[:n] + k, codes[own[:n] + k - 1]
+            state = found.step(state[:n], found.number[code])
+            top, steps = np.full(n, -np.inf), np.zeros(n, np.int64)
+            at = found.matched[state]
+            live = np.flatnonzero(at)
+            at = at[live]
+            while len(live):  # the longest piece first, which of equals stays
+                start = here[live] - found.size[at]
+                value = best[start] + self.scores[at]
+                better = value > top[live]
+                take = live[better]
+                top[take], steps[take] = value[better], count[start[better]] + 1
+                at = found.shorter[at]
+                live, at = live[at > 0], at[at > 0]
+            best[here], count[here] = top, steps
+            lone = np.flatnonzero(~self.single[code])
+            if len(lone):
+                cost = best[here[lone] - 1] + self.unknown
+                lone, cost = lone[cost > top[lone]], cost[cost > top[lone]]
+                at, code = here[lone], code[lone]
+                bytes_ = 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
+                count[at] = count[at - 1] + (bytes_ if self.pieces.byte_fallback else ~odd[at - 1])
+                best[at], odd[at] = cost, True
         return best[begin + sizes], count[begin + sizes]
 
     def total_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Score and number of pieces of whole texts."""
         p = self.pieces
         if self.apart:
-            units, at, first = p.units(texts, LONG)
+            units, first = p.units(texts, LONG)
         else:
-            units = [p.form(t)[0] for t in texts]
-            at, first = np.arange(len(texts)), np.arange(len(texts) + 1)
+            units, first = [p.form(t)[0] for t in texts], np.arange(len(texts) + 1)
         scores, counts = np.frombuffer(b"".join(self.known.all(units)), np.float64).reshape(-1, 2).T
         text = np.repeat(np.arange(len(texts)), np.diff(first))
-        counts = np.bincount(text, weights=counts[at], minlength=len(texts)).round().astype(np.int64)
-        return np.bincount(text, weights=scores[at], minlength=len(texts)), counts
+        counts = np.bincount(text, weights=counts, minlength=len(texts)).round().astype(np.int64)
+        return np.bincount(text, weights=scores, minlength=len(texts)), counts
 
     def total(self, text: bytes) -> tuple[float, int]:
         scores, counts = self.total_all([text])

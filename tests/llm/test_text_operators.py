@@ -15,10 +15,10 @@ from tokenizers import Tokenizer, models
 from playbeat.llm import document_fingerprints as D
 from playbeat.llm import language_id as L
 from playbeat.llm import quality as Q
-from playbeat.llm.pieces import CharacterMap, Memory, Pieces
+from playbeat.llm.pieces import CharacterMap, Memory, Pieces, Table
 from playbeat.llm.queries import graded, piece_model
 from playbeat.llm.sentencepiece_codec import Codec, decode_ids, encode_texts
-from playbeat.llm.token_counts import Viterbi, token_counts
+from playbeat.llm.token_counts import Automaton, Viterbi, token_counts
 
 SF = "/root/testdata/sf0.001"
 
@@ -275,3 +275,35 @@ def test_many_parts_side_by_side_equal_each_alone(model):
         assert ids[begin[i] : begin[i + 1]].tolist() == own.merge(u)
         score, count = path.best_all([u])
         assert (scores[i], counts[i]) == (score[0], count[0])
+
+
+def test_automaton_steps_many_texts_at_once():
+    r = random.Random(5)
+    pieces = list(dict.fromkeys("".join(r.choice("abcé") for _ in range(r.randint(1, 5))) for _ in range(60)))
+    found, texts = Automaton(pieces), ["".join(r.choice("abcé?") for _ in range(20)) for _ in range(50)]
+    state = np.zeros(len(texts), np.int64)
+    for k in range(20):
+        state = found.step(state, found.number[[ord(t[k]) for t in texts]])
+        for t, at in zip(texts, found.matched[state].tolist()):
+            ends = []
+            while at:
+                ends.append(pieces[found.piece[at]])
+                assert found.size[at] == len(ends[-1])
+                at = found.shorter[at]
+            assert ends == sorted((p for p in pieces if t[: k + 1].endswith(p)), key=len, reverse=True)
+
+
+def test_memory_works_repeated_parts_once():
+    calls = []
+    memory = Memory(lambda parts: calls.append(parts) or [p.upper() for p in parts], most=2, longest=3)
+    assert memory.all(["a", "bb", "a", "long", "a", "long"]) == ["A", "BB", "A", "LONG", "A", "LONG"]
+    assert memory.all(["c", "a", "c"]) == ["C", "A", "C"] and memory.all([]) == []
+    assert calls == [["a", "bb", "long"], ["c"]] and "long" not in {*memory.new, *memory.old}
+
+
+def test_table_finds_its_keys_and_no_others():
+    r = np.random.default_rng(4)
+    keys = np.unique(r.integers(0, 1 << 40, 3000))
+    table = Table(keys[::2], np.arange(len(keys[::2])), -7)
+    assert table.get(keys[::2]).tolist() == list(range(len(keys[::2]))) and set(table.get(keys[1::2])) == {-7}
+    assert Table(keys[:0], keys[:0], -7).get(keys[:3]).tolist() == [-7] * 3
