@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playbeat.llm import arrays as A
-from playbeat.llm.pieces import BYTE, CONTROL, SPACE, UNKNOWN, Memory, Pieces
+from playbeat.llm.pieces import BYTE, CONTROL, SPACE, UNKNOWN, Memory, Pieces, Table
 
 #: Symbols from which a heap finds the next merge.
 LONG = 64
@@ -28,7 +28,7 @@ NONE = 1 << 40
 class Codec:
     def __init__(self, model: bytes):
         self.pieces = p = Pieces(model)
-        self.known = Memory(self._parts)
+        self.known = Memory(self._parts, 1 << 18)
         self._symbols()
         forms = [b"" if k == CONTROL else p.unknown_surface.encode() if k == UNKNOWN else bytes([int(n[1:-1], 16)]) if k == BYTE else n.replace(SPACE, " ").encode() for n, k in zip(p.names, p.kinds)]
         self.form = np.frombuffer(b"".join(forms), np.uint8)
@@ -49,15 +49,13 @@ class Codec:
                 self.symbol_of[ord(s)] = i
         pairs = [(number[s[:i]], number[s[i:]], p.rank[s], number[s]) for s in p.score for i in range(1, len(s)) if s[:i] in number and s[i:] in number]
         table = np.array(pairs, np.int64).reshape(-1, 4)
-        keys = table[:, 0] * len(names) + table[:, 1]
-        order = np.argsort(keys)
-        self.size, self.pair, self.pair_rank, self.pair_symbol = len(names), np.append(keys[order], -1), np.append(table[order, 2], NONE), np.append(table[order, 3], -1)
+        # a pair's place in the list; the last entry is for pairs that are no piece, symbols below 0 make none
+        self.size, self.pair = len(names) + 1, Table((table[:, 0] + 1) * (len(names) + 1) + table[:, 1] + 1, np.arange(len(table)), len(table))
+        self.pair_rank, self.pair_symbol = np.append(table[:, 2], NONE), np.append(table[:, 3], -1)
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each pair of symbols, NONE if it is no piece, and the symbol it makes."""
-        key = left.astype(np.int64) * self.size + right
-        at = np.searchsorted(self.pair[:-1], key)
-        at = np.where((self.pair[at] == key) & (left >= 0) & (right >= 0), at, len(self.pair) - 1)
+        at = self.pair.get((left.astype(np.int64) + 1) * self.size + right + 1)
         return self.pair_rank[at], self.pair_symbol[at]
 
     def merge_all(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -162,32 +160,42 @@ class Codec:
         """Ids of a whole text."""
         return self.encode_all([text])[0]
 
-    def spans(self, text: bytes, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Source byte range of every piece of the text's encoding; of a character in bytes the last one has it, as in the library."""
-        form, source = self.pieces.form(text)
-        sizes = np.diff(self.form_at)[ids]
-        if source is None:
-            ends = np.cumsum(sizes) - (1 if self.pieces.prefix and len(ids) else 0)
-            begins = np.maximum(ends - sizes, 0)
-        else:
-            raw, at, ends = form.encode(), 0, []
-            for i in ids.tolist():
-                if self.pieces.kinds[i] == UNKNOWN:
-                    at += len(raw[at:].decode()[0].encode())
-                else:
-                    at += 1 if self.is_byte[i] else len(self.pieces.names[i].encode())
-                ends.append(at)
-            where = np.array(ends, np.int64)
-            places = np.array(source)
-            ends, begins = places[where], places[np.append(0, where[:-1])] if len(where) else where
+    def spans_all(self, texts: list[bytes], ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Source byte range of every piece of the texts' encodings; of a character in bytes the last one has it, as in the library."""
+        counts = np.diff(offsets)
+        grown = np.append(0, np.cumsum(np.diff(self.form_at)[ids]))
+        ends = grown[1:] - np.repeat(grown[offsets[:-1]] + (1 if self.pieces.prefix else 0), counts)
+        begins = np.maximum(ends - np.diff(grown), 0)
+        for text, lo, hi in zip(texts, offsets[:-1].tolist(), offsets[1:].tolist()):
+            if not self.pieces.swaps(text):
+                begins[lo:hi], ends[lo:hi] = self._aligned(text, ids[lo:hi])
         byte, follows = self.is_byte[ids], self.follows[ids]
         if byte.any():
-            lead = np.maximum.accumulate(np.where(follows, 0, np.arange(len(ids))))
+            starts = np.zeros(len(ids), bool)  # the first piece of a text continues none
+            starts[offsets[:-1][counts > 0]] = True
+            lead = np.maximum.accumulate(np.where(follows & ~starts, 0, np.arange(len(ids))))
             begins = np.where(byte, begins[lead], begins)
-            more = byte & np.append(follows[1:], False)
+            more = byte & np.append(follows[1:] & ~starts[1:], False)
             ends = np.where(more, begins, ends)
         return begins, ends
 
+    def spans(self, text: bytes, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of one text."""
+        return self.spans_all([text], ids, np.array([0, len(ids)]))
+
+    def _aligned(self, text: bytes, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Source bytes of each piece of one text through the alignment of its normal form."""
+        form, source = self.pieces.form(text)
+        raw, at, ends = form.encode(), 0, []
+        for i in ids.tolist():
+            if self.pieces.kinds[i] == UNKNOWN:
+                at += len(raw[at:].decode()[0].encode())
+            else:
+                at += 1 if self.is_byte[i] else len(self.pieces.names[i].encode())
+            ends.append(at)
+        where, places = np.array(ends, np.int64), np.array(source)
+        return (places[np.append(0, where[:-1])] if len(where) else where), places[where]
+
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Texts of id lists, as bytes with offsets."""
         body, at = A.gather(self.form, self.form_at[ids], self.form_at[ids + 1])
@@ -275,8 +283,7 @@ def encode_texts(docs: DataFrame, model: bytes, *, text: str = "text", keep: lis
                 ids, ends = own.encode_all(texts)
                 columns = [_list(ids, ends)]
                 if spans:
-                    pairs = [own.spans(t, ids[b:e]) for t, b, e in zip(texts, ends[:-1].tolist(), ends[1:].tolist())]
-                    columns += [_list(np.concatenate([p[k] for p in pairs]).astype(np.int32), ends) for k in (0, 1)]
+                    columns += [_list(x.astype(np.int32), ends) for x in own.spans_all(texts, ids, ends)]
                 yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns[:n], *columns], names=schema.names)
 
     from pyspark.sql import types as T

@@ -307,3 +307,13 @@ def test_table_finds_its_keys_and_no_others():
     table = Table(keys[::2], np.arange(len(keys[::2])), -7)
     assert table.get(keys[::2]).tolist() == list(range(len(keys[::2]))) and set(table.get(keys[1::2])) == {-7}
     assert Table(keys[:0], keys[:0], -7).get(keys[:3]).tolist() == [-7] * 3
+
+
+def test_spans_of_many_texts_are_those_of_each(model):
+    own = Codec(model)
+    texts = [t.encode() for t in ["", "a b", "\U0001F9FFx\u4e00", " ", "\u2581a  b", "\U0001F9FF", "end"]] + [b"\xff \xfe"]
+    ids, offsets = own.encode_all(texts)
+    begins, ends = own.spans_all(texts, ids, offsets)
+    for t, lo, hi in zip(texts, offsets[:-1], offsets[1:]):
+        b, e = own.spans(t, ids[lo:hi])
+        assert begins[lo:hi].tolist() == b.tolist() and ends[lo:hi].tolist() == e.tolist()
